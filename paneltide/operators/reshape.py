@@ -96,7 +96,7 @@ def _fill_days(
     and last row of each group to a common calendar; ``None`` keeps the group's own range.
     Rows emitted for added days carry null in ``value_cols``.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(date_col).asc())
+    w = Window.partitionBy(*keys).orderBy(F.col(date_col).asc_nulls_last())
     d = F.col(date_col)
     nxt = F.lead(d).over(w)
     first = F.row_number().over(w) == 1

@@ -43,6 +43,7 @@ from ..operators.aggregate import class_lower_bounds, quantile_cuts
 from ..operators.joins import join_null_safe
 from ..operators.reshape import long_to_wide
 from ..operators.series import fill_downup
+from ..session import cut_lineage
 
 # Parameter grids of the published tables.
 SNAPSHOT_PERIODS = (1, 7, 14, 30, CUMULATIVE_PERIOD)
@@ -91,7 +92,7 @@ def snapshot_values(
     mx = _max_date(panel, as_of)
     lags = [p for p in periods if p != CUMULATIVE_PERIOD]
     src = _tail_rows(panel, mx, max(lags) if lags else 0, dense)
-    w = Window.partitionBy(KEY, SOURCE).orderBy(F.col(DATE).asc())
+    w = Window.partitionBy(KEY, SOURCE).orderBy(F.col(DATE).asc_nulls_last())
     lagged = src.select(
         KEY, SOURCE, DATE, POP,
         *[F.col(c).alias(f"__cum_{i}") for i, c in enumerate(indicators.values())],
@@ -146,9 +147,23 @@ def quantile_classes(df: DataFrame, groups: Sequence[str] = GROUP, value: str =
     return labelled.withColumn("qcats", qcats).withColumn("qvals", qvals).drop("__cls", *[f"lw{k}" for k in range(2, 7)])
 
 
-def period_snapshot(panel: DataFrame, periods=SNAPSHOT_PERIODS, as_of: DataFrame | None = None, dense: bool = True) -> DataFrame:
-    """Snapshot values + classes + titles, one row per grid cell and entity."""
+def period_snapshot(
+    panel: DataFrame,
+    periods=SNAPSHOT_PERIODS,
+    as_of: DataFrame | None = None,
+    dense: bool = True,
+    materialize: bool = True,
+) -> DataFrame:
+    """Snapshot values + classes + titles, one row per grid cell and entity.
+
+    The snapshot rows feed the cut points, the class bounds and the labelled rows; with
+    ``materialize`` they are checkpointed once to the shared checkpoint folder, so the
+    panel (the expensive part: scan, aggregation, densify, windows) is built once and a lost
+    executor recomputes from the checkpoint.
+    """
     snap = snapshot_values(panel, periods, INDICATORS, as_of, dense)
+    if materialize:
+        snap = cut_lineage(snap)
     classed = quantile_classes(snap).withColumn("dftype", F.lit("cross"))
     return classed.select(
         "Indicator", "Metric", "periodval", SOURCE, KEY, DATE, POP, "valuex", "dftype", "qcats", "qvals",
@@ -157,10 +172,12 @@ def period_snapshot(panel: DataFrame, periods=SNAPSHOT_PERIODS, as_of: DataFrame
     )
 
 
-def complete_snapshot(cross: DataFrame) -> DataFrame:
+def complete_snapshot(cross: DataFrame, materialize: bool = True) -> DataFrame:
     """A14 step 7-8: every entity x every observed (source, Indicator, Metric, period,
     dftype, Date) tuple (R9), down-up fill of pop and titles across sources (W14), zero
     value and "absent" class on added rows, and the period order code (D18)."""
+    if materialize:
+        cross = cut_lineage(cross)
     nested = [SOURCE, "Indicator", "Metric", "periodval", "dftype", DATE]
     grid = cross.select(KEY).distinct().crossJoin(cross.select(*nested).distinct())
     full = join_null_safe(grid, cross, [KEY] + nested, "left")
@@ -198,7 +215,7 @@ def change_series(
     src = panel
     if tail_of is not None:
         src = _tail_rows(panel, tail_of, 2 * max(periods), True)
-    w = Window.partitionBy(KEY, SOURCE).orderBy(F.col(DATE).asc())
+    w = Window.partitionBy(KEY, SOURCE).orderBy(F.col(DATE).asc_nulls_last())
     need_date = sorted({k for p in periods for k in (p - 1, p, 2 * p - 1)})
     need_cum = sorted({k for p in periods for k in (p, 2 * p)})
     lagged = src.select(
@@ -277,20 +294,23 @@ def trajectory_columns(df: DataFrame, daily_rate: bool = False, threshold: float
     out = df.withColumn("incidence_7days", F.when(F.col(POP) > 0, F.try_divide(F.lit(100000.0) * curr, F.col(POP))))
     if daily_rate:
         out = out.withColumn("incidence_7days_daily", F.col("incidence_7days") / F.lit(7.0))
-    out = (
-        out.withColumn("perc_change_clean", pct_capped("perc_change"))
-        .withColumn("inc_cat", incidence_class(curr, F.col("incidence_7days"), ind, per, threshold))
-        .withColumn("perc_change_cat", direction_class(curr, F.col("perc_change_clean"), threshold))
-        .withColumn("inc_cat_simple", incidence_simple(curr, F.col("inc_cat"), ind, per, threshold))
-        .withColumn("perc_change_cat_simple", direction_simple(F.col("perc_change_cat")))
-        .withColumn(
-            "traj_cat_simple",
-            trajectory_class(curr, F.col("inc_cat_simple"), F.col("perc_change_cat_simple"), ind, per, threshold),
-        )
-        # paste0(a, b, sep = " ") appends the separator as a third piece.
-        .withColumn("country_code_and_data_source", F.concat(F.col(KEY).cast("string"), F.col(SOURCE), F.lit(" ")))
+    out = out.withColumns(
+        {"perc_change_clean": pct_capped("perc_change"), "inc_cat": incidence_class(curr, F.col("incidence_7days"), ind, per, threshold)}
+    )
+    out = out.withColumns(
+        {
+            "perc_change_cat": direction_class(curr, F.col("perc_change_clean"), threshold),
+            "inc_cat_simple": incidence_simple(curr, F.col("inc_cat"), ind, per, threshold),
+        }
+    )
+    out = out.withColumn("perc_change_cat_simple", direction_simple(F.col("perc_change_cat")))
+    return out.withColumns(
+        {
+            "traj_cat_simple": trajectory_class(curr, F.col("inc_cat_simple"), F.col("perc_change_cat_simple"), ind, per, threshold),
+            # paste0(a, b, sep = " ") appends the separator as a third piece.
+            "country_code_and_data_source": F.concat(F.col(KEY).cast("string"), F.col(SOURCE), F.lit(" ")),
+        }
     )
-    return out
 
 
 def tracker_change(
@@ -303,7 +323,7 @@ def tracker_change(
     """A14 step 9: cross change, completed over entity x observed tuples (R9), down-up fill
     within (entity, Indicator, period, dftype, Date) (W14), nulls -> 0, sparse-count
     suppression (P21, N11) and trajectory classes (D12-D16)."""
-    cross = period_change(panel, "cross", periods, as_of, True, entity_names)
+    cross = cut_lineage(period_change(panel, "cross", periods, as_of, True, entity_names))
     nested = [SOURCE, "Indicator", "periodval", "dftype", DATE]
     grid = cross.select(KEY).distinct().crossJoin(cross.select(*nested).distinct())
     full = join_null_safe(grid, cross, [KEY] + nested, "left")
@@ -312,12 +332,14 @@ def tracker_change(
     filled = filled.withColumn("curr_val", fill_zero("curr_val")).withColumn("prev_val", fill_zero("prev_val"))
     sparse = F.col("curr_val") < threshold
     sparse_text = F.concat(F.lit("<10 "), F.col("Indicator"), F.lit(" in past "), F.col("periodval"))
-    suppressed = (
-        filled.withColumn("changecat", F.when(sparse, sparse_text).otherwise(F.col("changecat")))
-        # ifelse() on a factor returns its integer codes (N11): published as an order code.
-        .withColumn("changecat_order", F.when(~sparse, change_class_index("perc_change")))
-        .withColumn("perc_change", F.when(~sparse, F.col("perc_change")))
-        .withColumn("perc_changex", F.when(sparse, F.lit("N/A")).otherwise(F.col("perc_changex")))
+    suppressed = filled.withColumns(
+        {
+            "changecat": F.when(sparse, sparse_text).otherwise(F.col("changecat")),
+            # ifelse() on a factor returns its integer codes (N11): published as an order code.
+            "changecat_order": F.when(~sparse, change_class_index("perc_change")),
+            "perc_change": F.when(~sparse, F.col("perc_change")),
+            "perc_changex": F.when(sparse, F.lit("N/A")).otherwise(F.col("perc_changex")),
+        }
     )
     cols = [c if c != "changecatx" else "changecat_order" for c in CHANGE_COLS] + ["country"]
     out = trajectory_columns(suppressed.select(*cols), threshold=threshold)
