@@ -59,7 +59,7 @@ def period_label(p: int) -> str:
 INDICATORS = {"Cases": "cases_cum", "Deaths": "deaths_cum"}
 
 
-def snapshot_ctes(periods=(1, 7, 14, 30, 999)) -> str:
+def snapshot_ctes(periods=(1, 7, 14, 30, 999), all_dates: bool = False) -> str:
     """snap (values at max date), cuts, classed, bounds2, crossx (A6 output)."""
     lags = [p for p in periods if p != 999]
     lag_cols = ", ".join(
@@ -91,7 +91,7 @@ def snapshot_ctes(periods=(1, 7, 14, 30, 999)) -> str:
 lagged AS (
   SELECT country_code, data_source, Date, pop, cases_cum, deaths_cum, {lag_cols}
   FROM panel WINDOW w AS (PARTITION BY country_code, data_source ORDER BY Date)),
-atmax AS (SELECT * FROM lagged WHERE Date = (SELECT mx FROM mx)),
+atmax AS (SELECT * FROM lagged {'' if all_dates else 'WHERE Date = (SELECT mx FROM mx)'}),
 snap AS ({' UNION ALL '.join(branches)}),
 cuts AS (
   SELECT {grp}, quantile_cont(valuex, [{probs}]) FILTER (WHERE valuex > 0) AS q
@@ -327,6 +327,358 @@ def panel_sql(entity: str = "user") -> str:
     return f"WITH {panel_ctes(entity)}\nSELECT * FROM panel"
 
 
+
+# ------------------------------------------------------------------ shared fragments
+
+EV_CAL = """ev_b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
+ev_cal AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM ev_b)"""
+
+FRAME = """n_pop AS (SELECT c_nationkey, round(sum(c_acctbal), 2) AS pop_2020yr FROM customer GROUP BY 1),
+n_dim AS (
+  SELECT n.n_name AS country, CAST(n.n_nationkey AS VARCHAR) AS iso3code,
+         lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS iso2code, r.r_name AS who_region,
+         p.pop_2020yr, r.r_name AS Continent_Name
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey LEFT JOIN n_pop p ON p.c_nationkey = n.n_nationkey),
+frame AS (
+  SELECT DISTINCT d.iso3code || '_' || CAST(c.date AS VARCHAR) AS ou_date_match, d.country, c.date, d.iso3code,
+         d.iso2code, d.who_region, d.pop_2020yr, d.Continent_Name
+  FROM n_dim d CROSS JOIN ev_cal c)"""
+
+DBT = """dbt AS (SELECT user_id, event_type, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2, 3)"""
+
+CALC = DBT + """,
+dbt_b AS (SELECT min(date) AS lo, max(date) AS hi FROM dbt),
+dbt_cal AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM dbt_b),
+calc AS (
+  SELECT p.user_id, p.event_type, c.date, d.n
+  FROM (SELECT DISTINCT user_id, event_type FROM dbt) p CROSS JOIN dbt_cal c
+  LEFT JOIN dbt d ON d.user_id = p.user_id AND d.event_type = p.event_type AND d.date = c.date)"""
+
+
+def _strict(x: str) -> str:
+    return f"CAST(CASE WHEN count({x}) = count(*) THEN sum({x}) END AS BIGINT)"
+
+
+def _clamp(x: str) -> str:
+    return f"CASE WHEN {x} < 0 THEN 0 ELSE {x} END"
+
+
+def _a3_ctes() -> str:
+    """Source A wide-file pipeline, result in ``a3``."""
+    return f"""ud AS (
+  SELECT user_id, CAST(ts AS DATE) AS date,
+         count(*) FILTER (WHERE event_type IN ('view', 'click')) AS cn,
+         count(*) FILTER (WHERE event_type = 'error') AS dn
+  FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2),
+udense AS (
+  SELECT u.user_id, c.date, coalesce(ud.cn, 0) AS cn, coalesce(ud.dn, 0) AS dn
+  FROM (SELECT DISTINCT user_id FROM ud) u CROSS JOIN ev_cal c
+  LEFT JOIN ud ON ud.user_id = u.user_id AND ud.date = c.date),
+ucum AS (
+  SELECT user_id, date, sum(cn) OVER w AS cc, sum(dn) OVER w AS dc FROM udense
+  WINDOW w AS (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+geo AS (SELECT c.c_custkey AS user_id, n.n_name AS ctry FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+uinc AS (
+  SELECT g.ctry, u.date, u.cc, u.dc,
+         {_clamp('u.cc - lag(u.cc) OVER w')} AS nc, {_clamp('u.dc - lag(u.dc) OVER w')} AS nd
+  FROM ucum u LEFT JOIN geo g ON g.user_id = u.user_id
+  WINDOW w AS (PARTITION BY u.user_id ORDER BY u.date)),
+byc AS (
+  SELECT replace(ctry, '*', '') AS Country, date, {_strict('nc')} AS cases_new, {_strict('nd')} AS deaths_new,
+         {_strict('cc')} AS cases_cum, {_strict('dc')} AS deaths_cum
+  FROM uinc GROUP BY 1, 2),
+coded AS (
+  SELECT b.*, a.iso3code FROM byc b
+  LEFT JOIN (SELECT DISTINCT lower(trim(replace(n_name, '*', ''))) AS ak, CAST(n_nationkey AS VARCHAR) AS iso3code FROM nation) a
+    ON lower(trim(replace(b.Country, '*', ''))) = a.ak
+  WHERE a.iso3code IS NOT NULL),
+rest AS (
+  SELECT iso3code, date,
+         CASE WHEN date = min(date) OVER (PARTITION BY iso3code) THEN cases_cum ELSE cases_new END AS cases_new,
+         CASE WHEN date = min(date) OVER (PARTITION BY iso3code) THEN deaths_cum ELSE deaths_new END AS deaths_new,
+         cases_cum, deaths_cum
+  FROM coded),
+a3df AS (
+  SELECT iso3code, date, {_strict('cases_new')} AS cases_new, {_strict('deaths_new')} AS deaths_new,
+         {_strict('cases_cum')} AS cases_cum, {_strict('deaths_cum')} AS deaths_cum
+  FROM rest GROUP BY 1, 2),
+a3 AS (
+  SELECT f.country, f.date, coalesce(x.cases_new, 0) AS cases_new, coalesce(x.cases_cum, 0) AS cases_cum,
+         coalesce(x.deaths_new, 0) AS deaths_new, coalesce(x.deaths_cum, 0) AS deaths_cum, f.who_region,
+         coalesce(f.pop_2020yr, 0) AS pop_2020yr, f.iso3code, f.ou_date_match, f.iso2code
+  FROM frame f
+  CROSS JOIN (SELECT min(date) AS lo, max(date) AS hi FROM a3df) b
+  LEFT JOIN a3df x ON x.iso3code = f.iso3code AND x.date = f.date
+  WHERE f.date >= b.lo AND f.date <= b.hi AND f.iso3code IN (SELECT iso3code FROM a3df))"""
+
+
+def _a4_ctes() -> str:
+    """Source B long-file pipeline, result in ``a4``."""
+    return f"""ld AS (
+  SELECT CAST(c.c_nationkey AS VARCHAR) AS iso3code, CAST(e.ts AS DATE) AS date,
+         count(*) FILTER (WHERE e.event_type IN ('view', 'click')) AS nc,
+         count(*) FILTER (WHERE e.event_type = 'error') AS nd
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey WHERE e.event_id % 2 <> 0 GROUP BY 1, 2),
+wx AS (
+  SELECT lpad(iso3code, 2, '0') AS iso2code, date, CAST(nc AS BIGINT) AS cases_new, CAST(nd AS BIGINT) AS deaths_new,
+         CAST(sum(nc) OVER w AS BIGINT) AS cases_cum, CAST(sum(nd) OVER w AS BIGINT) AS deaths_cum
+  FROM ld WINDOW w AS (PARTITION BY iso3code ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+a4 AS (
+  SELECT f.country, f.date, coalesce(x.cases_new, 0) AS cases_new, coalesce(x.cases_cum, 0) AS cases_cum,
+         coalesce(x.deaths_new, 0) AS deaths_new, coalesce(x.deaths_cum, 0) AS deaths_cum, f.who_region,
+         coalesce(f.pop_2020yr, 0) AS pop_2020yr, f.iso3code, f.ou_date_match, f.iso2code
+  FROM frame f
+  CROSS JOIN (SELECT min(date) AS lo, max(date) AS hi FROM wx) b
+  LEFT JOIN wx x ON x.iso2code = f.iso2code AND x.date = f.date
+  WHERE f.date >= b.lo AND f.date <= b.hi AND f.iso2code IN (SELECT iso2code FROM wx)
+    AND f.date <> (SELECT hi FROM ev_b))"""
+
+
+def country_totals_sql() -> str:
+    return f"WITH {EV_CAL},\n{FRAME},\n{_a3_ctes()}\nSELECT * FROM a3"
+
+
+def country_totals_long_sql() -> str:
+    return f"WITH {EV_CAL},\n{FRAME},\n{_a4_ctes()}\nSELECT * FROM a4"
+
+
+def stack_sources_panel_sql() -> str:
+    sel = """SELECT country AS "Country", date AS "Date", cases_new AS "New Cases", cases_cum AS "Cumulative Cases",
+  deaths_new AS "New Deaths", deaths_cum AS "Cumulative Deaths", who_region AS "WHO Region",
+  pop_2020yr AS "Population 2020", pop_2020yr AS "Population 2018.x", iso3code AS "Country Code",
+  iso3code AS country_code, ou_date_match, ou_date_match || '_' || '{src}' AS ou_date_src_match,
+  '{src}' AS data_source, iso2code"""
+    return f"""WITH {EV_CAL},
+{FRAME},
+{_a3_ctes()},
+{_a4_ctes()}
+{sel.format(src='JHU')} FROM a3 WHERE date <= (SELECT max(date) FROM a4)
+UNION ALL
+{sel.format(src='WHO')} FROM a4"""
+
+
+ORACLES_OPS: dict[str, str] = {
+    "entity_date_frame": f"WITH {EV_CAL},\n{FRAME}\nSELECT * FROM frame",
+    "country_totals": country_totals_sql(),
+    "country_totals_long": country_totals_long_sql(),
+    "stack_sources_panel": stack_sources_panel_sql(),
+    "complete_grid": f"""WITH d AS (
+  SELECT user_id, event_type, {SOURCE_TAG} AS source, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2, 3, 4),
+g AS (SELECT * FROM (SELECT DISTINCT user_id FROM d) CROSS JOIN (SELECT DISTINCT event_type FROM d)
+      CROSS JOIN (SELECT DISTINCT source FROM d) CROSS JOIN (SELECT DISTINCT date FROM d))
+SELECT g.user_id, g.event_type, g.source, g.date, d.n FROM g LEFT JOIN d
+  ON d.user_id IS NOT DISTINCT FROM g.user_id AND d.event_type IS NOT DISTINCT FROM g.event_type
+ AND d.source IS NOT DISTINCT FROM g.source AND d.date IS NOT DISTINCT FROM g.date""",
+    "complete_calendar": f"WITH {CALC}\nSELECT * FROM calc",
+    "complete_per_group": f"""WITH {DBT},
+rng AS (SELECT user_id, event_type, min(date) AS lo, max(date) AS hi FROM dbt GROUP BY 1, 2),
+g AS (SELECT user_id, event_type, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM rng)
+SELECT g.user_id, g.event_type, g.date, d.n FROM g
+LEFT JOIN dbt d ON d.user_id = g.user_id AND d.event_type = g.event_type AND d.date = g.date""",
+    "complete_nested": f"""WITH d AS (SELECT user_id, {SOURCE_TAG} AS source, event_type, count(*) AS n FROM events GROUP BY 1, 2, 3)
+SELECT u.user_id, t.source, t.event_type, d.n
+FROM (SELECT DISTINCT user_id FROM d) u CROSS JOIN (SELECT DISTINCT source, event_type FROM d) t
+LEFT JOIN d ON d.user_id IS NOT DISTINCT FROM u.user_id AND d.source IS NOT DISTINCT FROM t.source
+ AND d.event_type IS NOT DISTINCT FROM t.event_type""",
+    "long_to_wide": f"""WITH {DBT}
+SELECT user_id, date, {', '.join(f"max(n) FILTER (WHERE event_type = '{t}') AS {t}" for t in ['click', 'error', 'purchase', 'signup', 'view'])}
+FROM dbt GROUP BY 1, 2""",
+    "wide_to_long": f"""WITH {DBT},
+w AS (SELECT user_id, date, {', '.join(f"max(n) FILTER (WHERE event_type = '{t}') AS {t}" for t in ['click', 'error', 'purchase', 'signup', 'view'])} FROM dbt GROUP BY 1, 2)
+{' UNION ALL '.join(f"SELECT user_id, date, '{t}' AS event_type, {t} AS n FROM w" for t in ['click', 'error', 'purchase', 'signup', 'view'])}""",
+    "unpivot_drop_null": f"WITH {DBT}\nSELECT user_id, date, event_type, n FROM dbt",
+    "explode_list": "SELECT p_partkey, p_name, trim(unnest(string_split(p_name, ' '))) AS word FROM part",
+    "full_outer_sources": f"""WITH {_daily()},
+a AS (SELECT entity, date, cases_new AS cases_a FROM daily WHERE source = 'A'),
+b AS (SELECT entity, date, cases_new AS cases_b FROM daily WHERE source = 'B')
+SELECT coalesce(a.entity, b.entity) AS entity, coalesce(a.date, b.date) AS date, cases_a, cases_b,
+       cases_a + cases_b AS total_strict, coalesce(cases_a, 0) + coalesce(cases_b, 0) AS total_zero
+FROM a FULL OUTER JOIN b ON a.entity IS NOT DISTINCT FROM b.entity AND a.date IS NOT DISTINCT FROM b.date""",
+    "frame_left_join": f"""WITH {EV_CAL},
+{FRAME},
+{_daily('nation')}
+SELECT f.country, f.date, f.iso3code, f.who_region, coalesce(f.pop_2020yr, 0) AS pop_2020yr, f.ou_date_match,
+       coalesce(d.cases_new, 0) AS cases_new, coalesce(d.deaths_new, 0) AS deaths_new
+FROM frame f LEFT JOIN daily d ON CAST(d.entity AS VARCHAR) = f.iso3code AND d.date = f.date AND d.source = 'A'""",
+    "semi_clip": f"""WITH {EV_CAL},
+{FRAME},
+{_daily('nation')},
+b AS (SELECT CAST(entity AS VARCHAR) AS iso3code, date FROM daily WHERE source = 'B')
+SELECT f.* FROM frame f
+WHERE f.date >= (SELECT min(date) FROM b) AND f.date <= (SELECT max(date) FROM b)
+  AND f.iso3code IN (SELECT iso3code FROM b)""",
+    "pair_semi": f"""WITH d AS (
+  SELECT user_id, event_type AS indicator, {SOURCE_TAG} AS source, CAST(ts AS DATE) AS date, count(*) AS value
+  FROM events GROUP BY 1, 2, 3, 4),
+g AS (SELECT * FROM (SELECT DISTINCT user_id FROM d) CROSS JOIN (SELECT DISTINCT indicator FROM d)
+      CROSS JOIN (SELECT DISTINCT source FROM d) CROSS JOIN (SELECT DISTINCT date FROM d))
+SELECT g.user_id, g.indicator, g.source, g.date, d.value FROM g
+LEFT JOIN d ON d.user_id = g.user_id AND d.indicator = g.indicator AND d.source = g.source AND d.date = g.date
+WHERE (g.source, g.indicator) IN (SELECT DISTINCT source, indicator FROM d)""",
+    "dim_lookup": f"""WITH {DBT}
+SELECT d.user_id, d.event_type, d.date, d.n, c.c_name, c.c_mktsegment,
+  CASE d.event_type WHEN 'view' THEN 'Page views' WHEN 'click' THEN 'Clicks' WHEN 'signup' THEN 'Sign-ups'
+    WHEN 'purchase' THEN 'Purchases' WHEN 'error' THEN 'Errors' END AS label
+FROM dbt d LEFT JOIN customer c ON c.c_custkey = d.user_id""",
+    "alias_join": f"""WITH {DBT},
+al AS (SELECT DISTINCT lower(trim(replace(alias, '*', ''))) AS ak, code
+       FROM (VALUES ('View', 'VIEW'), (' click', 'CLICK'), ('Error*', 'ERROR'), ('SIGNUP ', 'SIGNUP'), ('purchase', 'PURCHASE')) t(alias, code))
+SELECT d.user_id, d.event_type, d.date, d.n, al.code AS type_code
+FROM dbt d LEFT JOIN al ON lower(trim(replace(d.event_type, '*', ''))) = al.ak""",
+    "stack_sources": f"""WITH {_daily()}
+SELECT entity, date, cases_new, deaths_new, source AS data_source,
+       CAST(entity AS VARCHAR) || '_' || CAST(date AS VARCHAR) || '_' || source AS ou_date_src_match
+FROM daily""",
+    "ragged_union": """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nationkey, c_mktsegment, CAST(NULL AS DOUBLE) AS s_acctbal FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, NULL, s_acctbal FROM supplier""",
+    "strict_sum": f"WITH {CALC}\nSELECT user_id, date, {_strict('n')} AS n FROM calc GROUP BY 1, 2",
+    "zero_sum": f"WITH {CALC}\nSELECT user_id, date, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM calc GROUP BY 1, 2",
+    "group_by_types": """SELECT o_orderstatus, o_orderpriority, CAST(sum(o_custkey) AS BIGINT) AS o_custkey,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS o_totalprice
+FROM orders GROUP BY 1, 2""",
+    "not_in_keep_null": f"WITH {CALC}\nSELECT * FROM calc WHERE n IS NULL OR n <> 1",
+    "numeric_null_to_zero": f"WITH {CALC}\nSELECT user_id, event_type, date, coalesce(n, 0) AS n FROM calc",
+    "warmup_trim": f"WITH {DBT}\nSELECT * FROM dbt QUALIFY date >= min(date) OVER (PARTITION BY user_id, event_type) + 6",
+    "latest_day_only": f"WITH {DBT}\nSELECT * FROM dbt WHERE date = (SELECT max(CAST(ts AS DATE)) FROM events)",
+}
+
+BAL = """bd AS (
+  SELECT user_id, CAST(ts AS DATE) AS date,
+         CAST(sum(CASE WHEN event_type IN ('signup', 'purchase') THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END) AS BIGINT) AS delta
+  FROM events GROUP BY 1, 2),
+bb AS (SELECT min(date) AS lo, max(date) AS hi FROM bd),
+bcal AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM bb),
+bdense AS (
+  SELECT u.user_id, c.date, coalesce(bd.delta, 0) AS delta
+  FROM (SELECT DISTINCT user_id FROM bd) u CROSS JOIN bcal c LEFT JOIN bd ON bd.user_id = u.user_id AND bd.date = c.date),
+bal AS (
+  SELECT user_id, date, delta, CAST(sum(delta) OVER w AS BIGINT) AS cum FROM bdense
+  WINDOW w AS (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+W_USER = "WINDOW w AS (PARTITION BY user_id ORDER BY date)"
+
+PURCH = EV_CAL + """,
+pd AS (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS purchases FROM events WHERE event_type = 'purchase' GROUP BY 1, 2),
+pdense AS (
+  SELECT u.user_id, c.date, pd.purchases
+  FROM (SELECT DISTINCT user_id FROM pd) u CROSS JOIN ev_cal c LEFT JOIN pd ON pd.user_id = u.user_id AND pd.date = c.date)"""
+
+FAMILIES = {
+    "count_vaccinated": [0, 1e3, 1e4, 1e5, 1e6, 1e7],
+    "rate_vaccinated": [0, 5, 10, 20, 50, 70],
+    "rate_doses": [0, 5, 10, 20, 50, 70],
+    "count_daily": [0, 10, 1e2, 1e3, 1e4, 1e5],
+    "rate_daily": [0, 1, 10, 50, 100, 1e3],
+}
+
+
+def _bin_case(v: str, br) -> str:
+    parts = [f"WHEN {v} IS NULL OR {v} <= {br[0]!r} THEN NULL"]
+    parts += [f"WHEN {v} <= {b!r} THEN {i}" for i, b in enumerate(br[1:], start=1)]
+    return f"CAST(CASE {' '.join(parts)} ELSE 6 END AS INTEGER)"
+
+
+def _cov(v: str, labels: bool) -> str:
+    bins = [(3, "<3"), (10, "3 - <10"), (20, "10 - <20"), (30, "20 - <30"), (40, "30 - <40"), (60, "40 - <60"), (70, "60 - <70")]
+    if labels:
+        body = " ".join(f"WHEN {v} < {ub} THEN '{lab}'" for ub, lab in bins)
+        return f"CASE WHEN {v} IS NULL THEN 'No data' {body} ELSE '70+' END"
+    body = " ".join(f"WHEN {v} < {ub} THEN {i}" for i, (ub, _) in enumerate(bins, start=1))
+    return f"CAST(CASE WHEN {v} IS NULL THEN 0 {body} ELSE 8 END AS INTEGER)"
+
+
+ORACLES_OPS.update({
+    "increments": f"WITH {BAL}\nSELECT user_id, date, delta, cum, cum - lag(cum) OVER w AS new FROM bal {W_USER}",
+    "increments_clamped": f"WITH {BAL}\nSELECT user_id, date, delta, cum, {_clamp('cum - lag(cum) OVER w')} AS new FROM bal {W_USER}",
+    "restore_first": f"""WITH {BAL},
+i AS (SELECT user_id, date, delta, cum, {_clamp('cum - lag(cum) OVER w')} AS new FROM bal {W_USER})
+SELECT user_id, date, delta, cum, CASE WHEN date = min(date) OVER (PARTITION BY user_id) THEN cum ELSE new END AS new FROM i""",
+    "inc_from_cum": f"""WITH {BAL}
+SELECT user_id, date, delta, cum,
+  CASE WHEN row_number() OVER w = 1 THEN cum ELSE cum - lag(cum, 1) OVER w END AS cum_inc1,
+  CASE WHEN row_number() OVER w = 1 THEN cum ELSE cum - lag(cum, 7) OVER w END AS cum_inc7
+FROM bal {W_USER}""",
+    "rollout_diff": f"""WITH {CALC}
+SELECT user_id, event_type, date, n,
+  CASE WHEN lag(n) OVER w IS NULL THEN n ELSE n - lag(n) OVER w END AS daily
+FROM calc WINDOW w AS (PARTITION BY user_id, event_type ORDER BY date)""",
+    "period_counts": f"WITH {panel_ctes()},\n{snapshot_ctes(all_dates=True)}\nSELECT * FROM snap",
+    "rolling_mean_7": f"""WITH {panel_ctes()},
+r AS (
+  SELECT p.Date, c.c_name AS country, p.country_code, p.data_source,
+         CAST(p.country_code AS VARCHAR) || '_' || CAST(p.Date AS VARCHAR) AS ou_date_match,
+         1000000.0 * p.deaths_new / p.pop AS mort, 100000.0 * p.cases_new / p.pop AS inc
+  FROM panel p LEFT JOIN customer c ON c.c_custkey = p.country_code WHERE p.pop > 0),
+m AS (
+  SELECT *, CASE WHEN count(inc) OVER w7 = 7 THEN avg(inc) OVER w7 END AS inc_ma7,
+         CASE WHEN count(mort) OVER w7 = 7 THEN avg(mort) OVER w7 END AS mort_ma7,
+         min(Date) OVER (PARTITION BY country, data_source) AS first_date
+  FROM r WINDOW w7 AS (PARTITION BY country, data_source ORDER BY Date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)),
+t AS (SELECT Date AS date, country, country_code, ou_date_match, data_source, round(inc_ma7, 6) AS inc_ma7,
+             round(mort_ma7, 6) AS mort_ma7 FROM m WHERE Date >= first_date + 6)
+SELECT date, country, country_code, ou_date_match, data_source, 'inc_ma7' AS cases_death_type, inc_ma7 AS cases_death_value FROM t
+UNION ALL
+SELECT date, country, country_code, ou_date_match, data_source, 'mort_ma7', mort_ma7 FROM t""",
+    "latest_with_ties": """WITH e AS (SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS date, value FROM events WHERE value IS NOT NULL)
+SELECT e.* FROM e JOIN (SELECT user_id, event_type, max(date) AS md FROM e GROUP BY 1, 2) m
+  ON m.user_id = e.user_id AND m.event_type = e.event_type AND e.date = m.md""",
+    "latest_one": """SELECT event_id, user_id, event_type, ts, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    "first_last_flags": f"""WITH {DBT}
+SELECT *, row_number() OVER w = 1 AS is_latest,
+       row_number() OVER w = count(*) OVER (PARTITION BY user_id, event_type) AS is_first
+FROM dbt WINDOW w AS (PARTITION BY user_id, event_type ORDER BY date DESC)""",
+    "fill_down": f"""WITH {PURCH}
+SELECT user_id, date, purchases,
+  last_value(purchases IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled
+FROM pdense""",
+    "fill_downup": f"""WITH {PURCH}
+SELECT user_id, date, purchases,
+  coalesce(last_value(purchases IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+           first_value(purchases IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS filled
+FROM pdense""",
+    "locf_maxgap": f"""WITH {PURCH},
+rn AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date) AS k,
+              count(*) OVER (PARTITION BY user_id) AS nrows FROM pdense),
+nb AS (SELECT *,
+  max(CASE WHEN purchases IS NOT NULL THEN k END) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_k,
+  min(CASE WHEN purchases IS NOT NULL THEN k END) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_k
+  FROM rn)
+SELECT n1.user_id, n1.date, n1.purchases,
+  CASE WHEN n1.purchases IS NOT NULL THEN n1.purchases
+       WHEN n1.prev_k IS NOT NULL AND coalesce(n1.next_k, n1.nrows + 1) - n1.prev_k - 1 <= 2 THEN n2.purchases END AS carry_fwd_value
+FROM nb n1 LEFT JOIN rn n2 ON n2.user_id = n1.user_id AND n2.k = n1.prev_k""",
+    "fixed_break_bins": " UNION ALL ".join(
+        f"SELECT o_orderkey, o_totalprice AS value, '{fam}' AS family, {_bin_case('o_totalprice', br)} AS data_cat_num, "
+        f"CASE WHEN {_bin_case('o_totalprice', br)} IS NOT NULL THEN 'cat ' || CAST({_bin_case('o_totalprice', br)} AS VARCHAR) END AS data_cat FROM orders"
+        for fam, br in FAMILIES.items()
+    ),
+    "coverage_bins": f"""WITH p AS (SELECT p_partkey, CAST(p_size * 2 AS DOUBLE) AS pct FROM part)
+SELECT p_partkey, pct, {_cov('pct', True)} AS pct_bin, {_cov('pct', False)} AS pct_binorder FROM p""",
+    "dimension_codes": f"""WITH {FRAME.split(',' + chr(10) + 'frame AS')[0]},
+d AS (
+  SELECT DISTINCT iso3code AS id, iso2code, 'Non-State Region' AS state_region, coalesce(who_region, 'Other') AS who_region,
+    CASE WHEN country = '' THEN 'Other' ELSE country END AS Country, CAST(NULL AS VARCHAR) AS incomelevel_value,
+    pop_2020yr AS population
+  FROM n_dim),
+c AS (
+  SELECT *, CASE WHEN Country = 'Kosovo' THEN 'CS-KM' ELSE id END AS map_iso,
+    CAST(CASE who_region WHEN 'AMRO' THEN 101 WHEN 'EURO' THEN 102 WHEN 'SEARO' THEN 103 WHEN 'EMRO' THEN 104
+      WHEN 'AFRO' THEN 105 WHEN 'WPRO' THEN 106 ELSE 109 END AS INTEGER) AS WHO_R_Order,
+    CAST(CASE state_region WHEN 'East Asia and the Pacific' THEN 1 WHEN 'Europe and Eurasia' THEN 2
+      WHEN 'Near East (Middle East and Northern Africa)' THEN 3 WHEN 'South and Central Asia' THEN 4
+      WHEN 'Sub-Saharan Africa' THEN 5 WHEN 'Western Hemisphere' THEN 6 WHEN 'US' THEN 7 WHEN 'Non-State Region' THEN 9
+      ELSE 8 END AS INTEGER) AS STATE_R_Order,
+    CAST(CASE incomelevel_value WHEN 'High income' THEN 201 WHEN 'Upper middle income' THEN 202
+      WHEN 'Lower middle income' THEN 203 WHEN 'Low income' THEN 204 WHEN 'Not classified' THEN 209 ELSE 205 END AS INTEGER) AS Income_L_Order
+  FROM d)
+SELECT * FROM c
+UNION ALL
+SELECT 'OTH', 'OT', 'Other', 'Other', 'Other', 'Other', NULL, NULL, 109, 8, 205""",
+})
+
+
 ORACLES: dict[str, str] = {
     "cumulative_panel": panel_sql(),
     "tracker_snapshot": tracker_snapshot_sql(),
@@ -338,3 +690,4 @@ ORACLES: dict[str, str] = {
     "trajectory_classes": tracker_change_sql("nation"),
     "change_series_trajectory": change_series_trajectory_sql(),
 }
+ORACLES.update(ORACLES_OPS)

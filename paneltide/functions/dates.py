@@ -20,7 +20,7 @@ def parse_date(c, *formats: str) -> Column:
     """
     c = col_of(c).cast("string")
     fmts = formats or (ISO,)
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in fmts])
+    return F.coalesce(*[F.try_to_date(c, f) for f in fmts])
 
 
 def day_of(ts) -> Column:

@@ -142,7 +142,8 @@ def locf_maxgap(df: DataFrame, keys, date_col: str, col: str, out: str, maxgap:
 def warmup_trim(df: DataFrame, keys, date_col: str, days: int) -> DataFrame:
     """Keep ``date >= min(date) + days`` per group."""
     w = Window.partitionBy(*keys)
-    return df.filter(F.col(date_col) >= F.date_add(F.min(date_col).over(w), days))
+    staged = df.withColumn("__first", F.min(date_col).over(w))
+    return staged.filter(F.col(date_col) >= F.date_add(F.col("__first"), days)).drop("__first")
 
 
 # ------------------------------------------------------------------ latest / flags

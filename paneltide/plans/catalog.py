@@ -11,7 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import classify as CL
+from ..functions import nulls as N
+from ..operators import aggregate as AG
+from ..operators import joins as J
+from ..operators import reshape as R
+from ..operators import series as S
+from ..operators import setops as U
 from ..sources import tables as T
+from . import totals as TT
 from . import tracker as TR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,5 +103,409 @@ def change_series_trajectory(spark: SparkSession, sf: str) -> DataFrame:
     return TR.change_series_trajectory(panel, _names(spark, sf))
 
 
-def _unused(*_):  # keep F imported for catalog extensions
-    return F
+
+
+# ------------------------------------------------------------------ country totals (A2-A5)
+
+
+def _frame(spark, sf):
+    return TT.entity_date_frame(T.nation_dim(spark, sf), T.event_bounds(spark, sf))
+
+
+@register
+def entity_date_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """Nation dimension x event calendar, with the match key."""
+    return _frame(spark, sf)
+
+
+@register
+def country_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 (R1, S4, J2, W1, W2, G1, J8, W3, P15, J5, J3, P19) on source A's wide files."""
+    cases, deaths = T.wide_cumulative(spark, sf, "A")
+    return TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf), T.nation_aliases(spark, sf))
+
+
+def _long_daily_panel(spark, sf):
+    # The last event day is treated as the incomplete "today" and dropped.
+    today = T.event_bounds(spark, sf).select("__hi")
+    return TT.panel_from_long_daily(T.long_daily(spark, sf, "B"), _frame(spark, sf), "Date_reported", drop_date=today)
+
+
+@register
+def country_totals_long(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 (S5, G3, G2, P15, J5, J3, P19, P17) on source B's long daily file."""
+    return _long_daily_panel(spark, sf)
+
+
+@register
+def stack_sources_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """A5 (U1, P6, P7) after the O7 clip: source A limited to source B's last date."""
+    cases, deaths = T.wide_cumulative(spark, sf, "A")
+    a = TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf), T.nation_aliases(spark, sf))
+    b = _long_daily_panel(spark, sf)
+    b_max = b.agg(F.max("date").alias("__bmax"))
+    a = a.crossJoin(F.broadcast(b_max)).filter(F.col("date") <= F.col("__bmax")).drop("__bmax")
+    return TT.stack_two_sources(a, b)
+
+
+# ------------------------------------------------------------------ reshape / densify
+
+
+def _daily_by_type(spark, sf):
+    """Sparse (user_id, event_type, date, n) counts."""
+    ev = T.read_table(spark, sf, "events")
+    return ev.groupBy("user_id", "event_type", F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register
+def complete_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Full grid of observed user x type x source x date, counts left-joined."""
+    ev = T.read_table(spark, sf, "events")
+    data = ev.groupBy("user_id", "event_type", T.source_tag().alias("source"), F.to_date("ts").alias("date")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return R.complete_grid(data, ["user_id", "event_type", "source", "date"])
+
+
+@register
+def complete_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """Every (user, type) series over the global event calendar."""
+    return R.complete_calendar(_daily_by_type(spark, sf), ["user_id", "event_type"], "date", ["n"])
+
+
+@register
+def complete_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Every (user, type) series over its own first..last day."""
+    return R.complete_per_group(_daily_by_type(spark, sf), ["user_id", "event_type"], "date", ["n"])
+
+
+@register
+def complete_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user x every observed (source, type) tuple."""
+    ev = T.read_table(spark, sf, "events")
+    data = ev.groupBy("user_id", T.source_tag().alias("source"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return R.complete_nested(data, "user_id", ["source", "event_type"])
+
+
+TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def _wide_types(spark, sf):
+    return R.long_to_wide(_daily_by_type(spark, sf), ["user_id", "date"], "event_type", "n", TYPES)
+
+
+@register
+def long_to_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily counts spread to one column per event type (duplicate keys raise)."""
+    return _wide_types(spark, sf)
+
+
+@register
+def wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Positional unpivot of the wide table back to long, nulls kept."""
+    return R.wide_to_long(_wide_types(spark, sf), 2, None, "event_type", "n")
+
+
+@register
+def unpivot_drop_null(spark: SparkSession, sf: str) -> DataFrame:
+    """Unpivot over a named column range, nulls dropped."""
+    w = _wide_types(spark, sf)
+    rng = w.columns[w.columns.index("click"): w.columns.index("view") + 1]
+    return R.wide_to_long(w, ["user_id", "date"], rng, "event_type", "n", drop_nulls=True)
+
+
+@register
+def explode_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Delimited cell to trimmed rows (part names split on blanks)."""
+    part = T.read_table(spark, sf, "part").select("p_partkey", "p_name")
+    return R.explode_list(part, "p_name", "word", sep=" ")
+
+
+# ------------------------------------------------------------------ joins / set ops
+
+
+def _daily_source(spark, sf, src):
+    d = T.daily_counts(spark, sf)
+    return d.filter(F.col("source") == src).select("entity", "date", F.col("cases_new").alias(f"cases_{src.lower()}"))
+
+
+@register
+def full_outer_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 + G1: null-safe full outer join of the two sources' daily counts."""
+    j = J.join_null_safe(_daily_source(spark, sf, "A"), _daily_source(spark, sf, "B"), ["entity", "date"], "full")
+    return j.withColumns(
+        {
+            "total_strict": F.col("cases_a") + F.col("cases_b"),
+            "total_zero": F.coalesce(F.col("cases_a"), F.lit(0)) + F.coalesce(F.col("cases_b"), F.lit(0)),
+        }
+    )
+
+
+def _nation_daily(spark, sf, src):
+    d = T.daily_counts(spark, sf, "nation").filter(F.col("source") == src)
+    return d.select(F.col("entity").cast("string").alias("iso3code"), "date", "cases_new", "deaths_new")
+
+
+@register
+def frame_left_join(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 + P19: natural (all shared columns) left join of source A onto the frame."""
+    frame = _frame(spark, sf).select("country", "date", "iso3code", "who_region", "pop_2020yr", "ou_date_match")
+    return AG.numeric_null_to_zero(J.natural_left_join(frame, _nation_daily(spark, sf, "A")))
+
+
+@register
+def semi_clip(spark: SparkSession, sf: str) -> DataFrame:
+    """P15 + J5: frame rows inside source B's observed dates and nations."""
+    b = _nation_daily(spark, sf, "B")
+    clipped = J.clip_to_range(_frame(spark, sf), "date", b, "date")
+    return J.semi_join(clipped, b, ["iso3code"])
+
+
+@register
+def pair_semi(spark: SparkSession, sf: str) -> DataFrame:
+    """R6 + J6: full grid, then keep only observed (source, indicator) pairs."""
+    ev = T.read_table(spark, sf, "events")
+    data = ev.groupBy("user_id", F.col("event_type").alias("indicator"), T.source_tag().alias("source"), F.to_date("ts").alias("date")).agg(
+        F.count(F.lit(1)).alias("value")
+    )
+    grid = R.complete_grid(data, ["user_id", "indicator", "source", "date"])
+    return J.semi_join(grid, data, ["source", "indicator"])
+
+
+# Fixed display labels per event type (named-vector lookup, J7).
+TYPE_LABELS = {"view": "Page views", "click": "Clicks", "signup": "Sign-ups", "purchase": "Purchases", "error": "Errors"}
+
+
+@register
+def dim_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """J4 + J7: pruned dimension left join and a literal-map lookup."""
+    d = _daily_by_type(spark, sf)
+    cust = T.read_table(spark, sf, "customer")
+    out = J.lookup_join(d, "user_id", cust, "c_custkey", ["c_name", "c_mktsegment"])
+    return out.withColumn("label", CL.lookup("event_type", TYPE_LABELS))
+
+
+# Fixed alias spellings for the name-standardisation join.
+TYPE_ALIASES = [("View", "VIEW"), (" click", "CLICK"), ("Error*", "ERROR"), ("SIGNUP ", "SIGNUP"), ("purchase", "PURCHASE")]
+
+
+@register
+def alias_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Free-text names normalised (case, blanks, '*') and joined to canonical codes."""
+    aliases = spark.createDataFrame(TYPE_ALIASES, "alias string, code string")
+    d = _daily_by_type(spark, sf)
+    return J.alias_join(d, "event_type", aliases, "alias", "code", "type_code")
+
+
+@register
+def stack_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """U1 + P6: per-source tables tagged and unioned by name, with a match key."""
+    d = T.daily_counts(spark, sf)
+    parts = {s: d.filter(F.col("source") == s).drop("source") for s in T.SOURCES}
+    out = U.stack_sources(parts, "data_source")
+    return out.withColumn("ou_date_src_match", N.paste_na("entity", "date", "data_source", sep="_"))
+
+
+@register
+def ragged_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers and suppliers stacked by name, missing columns null."""
+    cust = T.read_table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"), "c_mktsegment"
+    )
+    supp = T.read_table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"), "s_acctbal"
+    )
+    return U.ragged_union(cust, supp)
+
+
+# ------------------------------------------------------------------ aggregations / filters
+
+
+def _calendar_counts(spark, sf):
+    return R.complete_calendar(_daily_by_type(spark, sf), ["user_id", "event_type"], "date", ["n"])
+
+
+@register
+def strict_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """G1: per user-day sum over types, null when any type is missing that day."""
+    return AG.group_sum(_calendar_counts(spark, sf), ["user_id", "date"], ["n"], strict=True)
+
+
+@register
+def zero_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """Per user-day sum over types, nulls ignored, all-null -> 0."""
+    return AG.group_sum(_calendar_counts(spark, sf), ["user_id", "date"], ["n"], strict=False)
+
+
+@register
+def group_by_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Group by every text column, sum every numeric column."""
+    o = T.read_table(spark, sf, "orders").select(
+        "o_orderstatus", "o_orderpriority", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice")
+    )
+    return AG.group_by_types(o)
+
+
+@register
+def not_in_keep_null(spark: SparkSession, sf: str) -> DataFrame:
+    """``!(n %in% c(1))`` keeps rows whose n is null."""
+    return _calendar_counts(spark, sf).filter(N.not_in_keep_null("n", [1]))
+
+
+@register
+def numeric_null_to_zero(spark: SparkSession, sf: str) -> DataFrame:
+    """Every numeric null to 0."""
+    return AG.numeric_null_to_zero(_calendar_counts(spark, sf))
+
+
+@register
+def warmup_trim(spark: SparkSession, sf: str) -> DataFrame:
+    """Keep days at least 6 after each series' first day."""
+    return S.warmup_trim(_daily_by_type(spark, sf), ["user_id", "event_type"], "date", 6)
+
+
+@register
+def latest_day_only(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows on the global max date (max taken from the raw scan)."""
+    ev = T.read_table(spark, sf, "events").select(F.to_date("ts").alias("date"))
+    return J.at_global_max(_daily_by_type(spark, sf), "date", ev, "date")
+
+
+# ------------------------------------------------------------------ series windows
+
+
+def _balance(spark, sf):
+    """Dense per-user running balance (signups/purchases +1, errors -1): it can fall."""
+    ev = T.read_table(spark, sf, "events")
+    delta = F.when(F.col("event_type").isin("signup", "purchase"), 1).when(F.col("event_type") == "error", -1).otherwise(0)
+    daily = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.sum(delta).cast("long").alias("delta"))
+    dense = R.complete_calendar(daily, ["user_id"], "date", ["delta"]).fillna(0, subset=["delta"])
+    return S.running_sum(dense, ["user_id"], "date", {"delta": "cum"})
+
+
+@register
+def increments(spark: SparkSession, sf: str) -> DataFrame:
+    """First difference of a cumulative series, first row null."""
+    return S.increments(_balance(spark, sf), ["user_id"], "date", {"cum": "new"})
+
+
+@register
+def increments_clamped(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 + W2: negatives clamped to 0, nulls kept."""
+    return S.increments(_balance(spark, sf), ["user_id"], "date", {"cum": "new"}, clamp=True)
+
+
+@register
+def restore_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Clamped increments with each series' first day restored to the cumulative."""
+    inc = S.increments(_balance(spark, sf), ["user_id"], "date", {"cum": "new"}, clamp=True)
+    return S.restore_first(inc, ["user_id"], "date", {"new": "cum"})
+
+
+@register
+def inc_from_cum(spark: SparkSession, sf: str) -> DataFrame:
+    """Increments keeping the first value, lag 1 and lag 7, no clamp."""
+    b = _balance(spark, sf)
+    b = S.inc_from_cum(b, ["user_id"], "date", ["cum"], 1, "_inc1")
+    return S.inc_from_cum(b, ["user_id"], "date", ["cum"], 7, "_inc7")
+
+
+@register
+def rollout_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Value minus previous, or the value itself when the previous is null."""
+    return S.rollout_diff(_calendar_counts(spark, sf), ["user_id", "event_type"], "date", "n", "daily")
+
+
+@register
+def period_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and rates for every period on every date (not only the last)."""
+    panel = T.cumulative_panel(spark, sf)
+    return TR.snapshot_values(panel, at_max=False)
+
+
+@register
+def rolling_mean_7(spark: SparkSession, sf: str) -> DataFrame:
+    """A8 rates overlay: W9 7-row mean of D2 incidence / mortality, P18 trim, R2 unpivot."""
+    from . import overlays as OV
+
+    panel = T.cumulative_panel(spark, sf)
+    names = _names(spark, sf)
+    return OV.overlay_rates(J.lookup_join(panel, "country_code", names, "country_code", ["country"]))
+
+
+@register
+def latest_with_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event on the latest day of each (user, type), ties kept."""
+    ev = T.read_table(spark, sf, "events").select("event_id", "user_id", "event_type", F.to_date("ts").alias("date"), "value")
+    return S.latest_with_ties(ev, ["user_id", "event_type"], "date", non_null="value")
+
+
+@register
+def latest_one(spark: SparkSession, sf: str) -> DataFrame:
+    """The single latest event of each (user, type), event id as tiebreaker."""
+    ev = T.read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    return S.latest_one(ev, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()])
+
+
+@register
+def first_last_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest / first flags of each (user, type) daily series."""
+    return S.first_last_flags(_daily_by_type(spark, sf), ["user_id", "event_type"], "date")
+
+
+def _sparse_purchases(spark, sf):
+    ev = T.read_table(spark, sf, "events").filter(F.col("event_type") == "purchase")
+    daily = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("purchases"))
+    return R.complete_calendar(daily, ["user_id"], "date", ["purchases"], bounds=T.event_bounds(spark, sf))
+
+
+@register
+def fill_down(spark: SparkSession, sf: str) -> DataFrame:
+    """Last observation carried forward without limit."""
+    d = _sparse_purchases(spark, sf).withColumn("filled", F.col("purchases"))
+    return S.fill_down(d, ["user_id"], "date", ["filled"])
+
+
+@register
+def fill_downup(spark: SparkSession, sf: str) -> DataFrame:
+    """Fill down, then up, within each user."""
+    d = _sparse_purchases(spark, sf).withColumn("filled", F.col("purchases"))
+    return S.fill_downup(d, ["user_id"], ["date"], ["filled"])
+
+
+@register
+def locf_maxgap(spark: SparkSession, sf: str) -> DataFrame:
+    """Carry forward only across null runs of at most 2 rows."""
+    return S.locf_maxgap(_sparse_purchases(spark, sf), ["user_id"], "date", "purchases", "carry_fwd_value", 2)
+
+
+# ------------------------------------------------------------------ classification
+
+
+@register
+def fixed_break_bins(spark: SparkSession, sf: str) -> DataFrame:
+    """Right-closed fixed-break bins of every family applied to order prices."""
+    o = T.read_table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("value"))
+    cells = [
+        F.struct(F.lit(fam).alias("family"), CL.cut_right_closed(F.col("value"), br).alias("data_cat_num"))
+        for fam, (_, br, _) in CL.BREAK_FAMILIES.items()
+    ]
+    out = o.select("o_orderkey", "value", F.inline(F.array(*cells)))
+    return out.withColumn("data_cat", F.when(F.col("data_cat_num").isNotNull(), F.concat(F.lit("cat "), F.col("data_cat_num").cast("string"))))
+
+
+@register
+def coverage_bins(spark: SparkSession, sf: str) -> DataFrame:
+    """Coverage label and order code (part size x 2 as a percentage)."""
+    p = T.read_table(spark, sf, "part").select("p_partkey", (F.col("p_size") * 2).cast("double").alias("pct"))
+    label, order = CL.coverage_bin("pct")
+    return p.select("p_partkey", "pct", label.alias("pct_bin"), order.alias("pct_binorder"))
+
+
+@register
+def dimension_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """A15 second dimension: defaults for missing regions, display order codes (D17),
+    plus the literal "Other" row (S9, U2)."""
+    from . import dashboard as DB
+
+    return DB.entity_dimension(T.nation_dim(spark, sf))

@@ -82,23 +82,26 @@ def snapshot_values(
     indicators: dict = INDICATORS,
     as_of: DataFrame | None = None,
     dense: bool = True,
+    at_max: bool = True,
 ) -> DataFrame:
     """Counts and rates for every period at the global max date, one row per
     (entity, source, Indicator, Metric, period) (W6, W2, D1, R4, P16).
 
+    ``at_max=False`` keeps every date (the whole series, no tail pre-filter).
+
     ``countsx = cum - lag(cum, p)`` (``p = 999`` -> ``cum``), negatives -> 0;
     ``ratesx = round(countsx / pop * 1e5, 1)`` when ``pop > 0``.
     """
     mx = _max_date(panel, as_of)
     lags = [p for p in periods if p != CUMULATIVE_PERIOD]
-    src = _tail_rows(panel, mx, max(lags) if lags else 0, dense)
+    src = _tail_rows(panel, mx, max(lags) if lags else 0, dense and at_max)
     w = Window.partitionBy(KEY, SOURCE).orderBy(F.col(DATE).asc_nulls_last())
     lagged = src.select(
         KEY, SOURCE, DATE, POP,
         *[F.col(c).alias(f"__cum_{i}") for i, c in enumerate(indicators.values())],
         *[F.lag(c, p).over(w).alias(f"__lag_{i}_{p}") for i, c in enumerate(indicators.values()) for p in lags],
     )
-    at_max = lagged.join(F.broadcast(mx), F.col(DATE) == F.col("__max"), "left_semi")
+    rows = lagged.join(F.broadcast(mx), F.col(DATE) == F.col("__max"), "left_semi") if at_max else lagged
     cells = []
     for i, ind in enumerate(indicators):
         for p in periods:
@@ -115,7 +118,7 @@ def snapshot_values(
                         v.alias("valuex"),
                     )
                 )
-    return at_max.select(KEY, SOURCE, DATE, POP, F.inline(F.array(*cells))).select(
+    return rows.select(KEY, SOURCE, DATE, POP, F.inline(F.array(*cells))).select(
         "Indicator", "Metric", "periodval", SOURCE, KEY, DATE, POP, "valuex"
     )
 

@@ -114,3 +114,110 @@ def cumulative_panel(spark: SparkSession, sf_dir: str, entity: str = "user") ->
         "deaths_cum",
         "pop",
     )
+
+
+# ------------------------------------------------------------------ country-level feeds
+
+
+def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity dimension in the reference's shape (country, iso3code, iso2code, who_region,
+    pop_2020yr, Continent_Name), one row per nation."""
+    nation = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
+    cust = read_table(spark, sf_dir, "customer")
+    pop = cust.groupBy("c_nationkey").agg(F.round(F.sum("c_acctbal"), 2).alias("pop_2020yr"))
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+    return geo.join(pop, geo.n_nationkey == pop.c_nationkey, "left").select(
+        F.col("n_name").alias("country"),
+        F.col("n_nationkey").cast("string").alias("iso3code"),
+        F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("iso2code"),
+        F.col("r_name").alias("who_region"),
+        "pop_2020yr",
+        F.col("r_name").alias("Continent_Name"),
+    )
+
+
+def event_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1-row calendar bounds (``__lo``, ``__hi``) of the event days."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.agg(F.min(F.to_date("ts")).alias("__lo"), F.max(F.to_date("ts")).alias("__hi"))
+
+
+def nation_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alias table for name standardisation: nation name -> code."""
+    nation = read_table(spark, sf_dir, "nation")
+    return nation.select(F.col("n_name").alias("alias"), F.col("n_nationkey").cast("string").alias("iso3code"))
+
+
+def _user_cumulative(spark: SparkSession, sf_dir: str, source: str | None) -> DataFrame:
+    """Dense per-user cumulative cases/deaths over the event calendar (one source or all)."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    if source is not None:
+        ev = ev.filter(source_tag() == F.lit(source))
+    daily = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(
+        F.count(F.when(F.col("event_type").isin(CASE_TYPES), 1)).alias("cases_new"),
+        F.count(F.when(F.col("event_type").isin(DEATH_TYPES), 1)).alias("deaths_new"),
+    )
+    dense = complete_calendar(daily, ["user_id"], "date", ["cases_new", "deaths_new"], bounds=event_bounds(spark, sf_dir))
+    dense = dense.fillna(0, subset=["cases_new", "deaths_new"])
+    return running_sum(dense, ["user_id"], "date", {"cases_new": "cases_cum", "deaths_new": "deaths_cum"})
+
+
+def wide_cumulative(spark: SparkSession, sf_dir: str, source: str | None = "A") -> tuple[DataFrame, DataFrame]:
+    """Two wide files (cases, deaths): 4 id columns, then one column per day ``M/d/yy``.
+
+    Series = user (``Province/State``) within its nation (``Country/Region``); ``Lat`` /
+    ``Long`` are the region / nation keys.  The date headers come from the 1-row calendar
+    bounds (one small driver read, bounded by the number of days), as a pivot needs them.
+    """
+    from ..operators.reshape import long_to_wide
+
+    cum = _user_cumulative(spark, sf_dir, source)
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    geo = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        F.col("c_custkey").alias("user_id"),
+        F.col("n_name").alias("Country/Region"),
+        F.col("n_regionkey").cast("double").alias("Lat"),
+        F.col("n_nationkey").cast("double").alias("Long"),
+    )
+    b = event_bounds(spark, sf_dir).first()
+    import datetime as _dt
+
+    days = [b["__lo"] + _dt.timedelta(days=i) for i in range((b["__hi"] - b["__lo"]).days + 1)]
+    labels = [f"{d.month}/{d.day}/{d.strftime('%y')}" for d in days]
+    cum = cum.join(geo, "user_id", "left").withColumn("Province/State", F.col("user_id").cast("string"))
+    cum = cum.withColumn("hdr", F.date_format("date", "M/d/yy"))
+    ids = ["Province/State", "Country/Region", "Lat", "Long"]
+    cases = long_to_wide(cum, ids, "hdr", "cases_cum", labels)
+    deaths = long_to_wide(cum, ids, "hdr", "deaths_cum", labels)
+    return cases, deaths
+
+
+def long_daily(spark: SparkSession, sf_dir: str, source: str | None = "B") -> DataFrame:
+    """Long daily file: ``Date_reported`` text first, then names, then daily and cumulative
+    counts per nation on the days it reported (sparse)."""
+    from pyspark.sql import Window
+
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    if source is not None:
+        ev = ev.filter(source_tag() == F.lit(source))
+    dim = nation_dim(spark, sf_dir)
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("iso3code"))
+    ev = ev.join(cust, ev.user_id == cust.c_custkey)
+    daily = ev.groupBy("iso3code", F.to_date("ts").alias("date")).agg(
+        F.count(F.when(F.col("event_type").isin(CASE_TYPES), 1)).alias("New_cases"),
+        F.count(F.when(F.col("event_type").isin(DEATH_TYPES), 1)).alias("New_deaths"),
+    )
+    w = Window.partitionBy("iso3code").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    daily = daily.withColumn("Cumulative_cases", F.sum("New_cases").over(w)).withColumn(
+        "Cumulative_deaths", F.sum("New_deaths").over(w)
+    )
+    out = daily.join(dim.select("iso3code", "iso2code", "country", "who_region"), "iso3code", "left")
+    return out.select(
+        F.date_format("date", "yyyy-MM-dd").alias("Date_reported"),
+        F.col("iso2code").alias("Country_code"),
+        F.col("country").alias("Country"),
+        F.col("who_region").alias("WHO_region"),
+        "New_cases", "Cumulative_cases", "New_deaths", "Cumulative_deaths",
+    )
