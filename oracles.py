@@ -691,3 +691,38 @@ ORACLES: dict[str, str] = {
     "change_series_trajectory": change_series_trajectory_sql(),
 }
 ORACLES.update(ORACLES_OPS)
+
+
+SNAP = """snap_l AS (
+  SELECT user_id, CAST(ts AS DATE) AS date, ts AS last_update FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
+snap_d AS (
+  SELECT user_id, CAST(ts AS DATE) AS date,
+    count(*) FILTER (WHERE event_type IN ('view', 'click')) AS a, count(*) FILTER (WHERE event_type = 'signup') AS b,
+    count(*) FILTER (WHERE event_type = 'purchase') AS c, count(*) FILTER (WHERE event_type = 'error') AS d
+  FROM events GROUP BY 1, 2),
+snap_c AS (
+  SELECT user_id, date, CAST(sum(a) OVER w AS BIGINT) AS city_confirmed, CAST(sum(b) OVER w AS BIGINT) AS city_suspected,
+         CAST(sum(c) OVER w AS BIGINT) AS city_recovered, CAST(sum(d) OVER w AS BIGINT) AS city_deaths
+  FROM snap_d WINDOW w AS (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+snap AS (
+  SELECT l.date, l.last_update, r.r_name AS country, n.n_name AS province_en, cu.c_name AS city_en,
+         c.city_confirmed, c.city_suspected, c.city_recovered, c.city_deaths
+  FROM snap_l l JOIN snap_c c ON c.user_id = l.user_id AND c.date = l.date
+  LEFT JOIN customer cu ON cu.c_custkey = l.user_id
+  LEFT JOIN nation n ON n.n_nationkey = cu.c_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey)"""
+
+_M = ["city_confirmed", "city_suspected", "city_recovered", "city_deaths"]
+
+ORACLES["snapshot_cumulative"] = f"WITH {SNAP}\nSELECT * FROM snap"
+ORACLES["snapshot_to_daily"] = f"""WITH {SNAP},
+rng AS (SELECT province_en, city_en, min(date) AS lo, max(date) AS hi FROM snap GROUP BY 1, 2),
+g AS (SELECT province_en, city_en, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM rng),
+j AS (
+  SELECT g.date, s.last_update, s.country, g.province_en, g.city_en,
+    {', '.join(f"last_value(s.{m} IGNORE NULLS) OVER w AS {m}" for m in _M)}
+  FROM g LEFT JOIN snap s ON s.province_en IS NOT DISTINCT FROM g.province_en AND s.city_en IS NOT DISTINCT FROM g.city_en AND s.date = g.date
+  WINDOW w AS (PARTITION BY g.province_en, g.city_en ORDER BY g.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT date, last_update, country, province_en, city_en,
+  {', '.join(f"CASE WHEN row_number() OVER w = 1 THEN {m} ELSE {m} - lag({m}) OVER w END AS {m}" for m in _M)}
+FROM j WINDOW w AS (PARTITION BY province_en, city_en ORDER BY date)"""

@@ -101,7 +101,7 @@ def cumulative_panel(spark: SparkSession, sf_dir: str, entity: str = "user") ->
     # (entity, source) window distribution.
     dim = population(spark, sf_dir, entity)
     daily = daily.join(dim, F.col("entity") == F.col("__k"), "left").drop("__k")
-    dense = complete_calendar(daily, ["entity", "source"], "date", ["cases_new", "deaths_new"])
+    dense = complete_calendar(daily, ["entity", "source"], "date", ["cases_new", "deaths_new"], bounds=event_bounds(spark, sf_dir))
     dense = dense.fillna(0, subset=["cases_new", "deaths_new"])
     cum = running_sum(dense, ["entity", "source"], "date", {"cases_new": "cases_cum", "deaths_new": "deaths_cum"})
     return cum.select(
