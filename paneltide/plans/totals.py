@@ -16,6 +16,7 @@ from ..operators.joins import alias_join, join_null_safe
 from ..operators.reshape import wide_to_long
 from ..operators.series import increments, restore_first
 from ..operators.setops import stack_sources
+from ..session import cut_lineage
 
 FRAME_COLS = ["ou_date_match", "country", "date", "iso3code", "iso2code", "who_region", "pop_2020yr", "Continent_Name"]
 TOTALS_COLS = [
@@ -56,6 +57,7 @@ def panel_from_wide_cumulative(
     code_col: str = "iso3code",
     n_ids: int = 4,
     date_format: str = US_SHORT,
+    materialize: bool = True,
 ) -> DataFrame:
     """A3: wide cumulative files -> cleaned daily panel on the entity x date frame.
 
@@ -66,6 +68,9 @@ def panel_from_wide_cumulative(
     table (J8), unmatched dropped (P13) -> first-day restore (W3) -> strict sum per
     (code, date) -> clip the frame to the observed range and codes (P15, J5) -> left join
     (J3) -> numeric nulls to 0 (P19).
+
+    The per-(code, date) table is read three times (range, codes, join); with
+    ``materialize`` it is checkpointed once so the feed is not re-read and re-aggregated.
     """
     ids = cases_wide.columns[:n_ids]
     prov, ctry, lat, lon = ids
@@ -94,6 +99,8 @@ def panel_from_wide_cumulative(
         strict_sum("cases_cum").alias("cases_cum"),
         strict_sum("deaths_cum").alias("deaths_cum"),
     )
+    if materialize:
+        df = cut_lineage(df)
     clipped = _clip_frame(frame, df, "date", "iso3code", "iso3code")
     base = join_null_safe(clipped, df, ["iso3code", "date"], "left").select(*TOTALS_COLS)
     return numeric_null_to_zero(base)
@@ -105,6 +112,7 @@ def panel_from_long_daily(
     date_text: str,
     drop_date=None,
     exclude_codes: Sequence[str] = (),
+    materialize: bool = True,
 ) -> DataFrame:
     """A4: long daily file -> cleaned daily panel on the entity x date frame.
 
@@ -122,6 +130,8 @@ def panel_from_long_daily(
         F.col("New_cases").alias("cases_new"), F.col("New_deaths").alias("deaths_new"),
         F.col("Cumulative_cases").alias("cases_cum"), F.col("Cumulative_deaths").alias("deaths_cum"),
     )
+    if materialize:
+        wx = cut_lineage(wx)
     clipped = _clip_frame(frame, wx, "date", "iso2code", "iso2code")
     base = join_null_safe(clipped, wx, ["iso2code", "date"], "left").select(*TOTALS_COLS)
     out = numeric_null_to_zero(base)
