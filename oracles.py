@@ -726,3 +726,58 @@ j AS (
 SELECT date, last_update, country, province_en, city_en,
   {', '.join(f"CASE WHEN row_number() OVER w = 1 THEN {m} ELSE {m} - lag({m}) OVER w END AS {m}" for m in _M)}
 FROM j WINDOW w AS (PARTITION BY province_en, city_en ORDER BY date)"""
+
+
+_TYPES = ["click", "error", "purchase", "signup", "view"]
+_LABELS = {"view": "Page views", "click": "Clicks", "signup": "Sign-ups", "purchase": "Purchases", "error": "Errors"}
+_lab = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _LABELS.items())
+_bin = _bin_case("data_value", FAMILIES["count_daily"])
+
+ORACLES["indicator_long"] = f"""WITH d AS (
+  SELECT user_id, CAST(ts AS DATE) AS date, event_type AS raw_field, round(sum(value), 2) AS data_value FROM events GROUP BY 1, 2, 3)
+SELECT user_id, date, raw_field, data_value,
+  row_number() OVER w = 1 AS is_latest,
+  row_number() OVER w = count(*) OVER (PARTITION BY user_id, raw_field) AS is_first,
+  CASE raw_field {_lab} END AS data_field, ' ' AS data_suffix, 'Count' AS count_or_rate,
+  CAST(user_id AS VARCHAR) || '_' || CAST(date AS VARCHAR) AS ou_date_match,
+  {_bin} AS data_cat_num,
+  CASE WHEN {_bin} IS NOT NULL THEN 'cat ' || CAST({_bin} AS VARCHAR) END AS data_cat
+FROM d WHERE data_value IS NOT NULL
+WINDOW w AS (PARTITION BY user_id, raw_field ORDER BY date DESC)"""
+
+ORACLES["rollout"] = """WITH d AS (
+  SELECT CAST(user_id AS VARCHAR) AS location, event_type AS vaccine, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2, 3),
+m AS (SELECT location, vaccine, date,
+  CAST(sum(n) OVER (PARTITION BY location, vaccine ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_vaccinations FROM d)
+SELECT *, CASE WHEN lag(total_vaccinations) OVER w IS NULL THEN total_vaccinations
+               ELSE total_vaccinations - lag(total_vaccinations) OVER w END AS daily_vaccinations
+FROM m WINDOW w AS (PARTITION BY location, vaccine ORDER BY date)"""
+
+HOSP = f"""hl AS (
+  SELECT user_id AS iso_code, event_type AS indicator, {SOURCE_TAG} AS src, CAST(ts AS DATE) AS date, round(sum(value), 2) AS value
+  FROM events GROUP BY 1, 2, 3, 4),
+hosp AS (
+  SELECT iso_code, indicator, date, value, 'source-a' AS url, 'ECDC' AS source FROM hl WHERE src = 'A'
+  UNION ALL
+  SELECT iso_code, indicator, date, value, NULL, 'OWID' FROM hl WHERE src = 'B')"""
+
+ORACLES["hospital_latest"] = f"""WITH {HOSP}
+SELECT * FROM hosp WHERE value IS NOT NULL
+QUALIFY rank() OVER (PARTITION BY iso_code, indicator, source ORDER BY date DESC) = 1"""
+
+ORACLES["hospital_fill"] = f"""WITH {HOSP},
+g AS (SELECT * FROM (SELECT DISTINCT iso_code FROM hosp) CROSS JOIN (SELECT DISTINCT indicator FROM hosp)
+      CROSS JOIN (SELECT DISTINCT source FROM hosp) CROSS JOIN (SELECT DISTINCT date FROM hosp)),
+gv AS (SELECT g.*, h.value FROM g LEFT JOIN hosp h ON h.iso_code = g.iso_code AND h.indicator = g.indicator
+       AND h.source = g.source AND h.date = g.date),
+rn AS (SELECT *, row_number() OVER (PARTITION BY iso_code, indicator, source ORDER BY date) AS k,
+              count(*) OVER (PARTITION BY iso_code, indicator, source) AS nrows FROM gv),
+nb AS (SELECT *,
+  max(CASE WHEN value IS NOT NULL THEN k END) OVER (PARTITION BY iso_code, indicator, source ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_k,
+  min(CASE WHEN value IS NOT NULL THEN k END) OVER (PARTITION BY iso_code, indicator, source ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_k
+  FROM rn)
+SELECT n1.iso_code, n1.indicator, n1.source, n1.date, n1.value,
+  CASE WHEN n1.value IS NOT NULL THEN n1.value
+       WHEN n1.prev_k IS NOT NULL AND coalesce(n1.next_k, n1.nrows + 1) - n1.prev_k - 1 <= 14 THEN n2.value END AS carry_fwd_value
+FROM nb n1 LEFT JOIN rn n2 ON n2.iso_code = n1.iso_code AND n2.indicator = n1.indicator AND n2.source = n1.source AND n2.k = n1.prev_k
+WHERE (n1.source, n1.indicator) IN (SELECT DISTINCT source, indicator FROM hosp)"""

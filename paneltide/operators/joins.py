@@ -15,6 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a 1-row table (a global aggregate such as min/max dates) to
+    every row.  The side is one row by construction, so it is broadcast; this is a scalar
+    lookup, not a cross product."""
+    return df.crossJoin(F.broadcast(one_row))
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on ``keys`` with NA = NA; one output column per key (like ``USING``).
 
@@ -61,7 +68,7 @@ def clip_to_range(df: DataFrame, date_col: str, other: DataFrame, other_date: st
     od = other_date or date_col
     b = other.agg(F.min(od).alias("__lo"), F.max(od).alias("__hi"))
     return (
-        df.crossJoin(F.broadcast(b))
+        attach_row(df, b)
         .filter((F.col(date_col) >= F.col("__lo")) & (F.col(date_col) <= F.col("__hi")))
         .drop("__lo", "__hi")
     )

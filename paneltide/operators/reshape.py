@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import daily_sequence
-from .joins import join_null_safe
+from .joins import attach_row, join_null_safe
 
 
 def _names(cols) -> list[str]:
@@ -155,31 +155,58 @@ def complete_calendar(
     keys = _names(keys)
     vals = list(value_cols) if value_cols is not None else [c for c in df.columns if c not in keys and c != date_col]
     b = bounds if bounds is not None else calendar_bounds(df, date_col, start, end)
-    staged = df.crossJoin(F.broadcast(b.select("__lo", "__hi")))
+    staged = attach_row(df, b.select("__lo", "__hi"))
     out = _fill_days(staged, keys, date_col, vals, F.col("__lo"), F.col("__hi"))
     return out.drop("__lo", "__hi")
 
 
+def _small_axes(df: DataFrame, axes: Sequence[Sequence[str]]) -> DataFrame:
+    """1-row table: for each axis (a tuple of columns) the array of its observed values.
+
+    ``collect_set`` over a struct keeps nulls as values (R ``complete`` treats NA as a
+    value) and is a partial aggregation, so each map task ships only its distinct values.
+    Only small domains (sources, indicators, days, observed tuples) are passed here.
+    """
+    aggs = [F.collect_set(F.struct(*[F.col(c) for c in cols])).alias(f"__ax{i}") for i, cols in enumerate(axes)]
+    return df.agg(*aggs)
+
+
+def _expand(entities: DataFrame, small: DataFrame, axes: Sequence[Sequence[str]]) -> DataFrame:
+    """Every entity row x every combination of the small axes, by generators (no join)."""
+    out = attach_row(entities, small)  # provably one row
+    for i, cols in enumerate(axes):
+        out = out.select("*", F.explode(f"__ax{i}").alias(f"__e{i}")).drop(f"__ax{i}")
+        out = out.select(*[c for c in out.columns if c != f"__e{i}"], *[F.col(f"__e{i}")[c].alias(c) for c in cols])
+    return out
+
+
 def complete_grid(df: DataFrame, axes: Sequence[str]) -> DataFrame:
     """Full cross product of the observed values of every axis, data left-joined.
 
-    ``tidyr::complete(a, b, c, d)``: each axis is a ``distinct`` of one pruned column; the
-    data are matched null-safely (R matches NA to NA).  Spark/AQE choose how to run the
-    cross product from the measured axis sizes; nothing is broadcast on faith.
+    ``tidyr::complete(a, b, c, d)``.  The first axis is the large one (entities) and stays
+    distributed; the other axes are small domains gathered into one broadcast row and
+    expanded per entity with ``explode``.  The data are matched null-safely (R matches NA
+    to NA).
     """
     axes = list(axes)
-    grid = None
-    for a in axes:
-        ax = df.select(a).distinct()
-        grid = ax if grid is None else grid.crossJoin(ax)
+    entities = df.select(axes[0]).distinct()
+    if len(axes) == 1:
+        return join_null_safe(entities, df, axes, "left")
+    small = [[a] for a in axes[1:]]
+    grid = _expand(entities, _small_axes(df, small), small)
     return join_null_safe(grid, df, axes, "left")
 
 
+def nested_grid(df: DataFrame, entity: str, nested: Sequence[str]) -> DataFrame:
+    """Every entity x every observed tuple of ``nested`` (the grid of ``complete_nested``)."""
+    nested = list(nested)
+    return _expand(df.select(entity).distinct(), _small_axes(df, [nested]), [nested])
+
+
 def complete_nested(df: DataFrame, entity: str, nested: Sequence[str]) -> DataFrame:
     """``complete(entity, nesting(cols...))``: every entity x every observed tuple."""
     nested = list(nested)
-    grid = df.select(entity).distinct().crossJoin(df.select(*nested).distinct())
-    return join_null_safe(grid, df, [entity] + nested, "left")
+    return join_null_safe(nested_grid(df, entity, nested), df, [entity] + nested, "left")
 
 
 def frame_from_dimension(dim: DataFrame, start, end, date_col: str = "date") -> DataFrame:

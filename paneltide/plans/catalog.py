@@ -146,7 +146,7 @@ def stack_sources_panel(spark: SparkSession, sf: str) -> DataFrame:
     a = TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf), T.nation_aliases(spark, sf))
     b = _long_daily_panel(spark, sf)
     b_max = b.agg(F.max("date").alias("__bmax"))
-    a = a.crossJoin(F.broadcast(b_max)).filter(F.col("date") <= F.col("__bmax")).drop("__bmax")
+    a = J.attach_row(a, b_max).filter(F.col("date") <= F.col("__bmax")).drop("__bmax")
     return TT.stack_two_sources(a, b)
 
 
@@ -559,3 +559,73 @@ def snapshot_to_daily(spark: SparkSession, sf: str) -> DataFrame:
     from . import subnational as SN
 
     return SN.daily_from_snapshots(_snapshots(spark, sf))
+
+
+# ------------------------------------------------------------------ indicator tables
+
+
+def _amounts_wide(spark, sf):
+    """Wide per (user, day): one amount column per event type (null when none that day)."""
+    ev = T.read_table(spark, sf, "events")
+    d = ev.groupBy("user_id", F.to_date("ts").alias("date"), "event_type").agg(F.round(F.sum("value"), 2).alias("v"))
+    return R.long_to_wide(d, ["user_id", "date"], "event_type", "v", TYPES)
+
+
+# Binding of the event types onto indicator metadata and one break family.
+TYPE_META = {t: (TYPE_LABELS[t], " ", "Count") for t in TYPES}
+TYPE_FAMILIES = {"count_daily": (TYPES, CL.BREAK_FAMILIES["count_daily"][1], CL.BREAK_FAMILIES["count_daily"][2])}
+
+
+@register
+def indicator_long(spark: SparkSession, sf: str) -> DataFrame:
+    """A9 ``all`` (R3, W10, J7, D10, D8): gathered indicators with flags, labels and bins."""
+    from . import indicators as IND
+
+    return IND.indicator_long(_amounts_wide(spark, sf), "user_id", "date", TYPES, TYPE_META, TYPE_FAMILIES)
+
+
+@register
+def rollout(spark: SparkSession, sf: str) -> DataFrame:
+    """A9 ``rollout`` (W5): per (location, product) daily from running totals."""
+    from pyspark.sql import Window
+
+    from . import indicators as IND
+
+    ev = T.read_table(spark, sf, "events")
+    d = ev.groupBy(F.col("user_id").cast("string").alias("location"), F.col("event_type").alias("vaccine"), F.to_date("ts").alias("date")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    w = Window.partitionBy("location", "vaccine").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    man = d.select("location", "vaccine", "date", F.sum("n").over(w).alias("total_vaccinations"))
+    return IND.rollout(man)
+
+
+# ------------------------------------------------------------------ hospital
+
+
+def _hospital(spark, sf):
+    from . import hospital as H
+
+    ev = T.read_table(spark, sf, "events")
+    long = ev.groupBy(
+        F.col("user_id").alias("iso_code"), F.col("event_type").alias("indicator"), T.source_tag().alias("__src"), F.to_date("ts").alias("date")
+    ).agg(F.round(F.sum("value"), 2).alias("value"))
+    first = long.filter(F.col("__src") == "A").drop("__src").withColumn("url", F.lit("source-a"))
+    second = long.filter(F.col("__src") == "B").drop("__src")
+    return H.combine(first, second)
+
+
+@register
+def hospital_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """A10 + A11 (U2, P6, W11): combined sources, latest non-null row(s) per series."""
+    from . import hospital as H
+
+    return H.latest(_hospital(spark, sf))
+
+
+@register
+def hospital_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """A12 (R6, W15 maxgap 14, J6): completed grid, gap-limited carry-forward."""
+    from . import hospital as H
+
+    return H.fill(_hospital(spark, sf), 14)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import US_SHORT, daily_sequence, parse_date
 from ..functions.nulls import clamp_negative, not_in_keep_null, paste_na, strict_sum
 from ..operators.aggregate import group_by_types, numeric_null_to_zero
-from ..operators.joins import alias_join, join_null_safe
+from ..operators.joins import alias_join, attach_row, join_null_safe
 from ..operators.reshape import wide_to_long
 from ..operators.series import increments, restore_first
 from ..operators.setops import stack_sources
@@ -31,7 +31,7 @@ def entity_date_frame(dim: DataFrame, bounds: DataFrame) -> DataFrame:
     The calendar is generated inside each dimension row (``explode(sequence)``) after a
     broadcast of the 1-row bounds, so there is no cross join against a date table.
     """
-    framed = dim.crossJoin(F.broadcast(bounds.select("__lo", "__hi"))).select(
+    framed = attach_row(dim, bounds.select("__lo", "__hi")).select(
         "*", F.explode(daily_sequence(F.col("__lo"), F.col("__hi"))).alias("date")
     )
     return framed.select(
@@ -43,7 +43,7 @@ def entity_date_frame(dim: DataFrame, bounds: DataFrame) -> DataFrame:
 def _clip_frame(frame: DataFrame, df: DataFrame, date_col: str, key_frame: str, key_df: str) -> DataFrame:
     """Frame rows inside ``df``'s observed date range whose key occurs in ``df``."""
     b = df.agg(F.min(date_col).alias("__lo"), F.max(date_col).alias("__hi"))
-    clipped = frame.crossJoin(F.broadcast(b)).filter((F.col("date") <= F.col("__hi")) & (F.col("date") >= F.col("__lo")))
+    clipped = attach_row(frame, b).filter((F.col("date") <= F.col("__hi")) & (F.col("date") >= F.col("__lo")))
     keys = df.select(F.col(key_df).alias(key_frame)).distinct()
     return join_null_safe(clipped.drop("__lo", "__hi"), keys, [key_frame], "left_semi")
 

@@ -40,8 +40,8 @@ from ..functions.measures import (
 )
 from ..functions.nulls import clamp_negative, fill_zero, num_text, num_text_grouped
 from ..operators.aggregate import class_lower_bounds, quantile_cuts
-from ..operators.joins import join_null_safe
-from ..operators.reshape import long_to_wide
+from ..operators.joins import attach_row, join_null_safe
+from ..operators.reshape import complete_nested, long_to_wide
 from ..operators.series import fill_downup
 from ..session import cut_lineage
 
@@ -67,7 +67,7 @@ def _tail_rows(panel: DataFrame, mx: DataFrame, lookback: int, dense: bool) -> D
     if not dense:
         return panel
     return (
-        panel.crossJoin(F.broadcast(mx))
+        attach_row(panel, mx)
         .filter(F.col(DATE) >= F.date_sub(F.col("__max"), lookback))
         .drop("__max")
     )
@@ -182,8 +182,7 @@ def complete_snapshot(cross: DataFrame, materialize: bool = True) -> DataFrame:
     if materialize:
         cross = cut_lineage(cross)
     nested = [SOURCE, "Indicator", "Metric", "periodval", "dftype", DATE]
-    grid = cross.select(KEY).distinct().crossJoin(cross.select(*nested).distinct())
-    full = join_null_safe(grid, cross, [KEY] + nested, "left")
+    full = complete_nested(cross, KEY, nested)
     filled = fill_downup(full, [KEY, "Indicator", "Metric", "periodval", "dftype", DATE], [SOURCE], [POP, "maptitle", "tabtitle"])
     out = filled.withColumn("valuex", F.when(F.col("qvals").isNull(), fill_zero("valuex")).otherwise(F.col("valuex"))).withColumn(
         "qvals", F.coalesce(F.col("qvals"), F.lit("absent"))
@@ -328,8 +327,7 @@ def tracker_change(
     suppression (P21, N11) and trajectory classes (D12-D16)."""
     cross = cut_lineage(period_change(panel, "cross", periods, as_of, True, entity_names))
     nested = [SOURCE, "Indicator", "periodval", "dftype", DATE]
-    grid = cross.select(KEY).distinct().crossJoin(cross.select(*nested).distinct())
-    full = join_null_safe(grid, cross, [KEY] + nested, "left")
+    full = complete_nested(cross, KEY, nested)
     fill_cols = ["country", POP, "prev_date", "curr_date", "prev_datex", "curr_datex", "curr_range", "prev_range"]
     filled = fill_downup(full, [KEY, "Indicator", "periodval", "dftype", DATE], [SOURCE], fill_cols)
     filled = filled.withColumn("curr_val", fill_zero("curr_val")).withColumn("prev_val", fill_zero("prev_val"))
