@@ -781,3 +781,25 @@ SELECT n1.iso_code, n1.indicator, n1.source, n1.date, n1.value,
        WHEN n1.prev_k IS NOT NULL AND coalesce(n1.next_k, n1.nrows + 1) - n1.prev_k - 1 <= 14 THEN n2.value END AS carry_fwd_value
 FROM nb n1 LEFT JOIN rn n2 ON n2.iso_code = n1.iso_code AND n2.indicator = n1.indicator AND n2.source = n1.source AND n2.k = n1.prev_k
 WHERE (n1.source, n1.indicator) IN (SELECT DISTINCT source, indicator FROM hosp)"""
+
+
+ORACLES["overlay_policy"] = """SELECT n.n_name AS country_name, CAST(n.n_nationkey AS VARCHAR) AS country_code,
+  CAST(o.o_orderdate AS DATE) AS date, o.o_totalprice AS stringencyindex,
+  CAST(n.n_nationkey AS VARCHAR) || '_' || CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS ou_date_match
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE o.o_orderstatus = 'F'"""
+
+_fill = ", ".join(
+    f"last_value(w.{t} IGNORE NULLS) OVER (PARTITION BY u.user_id ORDER BY c.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {t}"
+    for t in _TYPES
+)
+ORACLES["vax_wide"] = f"""WITH {EV_CAL},
+{DBT},
+wide AS (SELECT user_id, date, {', '.join(f"max(n) FILTER (WHERE event_type = '{t}') AS {t}" for t in _TYPES)} FROM dbt GROUP BY 1, 2),
+f AS (
+  SELECT u.user_id, c.date, {_fill}
+  FROM (SELECT DISTINCT user_id FROM wide) u CROSS JOIN ev_cal c
+  LEFT JOIN wide w ON w.user_id = u.user_id AND w.date = c.date)
+SELECT *, {_cov('view', True)} AS view_bin, {_cov('view', False)} AS view_binorder,
+       {_cov('click', True)} AS click_bin, {_cov('click', False)} AS click_binorder
+FROM f"""

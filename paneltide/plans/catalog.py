@@ -629,3 +629,37 @@ def hospital_fill(spark: SparkSession, sf: str) -> DataFrame:
     from . import hospital as H
 
     return H.fill(_hospital(spark, sf), 14)
+
+
+# ------------------------------------------------------------------ overlays / dashboard
+
+
+@register
+def overlay_policy(spark: SparkSession, sf: str) -> DataFrame:
+    """A8 policy index (P4, P10, S3 int yyyymmdd dates, N5 key): orders as a national /
+    sub-national index feed with mixed-case headers."""
+    from . import overlays as OV
+
+    o = T.read_table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    cust = T.read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nation = T.read_table(spark, sf, "nation").select("n_nationkey", "n_name")
+    raw = o.join(cust, o.o_custkey == cust.c_custkey).join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        F.col("n_name").alias("CountryName"),
+        F.col("n_nationkey").cast("string").alias("CountryCode"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("NAT_TOTAL")).otherwise(F.lit("STATE_TOTAL")).alias("Jurisdiction"),
+        F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("Date"),
+        F.col("o_totalprice").alias("StringencyIndex"),
+    )
+    return OV.overlay_policy(raw)
+
+
+@register
+def vax_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """A15 wide indicator table: complete(id, date = calendar) (R7), carry every indicator
+    forward (W16), coverage bins and order codes on two indicators (D11)."""
+    wide = R.long_to_wide(_daily_by_type(spark, sf), ["user_id", "date"], "event_type", "n", TYPES)
+    dense = R.complete_calendar(wide, ["user_id"], "date", TYPES, bounds=T.event_bounds(spark, sf))
+    filled = S.fill_down(dense, ["user_id"], "date", TYPES)
+    vb, vo = CL.coverage_bin("view")
+    cb, co = CL.coverage_bin("click")
+    return filled.withColumns({"view_bin": vb, "view_binorder": vo, "click_bin": cb, "click_binorder": co})
