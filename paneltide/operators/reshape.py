@@ -18,6 +18,12 @@ from ..functions.dates import daily_sequence
 from .joins import attach_row, join_null_safe
 
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    from ..session import cut_lineage
+
+    return cut_lineage(df)
+
+
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
@@ -180,15 +186,18 @@ def _expand(entities: DataFrame, small: DataFrame, axes: Sequence[Sequence[str]]
     return out
 
 
-def complete_grid(df: DataFrame, axes: Sequence[str]) -> DataFrame:
+def complete_grid(df: DataFrame, axes: Sequence[str], materialize: bool = False) -> DataFrame:
     """Full cross product of the observed values of every axis, data left-joined.
 
     ``tidyr::complete(a, b, c, d)``.  The first axis is the large one (entities) and stays
     distributed; the other axes are small domains gathered into one broadcast row and
     expanded per entity with ``explode``.  The data are matched null-safely (R matches NA
-    to NA).
+    to NA).  The input is read three times (entities, small axes, data); ``materialize``
+    checkpoints it first when it is expensive to recompute.
     """
     axes = list(axes)
+    if materialize:
+        df = _checkpoint(df)
     entities = df.select(axes[0]).distinct()
     if len(axes) == 1:
         return join_null_safe(entities, df, axes, "left")
@@ -203,9 +212,11 @@ def nested_grid(df: DataFrame, entity: str, nested: Sequence[str]) -> DataFrame:
     return _expand(df.select(entity).distinct(), _small_axes(df, [nested]), [nested])
 
 
-def complete_nested(df: DataFrame, entity: str, nested: Sequence[str]) -> DataFrame:
+def complete_nested(df: DataFrame, entity: str, nested: Sequence[str], materialize: bool = False) -> DataFrame:
     """``complete(entity, nesting(cols...))``: every entity x every observed tuple."""
     nested = list(nested)
+    if materialize:
+        df = _checkpoint(df)
     return join_null_safe(nested_grid(df, entity, nested), df, [entity] + nested, "left")
 
 

@@ -19,6 +19,7 @@ from ..operators import reshape as R
 from ..operators import series as S
 from ..operators import setops as U
 from ..sources import tables as T
+from ..session import cut_lineage
 from . import totals as TT
 from . import tracker as TR
 
@@ -31,7 +32,12 @@ def register(fn):
 
 
 def _names(spark, sf, entity="user"):
-    return T.entity_dim(spark, sf, entity).select("country", "country_code")
+    """(country, country_code) names of the entities, read from the one table that has them."""
+    if entity == "nation":
+        n = T.read_table(spark, sf, "nation")
+        return n.select(F.col("n_name").alias("country"), F.col("n_nationkey").cast("long").alias("country_code"))
+    c = T.read_table(spark, sf, "customer")
+    return c.select(F.col("c_name").alias("country"), F.col("c_custkey").alias("country_code"))
 
 
 def _as_of(spark, sf, entity="user"):
@@ -144,7 +150,7 @@ def stack_sources_panel(spark: SparkSession, sf: str) -> DataFrame:
     """A5 (U1, P6, P7) after the O7 clip: source A limited to source B's last date."""
     cases, deaths = T.wide_cumulative(spark, sf, "A")
     a = TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf), T.nation_aliases(spark, sf))
-    b = _long_daily_panel(spark, sf)
+    b = cut_lineage(_long_daily_panel(spark, sf))
     b_max = b.agg(F.max("date").alias("__bmax"))
     a = J.attach_row(a, b_max).filter(F.col("date") <= F.col("__bmax")).drop("__bmax")
     return TT.stack_two_sources(a, b)
@@ -166,7 +172,7 @@ def complete_grid(spark: SparkSession, sf: str) -> DataFrame:
     data = ev.groupBy("user_id", "event_type", T.source_tag().alias("source"), F.to_date("ts").alias("date")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return R.complete_grid(data, ["user_id", "event_type", "source", "date"])
+    return R.complete_grid(data, ["user_id", "event_type", "source", "date"], materialize=True)
 
 
 @register
@@ -186,7 +192,7 @@ def complete_nested(spark: SparkSession, sf: str) -> DataFrame:
     """Every user x every observed (source, type) tuple."""
     ev = T.read_table(spark, sf, "events")
     data = ev.groupBy("user_id", T.source_tag().alias("source"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    return R.complete_nested(data, "user_id", ["source", "event_type"])
+    return R.complete_nested(data, "user_id", ["source", "event_type"], materialize=True)
 
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -270,6 +276,7 @@ def pair_semi(spark: SparkSession, sf: str) -> DataFrame:
     data = ev.groupBy("user_id", F.col("event_type").alias("indicator"), T.source_tag().alias("source"), F.to_date("ts").alias("date")).agg(
         F.count(F.lit(1)).alias("value")
     )
+    data = cut_lineage(data)
     grid = R.complete_grid(data, ["user_id", "indicator", "source", "date"])
     return J.semi_join(grid, data, ["source", "indicator"])
 
