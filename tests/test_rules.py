@@ -324,3 +324,74 @@ def test_legend_table(spark):
     got = dict(((r["raw_field"], r["cat_num"]), r["tick_value"]) for r in t.collect())
     assert got[("people_vaccinated_per_hundred", 6)] == 100
     assert got[("daily_vaccinations_per_million", 6)] == 10e4
+
+
+# ------------------------------------------------------------------ remaining rules
+
+
+def test_grouping_treats_null_as_value(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, x long")
+    got = sorted(rows(df.groupBy("g").agg(F.sum("x"))), key=str)
+    assert got == [("a", 3), (None, 3)]
+
+
+def test_lags_count_rows_not_days(spark):
+    # a gap day makes a row lag differ from a day lag; densifying first restores it
+    df = spark.createDataFrame([("k", day(0), 1), ("k", day(2), 5)], "k string, date date, v long")
+    raw = S.increments(df, ["k"], "date", {"v": "d"}).orderBy("date")
+    assert rows(raw, "d") == [(None,), (4,)]
+    dense = R.complete_per_group(df, ["k"], "date", ["v"])
+    assert len(rows(dense)) == 3
+
+
+def test_sort_nulls_last_both_directions(spark):
+    df = spark.createDataFrame([("k", None, 1), ("k", day(1), 2), ("k", day(0), 3)], "k string, date date, v long")
+    asc = rows(df.select("v", F.row_number().over(S.series_window(["k"], "date")).alias("r")).orderBy("r"), "v")
+    desc = rows(df.select("v", F.row_number().over(S.series_window(["k"], "date", desc=True)).alias("r")).orderBy("r"), "v")
+    assert asc == [(3,), (2,), (1,)] and desc == [(2,), (3,), (1,)]
+
+
+def test_promote_places_uses_overwritten_city(spark):
+    from paneltide.plans.subnational import municipality_names, promote_places
+
+    df = spark.createDataFrame(
+        [("Hong Kong", "", 5, 1), ("Hubei", "Wuhan", 7, 2)], "province_en string, city_en string, province_confirmed long, city_confirmed long"
+    )
+    got = promote_places(df, ["Hong Kong"], pairs=[("city_confirmed", "province_confirmed")])
+    assert sorted(rows(got, "city_en", "city_confirmed")) == [("Hong Kong", 5), ("Wuhan", 2)]
+    m = municipality_names(spark.createDataFrame([("Beijing",), (None,)], "city_en string"))
+    assert rows(m) == [("Beijing Municipality",), ("NA Municipality",)]
+
+
+def test_clean_codes(spark):
+    from paneltide.plans.indicators import clean_codes
+
+    df = spark.createDataFrame([("AFG",), (None,), ("OWID_WRL",), ("OWID_KOS",)], "iso_code string")
+    got = rows(clean_codes(df, recode={"OWID_KOS": "XKX"}))
+    assert got == [("AFG",), ("XKX",)]
+
+
+def test_dated_path_in_zone(spark):
+    from paneltide.functions.dates import local_day_text
+    from paneltide.sources.readers import dated_path
+
+    df = spark.createDataFrame([(dt.datetime(2021, 3, 1, 17, 30),)], "ts timestamp")
+    day_text = rows(df.select(local_day_text("ts")))[0][0]
+    assert day_text == "2021.03.02"  # 17:30 UTC is the next day in Asia/Shanghai
+    assert dated_path("releases/%s/area.csv", day_text) == "releases/2021.03.02/area.csv"
+
+
+def test_indicator_long_on_reference_metadata(spark):
+    from paneltide.plans.indicators import AGE_META, indicator_long
+
+    wide = spark.createDataFrame(
+        [("AFG", day(0), "18-24", 4.0, None), ("AFG", day(1), "18-24", 5.5, 80.0)],
+        "iso_code string, date date, age_group string, people_vaccinated_per_hundred double, people_with_booster_per_hundred double",
+    )
+    out = indicator_long(wide, "iso_code", "date", ["people_vaccinated_per_hundred", "people_with_booster_per_hundred"], AGE_META)
+    got = sorted(rows(out, "raw_field", "date", "data_cat_num", "data_field", "is_latest"))
+    assert got == [
+        ("people_vaccinated_per_hundred", day(0), 1, "Cumulative People Vaccinated (1 or more)", False),
+        ("people_vaccinated_per_hundred", day(1), 2, "Cumulative People Vaccinated (1 or more)", True),
+        ("people_with_booster_per_hundred", day(1), 6, "Cumulative People With Booster", True),
+    ]
