@@ -686,6 +686,7 @@ ORACLES: dict[str, str] = {
     "quantile_classes": quantile_classes_sql(),
     "period_change": period_change_sql("series"),
     "change_classes": period_change_sql("cross"),
+    "change_classes_window": period_change_sql("cross"),
     "tracker_change": tracker_change_sql(),
     "trajectory_classes": tracker_change_sql("nation"),
     "change_series_trajectory": change_series_trajectory_sql(),

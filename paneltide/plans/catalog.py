@@ -58,8 +58,7 @@ def cumulative_panel(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def tracker_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """A6 + A14 steps 6-8: snapshot grid, sextile classes, titles, completion, codes."""
-    panel = T.cumulative_panel(spark, sf)
-    cross = TR.period_snapshot(panel, as_of=_as_of(spark, sf))
+    cross = TR.period_snapshot_from_daily(T.daily_panel(spark, sf), T.event_bounds(spark, sf))
     return TR.complete_snapshot(cross)
 
 
@@ -71,7 +70,7 @@ def snapshot_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def quantile_classes(spark: SparkSession, sf: str) -> DataFrame:
-    """A6 output before completion."""
+    """A6 output before completion (window form on the dense panel)."""
     panel = T.cumulative_panel(spark, sf)
     return TR.period_snapshot(panel, as_of=_as_of(spark, sf))
 
@@ -85,16 +84,14 @@ def period_change(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def change_classes(spark: SparkSession, sf: str) -> DataFrame:
-    """D5 (A7 cross mode): change classes at the latest date."""
-    panel = T.cumulative_panel(spark, sf)
-    return TR.period_change(panel, "cross", as_of=_as_of(spark, sf), entity_names=_names(spark, sf))
+    """D5 (A7 cross mode): change classes at the latest date, from one aggregation."""
+    return TR.change_cross_table(T.daily_panel(spark, sf), T.event_bounds(spark, sf), _names(spark, sf))
 
 
 @register
 def tracker_change(spark: SparkSession, sf: str) -> DataFrame:
     """A14 step 9: completed cross change + suppression + trajectory classes."""
-    panel = T.cumulative_panel(spark, sf)
-    return TR.tracker_change(panel, _names(spark, sf), as_of=_as_of(spark, sf))
+    return TR.tracker_change_from_daily(T.daily_panel(spark, sf), T.event_bounds(spark, sf), _names(spark, sf))
 
 
 @register
@@ -104,6 +101,14 @@ def trajectory_classes(spark: SparkSession, sf: str) -> DataFrame:
     return TR.tracker_change(panel, _names(spark, sf, "nation"), as_of=_as_of(spark, sf, "nation"))
 
 
+@register
+def change_classes_window(spark: SparkSession, sf: str) -> DataFrame:
+    """D5 via the window form on the dense cumulative panel (cross-checks the aggregation
+    form of ``change_classes``)."""
+    panel = T.cumulative_panel(spark, sf)
+    return TR.period_change(panel, "cross", as_of=_as_of(spark, sf), entity_names=_names(spark, sf))
+
+
 @register
 def change_series_trajectory(spark: SparkSession, sf: str) -> DataFrame:
     """A14 step 10: 7-day case change series with trajectory classes."""

@@ -157,14 +157,24 @@ def period_snapshot(
     dense: bool = True,
     materialize: bool = True,
 ) -> DataFrame:
-    """Snapshot values + classes + titles, one row per grid cell and entity.
+    """A6 on a cumulative panel: snapshot values + classes + titles, one row per grid cell
+    and entity.
 
     The snapshot rows feed the cut points, the class bounds and the labelled rows; with
     ``materialize`` they are checkpointed once to the shared checkpoint folder, so the
     panel (the expensive part: scan, aggregation, densify, windows) is built once and a lost
     executor recomputes from the checkpoint.
     """
-    snap = snapshot_values(panel, periods, INDICATORS, as_of, dense)
+    return classify_snapshot(snapshot_values(panel, periods, INDICATORS, as_of, dense), materialize)
+
+
+def period_snapshot_from_daily(daily: DataFrame, bounds: DataFrame, periods=SNAPSHOT_PERIODS, materialize: bool = True) -> DataFrame:
+    """A6 from sparse daily counts on a common calendar (one aggregation, no densify)."""
+    return classify_snapshot(snapshot_values_from_daily(daily, bounds, periods), materialize)
+
+
+def classify_snapshot(snap: DataFrame, materialize: bool = True) -> DataFrame:
+    """Classes, legend labels and titles of snapshot rows."""
     if materialize:
         snap = cut_lineage(snap)
     classed = quantile_classes(snap).withColumn("dftype", F.lit("cross"))
@@ -322,10 +332,31 @@ def tracker_change(
     as_of: DataFrame | None = None,
     threshold: float = SPARSE_THRESHOLD,
 ) -> DataFrame:
-    """A14 step 9: cross change, completed over entity x observed tuples (R9), down-up fill
+    """A14 step 9 on a cumulative panel (see :func:`complete_change`)."""
+    return complete_change(period_change(panel, "cross", periods, as_of, True, entity_names), threshold)
+
+
+def change_cross_table(daily: DataFrame, bounds: DataFrame, entity_names: DataFrame | None = None,
+                       periods: Sequence[int] = CHANGE_PERIODS) -> DataFrame:
+    """A7 cross mode from sparse daily counts (one aggregation), published columns."""
+    out = change_cross_from_daily(daily, bounds, periods).withColumn("dftype", F.lit("cross")).select(*CHANGE_COLS)
+    if entity_names is not None:
+        out = join_null_safe(out, entity_names.select("country", KEY).distinct(), [KEY], "left")
+    return out
+
+
+def tracker_change_from_daily(daily: DataFrame, bounds: DataFrame, entity_names: DataFrame,
+                              periods: Sequence[int] = CHANGE_PERIODS, threshold: float = SPARSE_THRESHOLD) -> DataFrame:
+    """A14 step 9 from sparse daily counts: the cross-section is one aggregation."""
+    return complete_change(change_cross_table(daily, bounds, entity_names, periods), threshold)
+
+
+def complete_change(cross: DataFrame, threshold: float = SPARSE_THRESHOLD, materialize: bool = True) -> DataFrame:
+    """A14 step 9: cross change completed over entity x observed tuples (R9), down-up fill
     within (entity, Indicator, period, dftype, Date) (W14), nulls -> 0, sparse-count
     suppression (P21, N11) and trajectory classes (D12-D16)."""
-    cross = cut_lineage(period_change(panel, "cross", periods, as_of, True, entity_names))
+    if materialize:
+        cross = cut_lineage(cross)
     nested = [SOURCE, "Indicator", "periodval", "dftype", DATE]
     full = complete_nested(cross, KEY, nested)
     fill_cols = ["country", POP, "prev_date", "curr_date", "prev_datex", "curr_datex", "curr_range", "prev_range"]
@@ -343,8 +374,7 @@ def tracker_change(
         }
     )
     cols = [c if c != "changecatx" else "changecat_order" for c in CHANGE_COLS] + ["country"]
-    out = trajectory_columns(suppressed.select(*cols), threshold=threshold)
-    return out
+    return trajectory_columns(suppressed.select(*cols), threshold=threshold)
 
 
 def change_series_trajectory(panel: DataFrame, entity_names: DataFrame, threshold: float = SPARSE_THRESHOLD) -> DataFrame:
@@ -360,3 +390,111 @@ def max_event_date(daily: DataFrame, date_col: str = "date") -> DataFrame:
 
 def to_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+# ------------------------------------------------------------------ cross-sections from daily counts
+#
+# On a panel that is dense over one calendar lo..hi, the cumulative value at day d is the
+# sum of the daily counts up to d, so ``cum(hi) - lag(cum, p)`` at the last day is the sum
+# of the last p days, and it is null exactly when ``hi - p < lo``.  The cross-sections of A6
+# and A7 therefore need no densify, sort or window over the whole history: one grouped
+# aggregation of the sparse daily table (partial aggregation map-side, one shuffle on
+# entity and source) gives every period at once.  Results equal the window form on the
+# densified panel (checked against the SQL oracle, which uses the window form).
+
+
+def _recent(x: str, days) -> Column:
+    return F.sum(F.when(F.col("__d") > F.date_sub(F.col("__hi"), days), F.col(x)).otherwise(F.lit(0)))
+
+
+def _daily_cross(daily: DataFrame, bounds: DataFrame, windows: dict[str, tuple[str, int]]) -> DataFrame:
+    """Per (entity, source): ``name -> sum of column over the last k days`` (k None: all)."""
+    staged = attach_row(daily, bounds.select("__lo", "__hi")).withColumnRenamed(DATE, "__d")
+    aggs = []
+    for name, (x, k) in windows.items():
+        aggs.append((F.sum(F.col(x)) if k is None else _recent(x, k)).alias(name))
+    return staged.groupBy(KEY, SOURCE, POP, "__lo", "__hi").agg(*aggs)
+
+
+def snapshot_values_from_daily(
+    daily: DataFrame,
+    bounds: DataFrame,
+    periods: Sequence[int] = SNAPSHOT_PERIODS,
+    indicators: dict = None,
+) -> DataFrame:
+    """A6 values at the last calendar day from sparse daily counts (same output as
+    :func:`snapshot_values` on the densified cumulative panel).
+
+    ``daily``: (country_code, Date, data_source, pop, <daily count columns>);
+    ``bounds``: 1-row (``__lo``, ``__hi``) calendar of the panel.
+    """
+    indicators = indicators or {"Cases": "cases_new", "Deaths": "deaths_new"}
+    wins = {}
+    for i, x in enumerate(indicators.values()):
+        wins[f"__tot_{i}"] = (x, None)
+        for p in periods:
+            if p != CUMULATIVE_PERIOD:
+                wins[f"__r_{i}_{p}"] = (x, p)
+    agg = _daily_cross(daily, bounds, wins)
+    cells = []
+    for i, ind in enumerate(indicators):
+        for p in periods:
+            if p == CUMULATIVE_PERIOD:
+                counts = F.col(f"__tot_{i}")
+            else:
+                counts = F.when(F.date_sub(F.col("__hi"), p) >= F.col("__lo"), F.col(f"__r_{i}_{p}"))
+            counts = clamp_negative(counts).cast("double")
+            rates = rate_per(counts, F.col(POP), 100000, 1)
+            for metric, v in (("Counts", counts), ("Rate", rates)):
+                cells.append(F.struct(F.lit(ind).alias("Indicator"), F.lit(metric).alias("Metric"),
+                                      F.lit(period_label(p)).alias("periodval"), v.alias("valuex")))
+    out = agg.select(KEY, SOURCE, F.col("__hi").alias(DATE), POP, F.inline(F.array(*cells)))
+    return out.select("Indicator", "Metric", "periodval", SOURCE, KEY, DATE, POP, "valuex")
+
+
+def change_cross_from_daily(
+    daily: DataFrame,
+    bounds: DataFrame,
+    periods: Sequence[int] = CHANGE_PERIODS,
+    indicators: dict = None,
+) -> DataFrame:
+    """A7 cross-section at the last calendar day from sparse daily counts (same rows as
+    :func:`change_series` on the densified panel, restricted to the last day)."""
+    indicators = indicators or {"Cases": "cases_new", "Deaths": "deaths_new"}
+    wins = {}
+    for i, x in enumerate(indicators.values()):
+        for p in periods:
+            wins[f"__c_{i}_{p}"] = (x, p)
+            wins[f"__c_{i}_{2 * p}"] = (x, 2 * p)
+    agg = _daily_cross(daily, bounds, wins)
+    hi, lo = F.col("__hi"), F.col("__lo")
+
+    def back(k):  # the date k rows before the last day, null before the calendar start
+        return F.when(F.date_sub(hi, k) >= lo, F.date_sub(hi, k))
+
+    cells = []
+    for i, ind in enumerate(indicators):
+        for p in periods:
+            last_p = F.when(F.date_sub(hi, p) >= lo, F.col(f"__c_{i}_{p}"))
+            last_2p = F.when(F.date_sub(hi, 2 * p) >= lo, F.col(f"__c_{i}_{2 * p}"))
+            cells.append(F.struct(
+                F.lit(ind).alias("Indicator"),
+                F.lit(period_label(p)).alias("periodval"),
+                fill_zero(last_p).alias("curr_val"),
+                fill_zero(last_2p - last_p).alias("prev_val"),
+                hi.alias("curr_date"),
+                (hi if p - 1 == 0 else back(p - 1)).alias("curr_datex"),
+                back(p).alias("prev_date"),
+                back(2 * p - 1).alias("prev_datex"),
+            ))
+    long = agg.select(KEY, SOURCE, F.col("__hi").alias(DATE), POP, F.inline(F.array(*cells)))
+    change = F.col("curr_val") - F.col("prev_val")
+    pc = pct_change(F.col("curr_val"), F.col("prev_val"))
+    out = long.select(
+        "Indicator", "periodval", SOURCE, KEY, DATE, POP,
+        change.alias("change_val"), pc.alias("perc_change"), pct_label(pc).alias("perc_changex"),
+        "curr_val", "prev_val", "prev_date", "curr_date", "prev_datex", "curr_datex",
+        range_caption(F.col("Indicator"), F.col("curr_datex"), F.col("curr_date")).alias("curr_range"),
+        range_caption(F.col("Indicator"), F.col("prev_datex"), F.col("prev_date")).alias("prev_range"),
+    )
+    return out.withColumns({"changecat": change_class_label("perc_change"), "changecatx": change_class_code("perc_change")})

@@ -102,6 +102,19 @@ def population(spark: SparkSession, sf_dir: str, entity: str = "user") -> DataFr
     return cust.select(F.col("c_custkey").alias("__k"), F.col("c_acctbal").alias("pop"))
 
 
+def daily_panel(spark: SparkSession, sf_dir: str, entity: str = "user") -> DataFrame:
+    """Sparse daily panel with population: ``(country_code, Date, data_source, cases_new,
+    deaths_new, pop)``, days with events only.  With :func:`event_bounds` it describes the
+    same dense panel as :func:`cumulative_panel` without materialising the missing days."""
+    daily = daily_counts(spark, sf_dir, entity)
+    dim = population(spark, sf_dir, entity)
+    daily = daily.join(dim, F.col("entity") == F.col("__k"), "left").drop("__k")
+    return daily.select(
+        F.col("entity").alias("country_code"), F.col("date").alias("Date"), F.col("source").alias("data_source"),
+        "cases_new", "deaths_new", "pop",
+    )
+
+
 def cumulative_panel(spark: SparkSession, sf_dir: str, entity: str = "user") -> DataFrame:
     """Dense cumulative panel ``(country_code, Date, data_source, cases_new, deaths_new,
     cases_cum, deaths_cum, pop)``.
