@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import US_SHORT, daily_sequence, parse_date
-from ..functions.nulls import clamp_negative, not_in_keep_null, paste_na, strict_sum
+from ..functions.nulls import not_in_keep_null, paste_na, strict_sum
 from ..operators.aggregate import group_by_types, numeric_null_to_zero
 from ..operators.joins import alias_join, attach_row, join_null_safe
 from ..operators.reshape import wide_to_long
@@ -18,7 +18,6 @@ from ..operators.series import increments, restore_first
 from ..operators.setops import stack_sources
 from ..session import cut_lineage
 
-FRAME_COLS = ["ou_date_match", "country", "date", "iso3code", "iso2code", "who_region", "pop_2020yr", "Continent_Name"]
 TOTALS_COLS = [
     "country", "date", "cases_new", "cases_cum", "deaths_new", "deaths_cum",
     "who_region", "pop_2020yr", "iso3code", "ou_date_match", "iso2code",
@@ -167,6 +166,3 @@ def stack_two_sources(first: DataFrame, second: DataFrame, names: tuple[str, str
         "iso2code",
     )
 
-
-def clamp(c):
-    return clamp_negative(c)

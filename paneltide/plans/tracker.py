@@ -383,15 +383,6 @@ def change_series_trajectory(panel: DataFrame, entity_names: DataFrame, threshol
     return trajectory_columns(s, daily_rate=True, threshold=threshold)
 
 
-def max_event_date(daily: DataFrame, date_col: str = "date") -> DataFrame:
-    """1-row max date from the sparse daily table (cheaper than from a dense panel)."""
-    return daily.agg(F.max(date_col).alias("__max"))
-
-
-def to_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # ------------------------------------------------------------------ cross-sections from daily counts
 #
 # On a panel that is dense over one calendar lo..hi, the cumulative value at day d is the

@@ -44,3 +44,35 @@ def test_broadcast_nested_loop_only_against_one_row_sides(spark):
             assert m.group(1) in ("Cross", "Inner"), p
         # build sides of the nested-loop joins are keyless aggregates (one row)
         assert "BroadcastExchange IdentityBroadcastMode" in p or "BroadcastNestedLoopJoin" not in p
+
+
+def test_event_aggregations_combine_map_side(spark):
+    """Every shuffle of raw events is preceded by a partial aggregation, so a key holding a
+    third of all events ships one row per map task (and day) instead of its raw rows."""
+    for name in ["cumulative_panel", "tracker_change", "country_totals", "snapshot_to_daily", "hospital_fill"]:
+        df = C.QUERIES[name](spark, SF)
+        p = df._jdf.queryExecution().executedPlan().toString()
+        lines = p.splitlines()
+        for i, line in enumerate(lines):
+            if "FileScan parquet" in line and "events.parquet" in line and "ts:timestamp_ntz>" in line and "event_type" in line:
+                above = "\n".join(lines[max(0, i - 6):i])
+                assert "partial_" in above or "WindowGroupLimit" in above or "Exchange" not in above, (name, above)
+
+
+def test_skewed_key_keeps_results_whole(spark):
+    """One entity with a third of all rows: the daily panel and the snapshot still hold every
+    day of every series (no rows dropped or capped)."""
+    from pyspark.sql import functions as F
+
+    from paneltide.operators import reshape as R
+    from paneltide.operators import series as S
+
+    hot = spark.range(0, 30000).select(F.lit(1).cast("long").alias("user_id"), (F.col("id") % 30).alias("d"))
+    cold = spark.range(0, 60000).select((F.col("id") % 500 + 2).alias("user_id"), (F.col("id") % 23).alias("d"))
+    ev = hot.unionByName(cold).withColumn("date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d").cast("int")))
+    daily = ev.groupBy("user_id", "date").agg(F.count(F.lit(1)).alias("n"))
+    dense = R.complete_calendar(daily, ["user_id"], "date", ["n"]).fillna(0, subset=["n"])
+    cum = S.running_sum(dense, ["user_id"], "date", {"n": "cum"})
+    assert cum.count() == 501 * 30
+    last = cum.filter(F.col("date") == F.lit("2024-01-30").cast("date")).agg(F.sum("cum")).first()[0]
+    assert last == 90000
