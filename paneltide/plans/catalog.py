@@ -40,10 +40,9 @@ def _names(spark, sf, entity="user"):
     return c.select(F.col("c_name").alias("country"), F.col("c_custkey").alias("country_code"))
 
 
-def _as_of(spark, sf, entity="user"):
-    """1-row global max date: the same bounds table the panel's calendar uses, so both
-    plans share one scan of the event timestamps."""
-    return T.event_bounds(spark, sf).select(F.col("__hi").alias("__max"))
+def _as_of(bounds):
+    """1-row global max date: the last day of the panel's calendar."""
+    return bounds.select(F.col("__hi").alias("__max"))
 
 
 # ------------------------------------------------------------------ panels and tracker
@@ -71,8 +70,9 @@ def snapshot_table(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def quantile_classes(spark: SparkSession, sf: str) -> DataFrame:
     """A6 output before completion (window form on the dense panel)."""
-    panel = T.cumulative_panel(spark, sf)
-    return TR.period_snapshot(panel, as_of=_as_of(spark, sf))
+    b = T.event_bounds(spark, sf)
+    panel = T.cumulative_panel(spark, sf, bounds=b)
+    return TR.period_snapshot(panel, as_of=_as_of(b))
 
 
 @register
@@ -97,16 +97,18 @@ def tracker_change(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def trajectory_classes(spark: SparkSession, sf: str) -> DataFrame:
     """P21, D12-D16 on the nation-level panel (counts large enough for every class)."""
-    panel = T.cumulative_panel(spark, sf, "nation")
-    return TR.tracker_change(panel, _names(spark, sf, "nation"), as_of=_as_of(spark, sf, "nation"))
+    b = T.event_bounds(spark, sf)
+    panel = T.cumulative_panel(spark, sf, "nation", bounds=b)
+    return TR.tracker_change(panel, _names(spark, sf, "nation"), as_of=_as_of(b))
 
 
 @register
 def change_classes_window(spark: SparkSession, sf: str) -> DataFrame:
     """D5 via the window form on the dense cumulative panel (cross-checks the aggregation
     form of ``change_classes``)."""
-    panel = T.cumulative_panel(spark, sf)
-    return TR.period_change(panel, "cross", as_of=_as_of(spark, sf), entity_names=_names(spark, sf))
+    b = T.event_bounds(spark, sf)
+    panel = T.cumulative_panel(spark, sf, bounds=b)
+    return TR.period_change(panel, "cross", as_of=_as_of(b), entity_names=_names(spark, sf))
 
 
 @register
@@ -121,8 +123,9 @@ def change_series_trajectory(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ country totals (A2-A5)
 
 
-def _frame(spark, sf):
-    return TT.entity_date_frame(T.nation_dim(spark, sf), T.event_bounds(spark, sf))
+def _frame(spark, sf, bounds=None):
+    b = bounds if bounds is not None else T.event_bounds(spark, sf)
+    return TT.entity_date_frame(T.nation_dim(spark, sf), b)
 
 
 @register
@@ -134,14 +137,15 @@ def entity_date_frame(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def country_totals(spark: SparkSession, sf: str) -> DataFrame:
     """A3 (R1, S4, J2, W1, W2, G1, J8, W3, P15, J5, J3, P19) on source A's wide files."""
-    cases, deaths = T.wide_cumulative(spark, sf, "A")
-    return TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf), T.nation_aliases(spark, sf))
+    b = T.event_bounds(spark, sf)
+    cases, deaths = T.wide_cumulative(spark, sf, "A", b)
+    return TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf, b), T.nation_aliases(spark, sf))
 
 
-def _long_daily_panel(spark, sf):
+def _long_daily_panel(spark, sf, bounds=None):
     # The last event day is treated as the incomplete "today" and dropped.
-    today = T.event_bounds(spark, sf).select("__hi")
-    return TT.panel_from_long_daily(T.long_daily(spark, sf, "B"), _frame(spark, sf), "Date_reported", drop_date=today)
+    b = bounds if bounds is not None else T.event_bounds(spark, sf)
+    return TT.panel_from_long_daily(T.long_daily(spark, sf, "B"), _frame(spark, sf, b), "Date_reported", drop_date=b.select("__hi"))
 
 
 @register
@@ -153,9 +157,10 @@ def country_totals_long(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def stack_sources_panel(spark: SparkSession, sf: str) -> DataFrame:
     """A5 (U1, P6, P7) after the O7 clip: source A limited to source B's last date."""
-    cases, deaths = T.wide_cumulative(spark, sf, "A")
-    a = TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf), T.nation_aliases(spark, sf))
-    b = cut_lineage(_long_daily_panel(spark, sf))
+    bounds = T.event_bounds(spark, sf)
+    cases, deaths = T.wide_cumulative(spark, sf, "A", bounds)
+    a = TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf, bounds), T.nation_aliases(spark, sf))
+    b = cut_lineage(_long_daily_panel(spark, sf, bounds))
     b_max = b.agg(F.max("date").alias("__bmax"))
     a = J.attach_row(a, b_max).filter(F.col("date") <= F.col("__bmax")).drop("__bmax")
     return TT.stack_two_sources(a, b)

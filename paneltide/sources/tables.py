@@ -115,7 +115,7 @@ def daily_panel(spark: SparkSession, sf_dir: str, entity: str = "user") -> DataF
     )
 
 
-def cumulative_panel(spark: SparkSession, sf_dir: str, entity: str = "user") -> DataFrame:
+def cumulative_panel(spark: SparkSession, sf_dir: str, entity: str = "user", bounds: DataFrame | None = None) -> DataFrame:
     """Dense cumulative panel ``(country_code, Date, data_source, cases_new, deaths_new,
     cases_cum, deaths_cum, pop)``.
 
@@ -130,7 +130,8 @@ def cumulative_panel(spark: SparkSession, sf_dir: str, entity: str = "user") ->
     # (entity, source) window distribution.
     dim = population(spark, sf_dir, entity)
     daily = daily.join(dim, F.col("entity") == F.col("__k"), "left").drop("__k")
-    dense = complete_calendar(daily, ["entity", "source"], "date", ["cases_new", "deaths_new"], bounds=event_bounds(spark, sf_dir))
+    b = bounds if bounds is not None else event_bounds(spark, sf_dir)
+    dense = complete_calendar(daily, ["entity", "source"], "date", ["cases_new", "deaths_new"], bounds=b)
     dense = dense.fillna(0, subset=["cases_new", "deaths_new"])
     cum = running_sum(dense, ["entity", "source"], "date", {"cases_new": "cases_cum", "deaths_new": "deaths_cum"})
     return cum.select(
@@ -167,9 +168,16 @@ def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """1-row calendar bounds (``__lo``, ``__hi``) of the event days."""
+    """1-row calendar bounds (``__lo``, ``__hi``) of the event days.
+
+    The two dates are computed once (one aggregation of the ``ts`` column; two scalars
+    reach the driver) and handed back as a literal row.  Every later use - frame calendar,
+    densify bounds, as-of date, incomplete-day drop - is then a constant, with no further
+    scan of the event table, and Catalyst can fold it into filters.
+    """
     ev = read_table(spark, sf_dir, "events")
-    return ev.agg(F.min(F.to_date("ts")).alias("__lo"), F.max(F.to_date("ts")).alias("__hi"))
+    r = ev.agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
+    return spark.range(1).select(F.lit(r["lo"]).cast("date").alias("__lo"), F.lit(r["hi"]).cast("date").alias("__hi"))
 
 
 def nation_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +186,7 @@ def nation_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.select(F.col("n_name").alias("alias"), F.col("n_nationkey").cast("string").alias("iso3code"))
 
 
-def _user_cumulative(spark: SparkSession, sf_dir: str, source: str | None) -> DataFrame:
+def _user_cumulative(spark: SparkSession, sf_dir: str, source: str | None, bounds: DataFrame | None = None) -> DataFrame:
     """Dense per-user cumulative cases/deaths over the event calendar (one source or all)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     if source is not None:
@@ -187,12 +195,15 @@ def _user_cumulative(spark: SparkSession, sf_dir: str, source: str | None) -> Da
         F.count(F.when(F.col("event_type").isin(CASE_TYPES), 1)).alias("cases_new"),
         F.count(F.when(F.col("event_type").isin(DEATH_TYPES), 1)).alias("deaths_new"),
     )
-    dense = complete_calendar(daily, ["user_id"], "date", ["cases_new", "deaths_new"], bounds=event_bounds(spark, sf_dir))
+    b = bounds if bounds is not None else event_bounds(spark, sf_dir)
+    dense = complete_calendar(daily, ["user_id"], "date", ["cases_new", "deaths_new"], bounds=b)
     dense = dense.fillna(0, subset=["cases_new", "deaths_new"])
     return running_sum(dense, ["user_id"], "date", {"cases_new": "cases_cum", "deaths_new": "deaths_cum"})
 
 
-def wide_cumulative(spark: SparkSession, sf_dir: str, source: str | None = "A") -> tuple[DataFrame, DataFrame]:
+def wide_cumulative(
+    spark: SparkSession, sf_dir: str, source: str | None = "A", bounds: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Two wide files (cases, deaths): 4 id columns, then one column per day ``M/d/yy``.
 
     Series = user (``Province/State``) within its nation (``Country/Region``); ``Lat`` /
@@ -201,7 +212,8 @@ def wide_cumulative(spark: SparkSession, sf_dir: str, source: str | None = "A")
     """
     from ..operators.reshape import long_to_wide
 
-    cum = _user_cumulative(spark, sf_dir, source)
+    bounds = bounds if bounds is not None else event_bounds(spark, sf_dir)
+    cum = _user_cumulative(spark, sf_dir, source, bounds)
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     geo = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
@@ -210,7 +222,7 @@ def wide_cumulative(spark: SparkSession, sf_dir: str, source: str | None = "A")
         F.col("n_regionkey").cast("double").alias("Lat"),
         F.col("n_nationkey").cast("double").alias("Long"),
     )
-    b = event_bounds(spark, sf_dir).first()
+    b = bounds.first()
     import datetime as _dt
 
     days = [b["__lo"] + _dt.timedelta(days=i) for i in range((b["__hi"] - b["__lo"]).days + 1)]
