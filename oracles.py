@@ -804,3 +804,20 @@ f AS (
 SELECT *, {_cov('view', True)} AS view_bin, {_cov('view', False)} AS view_binorder,
        {_cov('click', True)} AS click_bin, {_cov('click', False)} AS click_binorder
 FROM f"""
+
+
+ORACLES["period_rates"] = f"WITH {panel_ctes()},\n{snapshot_ctes(all_dates=True)}\nSELECT * FROM snap WHERE Metric = 'Rate'"
+ORACLES["change_labels"] = f"""WITH {panel_ctes()},
+{change_ctes((7, 14, 30), 'user', 'series')}
+SELECT Indicator, periodval, data_source, country_code, Date, perc_changex, curr_range, prev_range FROM chg"""
+_fmt = "regexp_replace(format('{{:,.1f}}', {x}), '\\.0$', '')"
+ORACLES["legend_bounds"] = f"""WITH {panel_ctes()},
+{snapshot_ctes()}
+SELECT Indicator, Metric, periodval, data_source, lw2, lw3, lw4, lw5, lw6,
+  {', '.join(_fmt.format(x=f'lw{k}') + f' AS label{k - 1}' for k in range(2, 7))},
+  regexp_replace(CAST(CAST(lw6 AS DECIMAL(38,1)) AS VARCHAR), '\\.0$', '') || '+' AS label6
+FROM bnd"""
+ORACLES["titles_and_codes"] = f"""WITH {panel_ctes()},
+{snapshot_ctes()},
+{complete_snapshot_ctes()}
+SELECT DISTINCT Indicator, Metric, periodval, periodvalx, maptitle, tabtitle FROM crossc"""

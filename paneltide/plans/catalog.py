@@ -680,3 +680,33 @@ def vax_wide(spark: SparkSession, sf: str) -> DataFrame:
     vb, vo = CL.coverage_bin("view")
     cb, co = CL.coverage_bin("click")
     return filled.withColumns({"view_bin": vb, "view_binorder": vo, "click_bin": cb, "click_binorder": co})
+
+
+# ------------------------------------------------------------------ named views of the tracker grid
+
+
+@register
+def period_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates per 100k for every period on every date (null when pop <= 0)."""
+    return period_counts(spark, sf).filter(F.col("Metric") == "Rate")
+
+
+@register
+def change_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """D4 + D20: percent-change labels and the current / previous date-range captions."""
+    return period_change(spark, sf).select(
+        "Indicator", "periodval", "data_source", "country_code", "Date", "perc_changex", "curr_range", "prev_range"
+    )
+
+
+@register
+def legend_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """G8 + D7: per-group class lower bounds with fallbacks, and the legend labels."""
+    snap = TR.snapshot_values_from_daily(T.daily_panel(spark, sf), T.event_bounds(spark, sf))
+    return TR.legend_bounds(cut_lineage(snap))
+
+
+@register
+def titles_and_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """D18 + D19: the title and period code of every grid cell present in the snapshot."""
+    return tracker_snapshot(spark, sf).select("Indicator", "Metric", "periodval", "periodvalx", "maptitle", "tabtitle").distinct()

@@ -150,6 +150,20 @@ def quantile_classes(df: DataFrame, groups: Sequence[str] = GROUP, value: str =
     return labelled.withColumn("qcats", qcats).withColumn("qvals", qvals).drop("__cls", *[f"lw{k}" for k in range(2, 7)])
 
 
+def legend_bounds(snap: DataFrame, groups: Sequence[str] = GROUP, value: str = "valuex") -> DataFrame:
+    """Per group: class lower bounds ``lw2..lw6`` (G8) and the six legend labels (D7):
+    label k (k = 1..5) is the formatted lower bound of class k+1, label 6 is ``lw6 + "+"``."""
+    groups = list(groups)
+    cuts = quantile_cuts(snap, groups, value)
+    with_cuts = join_null_safe(snap, F.broadcast(cuts), groups, "left")
+    idx = quantile_class_index(F.col(value), [F.col(f"q{i}") for i in range(1, 6)])
+    classed = with_cuts.withColumn("__cls", F.when(F.col(value).isNotNull(), idx))
+    b = class_lower_bounds(classed, groups, value, "__cls")
+    labels = {f"label{k - 1}": num_text_grouped(F.col(f"lw{k}")) for k in range(2, 7)}
+    labels["label6"] = F.concat(num_text(F.col("lw6")), F.lit("+"))
+    return b.withColumns(labels)
+
+
 def period_snapshot(
     panel: DataFrame,
     periods=SNAPSHOT_PERIODS,

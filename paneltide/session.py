@@ -6,7 +6,6 @@ DataFrames belong to.  ``local_session`` is only for tests and ``bench.py``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,8 +57,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
