@@ -130,16 +130,17 @@ def quantile_classes(df: DataFrame, groups: Sequence[str] = GROUP, value: str =
     """Sextile map classes and legend labels per group.
 
     Cut points and class bounds are per-group aggregates (partial aggregation, one row
-    per group); the group count is bounded by the parameter grid x sources, so both
-    small tables are broadcast back onto the rows.
+    per group).  They are joined back without a broadcast hint: both come out of a
+    shuffle, so AQE knows their real size and broadcasts them when small (one row per
+    indicator x metric x period x source) and falls back to a sort-merge join otherwise.
     """
     groups = list(groups)
     cuts = quantile_cuts(df, groups, value)
-    with_cuts = join_null_safe(df, F.broadcast(cuts), groups, "left")
+    with_cuts = join_null_safe(df, cuts, groups, "left")
     idx = quantile_class_index(F.col(value), [F.col(f"q{i}") for i in range(1, 6)])
     classed = with_cuts.withColumn("__cls", F.when(F.col(value).isNotNull(), idx)).drop(*[f"q{i}" for i in range(1, 6)])
     bounds = class_lower_bounds(classed, groups, value, "__cls")
-    labelled = join_null_safe(classed, F.broadcast(bounds), groups, "left")
+    labelled = join_null_safe(classed, bounds, groups, "left")
     cls = F.col("__cls")
     qcats = (
         F.when(cls.isNull(), F.lit("not estimated"))
@@ -155,7 +156,7 @@ def legend_bounds(snap: DataFrame, groups: Sequence[str] = GROUP, value: str = "
     label k (k = 1..5) is the formatted lower bound of class k+1, label 6 is ``lw6 + "+"``."""
     groups = list(groups)
     cuts = quantile_cuts(snap, groups, value)
-    with_cuts = join_null_safe(snap, F.broadcast(cuts), groups, "left")
+    with_cuts = join_null_safe(snap, cuts, groups, "left")
     idx = quantile_class_index(F.col(value), [F.col(f"q{i}") for i in range(1, 6)])
     classed = with_cuts.withColumn("__cls", F.when(F.col(value).isNotNull(), idx))
     b = class_lower_bounds(classed, groups, value, "__cls")
