@@ -110,7 +110,10 @@ def _fill_days(
     hi = F.when(nxt.isNull(), d if end is None else F.greatest(end, d)).otherwise(hi_next)
     tmp_days, tmp_day = "__days", "__day"
     staged = df.withColumn(tmp_days, daily_sequence(lo, hi))
-    exploded = staged.select("*", F.explode(tmp_days).alias(tmp_day)).drop(tmp_days)
+    # The day arrays are never empty (hi >= the row's own date), so explode_outer gives the
+    # same rows as explode; it also spares the filter Spark infers for an inner explode,
+    # which would build every array twice.
+    exploded = staged.select("*", F.explode_outer(tmp_days).alias(tmp_day)).drop(tmp_days)
     same = F.col(tmp_day) == d
     sel = []
     for c in df.columns:
