@@ -28,12 +28,17 @@ def _running(w):
 # ------------------------------------------------------------------ differences
 
 
-def increments(df: DataFrame, keys, date_col: str, cols: dict, clamp: bool = False) -> DataFrame:
+def increments(df: DataFrame, keys, date_col: str, cols: dict, clamp: bool = False, order: Sequence[str] | None = None) -> DataFrame:
     """``new = cum - lag(cum)``; first row null (W1); ``clamp`` turns negatives to 0.
 
-    ``cols`` maps cumulative column -> output column.
+    ``cols`` maps cumulative column -> output column.  ``order`` replaces the date as the
+    row order (nulls last), e.g. the full sort key a preceding ``merge`` left behind.
     """
-    w = series_window(keys, date_col)
+    w = (
+        Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        if order
+        else series_window(keys, date_col)
+    )
     out = df
     for src, dst in cols.items():
         d = F.col(src) - F.lag(src).over(w)

@@ -82,8 +82,11 @@ def panel_from_wide_cumulative(
     merged = join_null_safe(_long(cases_wide, "cum_cases"), _long(deaths_wide, "cum_deaths"), keys, "full")
     series_key = [ctry, prov]
     # merge() sorts by its keys, so the per-series order is (lat, long, date), nulls last.
-    inc = increments(merged, series_key, "Date", {"cum_cases": "new_cases", "cum_deaths": "new_deaths"}, clamp=True)
+    inc = increments(merged, series_key, "Date", {"cum_cases": "new_cases", "cum_deaths": "new_deaths"}, clamp=True,
+                     order=[lat, lon, "Date"])
     inc = inc.withColumn("Country", F.translate(F.col(ctry), "*", ""))
+    # base aggregate() drops rows whose grouping variables are NA
+    inc = inc.filter(F.col("Country").isNotNull() & F.col("Date").isNotNull())
     by_country = inc.groupBy("Country", "Date").agg(
         strict_sum("new_cases").alias("cases_new"),
         strict_sum("new_deaths").alias("deaths_new"),
