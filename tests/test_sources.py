@@ -65,3 +65,26 @@ def test_first_column_and_lower_names(spark):
     df = spark.createDataFrame([("2020-01-01", 1)], "`﻿Date_reported` string, X long")
     out = RD.lower_names(RD.first_column_as(df, "Date_reported"))
     assert out.columns == ["date_reported", "x"]
+
+
+def test_tracker_job_writes_every_table(spark):
+    """A14 end to end: five tables written (one source, as published) and read back."""
+    from paneltide.plans import catalog as C
+    from paneltide.plans import tracker_job as TJ
+
+    b = TB.event_bounds(spark, SF)
+    tables = TJ.tracker_tables(TB.daily_panel(spark, SF), b, C._names(spark, SF), C._frame(spark, SF, b))
+    out = scratch()
+    paths = TJ.write_tracker_outputs(tables, out, source="B", fmt="parquet")
+    assert set(paths) == {"cross_cases_deaths", "cross_cases_deaths_table", "cross_delta_cases_deaths",
+                          "series_delta_cases_deaths", "lookup_country_date"}
+    for name, path in paths.items():
+        back = spark.read.parquet(path)
+        want = tables[name]
+        if "data_source" in want.columns:
+            want = TJ.source_rows(want, "B")
+            assert back.select("data_source").distinct().collect() == [("B",)]
+        assert back.count() == want.count(), name
+    # the job's tables equal the registered queries
+    assert sorted(map(tuple, tables["cross_delta_cases_deaths"].collect())) == sorted(
+        map(tuple, C.QUERIES["tracker_change"](spark, SF).collect()))
