@@ -33,19 +33,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the cluster's shared checkpoint folder; set a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as-is.  Only a
-    session without one (tests, a laptop) gets a fresh scratch folder.
+    session without one (tests, a laptop) gets a fresh scratch folder.  A Spark Connect
+    session has no SparkContext; there the server's ``spark.checkpoint.dir`` applies.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM context on the client
+        return spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     path = configured or tempfile.mkdtemp(prefix="paneltide-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
