@@ -57,7 +57,7 @@ def cumulative_panel(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def tracker_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """A6 + A14 steps 6-8: snapshot grid, sextile classes, titles, completion, codes."""
-    cross = TR.period_snapshot_from_daily(T.daily_panel(spark, sf), T.event_bounds(spark, sf))
+    cross = TR.period_snapshot_from_daily(T.event_rows(spark, sf), T.event_bounds(spark, sf), pop=T.population_table(spark, sf))
     return TR.complete_snapshot(cross)
 
 
@@ -85,13 +85,15 @@ def period_change(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def change_classes(spark: SparkSession, sf: str) -> DataFrame:
     """D5 (A7 cross mode): change classes at the latest date, from one aggregation."""
-    return TR.change_cross_table(T.daily_panel(spark, sf), T.event_bounds(spark, sf), _names(spark, sf))
+    return TR.change_cross_table(T.event_rows(spark, sf), T.event_bounds(spark, sf), _names(spark, sf),
+                                 pop=T.population_table(spark, sf))
 
 
 @register
 def tracker_change(spark: SparkSession, sf: str) -> DataFrame:
     """A14 step 9: completed cross change + suppression + trajectory classes."""
-    return TR.tracker_change_from_daily(T.daily_panel(spark, sf), T.event_bounds(spark, sf), _names(spark, sf))
+    return TR.tracker_change_from_daily(T.event_rows(spark, sf), T.event_bounds(spark, sf), _names(spark, sf),
+                                        pop=T.population_table(spark, sf))
 
 
 @register
@@ -702,7 +704,7 @@ def change_labels(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def legend_bounds(spark: SparkSession, sf: str) -> DataFrame:
     """G8 + D7: per-group class lower bounds with fallbacks, and the legend labels."""
-    snap = TR.snapshot_values_from_daily(T.daily_panel(spark, sf), T.event_bounds(spark, sf))
+    snap = TR.snapshot_values_from_daily(T.event_rows(spark, sf), T.event_bounds(spark, sf), pop=T.population_table(spark, sf))
     return TR.legend_bounds(cut_lineage(snap))
 
 

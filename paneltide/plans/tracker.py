@@ -183,9 +183,11 @@ def period_snapshot(
     return classify_snapshot(snapshot_values(panel, periods, INDICATORS, as_of, dense), materialize)
 
 
-def period_snapshot_from_daily(daily: DataFrame, bounds: DataFrame, periods=SNAPSHOT_PERIODS, materialize: bool = True) -> DataFrame:
-    """A6 from sparse daily counts on a common calendar (one aggregation, no densify)."""
-    return classify_snapshot(snapshot_values_from_daily(daily, bounds, periods), materialize)
+def period_snapshot_from_daily(daily: DataFrame, bounds: DataFrame, periods=SNAPSHOT_PERIODS, materialize: bool = True,
+                               pop: DataFrame | None = None) -> DataFrame:
+    """A6 from sparse daily counts (or raw event rows + ``pop``) on a common calendar:
+    one aggregation, no densify."""
+    return classify_snapshot(snapshot_values_from_daily(daily, bounds, periods, pop=pop), materialize)
 
 
 def classify_snapshot(snap: DataFrame, materialize: bool = True) -> DataFrame:
@@ -352,18 +354,19 @@ def tracker_change(
 
 
 def change_cross_table(daily: DataFrame, bounds: DataFrame, entity_names: DataFrame | None = None,
-                       periods: Sequence[int] = CHANGE_PERIODS) -> DataFrame:
+                       periods: Sequence[int] = CHANGE_PERIODS, pop: DataFrame | None = None) -> DataFrame:
     """A7 cross mode from sparse daily counts (one aggregation), published columns."""
-    out = change_cross_from_daily(daily, bounds, periods).withColumn("dftype", F.lit("cross")).select(*CHANGE_COLS)
+    out = change_cross_from_daily(daily, bounds, periods, pop=pop).withColumn("dftype", F.lit("cross")).select(*CHANGE_COLS)
     if entity_names is not None:
         out = join_null_safe(out, entity_names.select("country", KEY).distinct(), [KEY], "left")
     return out
 
 
 def tracker_change_from_daily(daily: DataFrame, bounds: DataFrame, entity_names: DataFrame,
-                              periods: Sequence[int] = CHANGE_PERIODS, threshold: float = SPARSE_THRESHOLD) -> DataFrame:
+                              periods: Sequence[int] = CHANGE_PERIODS, threshold: float = SPARSE_THRESHOLD,
+                              pop: DataFrame | None = None) -> DataFrame:
     """A14 step 9 from sparse daily counts: the cross-section is one aggregation."""
-    return complete_change(change_cross_table(daily, bounds, entity_names, periods), threshold)
+    return complete_change(change_cross_table(daily, bounds, entity_names, periods, pop), threshold)
 
 
 def complete_change(cross: DataFrame, threshold: float = SPARSE_THRESHOLD, materialize: bool = True) -> DataFrame:
@@ -413,13 +416,22 @@ def _recent(x: str, days) -> Column:
     return F.sum(F.when(F.col("__d") > F.date_sub(F.col("__hi"), days), F.col(x)).otherwise(F.lit(0)))
 
 
-def _daily_cross(daily: DataFrame, bounds: DataFrame, windows: dict[str, tuple[str, int]]) -> DataFrame:
-    """Per (entity, source): ``name -> sum of column over the last k days`` (k None: all)."""
+def _daily_cross(daily: DataFrame, bounds: DataFrame, windows: dict[str, tuple[str, int]], pop: DataFrame | None = None) -> DataFrame:
+    """Per (entity, source): ``name -> sum of column over the last k days`` (k None: all).
+
+    ``daily`` may be the daily table or the raw per-event rows (counts 0/1): the sums are
+    the same, and on raw rows the daily aggregation and this one fuse into a single
+    aggregation with map-side combine.  ``pop`` ``(country_code, pop)`` is joined after
+    the aggregation, on one row per entity and source, instead of on every input row.
+    """
     staged = attach_row(daily, bounds.select("__lo", "__hi")).withColumnRenamed(DATE, "__d")
     aggs = []
     for name, (x, k) in windows.items():
         aggs.append((F.sum(F.col(x)) if k is None else _recent(x, k)).alias(name))
-    return staged.groupBy(KEY, SOURCE, POP, "__lo", "__hi").agg(*aggs)
+    if pop is None:
+        return staged.groupBy(KEY, SOURCE, POP, "__lo", "__hi").agg(*aggs)
+    out = staged.groupBy(KEY, SOURCE, "__lo", "__hi").agg(*aggs)
+    return join_null_safe(out, pop.select(KEY, POP), [KEY], "left")
 
 
 def snapshot_values_from_daily(
@@ -427,6 +439,7 @@ def snapshot_values_from_daily(
     bounds: DataFrame,
     periods: Sequence[int] = SNAPSHOT_PERIODS,
     indicators: dict = None,
+    pop: DataFrame | None = None,
 ) -> DataFrame:
     """A6 values at the last calendar day from sparse daily counts (same output as
     :func:`snapshot_values` on the densified cumulative panel).
@@ -441,7 +454,7 @@ def snapshot_values_from_daily(
         for p in periods:
             if p != CUMULATIVE_PERIOD:
                 wins[f"__r_{i}_{p}"] = (x, p)
-    agg = _daily_cross(daily, bounds, wins)
+    agg = _daily_cross(daily, bounds, wins, pop)
     cells = []
     for i, ind in enumerate(indicators):
         for p in periods:
@@ -463,6 +476,7 @@ def change_cross_from_daily(
     bounds: DataFrame,
     periods: Sequence[int] = CHANGE_PERIODS,
     indicators: dict = None,
+    pop: DataFrame | None = None,
 ) -> DataFrame:
     """A7 cross-section at the last calendar day from sparse daily counts (same rows as
     :func:`change_series` on the densified panel, restricted to the last day)."""
@@ -472,7 +486,7 @@ def change_cross_from_daily(
         for p in periods:
             wins[f"__c_{i}_{p}"] = (x, p)
             wins[f"__c_{i}_{2 * p}"] = (x, 2 * p)
-    agg = _daily_cross(daily, bounds, wins)
+    agg = _daily_cross(daily, bounds, wins, pop)
     hi, lo = F.col("__hi"), F.col("__lo")
 
     def back(k):  # the date k rows before the last day, null before the calendar start

@@ -102,6 +102,26 @@ def population(spark: SparkSession, sf_dir: str, entity: str = "user") -> DataFr
     return cust.select(F.col("c_custkey").alias("__k"), F.col("c_acctbal").alias("pop"))
 
 
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-event rows ``(country_code, Date, data_source, cases_new, deaths_new)`` with 0/1
+    counts: summing them per entity and source equals summing the daily table, so
+    cross-section aggregations can read the events directly (one aggregation, map-side
+    combine) instead of aggregating to days first."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return ev.select(
+        F.col("user_id").alias("country_code"),
+        F.to_date("ts").alias("Date"),
+        source_tag().alias("data_source"),
+        F.when(F.col("event_type").isin(CASE_TYPES), 1).otherwise(0).cast("long").alias("cases_new"),
+        F.when(F.col("event_type").isin(DEATH_TYPES), 1).otherwise(0).cast("long").alias("deaths_new"),
+    )
+
+
+def population_table(spark: SparkSession, sf_dir: str, entity: str = "user") -> DataFrame:
+    """``(country_code, pop)`` per entity."""
+    return population(spark, sf_dir, entity).select(F.col("__k").alias("country_code"), "pop")
+
+
 def daily_panel(spark: SparkSession, sf_dir: str, entity: str = "user") -> DataFrame:
     """Sparse daily panel with population: ``(country_code, Date, data_source, cases_new,
     deaths_new, pop)``, days with events only.  With :func:`event_bounds` it describes the
