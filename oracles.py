@@ -821,3 +821,8 @@ ORACLES["titles_and_codes"] = f"""WITH {panel_ctes()},
 {snapshot_ctes()},
 {complete_snapshot_ctes()}
 SELECT DISTINCT Indicator, Metric, periodval, periodvalx, maptitle, tabtitle FROM crossc"""
+
+ORACLES["suppress_sparse"] = tracker_change_sql("nation").replace(
+    "SELECT * FROM t4",
+    "SELECT Indicator, periodval, data_source, country_code, Date, curr_val, changecat, changecat_order, perc_change, perc_changex FROM t4",
+)

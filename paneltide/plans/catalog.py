@@ -712,3 +712,13 @@ def legend_bounds(spark: SparkSession, sf: str) -> DataFrame:
 def titles_and_codes(spark: SparkSession, sf: str) -> DataFrame:
     """D18 + D19: the title and period code of every grid cell present in the snapshot."""
     return tracker_snapshot(spark, sf).select("Indicator", "Metric", "periodval", "periodvalx", "maptitle", "tabtitle").distinct()
+
+
+@register
+def suppress_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """P21 + N11 on the nation panel: below 10 counts the class becomes the sparse text,
+    the ratio is nulled, the label is "N/A" and the order code is null."""
+    return trajectory_classes(spark, sf).select(
+        "Indicator", "periodval", "data_source", "country_code", "Date", "curr_val",
+        "changecat", "changecat_order", "perc_change", "perc_changex",
+    )
