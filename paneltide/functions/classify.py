@@ -82,6 +82,28 @@ INCIDENCE_CLASSES = [
 ]
 INCIDENCE_LOW = "Low Incidence"
 
+# Direction of change on the capped percent change: (label); thresholds -10 / 0 / 10.
+DIRECTION_NA = "N/A"
+DIRECTION_LABELS = ["Decreasing", "Moderate Decreasing", "Moderate Increasing", "Increasing"]
+
+# Simplified classes and the combined trajectory.
+INCIDENCE_SIMPLE = {"Low/Moderate": ["Low Incidence", "Moderate Incidence"],
+                    "High/Substantial": ["Substantial Incidence", "High Incidence"]}
+DIRECTION_SIMPLE = {"Decreasing": ["Decreasing", "Moderate Decreasing"],
+                    "Increasing": ["Increasing", "Moderate Increasing"]}
+TRAJECTORY_LABELS = {
+    ("Low/Moderate", "Decreasing"): "Low/Moderate Incidence, Decreasing",
+    ("Low/Moderate", "Increasing"): "Low/Moderate Incidence, Increasing",
+    ("High/Substantial", "Decreasing"): "Substantial/High Incidence, Decreasing",
+    ("High/Substantial", "Increasing"): "Substantial/High Incidence, Increasing",
+}
+
+# Sparse-count text: "<10 <Indicator> in past <period>".
+SPARSE_PREFIX, SPARSE_MIDDLE = "<10 ", " in past "
+
+# Quantile-class texts for rows without a class.
+QCLASS_ABSENT, QCLASS_NOT_ESTIMATED = "absent", "not estimated"
+
 # Display order codes for the second entity dimension.
 WHO_REGION_ORDER = {"AMRO": 101, "EURO": 102, "SEARO": 103, "EMRO": 104, "AFRO": 105, "WPRO": 106}
 WHO_REGION_ORDER_DEFAULT = 109
@@ -191,7 +213,7 @@ def coverage_bin(c) -> tuple[Column, Column]:
 
 def sparse_label(indicator, period_label) -> Column:
     """``"<10 <Indicator> in past <period>"``."""
-    return F.concat(F.lit("<10 "), col_of(indicator), F.lit(" in past "), col_of(period_label))
+    return F.concat(F.lit(SPARSE_PREFIX), col_of(indicator), F.lit(SPARSE_MIDDLE), col_of(period_label))
 
 
 def incidence_class(curr, incidence, indicator, period_label, threshold: float = 10) -> Column:
@@ -208,13 +230,14 @@ def incidence_class(curr, incidence, indicator, period_label, threshold: float =
 def direction_class(curr, pct_clean, threshold: float = 10) -> Column:
     """Direction class (D15) on the capped percent change."""
     curr, p = col_of(curr), col_of(pct_clean)
+    dec, mdec, minc, inc = DIRECTION_LABELS
     return ladder(
         [
-            (curr < threshold, "N/A"),
-            (p <= -10, "Decreasing"),
-            ((p > -10) & (p < 0), "Moderate Decreasing"),
-            ((p >= 0) & (p < 10), "Moderate Increasing"),
-            (p >= 10, "Increasing"),
+            (curr < threshold, DIRECTION_NA),
+            (p <= -10, dec),
+            ((p > -10) & (p < 0), mdec),
+            ((p >= 0) & (p < 10), minc),
+            (p >= 10, inc),
         ],
         None,
     )
@@ -222,41 +245,24 @@ def direction_class(curr, pct_clean, threshold: float = 10) -> Column:
 
 def incidence_simple(curr, inc_cat, indicator, period_label, threshold: float = 10) -> Column:
     c = col_of(inc_cat)
-    return ladder(
-        [
-            (col_of(curr) < threshold, sparse_label(indicator, period_label)),
-            (c.isin("Low Incidence", "Moderate Incidence"), "Low/Moderate"),
-            (c.isin("Substantial Incidence", "High Incidence"), "High/Substantial"),
-        ],
-        None,
-    )
+    branches = [(col_of(curr) < threshold, sparse_label(indicator, period_label))]
+    branches += [(c.isin(*members), label) for label, members in INCIDENCE_SIMPLE.items()]
+    return ladder(branches, None)
 
 
 def direction_simple(direction) -> Column:
     d = col_of(direction)
-    return ladder(
-        [
-            (d == "N/A", "N/A"),
-            (d.isin("Decreasing", "Moderate Decreasing"), "Decreasing"),
-            (d.isin("Increasing", "Moderate Increasing"), "Increasing"),
-        ],
-        None,
-    )
+    branches = [(d == DIRECTION_NA, DIRECTION_NA)]
+    branches += [(d.isin(*members), label) for label, members in DIRECTION_SIMPLE.items()]
+    return ladder(branches, None)
 
 
 def trajectory_class(curr, inc_simple, dir_simple, indicator, period_label, threshold: float = 10) -> Column:
     """Combined 2x2 trajectory."""
     i, d = col_of(inc_simple), col_of(dir_simple)
-    return ladder(
-        [
-            (col_of(curr) < threshold, sparse_label(indicator, period_label)),
-            ((i == "Low/Moderate") & (d == "Decreasing"), "Low/Moderate Incidence, Decreasing"),
-            ((i == "Low/Moderate") & (d == "Increasing"), "Low/Moderate Incidence, Increasing"),
-            ((i == "High/Substantial") & (d == "Decreasing"), "Substantial/High Incidence, Decreasing"),
-            ((i == "High/Substantial") & (d == "Increasing"), "Substantial/High Incidence, Increasing"),
-        ],
-        None,
-    )
+    branches = [(col_of(curr) < threshold, sparse_label(indicator, period_label))]
+    branches += [((i == a) & (d == b), label) for (a, b), label in TRAJECTORY_LABELS.items()]
+    return ladder(branches, None)
 
 
 def order_code(c, mapping: dict, default) -> Column:

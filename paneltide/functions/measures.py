@@ -16,6 +16,21 @@ ZERO_DENOMINATOR_LABEL = "Zero denominator"
 CUMULATIVE_PERIOD = 999
 PERIOD_CODES = {"24 hours": "x1", "7 days": "x2", "14 days": "x3", "30 days": "x4", "Cumulative": "x5"}
 PCT_CAP = 5  # percent change is capped at 5 (= 500%) for trajectory classes
+# Title fragments of the published map and table titles.
+TITLE = {
+    "map_cumulative": "Global cumulative ",
+    "map_period": "Global ",
+    "map_cases": "cases of ",
+    "map_deaths": "deaths from ",
+    "map_subject": "COVID-19 reported ",
+    "rate": "per 100,000 population ",
+    "past": "in the past ",
+    "tab_cumulative": "Cumulative ",
+    "tab_cases": "Cases reported ",
+    "tab_deaths": "Deaths reported ",
+    "caption_middle": " reported from ",
+    "caption_to": " to ",
+}
 # ---------------------------------------------------------------------------------------
 
 
@@ -81,11 +96,11 @@ def map_title(period, indicator, metric) -> Column:
     """(D19) map title; cumulative titles keep the trailing space."""
     period, indicator, metric = col_of(period), col_of(indicator), col_of(metric)
     return F.concat(
-        F.when(period == "Cumulative", F.lit("Global cumulative ")).otherwise(F.lit("Global ")),
-        F.when(indicator == "Cases", F.lit("cases of ")).otherwise(F.lit("deaths from ")),
-        F.lit("COVID-19 reported "),
-        F.when(metric == "Rate", F.lit("per 100,000 population ")).otherwise(F.lit("")),
-        F.when(period == "Cumulative", F.lit("")).otherwise(F.concat(F.lit("in the past "), period)),
+        F.when(period == "Cumulative", F.lit(TITLE["map_cumulative"])).otherwise(F.lit(TITLE["map_period"])),
+        F.when(indicator == "Cases", F.lit(TITLE["map_cases"])).otherwise(F.lit(TITLE["map_deaths"])),
+        F.lit(TITLE["map_subject"]),
+        F.when(metric == "Rate", F.lit(TITLE["rate"])).otherwise(F.lit("")),
+        F.when(period == "Cumulative", F.lit("")).otherwise(F.concat(F.lit(TITLE["past"]), period)),
     )
 
 
@@ -93,15 +108,15 @@ def tab_title(period, indicator, metric=None) -> Column:
     """(D19) table title; without ``metric`` it is the pivoted-table title."""
     period, indicator = col_of(period), col_of(indicator)
     parts = [
-        F.when(period == "Cumulative", F.lit("Cumulative ")).otherwise(F.lit("")),
-        F.when(indicator == "Cases", F.lit("Cases reported ")).otherwise(F.lit("Deaths reported ")),
+        F.when(period == "Cumulative", F.lit(TITLE["tab_cumulative"])).otherwise(F.lit("")),
+        F.when(indicator == "Cases", F.lit(TITLE["tab_cases"])).otherwise(F.lit(TITLE["tab_deaths"])),
     ]
     if metric is not None:
-        parts.append(F.when(col_of(metric) == "Rate", F.lit("per 100,000 population ")).otherwise(F.lit("")))
-    parts.append(F.when(period == "Cumulative", F.lit("")).otherwise(F.concat(F.lit("in the past "), period)))
+        parts.append(F.when(col_of(metric) == "Rate", F.lit(TITLE["rate"])).otherwise(F.lit("")))
+    parts.append(F.when(period == "Cumulative", F.lit("")).otherwise(F.concat(F.lit(TITLE["past"]), period)))
     return F.concat(*parts)
 
 
 def range_caption(indicator, start, end) -> Column:
     """(D20) ``"<Indicator> reported from <start> to <end>"``, nulls as ``NA``."""
-    return F.concat(col_of(indicator), F.lit(" reported from "), text_na(start), F.lit(" to "), text_na(end))
+    return F.concat(col_of(indicator), F.lit(TITLE["caption_middle"]), text_na(start), F.lit(TITLE["caption_to"]), text_na(end))

@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import (
+    DIRECTION_NA,
+    QCLASS_ABSENT,
+    QCLASS_NOT_ESTIMATED,
     change_class_code,
     change_class_index,
     change_class_label,
@@ -24,6 +27,7 @@ from ..functions.classify import (
     incidence_class,
     incidence_simple,
     quantile_class_index,
+    sparse_label,
     trajectory_class,
 )
 from ..functions.measures import (
@@ -143,11 +147,11 @@ def quantile_classes(df: DataFrame, groups: Sequence[str] = GROUP, value: str =
     labelled = join_null_safe(classed, bounds, groups, "left")
     cls = F.col("__cls")
     qcats = (
-        F.when(cls.isNull(), F.lit("not estimated"))
+        F.when(cls.isNull(), F.lit(QCLASS_NOT_ESTIMATED))
         .when(cls == 6, F.concat(num_text(F.col("lw6")), F.lit("+")))
         .otherwise(num_text_grouped(F.element_at(F.array(*[F.col(f"lw{k}") for k in range(2, 7)]), cls)))
     )
-    qvals = F.when(cls.isNull(), F.lit("absent")).otherwise(F.concat(F.lit("cat"), cls.cast("string")))
+    qvals = F.when(cls.isNull(), F.lit(QCLASS_ABSENT)).otherwise(F.concat(F.lit("cat"), cls.cast("string")))
     return labelled.withColumn("qcats", qcats).withColumn("qvals", qvals).drop("__cls", *[f"lw{k}" for k in range(2, 7)])
 
 
@@ -212,7 +216,7 @@ def complete_snapshot(cross: DataFrame, materialize: bool = True) -> DataFrame:
     full = complete_nested(cross, KEY, nested)
     filled = fill_downup(full, [KEY, "Indicator", "Metric", "periodval", "dftype", DATE], [SOURCE], [POP, "maptitle", "tabtitle"])
     out = filled.withColumn("valuex", F.when(F.col("qvals").isNull(), fill_zero("valuex")).otherwise(F.col("valuex"))).withColumn(
-        "qvals", F.coalesce(F.col("qvals"), F.lit("absent"))
+        "qvals", F.coalesce(F.col("qvals"), F.lit(QCLASS_ABSENT))
     )
     return out.select(*cross.columns, period_code(F.col("periodval")).alias("periodvalx"))
 
@@ -381,14 +385,14 @@ def complete_change(cross: DataFrame, threshold: float = SPARSE_THRESHOLD, mater
     filled = fill_downup(full, [KEY, "Indicator", "periodval", "dftype", DATE], [SOURCE], fill_cols)
     filled = filled.withColumn("curr_val", fill_zero("curr_val")).withColumn("prev_val", fill_zero("prev_val"))
     sparse = F.col("curr_val") < threshold
-    sparse_text = F.concat(F.lit("<10 "), F.col("Indicator"), F.lit(" in past "), F.col("periodval"))
+    sparse_text = sparse_label(F.col("Indicator"), F.col("periodval"))
     suppressed = filled.withColumns(
         {
             "changecat": F.when(sparse, sparse_text).otherwise(F.col("changecat")),
             # ifelse() on a factor returns its integer codes (N11): published as an order code.
             "changecat_order": F.when(~sparse, change_class_index("perc_change")),
             "perc_change": F.when(~sparse, F.col("perc_change")),
-            "perc_changex": F.when(sparse, F.lit("N/A")).otherwise(F.col("perc_changex")),
+            "perc_changex": F.when(sparse, F.lit(DIRECTION_NA)).otherwise(F.col("perc_changex")),
         }
     )
     cols = [c if c != "changecatx" else "changecat_order" for c in CHANGE_COLS] + ["country"]
