@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.reshape import complete_calendar
 from ..operators.series import running_sum
+from ..session import cut_lineage
 
 # Fixed values of the binding (event types per indicator, source tags).
 CASE_TYPES = ["view", "click"]
@@ -233,7 +234,8 @@ def wide_cumulative(
     from ..operators.reshape import long_to_wide
 
     bounds = bounds if bounds is not None else event_bounds(spark, sf_dir)
-    cum = _user_cumulative(spark, sf_dir, source, bounds)
+    # Both files are pivots of the same per-user cumulative table: build it once.
+    cum = cut_lineage(_user_cumulative(spark, sf_dir, source, bounds))
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     geo = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
