@@ -395,3 +395,16 @@ def test_indicator_long_on_reference_metadata(spark):
         ("people_vaccinated_per_hundred", day(1), 2, "Cumulative People Vaccinated (1 or more)", True),
         ("people_with_booster_per_hundred", day(1), 6, "Cumulative People With Booster", True),
     ]
+
+
+def test_column_helpers(spark):
+    from paneltide.operators import columns as COL
+
+    df = spark.createDataFrame([(1, 2, 3, 4)], "province_a long, province_b long, city_c long, d long")
+    assert COL.select_range(df, "province_b", "city_c", keep=["d"]).columns == ["d", "province_b", "city_c"]
+    assert COL.drop_range(df, "province_a", "province_b").columns == ["city_c", "d"]
+    assert COL.rename_regex(df, "^province_", "city_").columns == ["city_a", "city_b", "city_c", "d"]
+    assert COL.rename_with(df, str.upper).columns == ["PROVINCE_A", "PROVINCE_B", "CITY_C", "D"]
+    assert COL.move_first(df, ["d"]).columns == ["d", "province_a", "province_b", "city_c"]
+    dup = COL.duplicate_as(df, {"d": "d_legacy"})
+    assert dup.columns[-1] == "d_legacy" and rows(dup, "d", "d_legacy") == [(4, 4)]
