@@ -293,8 +293,6 @@ SELECT * FROM t4"""
 
 
 def period_change_sql(mode: str = "series", periods=(7, 14, 30), entity: str = "user") -> str:
-    cls = "cls AS changecatx_idx"
-    _ = cls
     classes = (
         "changecat, CASE WHEN cls IS NULL THEN NULL ELSE 'val' || CAST(cls AS VARCHAR) END AS changecatx"
         if mode == "cross"
