@@ -61,3 +61,43 @@ def entity_dimension(dim: DataFrame) -> DataFrame:
         "incomelevel_value string, WHO_R_Order int, STATE_R_Order int, Income_L_Order int",
     )
     return ragged_union(coded, other)
+
+
+def dashboard_tables(
+    dim: DataFrame,
+    cases_panel: DataFrame,
+    indicator_wide: DataFrame,
+    indicator_id: str,
+    indicator_measures,
+    indicator_meta: dict,
+    indicator_families: dict,
+    hosp_first: DataFrame,
+    hosp_second: DataFrame,
+    policy_raw: DataFrame,
+) -> dict[str, DataFrame]:
+    """The dashboard's tables from its inputs, as DataFrames (nothing written).
+
+    * ``onetable``: second entity dimension with order codes and the "Other" row
+    * ``overlay_cases_deaths`` / ``overlay_stringency``: A8 overlays
+    * ``vaccinations_all_counts`` / ``..._rates``: the A9 long table split by Count / Rate (K3)
+    * ``vaccinations_categories``: the legend table (D9)
+    * ``hosp_data_latest`` / ``hosp_data_long``: A11 / A12
+    """
+    from pyspark.sql import functions as F
+
+    from . import hospital as H
+    from . import indicators as IND
+    from . import overlays as OV
+
+    long = IND.indicator_long(indicator_wide, indicator_id, "date", list(indicator_measures), indicator_meta, indicator_families)
+    hosp = H.combine(hosp_first, hosp_second)
+    return {
+        "onetable": entity_dimension(dim),
+        "overlay_cases_deaths": OV.overlay_rates(cases_panel),
+        "overlay_stringency": OV.overlay_policy(policy_raw),
+        "vaccinations_all_counts": long.filter(F.col("count_or_rate") == "Count"),
+        "vaccinations_all_rates": long.filter(F.col("count_or_rate") == "Rate"),
+        "vaccinations_categories": IND.legend_table(dim.sparkSession, indicator_meta, indicator_families),
+        "hosp_data_latest": H.latest(hosp),
+        "hosp_data_long": H.fill(hosp),
+    }
