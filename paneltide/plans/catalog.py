@@ -625,13 +625,7 @@ def rollout(spark: SparkSession, sf: str) -> DataFrame:
 def _hospital(spark, sf):
     from . import hospital as H
 
-    ev = T.read_table(spark, sf, "events")
-    long = ev.groupBy(
-        F.col("user_id").alias("iso_code"), F.col("event_type").alias("indicator"), T.source_tag().alias("__src"), F.to_date("ts").alias("date")
-    ).agg(F.round(F.sum("value"), 2).alias("value"))
-    first = long.filter(F.col("__src") == "A").drop("__src").withColumn("url", F.lit("source-a"))
-    second = long.filter(F.col("__src") == "B").drop("__src")
-    return H.combine(first, second)
+    return H.combine(*T.hospital_feeds(spark, sf))
 
 
 @register
@@ -659,16 +653,7 @@ def overlay_policy(spark: SparkSession, sf: str) -> DataFrame:
     sub-national index feed with mixed-case headers."""
     from . import overlays as OV
 
-    o = T.read_table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
-    cust = T.read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nation = T.read_table(spark, sf, "nation").select("n_nationkey", "n_name")
-    raw = o.join(cust, o.o_custkey == cust.c_custkey).join(nation, cust.c_nationkey == nation.n_nationkey).select(
-        F.col("n_name").alias("CountryName"),
-        F.col("n_nationkey").cast("string").alias("CountryCode"),
-        F.when(F.col("o_orderstatus") == "F", F.lit("NAT_TOTAL")).otherwise(F.lit("STATE_TOTAL")).alias("Jurisdiction"),
-        F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("Date"),
-        F.col("o_totalprice").alias("StringencyIndex"),
-    )
+    raw = T.policy_feed(spark, sf)
     return OV.overlay_policy(raw)
 
 

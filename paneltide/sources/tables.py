@@ -284,3 +284,32 @@ def long_daily(spark: SparkSession, sf_dir: str, source: str | None = "B") -> Da
         F.col("who_region").alias("WHO_region"),
         "New_cases", "Cumulative_cases", "New_deaths", "Cumulative_deaths",
     )
+
+
+def policy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy-index feed with the published mixed-case headers: orders as national
+    (status F) and sub-national rows per nation, ``yyyymmdd`` integer dates."""
+    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return o.join(cust, o.o_custkey == cust.c_custkey).join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        F.col("n_name").alias("CountryName"),
+        F.col("n_nationkey").cast("string").alias("CountryCode"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("NAT_TOTAL")).otherwise(F.lit("STATE_TOTAL")).alias("Jurisdiction"),
+        F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("Date"),
+        F.col("o_totalprice").alias("StringencyIndex"),
+    )
+
+
+def hospital_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two long indicator feeds ``(iso_code, indicator, date, value[, url])``: per user,
+    event type and day, the summed amounts of each source tag; the first carries an extra
+    column so the union is ragged."""
+    ev = read_table(spark, sf_dir, "events")
+    long = ev.groupBy(
+        F.col("user_id").alias("iso_code"), F.col("event_type").alias("indicator"), source_tag().alias("__src"),
+        F.to_date("ts").alias("date"),
+    ).agg(F.round(F.sum("value"), 2).alias("value"))
+    first = long.filter(F.col("__src") == SOURCES[0]).drop("__src").withColumn("url", F.lit("source-a"))
+    second = long.filter(F.col("__src") == SOURCES[1]).drop("__src")
+    return first, second

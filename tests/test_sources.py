@@ -98,21 +98,25 @@ def test_dashboard_job_builds_and_writes_every_table(spark):
     from paneltide.plans import dashboard as DB
     from paneltide.plans import tracker_job as TJ
 
-    panel = TB.cumulative_panel(spark, SF)
-    cases = panel.join(C._names(spark, SF), "country_code", "left")
-    ev = TB.read_table(spark, SF, "events")
-    long = ev.groupBy(F.col("user_id").alias("iso_code"), F.col("event_type").alias("indicator"), TB.source_tag().alias("s"),
-                      F.to_date("ts").alias("date")).agg(F.round(F.sum("value"), 2).alias("value"))
-    o = TB.read_table(spark, SF, "orders")
-    policy = o.select(F.lit("N").alias("CountryName"), F.col("o_custkey").cast("string").alias("CountryCode"),
-                      F.lit("NAT_TOTAL").alias("Jurisdiction"), F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("Date"),
-                      F.col("o_totalprice").alias("StringencyIndex"))
+    cases = TB.cumulative_panel(spark, SF).join(C._names(spark, SF), "country_code", "left")
+    first, second = TB.hospital_feeds(spark, SF)
     tables = DB.dashboard_tables(
         TB.nation_dim(spark, SF), cases, C._amounts_wide(spark, SF), "user_id", C.TYPES, C.TYPE_META, C.TYPE_FAMILIES,
-        long.filter("s = 'A'").drop("s"), long.filter("s = 'B'").drop("s"), policy,
+        first, second, TB.policy_feed(spark, SF),
     )
     paths = TJ.write_tracker_outputs(tables, scratch(), fmt="parquet")
     for name, path in paths.items():
         assert spark.read.parquet(path).count() == tables[name].count(), name
     assert tables["vaccinations_all_rates"].count() == 0  # the binding's indicators are all counts
     assert tables["onetable"].filter("id = 'OTH'").count() == 1
+
+
+def test_cli_jobs_write_csv(spark):
+    from paneltide import cli
+
+    out = scratch()
+    paths = cli.run_tracker(spark, SF, os.path.join(out, "tracker"), source="B")
+    schema = spark.read.option("header", True).csv(paths["cross_delta_cases_deaths"]).columns
+    assert "traj_cat_simple" in schema and "changecat_order" in schema
+    paths = cli.run_dashboard(spark, SF, os.path.join(out, "dashboard"), fmt="parquet")
+    assert spark.read.parquet(paths["onetable"]).filter("id = 'OTH'").count() == 1
