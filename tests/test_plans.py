@@ -31,9 +31,11 @@ def test_panel_reads_only_needed_columns_and_shuffles_once_for_windows(spark):
     assert len(series_exchanges) == 1, p
 
 
-def test_latest_one_is_a_group_limit(spark):
-    p = plan_of(C.QUERIES["latest_one"](spark, SF))
-    assert "WindowGroupLimit" in p
+@pytest.mark.parametrize("name", ["latest_one", "latest_with_ties", "snapshot_cumulative"])
+def test_latest_rows_are_map_side_group_limits(spark, name):
+    """Top-1 per group (with or without ties) is cut map-side before the shuffle."""
+    p = plan_of(C.QUERIES[name](spark, SF))
+    assert "WindowGroupLimit" in p and ", Partial" in p
 
 
 def test_broadcast_nested_loop_only_against_one_row_sides(spark):
