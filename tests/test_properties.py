@@ -162,3 +162,31 @@ def test_cross_sections_aggregation_form_equals_window_form(spark, rows_, pad):
     c = TR.change_cross_from_daily(daily, bounds, (1, 7, 14)).drop("changecat", "changecatx")
     w = TR.change_series(dense, (1, 7, 14), tail_of=as_of).join(as_of, F.col("Date") == F.col("__max"), "left_semi")
     assert sorted(map(tuple, c.collect())) == sorted(map(tuple, w.select(*c.columns).collect()))
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.floats(-3, 3, allow_nan=False), st.sampled_from([-0.5, -0.1, 0.0, 0.1, 1.0, 99999.0])),
+                min_size=1, max_size=40))
+def test_change_classes_equal_reference_cut(spark, vals):
+    cuts = [-0.5, -0.1, 0.0, 0.1, 1.0]
+    df = spark.createDataFrame([(v,) for v in vals], "p double")
+    got = [r[0] for r in df.select(CL.change_class_index("p")).collect()]
+    for v, g in zip(vals, got):
+        want = None if v is None else 1 + sum(1 for c in cuts if v > c)
+        assert g == want
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.floats(-5, 120, allow_nan=False), st.sampled_from([3.0, 10.0, 20.0, 30.0, 40.0, 60.0, 70.0])),
+                min_size=1, max_size=40))
+def test_coverage_bins_equal_reference(spark, vals):
+    uppers = [3, 10, 20, 30, 40, 60, 70]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    lab, order = CL.coverage_bin("v")
+    got = [tuple(r) for r in df.select(lab, order).collect()]
+    for v, (gl, go) in zip(vals, got):
+        if v is None:
+            assert (gl, go) == ("No data", 0)
+        else:
+            k = next((i + 1 for i, u in enumerate(uppers) if v < u), 8)
+            assert go == k and gl == (CL.COVERAGE_TOP if k == 8 else CL.COVERAGE_BINS[k - 1][1])
