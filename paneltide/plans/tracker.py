@@ -6,6 +6,10 @@ indicator x period x source x mode, 24 passes) and re-sorts the panel in every p
 each grid is one pass: a single window over (entity, source) ordered by date computes every
 ``lag`` the grid needs as separate columns, and the grid axes are then produced by an
 ``inline`` of an array of structs - a narrow generator, not a union of 40 plans.
+
+The cross-sections at the last day (snapshot, change classes) also have an aggregation
+form (``*_from_daily``).  It reads sparse daily counts or raw event rows and needs no
+densify and no window; see the section at the end of this module.
 """
 
 from __future__ import annotations
