@@ -55,3 +55,43 @@ def start_daily_sink(daily: DataFrame, sink_path: str, checkpoint: str, trigger_
     w = daily.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
     return w.start(sink_path)
+
+
+def running_totals(
+    daily: DataFrame,
+    keys: Sequence[str],
+    date_col: str,
+    measures: Sequence[str],
+) -> DataFrame:
+    """Per-key running totals over a stream of finalised daily rows (stateful).
+
+    The state per key is one number per measure (the totals so far), so it stays small
+    whatever the volume.  Days of a key arrive in order when the input is the append-mode
+    output of :func:`daily_updates` (a day is emitted only after the watermark passed
+    it); within a micro-batch the rows of a key are sorted by day.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    keys, measures = list(keys), list(measures)
+    out_fields = [daily.schema[c] for c in daily.columns] + [T.StructField(f"{m}_cum", T.LongType()) for m in measures]
+    out_schema = T.StructType(out_fields)
+    state_schema = T.StructType([T.StructField(m, T.LongType()) for m in measures])
+    cols = list(daily.columns)
+
+    def step(key, pdfs, state):
+        totals = list(state.get) if state.exists else [0] * len(measures)
+        parts = []
+        for pdf in pdfs:
+            parts.append(pdf)
+        if not parts:
+            return
+        pdf = pd.concat(parts).sort_values(date_col)
+        for i, m in enumerate(measures):
+            c = pdf[m].fillna(0).astype("int64").cumsum() + totals[i]
+            pdf[f"{m}_cum"] = c
+            totals[i] = int(c.iloc[-1])
+        state.update(tuple(totals))
+        yield pdf[cols + [f"{m}_cum" for m in measures]]
+
+    return daily.groupBy(*keys).applyInPandasWithState(step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
