@@ -48,6 +48,7 @@ def quantile_cuts(
     positive_only: bool = True,
     approx_accuracy: int | None = None,
     prefix: str = "q",
+    spill_safe: bool = False,
 ) -> DataFrame:
     """Per-group cut points, linear interpolation (R type 7).
 
@@ -55,8 +56,12 @@ def quantile_cuts(
     is a map of distinct value -> count, merged map-side, so memory grows with the distinct
     values of a group and not with its rows.  ``approx_accuracy`` switches to
     ``percentile_approx`` for groups with very many distinct values.
+    ``spill_safe`` uses :func:`quantile_cuts_sorted` (same doubles, sort-based, no in-memory
+    map; groups without a qualifying value are then absent rather than null).
     A group with no qualifying value gets null cut points.
     """
+    if spill_safe:
+        return quantile_cuts_sorted(df, groups, value, probs, positive_only, prefix)
     v = F.col(value).cast("double")
     if positive_only:
         v = F.when(v > 0, v)
@@ -68,6 +73,51 @@ def quantile_cuts(
     return out.select(*groups, *[F.col("__q")[i].alias(f"{prefix}{i + 1}") for i in range(len(probs))])
 
 
+def quantile_cuts_sorted(
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    probs: Sequence[float] = SEXTILES,
+    positive_only: bool = True,
+    prefix: str = "q",
+) -> DataFrame:
+    """Exact type-7 cut points without holding a group's values in memory.
+
+    A distributed histogram (group, value) -> count (partial aggregation), running counts
+    in a sort-based window per group (which spills to disk instead of needing the whole
+    group in memory), then each position's value is the largest value whose first
+    position is at or before it.  The interpolation is the same arithmetic as
+    ``percentile``, so both give identical doubles.
+    """
+    from pyspark.sql import Window
+
+    v = F.col(value).cast("double")
+    if positive_only:
+        v = F.when(v > 0, v)
+    hist = df.select(*groups, v.alias("__v")).filter(F.col("__v").isNotNull()).groupBy(*groups, "__v").agg(
+        F.count(F.lit(1)).alias("__c")
+    )
+    w = Window.partitionBy(*groups).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    staged = hist.withColumns(
+        {"__start": F.sum("__c").over(w) - F.col("__c"), "__tot": F.sum("__c").over(Window.partitionBy(*groups))}
+    )
+    n = F.col("__tot")
+    aggs = [F.max(n).alias("__n")]
+    for i, p in enumerate(probs):
+        pos = (n - 1).cast("double") * F.lit(float(p))
+        aggs.append(F.max(F.when(F.col("__start") <= F.floor(pos), F.col("__v"))).alias(f"__lo{i}"))
+        aggs.append(F.max(F.when(F.col("__start") <= F.ceil(pos), F.col("__v"))).alias(f"__hi{i}"))
+    per = staged.groupBy(*groups).agg(*aggs)
+    out = []
+    for i, p in enumerate(probs):
+        pos = (F.col("__n") - 1).cast("double") * F.lit(float(p))
+        lo_k, hi_k = F.floor(pos), F.ceil(pos)
+        lo_v, hi_v = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        interp = (hi_k - pos) * lo_v + (pos - lo_k) * hi_v
+        out.append(F.when(lo_v == hi_v, lo_v).otherwise(interp).alias(f"{prefix}{i + 1}"))
+    return per.select(*groups, *out)
+
+
 def class_lower_bounds(df: DataFrame, groups: Sequence[str], value: str, cls: str, n: int = 6, prefix: str = "lw") -> DataFrame:
     """Lower bound of classes 2..n: min value per class, empty class -> previous bound.
 

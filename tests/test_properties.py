@@ -190,3 +190,14 @@ def test_coverage_bins_equal_reference(spark, vals):
         else:
             k = next((i + 1 for i, u in enumerate(uppers) if v < u), 8)
             assert go == k and gl == (CL.COVERAGE_TOP if k == 8 else CL.COVERAGE_BINS[k - 1][1])
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=50), min_size=1, max_size=5))
+def test_sorted_quantiles_equal_percentile_exactly(spark, groups):
+    rows = [(f"g{k}", float(v) / 3) for k, vals in enumerate(groups) for v in vals]
+    df = spark.createDataFrame(rows, "g string, v double")
+    a = {r["g"]: tuple(r[f"q{i}"] for i in range(1, 6)) for r in AG.quantile_cuts(df, ["g"], "v").collect()}
+    b = {r["g"]: tuple(r[f"q{i}"] for i in range(1, 6)) for r in AG.quantile_cuts_sorted(df, ["g"], "v").collect()}
+    # groups without a positive value have no histogram rows: they are absent (null cuts)
+    assert {g: q for g, q in a.items() if q[0] is not None} == b
