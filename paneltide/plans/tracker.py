@@ -134,7 +134,7 @@ def snapshot_values(
 GROUP = ["Indicator", "Metric", "periodval", SOURCE]
 
 
-def quantile_classes(df: DataFrame, groups: Sequence[str] = GROUP, value: str = "valuex") -> DataFrame:
+def quantile_classes(df: DataFrame, groups: Sequence[str] = GROUP, value: str = "valuex", spill_safe: bool = False) -> DataFrame:
     """Sextile map classes and legend labels per group.
 
     Cut points and class bounds are per-group aggregates (partial aggregation, one row
@@ -143,7 +143,7 @@ def quantile_classes(df: DataFrame, groups: Sequence[str] = GROUP, value: str =
     indicator x metric x period x source) and falls back to a sort-merge join otherwise.
     """
     groups = list(groups)
-    cuts = quantile_cuts(df, groups, value)
+    cuts = quantile_cuts(df, groups, value, spill_safe=spill_safe)
     with_cuts = join_null_safe(df, cuts, groups, "left")
     idx = quantile_class_index(F.col(value), [F.col(f"q{i}") for i in range(1, 6)])
     classed = with_cuts.withColumn("__cls", F.when(F.col(value).isNotNull(), idx)).drop(*[f"q{i}" for i in range(1, 6)])
@@ -198,11 +198,11 @@ def period_snapshot_from_daily(daily: DataFrame, bounds: DataFrame, periods=SNAP
     return classify_snapshot(snapshot_values_from_daily(daily, bounds, periods, pop=pop), materialize)
 
 
-def classify_snapshot(snap: DataFrame, materialize: bool = True) -> DataFrame:
+def classify_snapshot(snap: DataFrame, materialize: bool = True, spill_safe: bool = False) -> DataFrame:
     """Classes, legend labels and titles of snapshot rows."""
     if materialize:
         snap = cut_lineage(snap)
-    classed = quantile_classes(snap).withColumn("dftype", F.lit("cross"))
+    classed = quantile_classes(snap, spill_safe=spill_safe).withColumn("dftype", F.lit("cross"))
     return classed.select(
         "Indicator", "Metric", "periodval", SOURCE, KEY, DATE, POP, "valuex", "dftype", "qcats", "qvals",
         map_title("periodval", "Indicator", "Metric").alias("maptitle"),

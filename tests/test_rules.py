@@ -408,3 +408,13 @@ def test_column_helpers(spark):
     assert COL.move_first(df, ["d"]).columns == ["d", "province_a", "province_b", "city_c"]
     dup = COL.duplicate_as(df, {"d": "d_legacy"})
     assert dup.columns[-1] == "d_legacy" and rows(dup, "d", "d_legacy") == [(4, 4)]
+
+
+def test_quantile_classes_spill_safe_option_same_result(spark):
+    from paneltide.plans.tracker import quantile_classes
+
+    vals = [0.0, 1.0, 2.0, 2.0, 3.0, 5.0, 8.0, 13.0, None, 0.0]
+    df = spark.createDataFrame([("g", v) for v in vals] + [("h", 0.0)], "Indicator string, valuex double")
+    a = sorted(map(tuple, quantile_classes(df, ["Indicator"], "valuex").collect()), key=str)
+    b = sorted(map(tuple, quantile_classes(df, ["Indicator"], "valuex", spill_safe=True).collect()), key=str)
+    assert a == b
