@@ -6,8 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paneltide.llm import bpe
-from paneltide.llm.shared import table
+from paneltide.llm import bpe, langid
+from paneltide.llm.shared import crc_bucket, table
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_bucket(docs["doc_id"], 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.identify(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +22,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_language_id": op6_language_id,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
