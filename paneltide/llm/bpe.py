@@ -22,7 +22,7 @@ import pyarrow as pa
 import public_tokenizers
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,8 +147,6 @@ def encode(
         .otherwise(F.col("text").substr(F.col("k") * chunk + 1, F.lit(chunk + overlap)))
         .alias("piece"),
     ).repartition("id", "key", "k")
-    from pyspark.sql import Window
-
     doc = Window.partitionBy("id", "key").orderBy("k")
     seams = (
         _with_starts(chunks, chunk, overlap, ranks, pattern)
@@ -197,9 +195,16 @@ def decode(
     def run(batches):
         own, _ = _encoding(ranks.value, pattern)
         for b in batches:
-            ids = b.column(b.schema.get_field_index("ids")).to_pylist()
-            out = pa.array([own.decode_bytes(x or []) for x in ids], type=pa.binary())
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), out], names=[*keep, "decoded"])
+            ids = b.column(b.schema.get_field_index("ids"))
+            ends = ids.offsets.to_numpy()
+            flat = ids.values.to_numpy(zero_copy_only=False)
+            rest = b.select(keep)
+            for lo, hi in spans_of(np.diff(ends).tolist(), _BLOCK // 4):
+                # one text's ids are Python objects at a time
+                out = [own.decode_bytes(flat[ends[i] : ends[i + 1]].tolist()) for i in range(lo, hi)]
+                yield pa.RecordBatch.from_arrays(
+                    [*rest.slice(lo, hi - lo).columns, pa.array(out, pa.binary())], names=[*keep, "decoded"]
+                )
 
     return encoded.mapInArrow(run, schema)
 
