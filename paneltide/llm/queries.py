@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paneltide.llm import bpe, langid
+from paneltide.llm import bpe, langid, minhash
 from paneltide.llm.shared import crc_bucket, table
 
 
@@ -17,12 +17,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
+    "op8_dart_minhash": op8_dart_minhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
