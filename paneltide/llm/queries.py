@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paneltide.llm import bpe, langid, minhash
+from paneltide.llm import bpe, decontaminate, langid, minhash
 from paneltide.llm.shared import crc_bucket, table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_leaks(docs, items, keep=["doc_id"])
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_bucket(docs["doc_id"], 4) == 2
@@ -26,6 +33,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op6_language_id": op6_language_id,
     "op8_dart_minhash": op8_dart_minhash,
     "op10_byte_bpe": op10_byte_bpe,

@@ -79,11 +79,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = 1 << max(16, int(n - 1).bit_length())
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        factors = np.empty(size, np.uint64)
         with np.errstate(over="ignore"):
-            _powers[:] = [
-                np.cumprod(np.concatenate(([1], np.full(size - 1, b))).astype(np.uint64), dtype=np.uint64)
-                for b in (_BASE, inverse)
-            ]
+            _powers.clear()
+            for b in (_BASE, inverse):
+                factors[0], factors[1:] = 1, b
+                _powers.append(np.cumprod(factors, dtype=np.uint64))
     return _powers[0], _powers[1]
 
 
