@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.llm import bpe, decontaminate, langid, minhash
+from paneltide.llm import bpe, decontaminate, langid, linedup, minhash
 from paneltide.llm.shared import crc_bucket, table
 
 
@@ -17,6 +17,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_bucket(docs["doc_id"], 4) == 2
@@ -34,9 +38,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_line_dedup": op2_line_dedup,
     "op6_language_id": op6_language_id,
     "op8_dart_minhash": op8_dart_minhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_line_dedup": linedup.DEDUP_SQL}
