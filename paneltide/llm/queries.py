@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.llm import bpe, decontaminate, langid, linedup, minhash
+from paneltide.llm import bpe, decontaminate, langid, linedup, minhash, passages
 from paneltide.llm.shared import crc_bucket, table
 
 
@@ -21,6 +21,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = passages.dedup_passages(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return cleaned.select(
+        "doc_id",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.col("removed.start").alias("starts"),
+        F.col("removed.end").alias("ends"),
+        F.col("removed.first_doc").alias("first_docs"),
+        "text",
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_bucket(docs["doc_id"], 4) == 2
@@ -39,6 +51,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
+    "op3_passage_dedup": op3_passage_dedup,
     "op6_language_id": op6_language_id,
     "op8_dart_minhash": op8_dart_minhash,
     "op10_byte_bpe": op10_byte_bpe,
