@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.llm import bpe, decontaminate, langid, linedup, minhash, passages
+from paneltide.llm import bpe, decontaminate, langid, linedup, minhash, passages, topk
 from paneltide.llm.shared import crc_bucket, table
 
 
@@ -44,6 +44,10 @@ def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_passage_dedup": op3_passage_dedup,
     "op6_language_id": op6_language_id,
     "op8_dart_minhash": op8_dart_minhash,
+    "op9_top_k": op9_top_k,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {"op2_line_dedup": linedup.DEDUP_SQL}
+ORACLES: dict[str, str] = {"op2_line_dedup": linedup.DEDUP_SQL, "op9_top_k": topk.TOP_K_SQL}
