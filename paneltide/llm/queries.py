@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.llm import bpe, decontaminate, langid, linedup, minhash, passages, topk
+from paneltide.llm import bpe, decontaminate, langid, linedup, minhash, passages, topk, urls
 from paneltide.llm.shared import crc_bucket, table
 
 
@@ -33,6 +33,10 @@ def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_bucket(docs["doc_id"], 4) == 2
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
     "op3_passage_dedup": op3_passage_dedup,
+    "op4_url_filter": op4_url_filter,
     "op6_language_id": op6_language_id,
     "op8_dart_minhash": op8_dart_minhash,
     "op9_top_k": op9_top_k,
