@@ -126,7 +126,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         "gone",
     )
     # each of the two arrays is used twice below, so they are computed once for a row
-    joined = base.join(gone, (d == F.col("__d")) & (t == F.col("__t")), "left").withColumns(
+    # a merge join at every size: a broadcast of what is gone would grow with the corpus
+    joined = base.join(gone.hint("merge"), (d == F.col("__d")) & (t == F.col("__t")), "left").withColumns(
         {"__lines": _lines(F.col(text_col)), "__filled": F.transform(_filled(F.col(text_col)), lambda x: x["i"])}
     )
     number = F.transform(F.col("__gone"), lambda p: F.element_at(F.col("__filled"), p + 1))
