@@ -222,7 +222,8 @@ def near_duplicates(
     shared = store.put(banded.join(heads, "band").where("node <> head"), "shared")  # (band, node, head)
     pairs = store.put(shared.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = named.join(wanted, F.col("id") == F.col("node"), "left_semi").select("id", "text")
+    # a merge join at every size: a broadcast of the candidates would grow with the corpus
+    texts = named.join(wanted.hint("merge"), F.col("id") == F.col("node"), "left_semi").select("id", "text")
     found = store.put(_elements(texts, size, weighted), "elements")
 
     def similar(candidates: DataFrame) -> DataFrame:

@@ -141,7 +141,8 @@ def dedup_passages(
     base = docs.select(
         *names, F.col(id_col).cast("long").alias("__key"), F.shiftright(version, 40).alias("__version"), F.col(text_col).alias("__text")
     )
-    joined = base.join(copies, (F.col("__key") == F.col("__id")) & (F.col("__version") == F.col("__v")), "left").select(
+    # a merge join at every size: a broadcast of the copies would grow with the corpus
+    joined = base.join(copies.hint("merge"), (F.col("__key") == F.col("__id")) & (F.col("__version") == F.col("__v")), "left").select(
         *names, "__text", "__copies"
     )
     schema = T.StructType(
