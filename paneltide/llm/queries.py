@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.llm import bpe, decontaminate, langid, linedup, minhash, passages, topk, urls
+from paneltide.llm import bpe, decontaminate, langid, linedup, minhash, passages, pii, topk, urls
 from paneltide.llm.shared import crc_bucket, table
 
 
@@ -44,6 +44,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_passage_dedup": op3_passage_dedup,
     "op4_url_filter": op4_url_filter,
     "op6_language_id": op6_language_id,
+    "op7_personal_data": op7_personal_data,
     "op8_dart_minhash": op8_dart_minhash,
     "op9_top_k": op9_top_k,
     "op10_byte_bpe": op10_byte_bpe,
