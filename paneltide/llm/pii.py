@@ -1,8 +1,8 @@
 """Personal data: fixed formats, and identifiers found by bootstrapped contextual extraction.
 
-The spans of four fixed formats are the seeds.  The word before a seed and the word after it
-are lexical patterns; so are the words around every other token that holds a digit.  Patterns
-and the values they surround form a graph.  Each round scores a pattern, for each kind, by the
+The spans of four fixed formats are the seeds.  The word before a seed, and that
+word together with the one after, are lexical patterns, as are those of every other token that
+holds a digit.  Patterns and the values they surround form a graph.  Each round scores a pattern, for each kind, by the
 confidence of its distinct values, and a value by the patterns that are sure enough; after the
 last round, tokens that stand in a sure pattern and whose value is sure enough are spans too.
 
@@ -159,10 +159,10 @@ def _learn(found: DataFrame, store: Stored, rounds: int, support: int, sure: flo
 
 
 def _patterns() -> Column:
-    def one(side: str) -> Column:
-        return F.when(F.col(side) != "", F.concat(F.lit(f"{side} "), F.col(side)))
-
-    return F.array(one("left"), one("right"))
+    """The word before, and that word together with the one after; never the latter alone,
+    which is too often a common word."""
+    near = F.when(F.col("left") != "", F.col("left"))
+    return F.array(F.concat(F.lit("after "), near), F.concat(F.lit("between "), near, F.lit(" and "), F.col("right")))
 
 
 def _rank() -> Column:
