@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.llm import bpe, decontaminate, langid, linedup, minhash, passages, pii, topk, urls
+from paneltide.llm import bpe, ctw, decontaminate, langid, linedup, minhash, passages, pii, topk, urls
 from paneltide.llm.shared import crc_bucket, table
 
 
@@ -37,6 +37,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_ctw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_bucket(docs["doc_id"], 4) == 2
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_passage_dedup": op3_passage_dedup,
     "op4_url_filter": op4_url_filter,
+    "op5_ctw_scores": op5_ctw_scores,
     "op6_language_id": op6_language_id,
     "op7_personal_data": op7_personal_data,
     "op8_dart_minhash": op8_dart_minhash,
