@@ -8,8 +8,10 @@ probability of their weighted Jaccard similarity.  A text throws only as many da
 its coordinates, not ``k`` for each element.
 
 Identical shingle sets are collapsed first.  Texts that share a band are compared, exactly, with
-the bucket's smallest text; where that leaves a bucket in several components, its members are
-compared across these.  So no bucket is expanded into all pairs, and no link that banding
+the bucket's smallest text; where that leaves a bucket in several components, its members meet
+the bucket's best linked text that was not tried yet, a few times over.  Members that are still
+apart are compared across components, unless their sizes or the lowest bits of their signatures
+rule the similarity out.  So no bucket is expanded into all pairs, and no link that banding
 proposes goes missing between components.
 """
 
@@ -30,6 +32,10 @@ from paneltide.llm.words import hash_words, mix, shingles
 _BLOCK = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-64
+#: Further texts that a bucket's members are compared with before they meet across components.
+_ROUNDS = 4
+#: The sketch has the lowest bit of so many coordinates.
+_SKETCH = 128
 #: Rank intervals: doubling up to a width of 8, then of that width.
 _FIRST = 2.0**-6
 _WIDEST = 8.0
@@ -130,7 +136,8 @@ def shingle_sets(texts, size: int, weighted: bool) -> tuple[np.ndarray, np.ndarr
 
 
 def _sketch(docs: DataFrame, size: int, weighted: bool, bands: int, rows: int, seed: int) -> DataFrame:
-    """(id, d1, d2, bands) of every document with words; d1 and d2 name the shingle set."""
+    """(id, d1, d2, bands, n, s1, s2) of every document with words; d1 and d2 name the shingle
+    set, n is its weight, s1 and s2 are the lowest bits of its signature."""
 
     def run(batches):
         for b in batches:
@@ -149,18 +156,24 @@ def _sketch(docs: DataFrame, size: int, weighted: bool, bands: int, rows: int, s
                         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part, dtype=np.uint64)))
                         at = np.searchsorted(o, np.arange(n + 1))
                         names.append(mix(sums[at[1:]] - sums[at[:-1]]))
-                has = np.flatnonzero(np.bincount(o, minlength=n))
+                size_of = np.bincount(o, weights=w, minlength=n)
+                has = np.flatnonzero(size_of)
+                low = np.zeros((n, _SKETCH), np.uint8)
+                low[:, : sig.shape[1]] = (mix(sig) & np.uint64(1))[:, :_SKETCH]
+                bits = np.packbits(low, axis=1).view(np.int64)
                 ends = pa.array(np.arange(len(has) + 1, dtype=np.int32) * bands)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(lo, n).take(pa.array(has)),
                         *(pa.array(x[has].view(np.int64)) for x in names),
                         pa.ListArray.from_arrays(ends, pa.array(key[has].reshape(-1).view(np.int64))),
+                        pa.array(size_of[has]),
+                        *(pa.array(bits[has, i]) for i in (0, 1)),
                     ],
-                    names=["id", "d1", "d2", "bands"],
+                    names=["id", "d1", "d2", "bands", "n", "s1", "s2"],
                 )
 
-    return docs.mapInArrow(run, "id long, d1 long, d2 long, bands array<long>")
+    return docs.mapInArrow(run, "id long, d1 long, d2 long, bands array<long>, n double, s1 long, s2 long")
 
 
 def _elements(docs: DataFrame, size: int, weighted: bool) -> DataFrame:
@@ -210,7 +223,7 @@ def near_duplicates(
     named = rows_.where(F.col("id").isNotNull())
     sketch = store.put(_sketch(named, size, weighted, bands, rows, seed), "sketch")
     sets = store.put(
-        sketch.groupBy("d1", "d2").agg(F.min("id").alias("node"), F.any_value("bands").alias("bands")), "sets"
+        sketch.groupBy("d1", "d2").agg(F.min("id").alias("node"), *(F.any_value(c).alias(c) for c in ("bands", "n", "s1", "s2"))), "sets"
     )
     member = sketch.select("id", "d1", "d2").join(sets.select("d1", "d2", "node"), ["d1", "d2"]).select("id", "node")
 
@@ -219,8 +232,8 @@ def near_duplicates(
         banded.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("most")).where("head < most").drop("most"),
         "heads",
     )
-    shared = store.put(banded.join(heads, "band").where("node <> head"), "shared")  # (band, node, head)
-    pairs = store.put(shared.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
+    shared = store.put(banded.join(heads, "band"), "shared")  # (band, node, head) of buckets with two texts or more
+    pairs = store.put(shared.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     # a merge join at every size: a broadcast of the candidates would grow with the corpus
     texts = named.join(wanted.hint("merge"), F.col("id") == F.col("node"), "left_semi").select("id", "text")
@@ -243,21 +256,45 @@ def near_duplicates(
     parts = components(links, store, "parts")
 
     def part(df: DataFrame, node: str, into: str) -> DataFrame:
-        p = parts.select(F.col("node").alias("pn"), F.col("component").alias("pc"))
+        p = parts.select(F.col("node").alias("pn"), F.col("component").alias("pc"))  # as they are now
         return df.join(p, F.col(node) == F.col("pn"), "left").withColumn(into, F.coalesce("pc", node)).drop("pn", "pc")
 
-    apart = part(part(pairs, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    if not apart.isEmpty():
-        # buckets that span components: compare their members across these
-        open_ = shared.join(apart, (F.col("node") == F.col("a")) & (F.col("head") == F.col("b")), "left_semi").select("band").distinct()
-        inside = store.put(part(banded.join(open_, "band"), "node", "c"), "inside")
-        x = inside.select("band", F.col("node").alias("a"), F.col("c").alias("ca"))
-        y = inside.select("band", F.col("node").alias("b"), F.col("c").alias("cb"))
-        across = x.join(y, "band").where("ca > cb").select("a", "b").distinct()
-        across = store.put(across.join(pairs, ["a", "b"], "left_anti"), "across")
-        more = store.put(similar(across), "more")
+    def open_rows(rows_: DataFrame, name: str) -> DataFrame:
+        """Rows (band, node) of buckets in more than one component, with it."""
+        labelled = part(rows_.select("band", "node"), "node", "c")
+        several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
+        return store.put(labelled.join(several, "band"), name)
+
+    used, left = heads, open_rows(shared, "open-0")
+    for r in range(1, _ROUNDS + 1):
+        if left.isEmpty():
+            break
+        ends = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        degree = ends.groupBy(F.col("u").alias("node")).agg(F.count("*").alias("degree"))
+        untried = left.join(used, (left["band"] == used["band"]) & (left["node"] == used["head"]), "left_anti").join(degree, "node", "left")
+        best = F.struct(F.coalesce("degree", F.lit(0)).alias("d"), F.xxhash64("node", F.lit(r)).alias("h"), "node", "c")
+        tried = store.put(
+            untried.groupBy("band").agg(F.max(best).alias("x")).select("band", F.col("x.node").alias("head"), F.col("x.c").alias("hc")), f"heads-{r}"
+        )
+        met = left.join(tried, "band").where("c <> hc").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+        more = store.put(similar(met), f"more-{r}")
+        links, used = links.unionByName(more), used.select("band", "head").unionByName(tried.select("band", "head"))
+        stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        parts = components(stars.unionByName(more), store, f"parts-{r}")
+        left = open_rows(left, f"open-{r}")
+    if not left.isEmpty():
+        side = left.join(sets.select("node", "n", "s1", "s2"), "node")
+        x, y = (side.select(*(F.col(c).alias(c + i) for c in ("band", "node", "c", "n", "s1", "s2"))) for i in "xy")
+        differ = F.bit_count(F.col("s1x").bitwiseXOR(F.col("s1y"))) + F.bit_count(F.col("s2x").bitwiseXOR(F.col("s2y")))
+        # the expected share of differing bits is half the distance; six standard deviations
+        share, seen = (1 - similarity) / 2, min(_SKETCH, bands * rows)
+        most = share * seen + 6 * math.sqrt(seen * share * (1 - share))
+        alike = (F.col("nx") >= similarity * F.col("ny")) & (F.col("ny") >= similarity * F.col("nx")) & (differ <= most)
+        across = x.join(y, (F.col("bandx") == F.col("bandy")) & (F.col("cx") > F.col("cy")) & alike)
+        more = store.put(similar(across.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()), "across")
         if not more.isEmpty():
-            parts = components(links.unionByName(more), store, "joined")
+            stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
+            parts = components(stars.unionByName(more), store, "joined")
     of = parts.select(F.col("node").alias("pn"), F.col("component").alias("pc"))
     return (
         rows_.select("id")

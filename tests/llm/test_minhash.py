@@ -82,6 +82,23 @@ def test_bucket_in_two_components_loses_no_link(spark, monkeypatch):
     assert got == _classes(rows) == {1: 1, 2: 1, 3: 1}
 
 
+@pytest.mark.parametrize("rounds", [0, 4])
+def test_copies_that_are_like_their_origin_only(spark, monkeypatch, rounds):
+    """Edits of one text: like it, but mostly not like each other, and it is no bucket's head."""
+    monkeypatch.setattr(minhash, "_ROUNDS", rounds)
+    rnd = random.Random(6)
+    origin = [f"w{i}" for i in range(120)]
+    rows = [(1000, " ".join(origin))]
+    for i in range(40):
+        at = rnd.randrange(110)
+        w = list(origin)
+        w[at], w[(at + 40) % 120] = f"x{i}", f"y{i}"
+        rows.append((i, " ".join(w)))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == _classes(rows)
+    assert len(set(got.values())) == 1
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "one two", "c"), (4, "One  two!", "c"), (4, "One  two!", "c"), (None, "one two", "d"),
             (5, "x y " * 60_000, "e"), (6, "x y " * 60_000 + "x", "e"), (7, "alpha", None), (4, "beta gamma", None), (9, "gamma! BETA? beta gamma", None), (10, "beta gamma", None)]
