@@ -1,16 +1,51 @@
 """The training-data pipeline: documents through the stages of ``STAGES``, in order.
 
 A stage is ``(name, function)``; the function takes ``(spark, docs, sf_dir)`` and returns a
-DataFrame, which is written as Parquet and read again as the next stage's ``docs``.
+DataFrame, which is written as Parquet and read again as the next stage's ``docs``.  All but
+the last return the columns of ``docs``.  Null texts and ids, repeated rows and empty tables
+have the results that the operators define; a row with a null id is never a copy.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paneltide.llm import bpe
+from paneltide.llm import bpe, decontaminate, langid, linedup, minhash
 from paneltide.llm.shared import Stored, table
 
+#: A document whose best language has a smaller share goes; one in no known language has 0.
+LEAST_LANGUAGE_SCORE = 0.2
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach: those without a letter, and those
+    whose best language is unsure, go."""
+    model = langid.fit(docs)
+    judged = langid.identify(docs, model, into=("__lang", "__score"))
+    sure = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)
+    return judged.where(sure).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of line runs; a document that was all copies goes."""
+    cleaned = linedup.dedup_lines(docs.withColumnRenamed("n_chars", "__n")).where("n_removed = 0 or n_removed < n_lines")
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("__n"))
+    return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate class."""
+    classes = minhash.near_duplicates(docs)
+    copies = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__copy")).distinct()
+    return docs.join(copies.hint("merge"), docs["doc_id"] == F.col("__copy"), "left_anti").select(*docs.columns)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), into="__leaks")
+    return found.where(F.size("__leaks") == 0).select(*docs.columns)
+
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE encoding and decoding of every document that is left."""
@@ -18,10 +53,14 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("language_id", known_language),
+    ("line_dedup", drop_repeated_lines),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
     ("byte_bpe", encode_bytes),
 ]
 
-#: SQL cannot express the learned and hashed stages; tests compare with brute force.
+#: SQL cannot express the learned and hashed stages; a test compares with a plain version.
 ORACLE_SQL = None
 
 
