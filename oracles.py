@@ -12,8 +12,14 @@ P6 = [1 / 6, 2 / 6, 3 / 6, 4 / 6, 5 / 6]
 
 
 def _daily(entity: str = "user") -> str:
+    if entity == "orders":
+        return f"""daily AS (
+  SELECT CAST(c.c_nationkey AS BIGINT) AS entity, CAST(o.o_orderdate AS DATE) AS date,
+         {SOURCE_TAG.replace('event_id', 'o.o_orderkey')} AS source, count(*) AS cases_new,
+         count(*) FILTER (WHERE o.o_orderstatus = 'F') AS deaths_new
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2, 3)"""
     if entity == "nation":
-        src = "events e JOIN customer c ON e.user_id = c.c_custkey"
+        src = "events e LEFT JOIN customer c ON e.user_id = c.c_custkey"
         ent = "CAST(c.c_nationkey AS BIGINT)"
     else:
         src = "events e"
@@ -26,7 +32,7 @@ def _daily(entity: str = "user") -> str:
 
 
 def _pop(entity: str = "user") -> str:
-    if entity == "nation":
+    if entity in ("nation", "orders"):
         return "popt AS (SELECT CAST(c_nationkey AS BIGINT) AS k, round(sum(c_acctbal), 2) AS pop FROM customer GROUP BY 1)"
     return "popt AS (SELECT c_custkey AS k, c_acctbal AS pop FROM customer)"
 
@@ -171,8 +177,31 @@ FROM crossc WHERE country_code IS NOT NULL
 GROUP BY {keys}"""
 
 
-def quantile_classes_sql() -> str:
-    return f"WITH {panel_ctes()},\n{snapshot_ctes()}\nSELECT * FROM crossx"
+def gappy_panel_lags_sql() -> str:
+    """Row lags over the days that a series has."""
+    w = "WINDOW w AS (PARTITION BY entity, source ORDER BY date)"
+    cum = "WINDOW w AS (PARTITION BY entity, source ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    cells = []
+    for ind, c in (("Cases", "cc"), ("Deaths", "dc")):
+        for p in (1, 7, 30):
+            v = f"CAST(greatest({c} - lag({c}, {p}) OVER w, 0) AS DOUBLE)"
+            label = period_label(p)
+            known = f"CASE WHEN lag({c}, {p}) OVER w IS NOT NULL THEN {v} END"
+            cells.append(f"SELECT '{ind}' AS Indicator, 'Counts' AS Metric, '{label}' AS periodval, *, {known} AS valuex FROM cum {w}")
+    counts = " UNION ALL ".join(cells)
+    return f"""WITH {_daily('orders')},
+{_pop('orders')},
+cum AS (SELECT entity, source, date, popt.pop, sum(cases_new) OVER w AS cc, sum(deaths_new) OVER w AS dc
+  FROM daily LEFT JOIN popt ON popt.k = daily.entity {cum}),
+counts AS ({counts}),
+cells AS (SELECT * FROM counts UNION ALL
+  SELECT Indicator, 'Rate' AS Metric, periodval, entity, source, date, pop, cc, dc,
+    CASE WHEN pop > 0 THEN round(valuex / pop * 100000, 1) END AS valuex FROM counts)
+SELECT Indicator, Metric, periodval, source AS data_source, entity AS country_code, date AS Date, pop, valuex FROM cells"""
+
+
+def quantile_classes_sql(entity: str = "user") -> str:
+    return f"WITH {panel_ctes(entity)},\n{snapshot_ctes()}\nSELECT * FROM crossx"
 
 
 # ------------------------------------------------------------------ change
@@ -249,7 +278,7 @@ t4 AS (SELECT *,
 
 
 def _names(entity: str) -> str:
-    if entity == "nation":
+    if entity in ("nation", "orders"):
         return "names AS (SELECT DISTINCT n_name AS country, CAST(n_nationkey AS BIGINT) AS country_code FROM nation)"
     return "names AS (SELECT DISTINCT c_name AS country, c_custkey AS country_code FROM customer)"
 
@@ -497,11 +526,12 @@ FROM a FULL OUTER JOIN b ON a.entity IS NOT DISTINCT FROM b.entity AND a.date IS
 {_daily('nation')}
 SELECT f.country, f.date, f.iso3code, f.who_region, coalesce(f.pop_2020yr, 0) AS pop_2020yr, f.ou_date_match,
        coalesce(d.cases_new, 0) AS cases_new, coalesce(d.deaths_new, 0) AS deaths_new
-FROM frame f LEFT JOIN daily d ON CAST(d.entity AS VARCHAR) = f.iso3code AND d.date = f.date AND d.source = 'A'""",
+FROM frame f LEFT JOIN (SELECT entity, date, CAST(sum(cases_new) AS BIGINT) AS cases_new, CAST(sum(deaths_new) AS BIGINT) AS deaths_new
+  FROM daily GROUP BY 1, 2) d ON CAST(d.entity AS VARCHAR) = f.iso3code AND d.date = f.date""",
     "semi_clip": f"""WITH {EV_CAL},
 {FRAME},
 {_daily('nation')},
-b AS (SELECT CAST(entity AS VARCHAR) AS iso3code, date FROM daily WHERE source = 'B')
+b AS (SELECT CAST(entity AS VARCHAR) AS iso3code, date FROM daily)
 SELECT f.* FROM frame f
 WHERE f.date >= (SELECT min(date) FROM b) AND f.date <= (SELECT max(date) FROM b)
   AND f.iso3code IN (SELECT iso3code FROM b)""",
@@ -556,11 +586,12 @@ bal AS (
 
 W_USER = "WINDOW w AS (PARTITION BY user_id ORDER BY date)"
 
-PURCH = EV_CAL + """,
-pd AS (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS purchases FROM events WHERE event_type = 'purchase' GROUP BY 1, 2),
+SPARSE = EV_CAL + """,
+pd AS (SELECT user_id, event_type, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2, 3),
 pdense AS (
-  SELECT u.user_id, c.date, pd.purchases
-  FROM (SELECT DISTINCT user_id FROM pd) u CROSS JOIN ev_cal c LEFT JOIN pd ON pd.user_id = u.user_id AND pd.date = c.date)"""
+  SELECT u.user_id, u.event_type, c.date, pd.n
+  FROM (SELECT DISTINCT user_id, event_type FROM pd) u CROSS JOIN ev_cal c
+  LEFT JOIN pd ON pd.user_id = u.user_id AND pd.event_type = u.event_type AND pd.date = c.date)"""
 
 FAMILIES = {
     "count_vaccinated": [0, 1e3, 1e4, 1e5, 1e6, 1e7],
@@ -627,26 +658,26 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
 SELECT *, row_number() OVER w = 1 AS is_latest,
        row_number() OVER w = count(*) OVER (PARTITION BY user_id, event_type) AS is_first
 FROM dbt WINDOW w AS (PARTITION BY user_id, event_type ORDER BY date DESC)""",
-    "fill_down": f"""WITH {PURCH}
-SELECT user_id, date, purchases,
-  last_value(purchases IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled
+    "fill_down": f"""WITH {SPARSE}
+SELECT user_id, event_type, date, n,
+  last_value(n IGNORE NULLS) OVER (PARTITION BY user_id, event_type ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled
 FROM pdense""",
-    "fill_downup": f"""WITH {PURCH}
-SELECT user_id, date, purchases,
-  coalesce(last_value(purchases IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-           first_value(purchases IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS filled
+    "fill_downup": f"""WITH {SPARSE}
+SELECT user_id, event_type, date, n,
+  coalesce(last_value(n IGNORE NULLS) OVER (PARTITION BY user_id, event_type ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+           first_value(n IGNORE NULLS) OVER (PARTITION BY user_id, event_type ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS filled
 FROM pdense""",
-    "locf_maxgap": f"""WITH {PURCH},
-rn AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date) AS k,
-              count(*) OVER (PARTITION BY user_id) AS nrows FROM pdense),
+    "locf_maxgap": f"""WITH {SPARSE},
+rn AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY date) AS k,
+              count(*) OVER (PARTITION BY user_id, event_type) AS nrows FROM pdense),
 nb AS (SELECT *,
-  max(CASE WHEN purchases IS NOT NULL THEN k END) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_k,
-  min(CASE WHEN purchases IS NOT NULL THEN k END) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_k
+  max(CASE WHEN n IS NOT NULL THEN k END) OVER (PARTITION BY user_id, event_type ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_k,
+  min(CASE WHEN n IS NOT NULL THEN k END) OVER (PARTITION BY user_id, event_type ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_k
   FROM rn)
-SELECT n1.user_id, n1.date, n1.purchases,
-  CASE WHEN n1.purchases IS NOT NULL THEN n1.purchases
-       WHEN n1.prev_k IS NOT NULL AND coalesce(n1.next_k, n1.nrows + 1) - n1.prev_k - 1 <= 2 THEN n2.purchases END AS carry_fwd_value
-FROM nb n1 LEFT JOIN rn n2 ON n2.user_id = n1.user_id AND n2.k = n1.prev_k""",
+SELECT n1.user_id, n1.event_type, n1.date, n1.n,
+  CASE WHEN n1.n IS NOT NULL THEN n1.n
+       WHEN n1.prev_k IS NOT NULL AND coalesce(n1.next_k, n1.nrows + 1) - n1.prev_k - 1 <= 2 THEN n2.n END AS carry_fwd_value
+FROM nb n1 LEFT JOIN rn n2 ON n2.user_id = n1.user_id AND n2.event_type = n1.event_type AND n2.k = n1.prev_k""",
     "fixed_break_bins": " UNION ALL ".join(
         f"SELECT o_orderkey, o_totalprice AS value, '{fam}' AS family, {_bin_case('o_totalprice', br)} AS data_cat_num, "
         f"CASE WHEN {_bin_case('o_totalprice', br)} IS NOT NULL THEN 'cat ' || CAST({_bin_case('o_totalprice', br)} AS VARCHAR) END AS data_cat FROM orders"
@@ -682,6 +713,10 @@ ORACLES: dict[str, str] = {
     "tracker_snapshot": tracker_snapshot_sql(),
     "snapshot_table": snapshot_table_sql(),
     "quantile_classes": quantile_classes_sql(),
+    "gappy_panel_lags": gappy_panel_lags_sql(),
+    "order_snapshot": quantile_classes_sql("orders"),
+    "order_change": tracker_change_sql("orders"),
+    "order_series_trajectory": change_series_trajectory_sql("orders"),
     "period_change": period_change_sql("series"),
     "change_classes": period_change_sql("cross"),
     "change_classes_window": period_change_sql("cross"),

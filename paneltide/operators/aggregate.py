@@ -46,7 +46,6 @@ def quantile_cuts(
     value: str,
     probs: Sequence[float] = SEXTILES,
     positive_only: bool = True,
-    approx_accuracy: int | None = None,
     prefix: str = "q",
     spill_safe: bool = False,
 ) -> DataFrame:
@@ -54,8 +53,7 @@ def quantile_cuts(
 
     ``percentile`` is exact and identical to R's default ``quantile``; its buffer per group
     is a map of distinct value -> count, merged map-side, so memory grows with the distinct
-    values of a group and not with its rows.  ``approx_accuracy`` switches to
-    ``percentile_approx`` for groups with very many distinct values.
+    values of a group and not with its rows.
     ``spill_safe`` uses :func:`quantile_cuts_sorted` (same doubles, sort-based, no in-memory
     map; groups without a qualifying value are then absent rather than null).
     A group with no qualifying value gets null cut points.
@@ -65,10 +63,7 @@ def quantile_cuts(
     v = F.col(value).cast("double")
     if positive_only:
         v = F.when(v > 0, v)
-    if approx_accuracy:
-        arr = F.percentile_approx(v, list(probs), approx_accuracy)
-    else:
-        arr = F.percentile(v, F.array(*[F.lit(float(p)) for p in probs]))
+    arr = F.percentile(v, F.array(*[F.lit(float(p)) for p in probs]))
     out = df.groupBy(*groups).agg(arr.alias("__q"))
     return out.select(*groups, *[F.col("__q")[i].alias(f"{prefix}{i + 1}") for i in range(len(probs))])
 

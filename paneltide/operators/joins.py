@@ -105,7 +105,19 @@ def normalise_key(c) -> Column:
 def alias_join(df: DataFrame, name_col: str, aliases: DataFrame, alias_col: str, code_col: str, out: str) -> DataFrame:
     """Standardise free-text names to a code through an alias table.
 
-    Both sides are normalised with :func:`normalise_key`; unmatched names get null.
+    Both sides are normalised with :func:`normalise_key`; unmatched names get null.  Two
+    spellings that normalise alike must carry one code: otherwise the rows of that name would
+    be duplicated, so the query fails with the name.
     """
-    a = aliases.select(normalise_key(alias_col).alias("__ak"), F.col(code_col).alias(out)).distinct()
+    a = (
+        aliases.select(normalise_key(alias_col).alias("__ak"), F.col(code_col).alias("__code"))
+        .groupBy("__ak")
+        .agg(F.min("__code").alias("__lo"), F.max("__code").alias("__hi"))
+        .select(
+            "__ak",
+            F.when(F.col("__lo").eqNullSafe(F.col("__hi")), F.col("__lo"))
+            .otherwise(F.raise_error(F.concat(F.lit("alias with more than one code: "), F.col("__ak"))))
+            .alias(out),
+        )
+    )
     return df.join(a, normalise_key(name_col) == F.col("__ak"), "left").drop("__ak")

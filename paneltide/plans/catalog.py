@@ -122,6 +122,39 @@ def change_series_trajectory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
+# ------------------------------------------------------------------ the order panel (2,399 days)
+
+
+@register
+def gappy_panel_lags(spark: SparkSession, sf: str) -> DataFrame:
+    """Row lags on a panel that lacks days: the order days of each nation and
+    source as they are, cumulative, without completion."""
+    d = T.order_daily(spark, sf)
+    cum = S.running_sum(d, [TR.KEY, TR.SOURCE], TR.DATE, {"cases_new": "cases_cum", "deaths_new": "deaths_cum"})
+    return TR.snapshot_values(cum, periods=(1, 7, 30), at_max=False)
+
+
+@register
+def order_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """A6 on the order panel: every period has its lag, 30 days included."""
+    daily = T.order_daily(spark, sf)
+    return TR.period_snapshot_from_daily(daily, T.order_bounds(spark, sf))
+
+
+@register
+def order_change(spark: SparkSession, sf: str) -> DataFrame:
+    """A7 + A14 step 9 on the order panel, 30-day periods included."""
+    daily = T.order_daily(spark, sf)
+    return TR.tracker_change_from_daily(daily, T.order_bounds(spark, sf), _names(spark, sf, "nation"))
+
+
+@register
+def order_series_trajectory(spark: SparkSession, sf: str) -> DataFrame:
+    """A14 step 10 on the dense order panel: a class for every day of 2,399."""
+    panel = T.order_panel(spark, sf)
+    return TR.change_series_trajectory(panel, _names(spark, sf, "nation"))
+
+
 # ------------------------------------------------------------------ country totals (A2-A5)
 
 
@@ -261,22 +294,25 @@ def full_outer_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _nation_daily(spark, sf, src):
-    d = T.daily_counts(spark, sf, "nation").filter(F.col("source") == src)
+def _nation_daily(spark, sf):
+    """Daily counts of both sources together."""
+    d = T.daily_counts(spark, sf, "nation").groupBy("entity", "date").agg(
+        F.sum("cases_new").alias("cases_new"), F.sum("deaths_new").alias("deaths_new")
+    )
     return d.select(F.col("entity").cast("string").alias("iso3code"), "date", "cases_new", "deaths_new")
 
 
 @register
 def frame_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    """J3 + P19: natural (all shared columns) left join of source A onto the frame."""
+    """J3 + P19: natural (all shared columns) left join of the daily counts onto the frame."""
     frame = _frame(spark, sf).select("country", "date", "iso3code", "who_region", "pop_2020yr", "ou_date_match")
-    return AG.numeric_null_to_zero(J.natural_left_join(frame, _nation_daily(spark, sf, "A")))
+    return AG.numeric_null_to_zero(J.natural_left_join(frame, _nation_daily(spark, sf)))
 
 
 @register
 def semi_clip(spark: SparkSession, sf: str) -> DataFrame:
-    """P15 + J5: frame rows inside source B's observed dates and nations."""
-    b = _nation_daily(spark, sf, "B")
+    """P15 + J5: frame rows inside the observed dates and nations of the daily counts."""
+    b = _nation_daily(spark, sf)
     clipped = J.clip_to_range(_frame(spark, sf), "date", b, "date")
     return J.semi_join(clipped, b, ["iso3code"])
 
@@ -451,7 +487,8 @@ def rolling_mean_7(spark: SparkSession, sf: str) -> DataFrame:
 
     panel = T.cumulative_panel(spark, sf)
     names = _names(spark, sf)
-    return OV.overlay_rates(J.lookup_join(panel, "country_code", names, "country_code", ["country"]))
+    named = J.lookup_join(panel, "country_code", names, "country_code", ["country"])
+    return OV.overlay_rates(named, digits=6)  # so that two engines' sums compare equal
 
 
 @register
@@ -474,30 +511,29 @@ def first_last_flags(spark: SparkSession, sf: str) -> DataFrame:
     return S.first_last_flags(_daily_by_type(spark, sf), ["user_id", "event_type"], "date")
 
 
-def _sparse_purchases(spark, sf):
-    ev = T.read_table(spark, sf, "events").filter(F.col("event_type") == "purchase")
-    daily = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("purchases"))
-    return R.complete_calendar(daily, ["user_id"], "date", ["purchases"], bounds=T.event_bounds(spark, sf))
+def _sparse_counts(spark, sf):
+    """Every (user, type) series on the event calendar, null on days without events."""
+    return R.complete_calendar(_daily_by_type(spark, sf), ["user_id", "event_type"], "date", ["n"], bounds=T.event_bounds(spark, sf))
 
 
 @register
 def fill_down(spark: SparkSession, sf: str) -> DataFrame:
     """Last observation carried forward without limit."""
-    d = _sparse_purchases(spark, sf).withColumn("filled", F.col("purchases"))
-    return S.fill_down(d, ["user_id"], "date", ["filled"])
+    d = _sparse_counts(spark, sf).withColumn("filled", F.col("n"))
+    return S.fill_down(d, ["user_id", "event_type"], "date", ["filled"])
 
 
 @register
 def fill_downup(spark: SparkSession, sf: str) -> DataFrame:
-    """Fill down, then up, within each user."""
-    d = _sparse_purchases(spark, sf).withColumn("filled", F.col("purchases"))
-    return S.fill_downup(d, ["user_id"], ["date"], ["filled"])
+    """Fill down, then up, within each user and type."""
+    d = _sparse_counts(spark, sf).withColumn("filled", F.col("n"))
+    return S.fill_downup(d, ["user_id", "event_type"], ["date"], ["filled"])
 
 
 @register
 def locf_maxgap(spark: SparkSession, sf: str) -> DataFrame:
     """Carry forward only across null runs of at most 2 rows."""
-    return S.locf_maxgap(_sparse_purchases(spark, sf), ["user_id"], "date", "purchases", "carry_fwd_value", 2)
+    return S.locf_maxgap(_sparse_counts(spark, sf), ["user_id", "event_type"], "date", "n", "carry_fwd_value", 2)
 
 
 # ------------------------------------------------------------------ classification

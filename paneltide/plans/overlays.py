@@ -21,14 +21,15 @@ def overlay_rates(
     pop: str = "pop",
     name: str = "country",
     window: int = 7,
-    digits: int | None = 6,
+    digits: int | None = None,
 ) -> DataFrame:
     """A8 cases/deaths overlay.
 
     Daily incidence per 100k and mortality per 1M (D2; ``try_divide`` so a zero population
     cannot raise), rows with ``pop > 0`` only (P10), a right-aligned ``window``-row mean per
-    (name, source) that is null until the frame is full (W9), the warm-up days trimmed
-    (P18) and the two means unpivoted (R2).  ``digits`` rounds the means for stable output.
+    (entity, source) that is null until the frame is full (W9), the warm-up days trimmed
+    (P18) and the two means unpivoted (R2).  The means are not rounded unless ``digits`` is
+    given.  Series are told apart by code, so places of one name never merge.
     """
     rates = df.withColumns(
         {
@@ -37,7 +38,7 @@ def overlay_rates(
             "ou_date_match": paste_na(entity, date_col, sep="_"),
         }
     ).filter(F.col(pop) > 0)
-    keys = [name, source]
+    keys = [entity, source]
     rolled = rolling_mean(rates, keys, date_col, {"inc": "inc_ma7", "mort": "mort_ma7"}, window)
     trimmed = warmup_trim(rolled, keys, date_col, window - 1)
     if digits is not None:

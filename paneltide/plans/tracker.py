@@ -70,17 +70,6 @@ def _max_date(panel: DataFrame, as_of: DataFrame | None) -> DataFrame:
     return panel.agg(F.max(DATE).alias("__max"))
 
 
-def _tail_rows(panel: DataFrame, mx: DataFrame, lookback: int, dense: bool) -> DataFrame:
-    """On a dense panel only the last ``lookback`` days feed a row lag at the max date."""
-    if not dense:
-        return panel
-    return (
-        attach_row(panel, mx)
-        .filter(F.col(DATE) >= F.date_sub(F.col("__max"), lookback))
-        .drop("__max")
-    )
-
-
 # ------------------------------------------------------------------ snapshot
 
 
@@ -89,22 +78,20 @@ def snapshot_values(
     periods: Sequence[int] = SNAPSHOT_PERIODS,
     indicators: dict = INDICATORS,
     as_of: DataFrame | None = None,
-    dense: bool = True,
     at_max: bool = True,
 ) -> DataFrame:
     """Counts and rates for every period at the global max date, one row per
     (entity, source, Indicator, Metric, period) (W6, W2, D1, R4, P16).
 
-    ``at_max=False`` keeps every date (the whole series, no tail pre-filter).
+    Lags count rows of a series, whatever days it lacks.  ``at_max=False`` keeps every date.
 
     ``countsx = cum - lag(cum, p)`` (``p = 999`` -> ``cum``), negatives -> 0;
     ``ratesx = round(countsx / pop * 1e5, 1)`` when ``pop > 0``.
     """
     mx = _max_date(panel, as_of)
     lags = [p for p in periods if p != CUMULATIVE_PERIOD]
-    src = _tail_rows(panel, mx, max(lags) if lags else 0, dense and at_max)
     w = Window.partitionBy(KEY, SOURCE).orderBy(F.col(DATE).asc_nulls_last())
-    lagged = src.select(
+    lagged = panel.select(
         KEY, SOURCE, DATE, POP,
         *[F.col(c).alias(f"__cum_{i}") for i, c in enumerate(indicators.values())],
         *[F.lag(c, p).over(w).alias(f"__lag_{i}_{p}") for i, c in enumerate(indicators.values()) for p in lags],
@@ -177,7 +164,6 @@ def period_snapshot(
     panel: DataFrame,
     periods=SNAPSHOT_PERIODS,
     as_of: DataFrame | None = None,
-    dense: bool = True,
     materialize: bool = True,
 ) -> DataFrame:
     """A6 on a cumulative panel: snapshot values + classes + titles, one row per grid cell
@@ -188,7 +174,7 @@ def period_snapshot(
     panel (the expensive part: scan, aggregation, densify, windows) is built once and a lost
     executor recomputes from the checkpoint.
     """
-    return classify_snapshot(snapshot_values(panel, periods, INDICATORS, as_of, dense), materialize)
+    return classify_snapshot(snapshot_values(panel, periods, INDICATORS, as_of), materialize)
 
 
 def period_snapshot_from_daily(daily: DataFrame, bounds: DataFrame, periods=SNAPSHOT_PERIODS, materialize: bool = True,
@@ -240,22 +226,19 @@ def change_series(
     panel: DataFrame,
     periods: Sequence[int] = CHANGE_PERIODS,
     indicators: dict = INDICATORS,
-    tail_of: DataFrame | None = None,
+    entity_names: DataFrame | None = None,
 ) -> DataFrame:
     """Period-over-period change for every row.
 
     ``curr = cum - lag(cum, p)``, ``prev = lag(cum, p) - lag(cum, 2p)`` (nulls -> 0), window
     dates ``lag(date, p-1)``, ``lag(date, p)``, ``lag(date, 2p-1)``.  One window pass for the
-    whole grid.  ``tail_of`` (a 1-row max date) keeps only the rows a max-date snapshot needs
-    on a dense panel.
+    whole grid; lags count rows of a series, whatever days it lacks.  ``entity_names``
+    ``(country, country_code)`` is natural-joined (J3) before the grid multiplies the rows.
     """
-    src = panel
-    if tail_of is not None:
-        src = _tail_rows(panel, tail_of, 2 * max(periods), True)
     w = Window.partitionBy(KEY, SOURCE).orderBy(F.col(DATE).asc_nulls_last())
     need_date = sorted({k for p in periods for k in (p - 1, p, 2 * p - 1)})
     need_cum = sorted({k for p in periods for k in (p, 2 * p)})
-    lagged = src.select(
+    lagged = panel.select(
         KEY, SOURCE, DATE, POP,
         *[F.col(c).alias(f"__c_{i}_0") for i, c in enumerate(indicators.values())],
         *[F.lag(c, k).over(w).alias(f"__c_{i}_{k}") for i, c in enumerate(indicators.values()) for k in need_cum],
@@ -277,7 +260,11 @@ def change_series(
                     F.col(f"__d_{2 * p - 1}").alias("prev_datex"),
                 )
             )
-    long = lagged.select(KEY, SOURCE, DATE, POP, F.inline(F.array(*cells)))
+    name = []
+    if entity_names is not None:
+        lagged = join_null_safe(lagged, entity_names.select("country", KEY).distinct(), [KEY], "left")
+        name = ["country"]
+    long = lagged.select(KEY, SOURCE, DATE, POP, *name, F.inline(F.array(*cells)))
     change = F.col("curr_val") - F.col("prev_val")
     pc = pct_change(F.col("curr_val"), F.col("prev_val"))
     return long.select(
@@ -288,6 +275,7 @@ def change_series(
         "curr_val", "prev_val", "prev_date", "curr_date", "prev_datex", "curr_datex",
         range_caption(F.col("Indicator"), F.col("curr_datex"), F.col("curr_date")).alias("curr_range"),
         range_caption(F.col("Indicator"), F.col("prev_datex"), F.col("prev_date")).alias("prev_range"),
+        *name,
     )
 
 
@@ -303,26 +291,22 @@ def period_change(
     mode: str = "cross",
     periods: Sequence[int] = CHANGE_PERIODS,
     as_of: DataFrame | None = None,
-    dense: bool = True,
     entity_names: DataFrame | None = None,
+    indicators: dict = INDICATORS,
 ) -> DataFrame:
     """``cross`` = change classes at the global max date (D5); ``series`` = every date
     (classes null).  ``entity_names`` ``(country, country_code)`` is natural-joined (J3)."""
     if mode == "cross":
         mx = _max_date(panel, as_of)
-        s = change_series(panel, periods, INDICATORS, mx if dense else None)
+        s = change_series(panel, periods, indicators, entity_names)
         s = s.join(F.broadcast(mx), F.col(DATE) == F.col("__max"), "left_semi")
         s = s.withColumn("changecat", change_class_label("perc_change")).withColumn("changecatx", change_class_code("perc_change"))
     elif mode == "series":
-        s = change_series(panel, periods, INDICATORS)
+        s = change_series(panel, periods, indicators, entity_names)
         s = s.withColumn("changecat", F.lit(None).cast("string")).withColumn("changecatx", F.lit(None).cast("string"))
     else:
         raise ValueError(f"mode must be 'cross' or 'series', not {mode!r}")
-    out = s.withColumn("dftype", F.lit(mode)).select(*CHANGE_COLS)
-    if entity_names is not None:
-        names = entity_names.select("country", KEY).distinct()
-        out = join_null_safe(out, names, [KEY], "left")
-    return out
+    return s.withColumn("dftype", F.lit(mode)).select(*CHANGE_COLS, *(["country"] if entity_names is not None else []))
 
 
 def trajectory_columns(df: DataFrame, daily_rate: bool = False, threshold: float = SPARSE_THRESHOLD) -> DataFrame:
@@ -358,7 +342,7 @@ def tracker_change(
     threshold: float = SPARSE_THRESHOLD,
 ) -> DataFrame:
     """A14 step 9 on a cumulative panel (see :func:`complete_change`)."""
-    return complete_change(period_change(panel, "cross", periods, as_of, True, entity_names), threshold)
+    return complete_change(period_change(panel, "cross", periods, as_of, entity_names), threshold)
 
 
 def change_cross_table(daily: DataFrame, bounds: DataFrame, entity_names: DataFrame | None = None,
@@ -405,7 +389,8 @@ def complete_change(cross: DataFrame, threshold: float = SPARSE_THRESHOLD, mater
 
 def change_series_trajectory(panel: DataFrame, entity_names: DataFrame, threshold: float = SPARSE_THRESHOLD) -> DataFrame:
     """A14 step 10: 7-day case series with trajectory classes (daily incidence too)."""
-    s = period_change(panel, "series", (7,), None, True, entity_names).filter(F.col("Indicator") == "Cases")
+    cases = {"Cases": INDICATORS["Cases"]}
+    s = period_change(panel, "series", (7,), None, entity_names, cases)
     return trajectory_columns(s, daily_rate=True, threshold=threshold)
 
 

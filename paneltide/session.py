@@ -6,6 +6,7 @@ DataFrames belong to.  ``local_session`` is only for tests and ``bench.py``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the cluster's shared checkpoint folder; set a scratch one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as-is.  Only a
-    session without one (tests, a laptop) gets a fresh scratch folder.  A Spark Connect
-    session has no SparkContext; there the server's ``spark.checkpoint.dir`` applies.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as-is; without
+    one, a session whose master is not local is refused, since a folder of one machine
+    would lose what the others wrote.  A local session gets a fresh scratch folder.  A Spark
+    Connect session has no SparkContext; there the server's ``spark.checkpoint.dir`` applies.
     """
     try:
         sc = spark.sparkContext
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = configured or tempfile.mkdtemp(prefix="paneltide-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -68,7 +68,7 @@ def daily_counts(spark: SparkSession, sf_dir: str, entity: str = "user") -> Data
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     if entity == "nation":
         cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        ev = ev.join(cust, ev.user_id == cust.c_custkey, "inner").withColumn("entity", F.col("c_nationkey").cast("long"))
+        ev = ev.join(cust, ev.user_id == cust.c_custkey, "left").withColumn("entity", F.col("c_nationkey").cast("long"))
     else:
         ev = ev.withColumn("entity", F.col("user_id"))
     return ev.groupBy("entity", F.to_date("ts").alias("date"), source_tag().alias("source")).agg(
@@ -167,6 +167,33 @@ def cumulative_panel(spark: SparkSession, sf_dir: str, entity: str = "user", bou
     )
 
 
+def order_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second sparse panel of the same columns as :func:`daily_panel`, over the order days:
+    entity = the customer's nation, cases = orders, deaths = orders of status F.  An order of
+    an unknown customer counts under a null entity."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("long").alias("country_code"))
+    pop = population(spark, sf_dir, "nation")
+    daily = o.join(cust, o.o_custkey == cust.c_custkey, "left").groupBy(
+        "country_code", F.to_date("o_orderdate").alias("Date"), source_tag("o_orderkey").alias("data_source")
+    ).agg(F.count(F.lit(1)).alias("cases_new"), F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("deaths_new"))
+    return daily.join(pop, F.col("country_code") == F.col("__k"), "left").drop("__k")
+
+
+def order_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1-row calendar bounds (``__lo``, ``__hi``) of the order days, as literals."""
+    o = read_table(spark, sf_dir, "orders")
+    r = o.agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi")).first()
+    return spark.range(1).select(F.lit(r["lo"]).cast("date").alias("__lo"), F.lit(r["hi"]).cast("date").alias("__hi"))
+
+
+def order_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`order_daily` completed to its calendar (R7, P19), with running sums."""
+    keys, new = ["country_code", "data_source"], ["cases_new", "deaths_new"]
+    dense = complete_calendar(order_daily(spark, sf_dir), keys, "Date", new, bounds=order_bounds(spark, sf_dir)).fillna(0, subset=new)
+    return running_sum(dense, keys, "Date", {"cases_new": "cases_cum", "deaths_new": "deaths_cum"})
+
+
 # ------------------------------------------------------------------ country-level feeds
 
 
@@ -267,7 +294,7 @@ def long_daily(spark: SparkSession, sf_dir: str, source: str | None = "B") -> Da
         ev = ev.filter(source_tag() == F.lit(source))
     dim = nation_dim(spark, sf_dir)
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("iso3code"))
-    ev = ev.join(cust, ev.user_id == cust.c_custkey)
+    ev = ev.join(cust, ev.user_id == cust.c_custkey, "left")  # events of unknown users count under a null code
     daily = ev.groupBy("iso3code", F.to_date("ts").alias("date")).agg(
         F.count(F.when(F.col("event_type").isin(CASE_TYPES), 1)).alias("New_cases"),
         F.count(F.when(F.col("event_type").isin(DEATH_TYPES), 1)).alias("New_deaths"),
@@ -292,7 +319,7 @@ def policy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return o.join(cust, o.o_custkey == cust.c_custkey).join(nation, cust.c_nationkey == nation.n_nationkey).select(
+    return o.join(cust, o.o_custkey == cust.c_custkey, "left").join(nation, cust.c_nationkey == nation.n_nationkey, "left").select(
         F.col("n_name").alias("CountryName"),
         F.col("n_nationkey").cast("string").alias("CountryCode"),
         F.when(F.col("o_orderstatus") == "F", F.lit("NAT_TOTAL")).otherwise(F.lit("STATE_TOTAL")).alias("Jurisdiction"),

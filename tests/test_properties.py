@@ -160,7 +160,7 @@ def test_cross_sections_aggregation_form_equals_window_form(spark, rows_, pad):
     b = TR.snapshot_values(dense, as_of=as_of)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     c = TR.change_cross_from_daily(daily, bounds, (1, 7, 14)).drop("changecat", "changecatx")
-    w = TR.change_series(dense, (1, 7, 14), tail_of=as_of).join(as_of, F.col("Date") == F.col("__max"), "left_semi")
+    w = TR.change_series(dense, (1, 7, 14)).join(as_of, F.col("Date") == F.col("__max"), "left_semi")
     assert sorted(map(tuple, c.collect())) == sorted(map(tuple, w.select(*c.columns).collect()))
 
 
