@@ -371,6 +371,20 @@ frame AS (
          d.iso2code, d.who_region, d.pop_2020yr, d.Continent_Name
   FROM n_dim d CROSS JOIN ev_cal c)"""
 
+ATTRIBUTES = """n_att AS (
+  SELECT *, CASE WHEN k % 7 <> 6 THEN CASE WHEN country = 'NATION_1' THEN 'US'
+      WHEN who_region = 'ASIA' THEN CASE WHEN k % 2 = 1 THEN 'East Asia and the Pacific' ELSE 'South and Central Asia' END
+      WHEN who_region = 'AFRICA' THEN 'Sub-Saharan Africa' WHEN who_region = 'AMERICA' THEN 'Western Hemisphere'
+      WHEN who_region = 'EUROPE' THEN 'Europe and Eurasia'
+      WHEN who_region = 'MIDDLE EAST' THEN 'Near East (Middle East and Northern Africa)' END END AS state_region,
+    CASE WHEN k <> 10 THEN CASE WHEN who_region = 'ASIA' THEN CASE WHEN k % 2 = 1 THEN 'WPRO' ELSE 'SEARO' END
+      WHEN who_region = 'AFRICA' THEN 'AFRO' WHEN who_region = 'AMERICA' THEN 'AMRO' WHEN who_region = 'EUROPE' THEN 'EURO'
+      WHEN who_region = 'MIDDLE EAST' THEN 'EMRO' END END AS who,
+    CASE k % 6 WHEN 0 THEN 'High income' WHEN 1 THEN 'Upper middle income' WHEN 2 THEN 'Lower middle income'
+      WHEN 3 THEN 'Low income' WHEN 4 THEN 'Not classified' END AS incomelevel_value,
+    pop_2020yr * 0.75 AS eighteenplus
+  FROM (SELECT *, CAST(iso3code AS INTEGER) AS k FROM n_dim))"""
+
 DBT = """dbt AS (SELECT user_id, event_type, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2, 3)"""
 
 CALC = DBT + """,
@@ -686,11 +700,12 @@ FROM nb n1 LEFT JOIN rn n2 ON n2.user_id = n1.user_id AND n2.event_type = n1.eve
     "coverage_bins": f"""WITH p AS (SELECT p_partkey, CAST(p_size * 2 AS DOUBLE) AS pct FROM part)
 SELECT p_partkey, pct, {_cov('pct', True)} AS pct_bin, {_cov('pct', False)} AS pct_binorder FROM p""",
     "dimension_codes": f"""WITH {FRAME.split(',' + chr(10) + 'frame AS')[0]},
+{ATTRIBUTES},
 d AS (
-  SELECT DISTINCT iso3code AS id, iso2code, 'Non-State Region' AS state_region, coalesce(who_region, 'Other') AS who_region,
-    CASE WHEN country = '' THEN 'Other' ELSE country END AS Country, CAST(NULL AS VARCHAR) AS incomelevel_value,
-    pop_2020yr AS population
-  FROM n_dim),
+  SELECT DISTINCT iso3code AS id, iso2code, coalesce(state_region, 'Non-State Region') AS state_region, coalesce(who, 'Other') AS who_region,
+    CASE WHEN country = '' THEN 'Other' ELSE country END AS Country, incomelevel_value,
+    pop_2020yr AS population, eighteenplus
+  FROM n_att),
 c AS (
   SELECT *, CASE WHEN Country = 'Kosovo' THEN 'CS-KM' ELSE id END AS map_iso,
     CAST(CASE who_region WHEN 'AMRO' THEN 101 WHEN 'EURO' THEN 102 WHEN 'SEARO' THEN 103 WHEN 'EMRO' THEN 104
@@ -704,7 +719,7 @@ c AS (
   FROM d)
 SELECT * FROM c
 UNION ALL
-SELECT 'OTH', 'OT', 'Other', 'Other', 'Other', 'Other', NULL, NULL, 109, 8, 205""",
+SELECT 'OTH', 'OT', 'Other', 'Other', 'Other', 'Other', NULL, NULL, NULL, 109, 8, 205""",
 })
 
 
@@ -859,3 +874,90 @@ ORACLES["suppress_sparse"] = tracker_change_sql("nation").replace(
     "SELECT * FROM t4",
     "SELECT Indicator, periodval, data_source, country_code, Date, curr_val, changecat, changecat_order, perc_change, perc_changex FROM t4",
 )
+
+
+ORACLES["cases_deaths"] = f"""WITH {FRAME.split(',' + chr(10) + 'frame AS')[0]},
+{_daily('nation')},
+named AS (
+  SELECT CASE n.country WHEN 'NATION_1' THEN 'China' WHEN 'NATION_2' THEN 'Hong Kong' WHEN 'NATION_3' THEN 'Taiwan' WHEN 'NATION_4' THEN 'Macau'
+      WHEN 'NATION_5' THEN 'Other' ELSE n.country END AS country,
+    n.iso2code, d.date, CASE WHEN d.source = 'A' THEN 'JHU' ELSE 'WHO' END AS source, d.cases_new, d.deaths_new
+  FROM daily d LEFT JOIN n_dim n ON CAST(d.entity AS VARCHAR) = n.iso3code),
+coded AS (
+  SELECT CASE WHEN source = 'JHU' AND country IN ('China', 'Hong Kong', 'Taiwan', 'Macau') THEN country || '-JHU'
+      WHEN source = 'WHO' AND country = 'China' THEN 'China-WHO' ELSE country END AS country,
+    CASE WHEN country = 'Other' THEN 'OT' ELSE iso2code END AS iso2code, date, source, cases_new, deaths_new
+  FROM named),
+one AS (SELECT iso2code, iso3code AS id FROM n_dim UNION ALL SELECT 'OT', 'OTH')
+SELECT c.*, coalesce(o.id, 'NA') || '_' || CAST(c.date AS VARCHAR) AS ou_date_match
+FROM coded c LEFT JOIN one o ON o.iso2code = c.iso2code"""
+
+_AGE = {
+    "people_vaccinated_per_hundred": ("Cumulative People Vaccinated (1 or more)", "max(o_totalprice) / 5000"),
+    "people_fully_vaccinated_per_hundred": ("Cumulative People Vaccinated (Fully)", "min(o_totalprice) / 20000"),
+    "people_with_booster_per_hundred": ("Cumulative People With Booster", "CASE WHEN count(*) > 1 THEN min(o_totalprice) / 50000 END"),
+}
+_age_bin = _bin_case("Value", [0, 5, 10, 20, 50, 70])
+ORACLES["ages_long"] = f"""WITH a AS (
+  SELECT CAST(c.c_nationkey AS VARCHAR) AS iso_code, o_orderpriority AS age_group, CAST(o_orderdate AS DATE) AS date,
+    max(CASE WHEN o_orderstatus = 'F' THEN 'place ' || CAST(c.c_nationkey AS VARCHAR) END) AS own,
+    {', '.join(f"{e} AS {m}" for m, (_, e) in _AGE.items())}
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2, 3),
+l AS ({' UNION ALL '.join(f"SELECT iso_code, age_group, date, own, '{m}' AS raw_field, '{d}' AS data_field, {m} AS Value FROM a WHERE {m} IS NOT NULL" for m, (d, _) in _AGE.items())})
+SELECT l.iso_code, age_group, date, coalesce(own, n.n_name) AS location, raw_field, Value,
+  row_number() OVER w = 1 AS is_latest,
+  row_number() OVER w = count(*) OVER (PARTITION BY l.iso_code, raw_field, age_group) AS is_first,
+  data_field, 'Per 100 people' AS data_suffix, 'Rate' AS count_or_rate,
+  {_age_bin} AS data_cat_num, CASE WHEN {_age_bin} IS NOT NULL THEN 'cat ' || CAST({_age_bin} AS VARCHAR) END AS data_cat
+FROM l LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = l.iso_code
+WINDOW w AS (PARTITION BY l.iso_code, raw_field, age_group ORDER BY date DESC)"""
+
+ORACLES["manufacturers"] = """WITH p AS (
+  SELECT p_partkey, CASE WHEN p_size = 7 THEN 'XKX' ELSE p_brand END AS iso_code, replace(p_name, ' ', ', ') AS vaccine_manufacturer_list
+  FROM part WHERE p_size <> 9 AND (p_size = 7 OR p_size % 10 <> 0))
+SELECT p_partkey, iso_code, vaccine_manufacturer_list, trim(unnest(string_split(vaccine_manufacturer_list, ','))) AS vaccine_manufacturer FROM p"""
+
+_PC = {"confirmed": "('view', 'click')", "suspected": "('signup')", "recovered": "('purchase')", "deaths": "('error')"}
+ORACLES["subnational_full"] = f"""WITH u AS (
+  SELECT e.ts, e.event_id, r.r_name AS country, n.n_name AS province_en,
+    CASE WHEN c.c_mktsegment = 'BUILDING' THEN '' ELSE c.c_name END AS city_en, c.c_nationkey AS k,
+    {', '.join(f"CASE WHEN e.event_type IN {t} THEN e.event_id ELSE 0 END AS {m}" for m, t in _PC.items())}
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name = 'ASIA'),
+a AS (
+  SELECT ts, event_id, country, province_en, CASE WHEN province_en IN ('NATION_2', 'NATION_7') THEN province_en ELSE city_en END AS city_en,
+    {', '.join(f"CASE WHEN province_en IN ('NATION_2', 'NATION_7') THEN {m} + k ELSE {m} END AS city_{m}" for m in _PC)}
+  FROM u WHERE province_en NOT IN ('NATION_12', 'NATION_17') AND (city_en <> '' OR province_en IN ('NATION_2', 'NATION_7'))),
+b AS (
+  SELECT ts, event_id, country, province_en || ' Municipality' AS province_en, province_en || ' Municipality' AS city_en,
+    {', '.join(f"{m} + k AS city_{m}" for m in _PC)}
+  FROM u WHERE province_en IN ('NATION_12', 'NATION_17'))
+SELECT CAST(ts AS DATE) AS date, ts AS last_update, country, province_en, city_en, {', '.join(f"CAST(city_{m} AS BIGINT) AS city_{m}" for m in _PC)}
+FROM (SELECT * FROM a UNION ALL SELECT * FROM b)
+QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE), country, province_en, city_en ORDER BY ts DESC, event_id DESC) = 1"""
+
+
+def _swap(sql: str, *pairs: tuple[str, str]) -> str:
+    for old, new in pairs:
+        assert old in sql, old
+        sql = sql.replace(old, new)
+    return sql
+
+
+ORACLES["country_totals_remapped"] = _swap(
+    country_totals_sql(),
+    ("SELECT g.ctry, u.date", "SELECT CASE WHEN u.user_id IN (1, 2, 3) THEN CAST(u.user_id AS VARCHAR) ELSE g.ctry END AS ctry, u.date"),
+    ("FROM byc b\n", "FROM (SELECT * REPLACE (CASE WHEN Country IN ('1', '2') THEN 'International Conveyance' ELSE Country END AS Country) FROM byc) b\n"),
+    ("AS iso3code FROM nation) a", "AS iso3code FROM nation UNION ALL SELECT 'international conveyance', '24') a"),
+)
+ORACLES["country_totals_long_remapped"] = _swap(
+    country_totals_long_sql(),
+    ("wx AS (\n  SELECT lpad", "wx0 AS (\n  SELECT lpad"),
+    (
+        "\na4 AS (",
+        "\nwx AS (SELECT CASE WHEN iso2code IN ('05', '10') THEN '00' ELSE iso2code END AS iso2code, date,\n"
+        "  CAST(sum(cases_new) AS BIGINT) AS cases_new, CAST(sum(deaths_new) AS BIGINT) AS deaths_new,\n"
+        "  CAST(sum(cases_cum) AS BIGINT) AS cases_cum, CAST(sum(deaths_cum) AS BIGINT) AS deaths_cum FROM wx0 GROUP BY 1, 2),\na4 AS (",
+    ),
+    ("SELECT * FROM a4", "SELECT * FROM a4 WHERE iso3code IS DISTINCT FROM '3'"),
+)

@@ -177,6 +177,32 @@ def country_totals(spark: SparkSession, sf: str) -> DataFrame:
     return TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf, b), T.nation_aliases(spark, sf))
 
 
+@register
+def country_totals_remapped(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 with P8: three provinces count as countries; two of them become one entity with
+    nation 24's code, the third has no code and goes."""
+    b = T.event_bounds(spark, sf)
+    cases, deaths = T.wide_cumulative(spark, sf, "A", b)
+    aliases = T.nation_aliases(spark, sf).unionByName(spark.createDataFrame([("International Conveyance", "24")], "alias string, iso3code string"))
+    return TT.panel_from_wide_cumulative(
+        cases, deaths, _frame(spark, sf, b), aliases, promote=["1", "2", "3"],
+        rename={"1": "International Conveyance", "2": "International Conveyance"},
+    )
+
+
+@register
+def country_totals_long_remapped(spark: SparkSession, sf: str) -> DataFrame:
+    """A4 with S5 and P8: the date column has another header, three nations collapse into one
+    name and code before G3 sums them, and one code is excluded (P12)."""
+    b = T.event_bounds(spark, sf)
+    feed = T.long_daily(spark, sf, "B").withColumnRenamed("Date_reported", "X.Date")
+    one = "NATION_0"
+    return TT.panel_from_long_daily(
+        feed, _frame(spark, sf, b), "Date_reported", drop_date=b.select("__hi"), exclude_codes=["3"],
+        rename={"NATION_5": one, "NATION_10": one}, recode={one: "00"},
+    )
+
+
 def _long_daily_panel(spark, sf, bounds=None):
     # The last event day is treated as the incomplete "today" and dropped.
     b = bounds if bounds is not None else T.event_bounds(spark, sf)
@@ -561,59 +587,102 @@ def coverage_bins(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def dimension_codes(spark: SparkSession, sf: str) -> DataFrame:
-    """A15 second dimension: defaults for missing regions, display order codes (D17),
-    plus the literal "Other" row (S9, U2)."""
+    """A15 second dimension from the nations' attributes: defaults where one is missing,
+    display order codes (D17), plus the literal "Other" row (S9, U2)."""
     from . import dashboard as DB
 
-    return DB.entity_dimension(T.nation_dim(spark, sf))
+    return DB.entity_dimension(T.nation_attributes(spark, sf))
+
+
+@register
+def cases_deaths(spark: SparkSession, sf: str) -> DataFrame:
+    """A15 / A8 cases and deaths: relabel by source, id from the dimension, match key."""
+    from . import dashboard as DB
+
+    dim = T.nation_dim(spark, sf).select(F.col("iso3code").alias("__k"), "iso2code", F.col("country").alias("__name"))
+    daily = T.daily_counts(spark, sf, "nation")
+    named = daily.join(dim, daily["entity"].cast("string") == F.col("__k"), "left")
+    # stand-ins for the places that carry their source, and for "Other"
+    name = CL.lookup("__name", {"NATION_1": "China", "NATION_2": "Hong Kong", "NATION_3": "Taiwan", "NATION_4": "Macau", "NATION_5": "Other"})
+    panel = named.select(
+        F.coalesce(name, "__name").alias("country"), "iso2code", "date",
+        F.when(F.col("source") == "A", "JHU").otherwise("WHO").alias("source"), "cases_new", "deaths_new",
+    )
+    return DB.cases_deaths(panel, DB.entity_dimension(T.nation_attributes(spark, sf)))
 
 
 # ------------------------------------------------------------------ subnational snapshots
 
 
+# Event types behind the counts that an update carries.
+_PLACE_COUNTS = {"city_confirmed": T.CASE_TYPES, "city_suspected": ["signup"], "city_recovered": ["purchase"], "city_deaths": T.DEATH_TYPES}
+
+
 def _snapshots(spark, sf):
-    """Events as intra-day updates of a place (user within nation within region); each
-    day's latest update carries the place's cumulative counts through that day.
+    """Events as intra-day updates of a place (user within nation within region): per user and
+    day the latest update's time and the cumulative counts through that day.
 
-    The counts come from daily aggregates (partial aggregation, then a running sum over at
-    most one row per day), never from a window over a place's raw updates, so a place with
-    a third of all updates is still spread over every map task.
+    One scan and one aggregation give both the day's counts and its latest update (the largest
+    time and event id, combined map-side), then a running sum over at most one row per day; a
+    place with a third of all updates is spread over every map task.
     """
     from pyspark.sql import Window
 
-    from . import subnational as SN
-
     ev = T.read_table(spark, sf, "events")
-    latest = SN.latest_per_day(ev.select("event_id", "ts", "user_id"), "ts", ["user_id"], tiebreak="event_id")
-    kinds = {"city_confirmed": T.CASE_TYPES, "city_suspected": ["signup"], "city_recovered": ["purchase"], "city_deaths": T.DEATH_TYPES}
     daily = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(
-        *[F.count(F.when(F.col("event_type").isin(v), 1)).alias(k) for k, v in kinds.items()]
+        F.max(F.struct("ts", "event_id")).alias("__latest"),
+        *[F.count(F.when(F.col("event_type").isin(v), 1)).alias(k) for k, v in _PLACE_COUNTS.items()],
     )
     w = Window.partitionBy("user_id").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = daily.select("user_id", "date", *[F.sum(k).over(w).alias(k) for k in kinds])
+    return daily.select("user_id", "date", F.col("__latest.ts").alias("last_update"), *[F.sum(k).over(w).alias(k) for k in _PLACE_COUNTS])
+
+
+def _places(spark, sf):
     cust = T.read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = T.read_table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = T.read_table(spark, sf, "region").select("r_regionkey", "r_name")
-    places = cust.join(nation, cust.c_nationkey == nation.n_nationkey).join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("c_custkey").alias("user_id"), F.col("r_name").alias("country"), F.col("n_name").alias("province_en"),
-        F.col("c_name").alias("city_en"),
+    return (
+        cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
+        .join(region, nation.n_regionkey == region.r_regionkey, "left")
+        .select(F.col("c_custkey").alias("user_id"), F.col("r_name").alias("country"), F.col("n_name").alias("province_en"), F.col("c_name").alias("city_en"))
     )
-    snap = latest.join(cum, ["user_id", "date"]).join(places, "user_id", "left")
-    return snap.select("date", "last_update", "country", "province_en", "city_en", *kinds)
 
 
 @register
 def snapshot_cumulative(spark: SparkSession, sf: str) -> DataFrame:
     """A16 output 1 (W12): latest update per place and day with cumulative counts."""
-    return _snapshots(spark, sf)
+    named = _snapshots(spark, sf).join(_places(spark, sf), "user_id", "left")
+    return named.select("date", "last_update", "country", "province_en", "city_en", *_PLACE_COUNTS)
 
 
 @register
 def snapshot_to_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """A16 output 2 (W12 -> R8 -> W13 -> W4): per-place days, filled down, increments."""
+    """A16 output 2 (W12 -> R8 -> W13 -> W4): per-place days, filled down, increments.
+
+    Places are told apart by user id; names are attached last, so places of one name, or
+    without one, never merge.  The country stays null on added days, as the update time does."""
+    from . import subnational as SN
+
+    daily = SN.daily_from_snapshots(_snapshots(spark, sf), keys=["user_id"]).join(_places(spark, sf), "user_id", "left")
+    country = F.when(F.col("last_update").isNotNull(), F.col("country")).alias("country")
+    return daily.select("date", "last_update", country, "province_en", "city_en", *_PLACE_COUNTS)
+
+
+@register
+def subnational_full(spark: SparkSession, sf: str) -> DataFrame:
+    """A16 with its first-pass filters and both branches (P9, P10, P12, N5, U2, W12): every event
+    is an update of a city (customer) in a province (nation) of a country (region)."""
     from . import subnational as SN
 
-    return SN.daily_from_snapshots(_snapshots(spark, sf))
+    ev = T.read_table(spark, sf, "events").select("event_id", "ts", "user_id", F.col("value").alias("v"), "event_type")
+    city = {m: F.when(F.col("event_type").isin(t), F.col("event_id")).otherwise(0).cast("long") for m, t in _PLACE_COUNTS.items()}
+    counts = [x for m, c in city.items() for x in (c.alias(m), (c + F.col("c_nationkey")).alias(m.replace("city_", "province_", 1)))]
+    places = T.read_table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("long").alias("c_nationkey"), "c_mktsegment")
+    updates = ev.join(places, "user_id", "left").join(_places(spark, sf), "user_id", "left").select(
+        "ts", "event_id", "country", "province_en",
+        F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.col("city_en")).alias("city_en"), *counts,
+    )
+    return SN.subnational_updates(updates, "ASIA", ["NATION_2", "NATION_7"], ["NATION_12", "NATION_17"], tiebreak="event_id")
 
 
 # ------------------------------------------------------------------ indicator tables
@@ -655,6 +724,39 @@ def rollout(spark: SparkSession, sf: str) -> DataFrame:
     return IND.rollout(man)
 
 
+@register
+def ages_long(spark: SparkSession, sf: str) -> DataFrame:
+    """A9 ``ages`` (R10, J7, R3, W10, D10, D8): nation and order priority as entity and age group,
+    with the published age metadata."""
+    from . import indicators as IND
+
+    o = T.read_table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    cust = T.read_table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("iso_code"))
+    price = F.col("o_totalprice")
+    names = T.read_table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("iso_code"), F.col("n_name").alias("location"))
+    ages = o.join(cust, o.o_custkey == cust.c_custkey, "left").groupBy(
+        "iso_code", F.col("o_orderpriority").alias("age_group"), F.to_date("o_orderdate").alias("date")
+    ).agg(
+        F.max(F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("place "), "iso_code"))).alias("location"),
+        (F.max(price) / 5000).alias("people_vaccinated_per_hundred"),
+        (F.min(price) / 20000).alias("people_fully_vaccinated_per_hundred"),
+        F.when(F.count(F.lit(1)) > 1, F.min(price) / 50000).alias("people_with_booster_per_hundred"),
+    )
+    return IND.ages_long(ages, names, bounds=T.order_bounds(spark, sf))
+
+
+@register
+def manufacturers(spark: SparkSession, sf: str) -> DataFrame:
+    """A9 ``manufacturers`` (P13, P8, P14, R11): rows with a real place code, one manufacturer
+    each; a part's brand is its place, its name the list."""
+    from . import indicators as IND
+
+    p = T.read_table(spark, sf, "part")
+    code = F.when(F.col("p_size") == 9, F.lit(None)).when(F.col("p_size") == 7, "OWID_KOS").when(F.col("p_size") % 10 == 0, "OWID_WRL").otherwise(F.col("p_brand"))
+    loc = p.select("p_partkey", code.alias("iso_code"), F.replace("p_name", F.lit(" "), F.lit(", ")).alias("vaccine_manufacturer_list"))
+    return IND.manufacturers(IND.clean_codes(loc, recode={"OWID_KOS": "XKX"}))
+
+
 # ------------------------------------------------------------------ hospital
 
 

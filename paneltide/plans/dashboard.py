@@ -14,6 +14,8 @@ from ..functions.classify import (
     WHO_REGION_ORDER_DEFAULT,
     order_code,
 )
+from ..functions.nulls import paste_na
+from ..operators.joins import lookup_join
 from ..operators.setops import ragged_union
 
 # The literal "Other" row appended to the dimension.
@@ -24,20 +26,23 @@ OTHER_ROW = {
 KOSOVO_MAP_ISO = ("Kosovo", "CS-KM")
 
 
+ATTRIBUTES = {"state_region": "string", "incomelevel_value": "string", "eighteenplus": "double"}
+
+
 def entity_dimension(dim: DataFrame) -> DataFrame:
     """Second entity dimension with defaults, map key and display order codes.
 
-    ``dim`` has (country, iso3code, iso2code, who_region, pop_2020yr); the state region and
-    income level are not in the driver tables and are null, so their defaults apply.
+    ``dim`` has (country, iso3code, iso2code, who_region, pop_2020yr) and any of
+    ``state_region``, ``incomelevel_value`` and ``eighteenplus``; those that it lacks are null,
+    so their defaults apply.
     """
     base = dim.select(
         F.col("iso3code").alias("id"),
         "iso2code",
-        F.lit(None).cast("string").alias("state_region"),
         "who_region",
         F.col("country").alias("Country"),
-        F.lit(None).cast("string").alias("incomelevel_value"),
         F.col("pop_2020yr").alias("population"),
+        *((F.col(c) if c in dim.columns else F.lit(None)).cast(kind).alias(c) for c, kind in ATTRIBUTES.items()),
     )
     coded = base.withColumns(
         {
@@ -63,6 +68,25 @@ def entity_dimension(dim: DataFrame) -> DataFrame:
     return ragged_union(coded, other)
 
 
+# Places whose name carries its source (both sources report them apart).
+SOURCE_NAMED = {"JHU": ("China", "Hong Kong", "Taiwan", "Macau"), "WHO": ("China",)}
+
+
+def cases_deaths(panel: DataFrame, onetable: DataFrame, source_named: dict = SOURCE_NAMED) -> DataFrame:
+    """A15 / A8 cases and deaths (P8, J4, N5): the entity "Other" gets the code of the dimension's
+    "Other" row, places in ``source_named`` carry their source in the name, and the match key is
+    rebuilt from the id that the dimension has for the code (``NA`` where it has none).
+
+    ``panel`` has (country, iso2code, date, source, ...)."""
+    renamed = panel.withColumn("iso2code", F.when(F.col("country") == "Other", F.lit(OTHER_ROW["iso2code"])).otherwise(F.col("iso2code")))
+    name = F.col("country")
+    for source, places in source_named.items():
+        hit = F.col("country").isin(list(places)) & (F.col("source") == source)
+        name = F.when(hit, F.concat(F.col("country"), F.lit(f"-{source}"))).otherwise(name)
+    keyed = lookup_join(renamed.withColumn("country", name), "iso2code", onetable, "iso2code", ["id"])
+    return keyed.withColumn("ou_date_match", paste_na("id", "date", sep="_")).drop("id")
+
+
 def dashboard_tables(
     dim: DataFrame,
     cases_panel: DataFrame,

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import BREAK_FAMILIES, cut_right_closed, lookup
 from ..functions.nulls import paste_na
-from ..operators.reshape import explode_list, wide_to_long
+from ..operators.joins import lookup_join
+from ..operators.reshape import complete_calendar, explode_list, wide_to_long
 from ..operators.series import first_last_flags, rollout_diff
 
 # ---------------------------------------------------------------------------------------
@@ -83,6 +84,48 @@ def indicator_long(
     )
 
 
+def ages_long(
+    ages: DataFrame,
+    locations: DataFrame,
+    measures: Sequence[str] = tuple(AGE_META),
+    meta: dict = AGE_META,
+    families: dict = BREAK_FAMILIES,
+    id_col: str = "iso_code",
+    group_col: str = "age_group",
+    date_col: str = "date",
+    bounds: DataFrame | None = None,
+) -> DataFrame:
+    """A9 ``ages`` table: every (entity, age group) on every day of the table's calendar (R10),
+    missing location names from ``locations`` (iso_code, location) (J7), measures gathered
+    without nulls (R3), latest / first flags per (entity, measure, group) (W10), metadata
+    lookups (D10) and the coverage bin (D8)."""
+    groups = [id_col, group_col]
+    dense = complete_calendar(ages, groups, date_col, ["location", *measures], bounds=bounds)
+    named = lookup_join(dense.withColumnRenamed("location", "__own"), id_col, locations, id_col, ["location"])
+    named = named.withColumn("location", F.coalesce("__own", "location")).drop("__own")
+    long = wide_to_long(named, [c for c in named.columns if c not in measures], list(measures), "raw_field", "Value", drop_nulls=True)
+    flagged = first_last_flags(long, [id_col, "raw_field", group_col], date_col)
+    num = family_bins("raw_field", F.col("Value"), families)
+    return flagged.withColumns(
+        {
+            "data_field": lookup("raw_field", {k: v[0] for k, v in meta.items()}),
+            "data_suffix": lookup("raw_field", {k: v[1] for k, v in meta.items()}),
+            "count_or_rate": lookup("raw_field", {k: v[2] for k, v in meta.items()}),
+            "data_cat_num": num,
+            "data_cat": F.when(num.isNotNull(), F.concat(F.lit("cat "), num.cast("string"))),
+        }
+    )
+
+
+# Aggregate places that the manufacturer table leaves out.
+ROLLOUT_LEFT_OUT = ("European Union", "Wales", "Scotland", "")
+
+
+def rollout_places(man: DataFrame, location: str = "location", left_out: Sequence[str] = ROLLOUT_LEFT_OUT) -> DataFrame:
+    """A9 ``rollout`` input: rows with a location that is no aggregate place."""
+    return man.filter(F.col(location).isNotNull() & ~F.col(location).isin(list(left_out)))
+
+
 def clean_codes(df: DataFrame, code: str = "iso_code", recode: dict | None = None) -> DataFrame:
     """Drop rows without a code (P13), recode (P8), drop aggregate pseudo-entities."""
     out = df.filter(F.col(code).isNotNull())

@@ -15,9 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import in_never_null, paste_na
+from ..functions.nulls import in_never_null, not_in_keep_null, paste_na
 from ..operators.reshape import complete_per_group
 from ..operators.series import fill_down, inc_from_cum, latest_one
+from ..operators.setops import ragged_union
 
 MEASURES = ["city_confirmed", "city_suspected", "city_recovered", "city_deaths"]
 PLACE = ["province_en", "city_en"]
@@ -53,6 +54,33 @@ def municipality_names(df: DataFrame, city: str = "city_en", suffix: str = "Muni
     return df.withColumn(city, paste_na(city, F.lit(suffix), sep=" "))
 
 
+def subnational_updates(
+    updates: DataFrame,
+    country: str,
+    promoted: Sequence[str],
+    municipalities: Sequence[str],
+    ts_col: str = "ts",
+    tiebreak: str | None = None,
+) -> DataFrame:
+    """Output 1 from raw updates.
+
+    ``updates`` has country, province_en, city_en, ``province_*`` and ``city_*`` counts and the
+    update time.  Rows of ``country`` only.  Branch A: provinces in ``promoted`` are their own
+    place, rows without a city and provinces in ``municipalities`` go.  Branch B: the latter at
+    province level, each one place named "<province> Municipality".  Of every place and day the
+    latest update stays; the branches are stacked by name."""
+    own = updates.filter(F.col("country") == country)
+    pairs = [(m, m.replace("city_", "province_", 1)) for m in MEASURES]
+    extra = [p for _, p in pairs]
+    a = promote_places(own, promoted, pairs=pairs).drop(*extra)
+    a = a.filter(F.col("city_en") != "").filter(not_in_keep_null("province_en", municipalities))
+    b = own.filter(in_never_null("province_en", municipalities)).drop("city_en", *MEASURES).distinct()
+    b = municipality_names(b.withColumnsRenamed({"province_en": "city_en", **{p: m for m, p in pairs}}))
+    b = b.withColumn("province_en", F.col("city_en"))
+    keys = ["country", *PLACE]
+    return ragged_union(latest_per_day(a, ts_col, keys, tiebreak), latest_per_day(b, ts_col, keys, tiebreak))
+
+
 def daily_from_snapshots(cumulative: DataFrame, keys: Sequence[str] = PLACE, date_col: str = "date",
                          measures: Sequence[str] = MEASURES) -> DataFrame:
     """Output 2: per-place daily completion (R8), fill down (W13), increments."""

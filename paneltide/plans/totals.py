@@ -9,8 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.classify import lookup
 from ..functions.dates import US_SHORT, daily_sequence, parse_date
-from ..functions.nulls import not_in_keep_null, paste_na, strict_sum
+from ..functions.nulls import in_never_null, not_in_keep_null, paste_na, strict_sum
 from ..operators.aggregate import group_by_types, numeric_null_to_zero
 from ..operators.joins import alias_join, attach_row, join_null_safe
 from ..operators.reshape import wide_to_long
@@ -30,13 +31,14 @@ def entity_date_frame(dim: DataFrame, bounds: DataFrame) -> DataFrame:
     The calendar is generated inside each dimension row (``explode(sequence)``) after a
     broadcast of the 1-row bounds, so there is no cross join against a date table.
     """
-    framed = attach_row(dim, bounds.select("__lo", "__hi")).select(
+    places = dim.select("country", "iso3code", "iso2code", "who_region", "pop_2020yr", "Continent_Name").distinct()
+    framed = attach_row(places, bounds.select("__lo", "__hi")).select(
         "*", F.explode(daily_sequence(F.col("__lo"), F.col("__hi"))).alias("date")
     )
     return framed.select(
         paste_na("iso3code", "date", sep="_").alias("ou_date_match"),
         "country", "date", "iso3code", "iso2code", "who_region", "pop_2020yr", "Continent_Name",
-    ).distinct()
+    )
 
 
 def _clip_frame(frame: DataFrame, df: DataFrame, date_col: str, key_frame: str, key_df: str) -> DataFrame:
@@ -57,6 +59,8 @@ def panel_from_wide_cumulative(
     n_ids: int = 4,
     date_format: str = US_SHORT,
     materialize: bool = True,
+    promote: Sequence[str] = (),
+    rename: dict[str, str] | None = None,
 ) -> DataFrame:
     """A3: wide cumulative files -> cleaned daily panel on the entity x date frame.
 
@@ -64,7 +68,9 @@ def panel_from_wide_cumulative(
     other header is a date.  Steps: unpivot (R1) -> parse header dates -> full outer join
     of the two measures on the 5 keys (J2) -> per-series increments with negatives clamped
     (W1, W2) -> strict sum per (country, date) (G1) -> names to codes through an alias
-    table (J8), unmatched dropped (P13) -> first-day restore (W3) -> strict sum per
+    table (J8), unmatched dropped (P13); provinces in ``promote`` count as countries of their
+    own, and ``rename`` maps countries to one entity before the codes are looked up (P8)
+    -> first-day restore (W3) -> strict sum per
     (code, date) -> clip the frame to the observed range and codes (P15, J5) -> left join
     (J3) -> numeric nulls to 0 (P19).
 
@@ -84,7 +90,8 @@ def panel_from_wide_cumulative(
     # merge() sorts by its keys, so the per-series order is (lat, long, date), nulls last.
     inc = increments(merged, series_key, "Date", {"cum_cases": "new_cases", "cum_deaths": "new_deaths"}, clamp=True,
                      order=[lat, lon, "Date"])
-    inc = inc.withColumn("Country", F.translate(F.col(ctry), "*", ""))
+    country = F.when(in_never_null(prov, promote), F.col(prov)).otherwise(F.col(ctry)) if promote else F.col(ctry)
+    inc = inc.withColumn("Country", F.translate(country, "*", ""))
     # base aggregate() drops rows whose grouping variables are NA
     inc = inc.filter(F.col("Country").isNotNull() & F.col("Date").isNotNull())
     by_country = inc.groupBy("Country", "Date").agg(
@@ -93,6 +100,8 @@ def panel_from_wide_cumulative(
         strict_sum("cum_cases").alias("cases_cum"),
         strict_sum("cum_deaths").alias("deaths_cum"),
     )
+    if rename:
+        by_country = by_country.withColumn("Country", F.coalesce(lookup("Country", rename), F.col("Country")))
     coded = alias_join(by_country, "Country", aliases, alias_col, code_col, "iso3code").filter(F.col("iso3code").isNotNull())
     restored = restore_first(coded, ["iso3code"], "Date", {"cases_new": "cases_cum", "deaths_new": "deaths_cum"})
     df = restored.groupBy("iso3code", F.col("Date").alias("date")).agg(
@@ -115,16 +124,24 @@ def panel_from_long_daily(
     drop_date=None,
     exclude_codes: Sequence[str] = (),
     materialize: bool = True,
+    rename: dict[str, str] | None = None,
+    recode: dict[str, str] | None = None,
 ) -> DataFrame:
     """A4: long daily file -> cleaned daily panel on the entity x date frame.
 
-    Group by every text column and sum every numeric one, nulls as 0 (G3, G2) -> parse the
+    Countries in ``rename`` take another's name, and those in ``recode`` a code (P8), so that
+    places collapse when the rows are grouped by every text column and every numeric one is
+    summed, nulls as 0 (G3, G2) -> parse the
     date column (first column, S5) -> clip the frame to the observed range and codes (P15,
     J5) -> left join on (iso2code, date) (J3) -> numeric nulls to 0 (P19) -> drop the
     incomplete day ``drop_date`` (P17) -> drop excluded codes keeping nulls (P12).
     """
     first = long_daily.columns[0]
     w = long_daily.withColumnRenamed(first, date_text) if first != date_text else long_daily
+    if rename:
+        w = w.withColumn("Country", F.coalesce(lookup("Country", rename), F.col("Country")))
+    if recode:
+        w = w.withColumn("Country_code", F.coalesce(lookup("Country", recode), F.col("Country_code")))
     summed = group_by_types(w, strict=False)
     w2 = summed.withColumn("date", parse_date(date_text)).withColumn("iso2code", F.col("Country_code"))
     wx = w2.select(

@@ -45,24 +45,40 @@ HOSPITAL = T.StructType([
 ])
 
 
+def checked_cast(text, kind: T.DataType, name: str):
+    """A text column as ``kind``; an empty text is null, a text that does not parse is an
+    error.  Whole numbers may be written with a fraction of zeros (``12.0``)."""
+    value = F.when(F.trim(text) != "", text)
+    parsed = value.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        number = value.try_cast("double")
+        parsed = F.coalesce(parsed, F.when(number == F.floor(number), number).try_cast(kind))
+    wrong = F.raise_error(F.concat(F.lit(f"column {name} cannot hold "), value))
+    return F.when(value.isNotNull() & parsed.isNull(), wrong).otherwise(parsed)
+
+
+def _read_text(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """All columns as text, by position; a row with other than ``names`` columns is an error."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    reader = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST")
+    return reader.option("enforceSchema", True).csv(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_strings: tuple[str, ...] = ("",)) -> DataFrame:
     """CSV with a header and an explicit schema.
 
     ``na_strings`` are read as null.  By default only the empty field is null: the text
     ``NA`` is a real code (Namibia) and is kept (N10).  Pass ``("", "NA")`` for the reader
-    that treats both as missing (S2).
+    that treats both as missing (S2).  A value that does not fit its column is an error.
     """
-    r = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-    df = r.csv(path)
+    df = _read_text(spark, path, [f.name for f in schema.fields])
     extra = [s for s in na_strings if s != ""]
-    if not extra:
-        return df
     cols = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            c = F.when(c.isin(extra), F.lit(None).cast("string")).otherwise(c)
-        cols.append(c.alias(f.name))
+        if extra:
+            c = F.when(~c.isin(extra), c)
+        cols.append((c if isinstance(f.dataType, T.StringType) else checked_cast(c, f.dataType, f.name)).alias(f.name))
     return df.select(*cols)
 
 
@@ -75,11 +91,16 @@ def read_wide_csv(
 ) -> DataFrame:
     """Wide CSV (S4): headers kept verbatim, the first ``n_ids`` columns are identifiers,
     every later header is a date label.  The header is read once (one small job) to learn
-    the date columns, then the file is read with an explicit schema built from it."""
+    the date columns; a value that does not fit ``value_type`` is an error."""
     header = spark.read.option("header", True).csv(path).limit(0).columns
-    fields = [T.StructField(h, id_types[i] if i < len(id_types) else T.StringType()) for i, h in enumerate(header[:n_ids])]
-    fields += [T.StructField(h, value_type) for h in header[n_ids:]]
-    return spark.read.schema(T.StructType(fields)).option("header", True).option("enforceSchema", True).csv(path)
+    df = _read_text(spark, path, header)
+    kinds = [id_types[i] if i < len(id_types) else T.StringType() for i in range(n_ids)] + [value_type] * (len(header) - n_ids)
+    return df.select(
+        *(
+            (F.col(f"`{h}`") if isinstance(k, T.StringType) else checked_cast(F.col(f"`{h}`"), k, h)).alias(h)
+            for h, k in zip(header, kinds, strict=True)
+        )
+    )
 
 
 def first_column_as(df: DataFrame, name: str) -> DataFrame:

@@ -215,6 +215,35 @@ def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed values of the binding: attribute values of the published tables per region name.
+_WHO = {"AFRICA": "AFRO", "AMERICA": "AMRO", "EUROPE": "EURO", "MIDDLE EAST": "EMRO"}
+_STATE = {
+    "AFRICA": "Sub-Saharan Africa", "AMERICA": "Western Hemisphere", "EUROPE": "Europe and Eurasia",
+    "MIDDLE EAST": "Near East (Middle East and Northern Africa)",
+}
+_INCOME = ["High income", "Upper middle income", "Lower middle income", "Low income", "Not classified"]
+
+
+def nation_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`nation_dim` with a region code, state region, income level and adult population
+    for each nation, some of them missing."""
+    from ..functions.classify import lookup
+
+    dim, key = nation_dim(spark, sf_dir), F.col("iso3code").cast("int")
+    odd = key % 2 == 1
+    who = F.when(F.col("who_region") == "ASIA", F.when(odd, "WPRO").otherwise("SEARO")).otherwise(lookup("who_region", _WHO))
+    asia = F.when(odd, "East Asia and the Pacific").otherwise("South and Central Asia")
+    state = F.when(F.col("country") == "NATION_1", "US").when(F.col("who_region") == "ASIA", asia).otherwise(lookup("who_region", _STATE))
+    return dim.withColumns(
+        {
+            "state_region": F.when(key % 7 != 6, state),
+            "who_region": F.when(key != 10, who),
+            "incomelevel_value": F.when(key % 6 < 5, F.get(F.array(*map(F.lit, _INCOME)), key % 6)),
+            "eighteenplus": F.col("pop_2020yr") * 0.75,
+        }
+    )
+
+
 def event_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1-row calendar bounds (``__lo``, ``__hi``) of the event days.
 
