@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from paneltide.plans import catalog as C
+from paneltide.sources import tables as T
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +14,10 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(C.QUERIES))
 def test_no_cartesian_product(spark, name):
     """Grids are expanded from a broadcast 1-row table; no query plans a cartesian join."""
-    p = plan_of(E.queries()[name](spark, SF))
+    p = plan_of(C.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in p
 
 
@@ -31,7 +31,7 @@ def test_panel_reads_only_needed_columns_and_shuffles_once_for_windows(spark):
     assert len(series_exchanges) == 1, p
 
 
-@pytest.mark.parametrize("name", ["latest_one", "latest_with_ties", "snapshot_cumulative"])
+@pytest.mark.parametrize("name", ["latest_one", "latest_with_ties"])
 def test_latest_rows_are_map_side_group_limits(spark, name):
     """Top-1 per group (with or without ties) is cut map-side before the shuffle."""
     p = plan_of(C.QUERIES[name](spark, SF))
@@ -48,17 +48,46 @@ def test_broadcast_nested_loop_only_against_one_row_sides(spark):
         assert "BroadcastExchange IdentityBroadcastMode" in p or "BroadcastNestedLoopJoin" not in p
 
 
-def test_event_aggregations_combine_map_side(spark):
-    """Every shuffle of raw events is preceded by a partial aggregation, so a key holding a
-    third of all events ships one row per map task (and day) instead of its raw rows."""
-    for name in ["cumulative_panel", "tracker_change", "country_totals", "snapshot_to_daily", "hospital_fill"]:
-        df = C.QUERIES[name](spark, SF)
-        p = df._jdf.queryExecution().executedPlan().toString()
-        lines = p.splitlines()
-        for i, line in enumerate(lines):
-            if "FileScan parquet" in line and "events.parquet" in line and "ts:timestamp_ntz>" in line and "event_type" in line:
-                above = "\n".join(lines[max(0, i - 6):i])
-                assert "partial_" in above or "WindowGroupLimit" in above or "Exchange" not in above, (name, above)
+def _above_scan(plan, table):
+    """For each scan of a table the operators between it and the first shuffle above it."""
+    lines = plan.splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*")) for x in lines]
+    for i, line in enumerate(lines):
+        if "FileScan parquet" in line and f"{table}.parquet" in line:
+            chain, at = [], depth[i]
+            for j in range(i - 1, -1, -1):
+                if depth[j] < at:
+                    at = depth[j]
+                    if "Exchange hashpartitioning" in lines[j]:
+                        break
+                    chain.append(lines[j])
+            yield chain
+
+
+@pytest.mark.parametrize(
+    "table, build",
+    [
+        ("events", T.daily_counts),
+        ("events", C.QUERIES["cumulative_panel"]),
+        ("events", C.QUERIES["snapshot_cumulative"]),
+        ("events", C.QUERIES["snapshot_to_daily"]),
+        ("events", C._daily_by_type),
+        ("events", lambda s, d: T.hospital_feeds(s, d)[0]),
+        ("orders", C.QUERIES["gappy_panel_lags"]),
+    ],
+)
+def test_raw_rows_combine_map_side(spark, table, build):
+    """Every shuffle of raw rows is preceded by a partial aggregation (the plans before any
+    checkpoint are read), so a key holding a third of all rows ships one row per map task and
+    day instead of its raw rows.  A join with a dimension may come first."""
+    chains = list(_above_scan(plan_of(build(spark, SF)), table))
+    assert len(chains) == 1
+    assert any("partial_" in x for x in chains[0]) or any("SortMergeJoin" in x for x in chains[0]), chains
+
+
+def test_one_scan_of_the_events_for_snapshots(spark):
+    for name in ("snapshot_cumulative", "snapshot_to_daily"):
+        assert len(list(_above_scan(plan_of(C.QUERIES[name](spark, SF)), "events"))) == 1
 
 
 def test_skewed_key_keeps_results_whole(spark):
