@@ -8,10 +8,9 @@ probability of their weighted Jaccard similarity.  A text throws only as many da
 its coordinates, not ``k`` for each element.
 
 Identical shingle sets are collapsed first.  Texts that share a band are compared, exactly, with
-the bucket's smallest text; where that leaves a bucket in several components, its members meet
-the bucket's best linked text that was not tried yet, a few times over.  Members that are still
-apart are compared across components, unless their sizes or the lowest bits of their signatures
-rule the similarity out.  So no bucket is expanded into all pairs, and no link that banding
+the bucket's smallest text; those that are unlike it meet the bucket's best linked texts.
+Members that are still in different components are compared across these, unless their sizes or
+the lowest bits of their signatures rule the similarity out.  So no bucket is expanded into all pairs, and no link that banding
 proposes goes missing between components.
 """
 
@@ -22,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.llm.components import components
@@ -32,8 +31,8 @@ from paneltide.llm.words import hash_words, mix, shingles
 _BLOCK = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-64
-#: Further texts that a bucket's members are compared with before they meet across components.
-_ROUNDS = 4
+#: Best linked texts that those members of a bucket meet which are unlike its smallest text.
+_HUBS = 3
 #: The sketch has the lowest bit of so many coordinates.
 _SKETCH = 128
 #: Rank intervals: doubling up to a width of 8, then of that width.
@@ -252,36 +251,35 @@ def near_duplicates(
         )
 
     # rows that share an id are one document
-    links = store.put(similar(pairs).unionByName(member.where("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))), "links")
+    copies = member.where("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))
+    near = store.put(similar(pairs), "near")
+    links = near.unionByName(copies)
+
+    # members unlike their bucket's head meet its best linked texts
+    linked = near.select(F.col("u").alias("node"), F.col("v").alias("head"))
+    missed = store.put(shared.where("node <> head").join(linked, ["node", "head"], "left_anti"), "missed")
+    if not missed.isEmpty():
+        ends = linked.select("node").union(linked.select("head"))
+        degree = ends.groupBy("node").agg(F.count("*").alias("degree"))
+        several = missed.select("band").distinct()
+        order = Window.partitionBy("band").orderBy(F.desc(F.coalesce("degree", F.lit(0))), F.xxhash64("node"))
+        hubs = (
+            shared.where("node <> head").join(several, "band").join(degree, "node", "left")
+            .withColumn("place", F.row_number().over(order)).where(F.col("place") <= _HUBS)
+            .select("band", F.col("node").alias("b"))
+        )
+        met = missed.select("band", F.col("node").alias("a")).join(hubs, "band").where("a <> b").select("a", "b").distinct()
+        links = links.unionByName(store.put(similar(met), "hub-links"))
     parts = components(links, store, "parts")
 
     def part(df: DataFrame, node: str, into: str) -> DataFrame:
-        p = parts.select(F.col("node").alias("pn"), F.col("component").alias("pc"))  # as they are now
+        p = parts.select(F.col("node").alias("pn"), F.col("component").alias("pc"))
         return df.join(p, F.col(node) == F.col("pn"), "left").withColumn(into, F.coalesce("pc", node)).drop("pn", "pc")
 
-    def open_rows(rows_: DataFrame, name: str) -> DataFrame:
-        """Rows (band, node) of buckets in more than one component, with it."""
-        labelled = part(rows_.select("band", "node"), "node", "c")
-        several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-        return store.put(labelled.join(several, "band"), name)
-
-    used, left = heads, open_rows(shared, "open-0")
-    for r in range(1, _ROUNDS + 1):
-        if left.isEmpty():
-            break
-        ends = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        degree = ends.groupBy(F.col("u").alias("node")).agg(F.count("*").alias("degree"))
-        untried = left.join(used, (left["band"] == used["band"]) & (left["node"] == used["head"]), "left_anti").join(degree, "node", "left")
-        best = F.struct(F.coalesce("degree", F.lit(0)).alias("d"), F.xxhash64("node", F.lit(r)).alias("h"), "node", "c")
-        tried = store.put(
-            untried.groupBy("band").agg(F.max(best).alias("x")).select("band", F.col("x.node").alias("head"), F.col("x.c").alias("hc")), f"heads-{r}"
-        )
-        met = left.join(tried, "band").where("c <> hc").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-        more = store.put(similar(met), f"more-{r}")
-        links, used = links.unionByName(more), used.select("band", "head").unionByName(tried.select("band", "head"))
-        stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        parts = components(stars.unionByName(more), store, f"parts-{r}")
-        left = open_rows(left, f"open-{r}")
+    # buckets that are still in several components
+    labelled = part(shared.join(missed.select("band").distinct(), "band").select("band", "node"), "node", "c")
+    several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
+    left = store.put(labelled.join(several, "band"), "left")
     if not left.isEmpty():
         side = left.join(sets.select("node", "n", "s1", "s2"), "node")
         x, y = (side.select(*(F.col(c).alias(c + i) for c in ("band", "node", "c", "n", "s1", "s2"))) for i in "xy")

@@ -82,10 +82,10 @@ def test_bucket_in_two_components_loses_no_link(spark, monkeypatch):
     assert got == _classes(rows) == {1: 1, 2: 1, 3: 1}
 
 
-@pytest.mark.parametrize("rounds", [0, 4])
-def test_copies_that_are_like_their_origin_only(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("hubs", [0, 3])
+def test_copies_that_are_like_their_origin_only(spark, monkeypatch, hubs):
     """Edits of one text: like it, but mostly not like each other, and it is no bucket's head."""
-    monkeypatch.setattr(minhash, "_ROUNDS", rounds)
+    monkeypatch.setattr(minhash, "_HUBS", hubs)
     rnd = random.Random(6)
     origin = [f"w{i}" for i in range(120)]
     rows = [(1000, " ".join(origin))]
