@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a 1-row table (a global aggregate such as min/max dates) to
@@ -47,6 +49,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.select(*out)
 
 
+def checked_broadcast(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A small table (one row per group, say) stored and marked for broadcast if it has at most
+    ``most`` rows; otherwise stored and left to a shuffled join.  The large side then never
+    moves to meet a handful of rows."""
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.limit(most + 1).count() <= most else stored
+
+
 def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """dplyr ``left_join(x, y)`` with no ``by``: every shared column is a key."""
     keys = [c for c in left.columns if c in right.columns]

@@ -48,7 +48,7 @@ from ..functions.measures import (
 )
 from ..functions.nulls import clamp_negative, fill_zero, num_text, num_text_grouped
 from ..operators.aggregate import class_lower_bounds, quantile_cuts
-from ..operators.joins import attach_row, join_null_safe
+from ..operators.joins import attach_row, checked_broadcast, join_null_safe
 from ..operators.reshape import complete_nested, long_to_wide
 from ..operators.series import fill_downup
 from ..session import cut_lineage
@@ -125,16 +125,16 @@ def quantile_classes(df: DataFrame, groups: Sequence[str] = GROUP, value: str =
     """Sextile map classes and legend labels per group.
 
     Cut points and class bounds are per-group aggregates (partial aggregation, one row
-    per group).  They are joined back without a broadcast hint: both come out of a
-    shuffle, so AQE knows their real size and broadcasts them when small (one row per
-    indicator x metric x period x source) and falls back to a sort-merge join otherwise.
+    per group).  They are stored, counted and broadcast when small (one row per indicator x
+    metric x period x source), so the rows are not shuffled on a few group keys; beyond the
+    bound they meet in a sort-merge join.
     """
     groups = list(groups)
-    cuts = quantile_cuts(df, groups, value, spill_safe=spill_safe)
+    cuts = checked_broadcast(quantile_cuts(df, groups, value, spill_safe=spill_safe))
     with_cuts = join_null_safe(df, cuts, groups, "left")
     idx = quantile_class_index(F.col(value), [F.col(f"q{i}") for i in range(1, 6)])
     classed = with_cuts.withColumn("__cls", F.when(F.col(value).isNotNull(), idx)).drop(*[f"q{i}" for i in range(1, 6)])
-    bounds = class_lower_bounds(classed, groups, value, "__cls")
+    bounds = checked_broadcast(class_lower_bounds(classed, groups, value, "__cls"))
     labelled = join_null_safe(classed, bounds, groups, "left")
     cls = F.col("__cls")
     qcats = (
@@ -150,7 +150,7 @@ def legend_bounds(snap: DataFrame, groups: Sequence[str] = GROUP, value: str = "
     """Per group: class lower bounds ``lw2..lw6`` (G8) and the six legend labels (D7):
     label k (k = 1..5) is the formatted lower bound of class k+1, label 6 is ``lw6 + "+"``."""
     groups = list(groups)
-    cuts = quantile_cuts(snap, groups, value)
+    cuts = checked_broadcast(quantile_cuts(snap, groups, value))
     with_cuts = join_null_safe(snap, cuts, groups, "left")
     idx = quantile_class_index(F.col(value), [F.col(f"q{i}") for i in range(1, 6)])
     classed = with_cuts.withColumn("__cls", F.when(F.col(value).isNotNull(), idx))
