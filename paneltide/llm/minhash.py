@@ -255,20 +255,17 @@ def near_duplicates(
     near = store.put(similar(pairs), "near")
     links = near.unionByName(copies)
 
-    # members unlike their bucket's head meet its best linked texts
-    linked = near.select(F.col("u").alias("node"), F.col("v").alias("head"))
-    missed = store.put(shared.where("node <> head").join(linked, ["node", "head"], "left_anti"), "missed")
+    # members unlike their bucket's head meet the best linked texts among the head's members
+    missed = store.put(pairs.join(near, (F.col("a") == F.col("u")) & (F.col("b") == F.col("v")), "left_anti"), "missed")
     if not missed.isEmpty():
-        ends = linked.select("node").union(linked.select("head"))
-        degree = ends.groupBy("node").agg(F.count("*").alias("degree"))
-        several = missed.select("band").distinct()
-        order = Window.partitionBy("band").orderBy(F.desc(F.coalesce("degree", F.lit(0))), F.xxhash64("node"))
+        degree = near.select("u").union(near.select("v")).groupBy(F.col("u").alias("node")).agg(F.count("*").alias("degree"))
+        order = Window.partitionBy("head").orderBy(F.desc(F.coalesce("degree", F.lit(0))), F.xxhash64("hub"))
         hubs = (
-            shared.where("node <> head").join(several, "band").join(degree, "node", "left")
-            .withColumn("place", F.row_number().over(order)).where(F.col("place") <= _HUBS)
-            .select("band", F.col("node").alias("b"))
+            pairs.join(missed.select("b").distinct(), "b").select(F.col("a").alias("hub"), F.col("b").alias("head"))
+            .join(degree, F.col("hub") == F.col("node"), "left")
+            .withColumn("place", F.row_number().over(order)).where(F.col("place") <= _HUBS).select("head", "hub")
         )
-        met = missed.select("band", F.col("node").alias("a")).join(hubs, "band").where("a <> b").select("a", "b").distinct()
+        met = missed.join(hubs, F.col("b") == F.col("head")).where("a <> hub").select("a", F.col("hub").alias("b")).distinct()
         links = links.unionByName(store.put(similar(met), "hub-links"))
     parts = components(links, store, "parts")
 
@@ -277,7 +274,8 @@ def near_duplicates(
         return df.join(p, F.col(node) == F.col("pn"), "left").withColumn(into, F.coalesce("pc", node)).drop("pn", "pc")
 
     # buckets that are still in several components
-    labelled = part(shared.join(missed.select("band").distinct(), "band").select("band", "node"), "node", "c")
+    unlike = shared.join(missed, (F.col("node") == F.col("a")) & (F.col("head") == F.col("b")), "left_semi").select("band").distinct()
+    labelled = part(shared.join(unlike, "band").select("band", "node"), "node", "c")
     several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
     left = store.put(labelled.join(several, "band"), "left")
     if not left.isEmpty():
