@@ -418,3 +418,38 @@ def test_quantile_classes_spill_safe_option_same_result(spark):
     a = sorted(map(tuple, quantile_classes(df, ["Indicator"], "valuex").collect()), key=str)
     b = sorted(map(tuple, quantile_classes(df, ["Indicator"], "valuex", spill_safe=True).collect()), key=str)
     assert a == b
+
+
+def test_alias_with_two_codes_fails_and_with_one_matches_once(spark):
+    df = spark.createDataFrame([("Alpha ",), ("beta",)], "name string")
+    one = spark.createDataFrame([("alpha", "A"), ("ALPHA*", "A"), ("gamma", "G")], "alias string, code string")
+    assert sorted(rows(J.alias_join(df, "name", one, "alias", "code", "c")), key=str) == [("Alpha ", "A"), ("beta", None)]
+    two = spark.createDataFrame([("alpha", "A"), (" Alpha", "B")], "alias string, code string")
+    with pytest.raises(Exception, match="more than one code"):
+        J.alias_join(df, "name", two, "alias", "code", "c").collect()
+
+
+def test_row_lags_on_a_panel_with_gaps(spark):
+    """Jan 1, 2, 3 and 20: the last row's lag of one is Jan 3, whatever lies between."""
+    from paneltide.plans import tracker as TR
+
+    panel = spark.createDataFrame(
+        [("a", "S", D(2020, 1, d), c, 0, 100.0) for d, c in ((1, 1), (2, 2), (3, 5), (20, 10))],
+        "country_code string, data_source string, Date date, cases_cum long, deaths_cum long, pop double",
+    )
+    got = rows(TR.snapshot_values(panel, periods=(1,)).where("Indicator = 'Cases' and Metric = 'Counts'"), "valuex")
+    assert got == [(5.0,)]
+    change = TR.period_change(panel, "cross", (1,)).where("Indicator = 'Cases'")
+    assert rows(change, "curr_val", "prev_val", "prev_date") == [(5, 3, D(2020, 1, 3))]
+
+
+def test_places_of_one_name_or_none_do_not_merge(spark):
+    from paneltide.plans import subnational as SN
+
+    counts = {m: 1 for m in SN.MEASURES}
+    data = [(k, D(2020, 1, d), None, v) for k, v0 in ((1, 5), (2, 50)) for d, v in ((1, v0), (3, v0 + 2))]
+    df = spark.createDataFrame(data, "user_id long, date date, last_update timestamp, v long").select(
+        "user_id", "date", "last_update", *[F.col("v").alias(m) for m in counts]
+    )
+    got = SN.daily_from_snapshots(df, keys=["user_id"]).orderBy("user_id", "date")
+    assert rows(got, "user_id", "city_deaths") == [(1, 5), (1, 0), (1, 2), (2, 50), (2, 0), (2, 2)]

@@ -120,3 +120,36 @@ def test_cli_jobs_write_csv(spark):
     assert "traj_cat_simple" in schema and "changecat_order" in schema
     paths = cli.run_dashboard(spark, SF, os.path.join(out, "dashboard"), fmt="parquet")
     assert spark.read.parquet(paths["onetable"]).filter("id = 'OTH'").count() == 1
+
+
+def test_values_that_do_not_fit_fail_and_whole_fractions_are_whole(spark):
+    import pytest
+
+    base = scratch()
+    for name, cell in (("ok", "12.0"), ("bad", "12.5"), ("text", "x")):
+        spark.createDataFrame([("p", "c", "1", "2", cell)], "prov string, ctry string, lat string, lon string, `1/22/20` string").write.option(
+            "header", True
+        ).csv(os.path.join(base, name))
+    assert rows(RD.read_wide_csv(spark, os.path.join(base, "ok"))) == [("p", "c", 1.0, 2.0, 12)]
+    for name in ("bad", "text"):
+        with pytest.raises(Exception, match="cannot hold"):
+            RD.read_wide_csv(spark, os.path.join(base, name)).collect()
+
+
+def test_a_session_without_a_shared_folder_is_refused(monkeypatch):
+    import pytest
+
+    from paneltide import session as SE
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        SE.ensure_checkpoint_dir(Session())
