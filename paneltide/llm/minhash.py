@@ -10,8 +10,8 @@ its coordinates, not ``k`` for each element.
 Identical shingle sets are collapsed first.  Texts that share a band are compared, exactly, with
 the bucket's smallest text; those that are unlike it meet the bucket's best linked texts.
 Members that are still in different components are compared across these, unless their sizes or
-the lowest bits of their signatures rule the similarity out.  So no bucket is expanded into all pairs, and no link that banding
-proposes goes missing between components.
+their signatures, by five standard deviations, rule the similarity out.  So no bucket is
+expanded into all pairs, and no link that banding proposes goes missing between components.
 """
 
 from __future__ import annotations
@@ -33,8 +33,6 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-64
 #: Best linked texts that those members of a bucket meet which are unlike its smallest text.
 _HUBS = 3
-#: The sketch has the lowest bit of so many coordinates.
-_SKETCH = 128
 #: Rank intervals: doubling up to a width of 8, then of that width.
 _FIRST = 2.0**-6
 _WIDEST = 8.0
@@ -135,8 +133,8 @@ def shingle_sets(texts, size: int, weighted: bool) -> tuple[np.ndarray, np.ndarr
 
 
 def _sketch(docs: DataFrame, size: int, weighted: bool, bands: int, rows: int, seed: int) -> DataFrame:
-    """(id, d1, d2, bands, n, s1, s2) of every document with words; d1 and d2 name the shingle
-    set, n is its weight, s1 and s2 are the lowest bits of its signature."""
+    """(id, d1, d2, bands, n, marks) of every document with words; d1 and d2 name the shingle
+    set, n is its weight, marks has a byte of each coordinate of its signature."""
 
     def run(batches):
         for b in batches:
@@ -157,9 +155,8 @@ def _sketch(docs: DataFrame, size: int, weighted: bool, bands: int, rows: int, s
                         names.append(mix(sums[at[1:]] - sums[at[:-1]]))
                 size_of = np.bincount(o, weights=w, minlength=n)
                 has = np.flatnonzero(size_of)
-                low = np.zeros((n, _SKETCH), np.uint8)
-                low[:, : sig.shape[1]] = (mix(sig) & np.uint64(1))[:, :_SKETCH]
-                bits = np.packbits(low, axis=1).view(np.int64)
+                marks = (mix(sig) & np.uint64(255)).astype(np.uint8).view(np.int8)
+                marks_end = pa.array(np.arange(len(has) + 1, dtype=np.int32) * sig.shape[1])
                 ends = pa.array(np.arange(len(has) + 1, dtype=np.int32) * bands)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -167,12 +164,12 @@ def _sketch(docs: DataFrame, size: int, weighted: bool, bands: int, rows: int, s
                         *(pa.array(x[has].view(np.int64)) for x in names),
                         pa.ListArray.from_arrays(ends, pa.array(key[has].reshape(-1).view(np.int64))),
                         pa.array(size_of[has]),
-                        *(pa.array(bits[has, i]) for i in (0, 1)),
+                        pa.ListArray.from_arrays(marks_end, pa.array(marks[has].reshape(-1))),
                     ],
-                    names=["id", "d1", "d2", "bands", "n", "s1", "s2"],
+                    names=["id", "d1", "d2", "bands", "n", "marks"],
                 )
 
-    return docs.mapInArrow(run, "id long, d1 long, d2 long, bands array<long>, n double, s1 long, s2 long")
+    return docs.mapInArrow(run, "id long, d1 long, d2 long, bands array<long>, n double, marks array<tinyint>")
 
 
 def _elements(docs: DataFrame, size: int, weighted: bool) -> DataFrame:
@@ -222,7 +219,7 @@ def near_duplicates(
     named = rows_.where(F.col("id").isNotNull())
     sketch = store.put(_sketch(named, size, weighted, bands, rows, seed), "sketch")
     sets = store.put(
-        sketch.groupBy("d1", "d2").agg(F.min("id").alias("node"), *(F.any_value(c).alias(c) for c in ("bands", "n", "s1", "s2"))), "sets"
+        sketch.groupBy("d1", "d2").agg(F.min("id").alias("node"), *(F.any_value(c).alias(c) for c in ("bands", "n", "marks"))), "sets"
     )
     member = sketch.select("id", "d1", "d2").join(sets.select("d1", "d2", "node"), ["d1", "d2"]).select("id", "node")
 
@@ -279,13 +276,14 @@ def near_duplicates(
     several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
     left = store.put(labelled.join(several, "band"), "left")
     if not left.isEmpty():
-        side = left.join(sets.select("node", "n", "s1", "s2"), "node")
-        x, y = (side.select(*(F.col(c).alias(c + i) for c in ("band", "node", "c", "n", "s1", "s2"))) for i in "xy")
-        differ = F.bit_count(F.col("s1x").bitwiseXOR(F.col("s1y"))) + F.bit_count(F.col("s2x").bitwiseXOR(F.col("s2y")))
-        # the expected share of differing bits is half the distance; six standard deviations
-        share, seen = (1 - similarity) / 2, min(_SKETCH, bands * rows)
-        most = share * seen + 6 * math.sqrt(seen * share * (1 - share))
-        alike = (F.col("nx") >= similarity * F.col("ny")) & (F.col("ny") >= similarity * F.col("nx")) & (differ <= most)
+        side = left.join(sets.select("node", "n", "marks"), "node")
+        x, y = (side.select(*(F.col(c).alias(c + i) for c in ("band", "node", "c", "n", "marks"))) for i in "xy")
+        equal = F.zip_with("marksx", "marksy", lambda a, b: (a == b).cast("int"))
+        agree = F.aggregate(equal, F.lit(0), lambda total, one: total + one)
+        # coordinates agree with the probability of the similarity; five standard deviations
+        k = bands * rows
+        least = similarity * k - 5 * math.sqrt(k * similarity * (1 - similarity))
+        alike = (F.col("nx") >= similarity * F.col("ny")) & (F.col("ny") >= similarity * F.col("nx")) & (agree >= least)
         across = x.join(y, (F.col("bandx") == F.col("bandy")) & (F.col("cx") > F.col("cy")) & alike)
         more = store.put(similar(across.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()), "across")
         if not more.isEmpty():
