@@ -80,10 +80,11 @@ def _histograms(batches):
     for r, _, lo, score, _, own in _units(batches):
         key, n = (r["qblock"], lo), len(score)
         part = slice(lo, lo + n)
-        low, width, need = (np.frombuffer(r[x], np.int64)[part] for x in ("low", "width", "need"))
+        low, high, width, need = (np.frombuffer(r[x], np.int64)[part] for x in ("low", "high", "width", "need"))
         # distances in unsigned arithmetic, so a range over all 64-bit values does not overflow
         place = (score.view(np.uint64) - low.view(np.uint64)[:, None]) // width.view(np.uint64)[:, None]
-        inside = ~own & (score >= low[:, None]) & (place < _BINS)
+        # a settled row (low = high) needs no counts
+        inside = ~own & (score >= low[:, None]) & (score <= high[:, None]) & (low < high)[:, None]
         cell = (place.astype(np.int64) + np.arange(n)[:, None] * _BINS)[inside]
         count = np.bincount(cell, minlength=n * _BINS).reshape(n, _BINS)
         total[key] = total[key] + count if key in total else count
@@ -174,22 +175,22 @@ def _select(store: Stored, s: int, blocks: DataFrame, packed: DataFrame, chosen,
     state = {}
     for r in chosen:
         most = min(2.0**63, math.sqrt(r["norm"]) * math.sqrt(largest[r["dim"]]) * (1 + 1e-9) + 1)
-        low = max(_LOW, -int(most))
-        width = -(-(min(_HIGH, int(most)) - low + 1) // _BINS)
-        state[r["qblock"]] = [np.full(r["n"], x, np.int64) for x in (low, width, k)]
+        low, high = max(_LOW, -int(most)), min(_HIGH, int(most))
+        width = -(-(high - low + 1) // _BINS)
+        state[r["qblock"]] = [np.full(r["n"], x, np.int64) for x in (low, high, width, k)]
     slice_ = packed.where(F.col("qblock").isin(list(state))).select(
         "qblock", "dim", F.col("ids").alias("qids"), F.col("vecs").alias("qvecs")
     )
 
-    def units() -> DataFrame:
+    def units(of: list[int]) -> DataFrame:
         """Pairs of blocks; the broadcast side has at most ``slice_bytes`` and its state."""
         at = spark.createDataFrame(
-            [(b, *(bytearray(a.tobytes()) for a in x)) for b, x in state.items()], "qblock long, low binary, width binary, need binary"
+            [(b, *(bytearray(a.tobytes()) for a in state[b])) for b in of], "qblock long, low binary, high binary, width binary, need binary"
         )
         return blocks.select("dim", "ids", "vecs").join(F.broadcast(slice_.join(F.broadcast(at), "qblock")), "dim")
 
-    while any((x[1] > 1).any() for x in state.values()):
-        bins = units().mapInArrow(_histograms, "qblock long, row long, bin long, n long")
+    while unsettled := [b for b, (low, high, *_) in state.items() if (low < high).any()]:
+        bins = units(unsettled).mapInArrow(_histograms, "qblock long, row long, bin long, n long")
         mine = Window.partitionBy("qblock", "row").orderBy(F.desc("bin"))
         summed = bins.groupBy("qblock", "row", "bin").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(mine))
         # the topmost bin that completes the wanted number, or the lowest known one
@@ -198,21 +199,23 @@ def _select(store: Stored, s: int, blocks: DataFrame, packed: DataFrame, chosen,
             .agg(F.sort_array(F.collect_list(F.struct("upto", "bin", "n"))).alias("x"))
             .toArrow()  # bounds of the slice's queries: a few numbers for each of them
         )
-        fresh: dict[int, set[int]] = {b: set() for b in state}
+        # rows without any candidate have no bins
+        idle = {b: state[b][0] < state[b][1] for b in unsettled}
         for block, row, x in zip(*(got.column(c).to_pylist() for c in ("qblock", "row", "x")), strict=True):
-            low, width, need = state[block]
+            low, high, width, need = state[block]
             hit = next((y for y in x if y["upto"] >= need[row]), None)
-            fresh[block].add(row)
+            idle[block][row] = False
             if hit is None:  # fewer candidates than wanted: all of them
-                low[row], width[row], need[row] = _LOW, 1, need[row]
+                low[row] = high[row] = _LOW
                 continue
-            low[row] = low[row] + hit["bin"] * width[row]
+            least = int(low[row]) + hit["bin"] * int(width[row])
+            # the bin's own upper end: the next round's bins, rounded up, may reach beyond it
+            low[row], high[row] = least, min(int(high[row]), least + int(width[row]) - 1)
             need[row] -= hit["upto"] - hit["n"]
-            width[row] = -(-int(width[row]) // _BINS) if width[row] > 1 else 1
-        for block, rows in fresh.items():  # no candidate at all
-            idle = np.setdiff1d(np.arange(len(state[block][0])), list(rows))
-            state[block][0][idle], state[block][1][idle] = _LOW, 1
-    best = units().mapInArrow(_best, "qblock long, row long, query_id long, vec_id long, score long")
+            width[row] = -(-int(width[row]) // _BINS)
+        for block, rows in idle.items():
+            state[block][0][rows] = state[block][1][rows] = _LOW
+    best = units(list(state)).mapInArrow(_best, "qblock long, row long, query_id long, vec_id long, score long")
     order = Window.partitionBy("qblock", "row").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return store.put(ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), f"best-{s}")

@@ -45,3 +45,13 @@ def test_ties_sparse_dimensions_and_bad_vectors(spark):
 def test_products_are_exact_beyond_doubles():
     q, c = np.array([[2**31 + 1, 3]]), np.array([[2**30 + 1, 5], [2**61, 2**61]])
     assert topk._products(q, c).tolist() == [[(2**31 + 1) * (2**30 + 1) + 15, 2**63 - 1]]
+
+
+def test_unnormalised_vectors_need_several_rounds(spark):
+    rnd = np.random.default_rng(7)
+    for scale, options in ((1.0, {}), (30.0, {"block_rows": 64, "slice_bytes": 8192}), (1e5, {}), (0.01, {})):
+        rows = [(i, [float(x) for x in v]) for i, v in enumerate(rnd.normal(size=(400, 6)) * scale)]
+        rows += [(1000 + i, [float(x) for x in v]) for i, v in enumerate(rnd.normal(size=(200, 3)) * 0.05)]  # settled in fewer rounds
+        rows += [(2000 + i, rows[i % 7][1]) for i in range(30)]
+        docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        assert sorted(tuple(r) for r in topk.top_k(docs, **options).collect()) == _brute(rows)
