@@ -14,16 +14,18 @@ from pyspark.sql import functions as F
 from paneltide.llm import bpe, decontaminate, langid, linedup, minhash
 from paneltide.llm.shared import Stored, table
 
-#: A document whose best language has a smaller share goes; one in no known language has 0.
-LEAST_LANGUAGE_SCORE = 0.2
+#: A document goes if its best language's filter holds a smaller share of its n-grams, or passes
+#: the second language's by less: gibberish and untaught languages, and texts between languages.
+LEAST_LANGUAGE_COVERAGE = 0.35
+LEAST_LANGUAGE_MARGIN = 0.05
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach: those without a letter, and those
-    whose best language is unsure, go."""
+    """Documents in a language that the labelled ones teach: those without a letter, those of
+    which too little is known in any language, and those whose best language is unsure, go."""
     model = langid.fit(docs)
-    judged = langid.identify(docs, model, into=("__lang", "__score"))
-    sure = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)
+    judged = langid.identify(docs, model, into=("__lang", "__score", "__coverage", "__margin"))
+    sure = (F.col("__coverage") >= LEAST_LANGUAGE_COVERAGE) & (F.col("__margin") >= LEAST_LANGUAGE_MARGIN)
     return judged.where(sure).select(*docs.columns)
 
 

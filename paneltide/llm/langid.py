@@ -143,13 +143,15 @@ def fit(
     return Filters(languages, cells, probes, filled**probes, languages.index(max(languages, key=lambda x: (sizes[x], x))))
 
 
-def judge(texts, filters: Filters) -> tuple[list[str], np.ndarray]:
-    """(language, score) of every text."""
+def judge(texts, filters: Filters) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(language, score, coverage, margin) of every text.  The score is the best language's part
+    of all languages' hits; coverage is the share of the text's n-grams that the best language's
+    filter holds, corrected, and margin is by how much it passes the second language's."""
     n, n_lang = len(texts), len(filters.languages)
     hashes, owner = ngrams(texts)
     size = np.bincount(owner, minlength=n).astype(float)
     if not n_lang or not len(hashes):
-        return [UNKNOWN] * n, np.zeros(n)
+        return [UNKNOWN] * n, np.zeros(n), np.zeros(n), np.zeros(n)
     bits = int(filters.cells.shape[1]).bit_length() - 1
     place = [_cells(hashes, p, bits) for p in range(filters.probes)]
     found = [np.bitwise_and.reduce([w[at] for at in place]) for w in filters.cells]
@@ -165,8 +167,10 @@ def judge(texts, filters: Filters) -> tuple[list[str], np.ndarray]:
     total, best = true.sum(axis=1), true.argmax(axis=1)
     score = np.where(total > 0, true[np.arange(n), best] / np.maximum(total, 1e-300), 0.0)
     best = np.where(total > 0, best, filters.usual)
+    ranked = np.sort(np.column_stack((np.zeros(n), true)), axis=1)
     # without a letter a text is one space, too short for any n-gram
-    return [filters.languages[b] if s else UNKNOWN for b, s in zip(best, size, strict=True)], np.where(size > 0, score, 0.0)
+    languages = [filters.languages[b] if s else UNKNOWN for b, s in zip(best, size, strict=True)]
+    return languages, np.where(size > 0, score, 0.0), ranked[:, -1], ranked[:, -1] - ranked[:, -2]
 
 
 def identify(
@@ -175,24 +179,26 @@ def identify(
     *,
     text_col: str = "text",
     keep: list[str] | None = None,
-    into: tuple[str, str] = ("lang_pred", "score"),
+    into: tuple[str, ...] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """All rows of ``docs`` with its columns (or those in ``keep``) and the two columns ``into``,
-    which replace columns of that name."""
+    """All rows of ``docs`` with its columns (or those in ``keep``) and the columns ``into``,
+    which replace columns of that name: as many as are named of language, score, coverage and
+    margin (see ``judge``)."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(filters)  # 8 MB for each 64 languages
     names = [c for c in (docs.columns if keep is None else keep) if c not in into]
     base = docs.select(*names, F.col(text_col).alias("__judged"))
-    schema = T.StructType([*base.schema.fields[:-1], T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())])
+    kinds = (T.StringType(), T.DoubleType(), T.DoubleType(), T.DoubleType())
+    schema = T.StructType([*base.schema.fields[:-1], *map(T.StructField, into, kinds)])
 
     def run(batches):
         for b in batches:
             texts = b.column(len(names)).to_pylist()
             for lo, hi in spans_of([len(t or "") for t in texts], _BLOCK):
-                lang, score = judge(texts[lo:hi], model.value)
+                judged = judge(texts[lo:hi], model.value)[: len(into)]
                 part = b.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*names, *into]
+                    [*part.columns[:-1], *map(pa.array, judged)], names=[*names, *into]
                 )
 
     return base.mapInArrow(run, schema)

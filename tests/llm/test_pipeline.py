@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 import re
 
 import public_tokenizers as P
@@ -108,3 +109,18 @@ def test_edge_rows(spark, rows):
     want = {None, 3, *range(10, 15)} if len(rows) > len(EDGE) else set()
     assert {r["doc_id"] for r in docs.where(F.col("n_tokens") > 0).collect()} == want
     assert docs.where("doc_id = 3").count() == (2 if want else 0)
+
+
+def test_gibberish_and_untaught_languages_go(spark):
+    rnd = random.Random(1)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n)) for n in (30, 100, 300, 1000, 3000) for _ in range(10)]
+    odd += [
+        "minun taloni on suuri ja vanha mutta puutarha on kaunis keväällä kun kukat kukkivat ja linnut laulavat aamulla",
+        "evim büyük ve eski ama bahçe ilkbaharda çiçekler açtığında çok güzeldir ve kuşlar sabahları öter",
+        "мой дом большой и старый но сад красив весной",
+        "la mia casa è grande e vecchia ma il giardino è bello in primavera quando i fiori sbocciano",
+    ]
+    more = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(odd)], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(more), SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in docs.collect())
