@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.llm import bpe, ctw, decontaminate, langid, linedup, minhash, passages, pii, topk, urls
+from paneltide.llm import bpe, ctw, decontaminate, kmeans, langid, lexical, linedup, minhash, passages, pii, records, topk, urls
 from paneltide.llm.shared import crc_bucket, table
 
 
@@ -64,6 +64,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.digests(records.write_records(table(spark, sf_dir, "documents")))
+
+
+def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -75,6 +87,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_dart_minhash": op8_dart_minhash,
     "op9_top_k": op9_top_k,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_record_files": op12_record_files,
+    "op13_bisector_clusters": op13_bisector_clusters,
 }
 
-ORACLES: dict[str, str] = {"op2_line_dedup": linedup.DEDUP_SQL, "op9_top_k": topk.TOP_K_SQL}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": linedup.DEDUP_SQL,
+    "op9_top_k": topk.TOP_K_SQL,
+    "op11_lexical_search": lexical.RANK_SQL,
+    "op13_bisector_clusters": kmeans.CLUSTER_SQL,
+}
