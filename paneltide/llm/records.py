@@ -52,9 +52,13 @@ VOCABULARY = "byte_bpe_50k.json"
 INDEX = "part int, file string, offset long, length long, doc_id long, start long, n_tokens long"
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: The pieces between the cuts: other white space does not end one.
+_TAIL = r"(?:(?:\s{2,}|[^\S \n])\S*)*"
+_PIECES = re.compile(rf"[ \n]?\S+{_TAIL}|\s+(?:\S+{_TAIL})?")
 _JOINABLE = re.compile(r"[ \n]\S")
 _WINDOW = 1 << 18  # code points encoded at once
-_KNOWN = 1 << 18  # pieces a task remembers
+_FRAMED = 1 << 22  # bytes framed at once
+_KNOWN = 1 << 19  # pieces a task remembers
 _LONG_PIECE = 32
 
 # ------------------------------------------------------------------ checksums
@@ -162,6 +166,7 @@ class Encoder:
             self.n_bytes[i] = len(token)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()  # known pieces that were met again
 
     def _packed(self, ids) -> bytes:
         return np.asarray(ids, dtype=f"<u{self.width}").tobytes()
@@ -169,35 +174,36 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [self._packed(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+    def _learn(self, pieces: list[str]) -> None:
         """Ids of pieces that start with a blank or line feed and another character."""
-        found = {}
         for lo, hi in spans_of([len(p) for p in pieces], 1 << 12):
             part = pieces[lo:hi]
             ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype=np.int64)
             ends = np.concatenate(([0], np.cumsum(self.n_bytes[ids])))
-            cuts = np.searchsorted(ends, np.cumsum([0, *(len(p.encode()) for p in part)]))
+            cuts = np.searchsorted(ends, np.cumsum([0, *(len(p.encode()) for p in part)])) * self.width
             packed = self._packed(ids)
-            found |= {p: packed[a * self.width : b * self.width] for p, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)}
-        return found
+            self.known.update(zip(part, map(packed.__getitem__, map(slice, cuts[:-1].tolist(), cuts[1:].tolist())), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # an added token may hold any characters and is matched before the text is cut
         plain = [self.apart and not any(a in t for a in self.added) for t in texts]
-        split = [_CUT.split(t) if t and p else [] for t, p in zip(texts, plain, strict=True)]
-        new = set().union(*split).difference(self.known)
-        joined = [p for p in new if _JOINABLE.match(p)]
+        split = [_PIECES.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
+        used = set().union(*split)
+        new = used.difference(self.known)
+        self.again |= used - new
         alone = [p for p in new if not _JOINABLE.match(p)]
-        found = self._learn(joined) | dict(zip(alone, self._whole(alone), strict=True))
-        if len(self.known) + len(found) > _KNOWN:
-            # what this call needs stays
-            used = set().union(*split)
-            found |= {p: self.known[p] for p in used.intersection(self.known)}
-            self.known.clear()
-        self.known |= {p: v for p, v in found.items() if len(p) <= _LONG_PIECE}
-        get = lambda p: self.known.get(p) or found[p]
-        rest = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if t and not p]))
-        return [b"" if not t else b"".join(map(get, s)) if p else next(rest) for t, p, s in zip(texts, plain, split, strict=True)]
+        joined = list(new.difference(alone))
+        self._learn(joined)
+        self.known.update(zip(alone, self._whole(alone), strict=True))
+        rest = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if not p]))
+        out = [b"".join(map(self.known.__getitem__, s)) if p else next(rest) for p, s in zip(plain, split, strict=True)]
+        for p in new:
+            if len(p) > _LONG_PIECE:
+                del self.known[p]
+        if len(self.known) > _KNOWN:  # what was met only once is forgotten, then everything
+            self.known = {p: self.known[p] for p in self.again} if len(self.again) < _KNOWN // 2 else {}
+            self.again = set()
+        return out
 
     def windows(self, text: str) -> Iterator[str]:
         """The text in windows that end where a pre-token ends."""
@@ -260,33 +266,44 @@ def write_records(
         fs, folder = _filesystem(base)
         fs.create_dir(folder, recursive=True)
         name, out, at, start, number = None, None, 0, 0, 0
+
+        def put(ids: list, coded: list[bytes]) -> pa.RecordBatch:
+            """Append the records to the file; their rows of the index."""
+            nonlocal name, out, at, start, number
+            heads = [struct.pack("<BBq", i is not None, enc.width, i or 0) for i in ids]
+            index = []
+            for i, c, f in zip(ids, coded, frame([h + c for h, c in zip(heads, coded, strict=True)]), strict=True):
+                if out is None or at >= file_bytes:
+                    if out is not None:
+                        out.close()
+                    name, at, start = f"{folder}/part-{part:06d}-{number:04d}-{attempt}.rec", 0, 0
+                    out, number = fs.open_output_stream(name), number + 1
+                out.write(f)
+                n = len(c) // enc.width
+                index.append((part, os.path.basename(name), at, len(f), i, start, n))
+                at, start = at + len(f), start + n
+            types = (pa.int32(), pa.string(), *[pa.int64()] * 5)
+            columns = [pa.array(c, t) for c, t in zip(zip(*index, strict=True), types, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "file", "offset", "length", "doc_id", "start", "n_tokens"])
+
         try:
+            ids, coded, size = [], [], 0
             for b in batches:
                 lengths = pc.utf8_length(b.column(1)).to_pylist()
                 for lo, hi in spans_of(lengths, _WINDOW):
-                    ids = b.column(0).slice(lo, hi - lo).to_pylist()
                     texts = b.column(1).slice(lo, hi - lo).to_pylist()
                     if hi - lo == 1 and lengths[lo] > _WINDOW:
-                        coded = [b"".join(enc.encode([w])[0] for w in enc.windows(texts[0]))]
+                        found = [b"".join(enc.encode([w])[0] for w in enc.windows(texts[0]))]
                     else:
-                        coded = enc.encode(texts)
-                    coded = [c + end for c in coded]
-                    heads = [struct.pack("<BBq", i is not None, enc.width, i or 0) for i in ids]
-                    framed = frame([h + c for h, c in zip(heads, coded, strict=True)])
-                    index = []
-                    for i, c, f in zip(ids, coded, framed, strict=True):
-                        if out is None or at >= file_bytes:
-                            if out is not None:
-                                out.close()
-                            name, at, start = f"{folder}/part-{part:06d}-{number:04d}-{attempt}.rec", 0, 0
-                            out, number = fs.open_output_stream(name), number + 1
-                        out.write(f)
-                        n = len(c) // enc.width
-                        index.append((part, os.path.basename(name), at, len(f), i, start, n))
-                        at, start = at + len(f), start + n
-                    types = (pa.int32(), pa.string(), *[pa.int64()] * 5)
-                    columns = [pa.array(c, t) for c, t in zip(zip(*index, strict=True), types, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["part", "file", "offset", "length", "doc_id", "start", "n_tokens"])
+                        found = enc.encode(texts)
+                    ids += b.column(0).slice(lo, hi - lo).to_pylist()
+                    coded += [c + end for c in found]
+                    size += sum(map(len, found))
+                    if size > _FRAMED:
+                        yield put(ids, coded)
+                        ids, coded, size = [], [], 0
+            if ids:
+                yield put(ids, coded)
         finally:
             if out is not None:
                 out.close()
