@@ -404,13 +404,13 @@ def _clamp(x: str) -> str:
     return f"CASE WHEN {x} < 0 THEN 0 ELSE {x} END"
 
 
-def _a3_ctes() -> str:
-    """Source A wide-file pipeline, result in ``a3``."""
+def _a3_ctes(of: str = "") -> str:
+    """Wide-file pipeline over all events (or those ``of`` a source), result in ``a3``."""
     return f"""ud AS (
   SELECT user_id, CAST(ts AS DATE) AS date,
          count(*) FILTER (WHERE event_type IN ('view', 'click')) AS cn,
          count(*) FILTER (WHERE event_type = 'error') AS dn
-  FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2),
+  FROM events {of} GROUP BY 1, 2),
 udense AS (
   SELECT u.user_id, c.date, coalesce(ud.cn, 0) AS cn, coalesce(ud.dn, 0) AS dn
   FROM (SELECT DISTINCT user_id FROM ud) u CROSS JOIN ev_cal c
@@ -453,13 +453,13 @@ a3 AS (
   WHERE f.date >= b.lo AND f.date <= b.hi AND f.iso3code IN (SELECT iso3code FROM a3df))"""
 
 
-def _a4_ctes() -> str:
-    """Source B long-file pipeline, result in ``a4``."""
+def _a4_ctes(of: str = "") -> str:
+    """Long-file pipeline over all events (or those ``of`` a source), result in ``a4``."""
     return f"""ld AS (
   SELECT CAST(c.c_nationkey AS VARCHAR) AS iso3code, CAST(e.ts AS DATE) AS date,
          count(*) FILTER (WHERE e.event_type IN ('view', 'click')) AS nc,
          count(*) FILTER (WHERE e.event_type = 'error') AS nd
-  FROM events e JOIN customer c ON e.user_id = c.c_custkey WHERE e.event_id % 2 <> 0 GROUP BY 1, 2),
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey {of} GROUP BY 1, 2),
 wx AS (
   SELECT lpad(iso3code, 2, '0') AS iso2code, date, CAST(nc AS BIGINT) AS cases_new, CAST(nd AS BIGINT) AS deaths_new,
          CAST(sum(nc) OVER w AS BIGINT) AS cases_cum, CAST(sum(nd) OVER w AS BIGINT) AS deaths_cum
@@ -491,8 +491,8 @@ def stack_sources_panel_sql() -> str:
   '{src}' AS data_source, iso2code"""
     return f"""WITH {EV_CAL},
 {FRAME},
-{_a3_ctes()},
-{_a4_ctes()}
+{_a3_ctes("WHERE event_id % 2 = 0")},
+{_a4_ctes("WHERE e.event_id % 2 <> 0")}
 {sel.format(src='JHU')} FROM a3 WHERE date <= (SELECT max(date) FROM a4)
 UNION ALL
 {sel.format(src='WHO')} FROM a4"""

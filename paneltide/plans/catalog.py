@@ -171,9 +171,9 @@ def entity_date_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def country_totals(spark: SparkSession, sf: str) -> DataFrame:
-    """A3 (R1, S4, J2, W1, W2, G1, J8, W3, P15, J5, J3, P19) on source A's wide files."""
+    """A3 (R1, S4, J2, W1, W2, G1, J8, W3, P15, J5, J3, P19) on the wide files of all events."""
     b = T.event_bounds(spark, sf)
-    cases, deaths = T.wide_cumulative(spark, sf, "A", b)
+    cases, deaths = T.wide_arrays(spark, sf, None, b)
     return TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf, b), T.nation_aliases(spark, sf))
 
 
@@ -182,7 +182,7 @@ def country_totals_remapped(spark: SparkSession, sf: str) -> DataFrame:
     """A3 with P8: three provinces count as countries; two of them become one entity with
     nation 24's code, the third has no code and goes."""
     b = T.event_bounds(spark, sf)
-    cases, deaths = T.wide_cumulative(spark, sf, "A", b)
+    cases, deaths = T.wide_arrays(spark, sf, None, b)
     aliases = T.nation_aliases(spark, sf).unionByName(spark.createDataFrame([("International Conveyance", "24")], "alias string, iso3code string"))
     return TT.panel_from_wide_cumulative(
         cases, deaths, _frame(spark, sf, b), aliases, promote=["1", "2", "3"],
@@ -195,7 +195,7 @@ def country_totals_long_remapped(spark: SparkSession, sf: str) -> DataFrame:
     """A4 with S5 and P8: the date column has another header, three nations collapse into one
     name and code before G3 sums them, and one code is excluded (P12)."""
     b = T.event_bounds(spark, sf)
-    feed = T.long_daily(spark, sf, "B").withColumnRenamed("Date_reported", "X.Date")
+    feed = T.long_daily(spark, sf).withColumnRenamed("Date_reported", "X.Date")
     one = "NATION_0"
     return TT.panel_from_long_daily(
         feed, _frame(spark, sf, b), "Date_reported", drop_date=b.select("__hi"), exclude_codes=["3"],
@@ -203,15 +203,15 @@ def country_totals_long_remapped(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _long_daily_panel(spark, sf, bounds=None):
+def _long_daily_panel(spark, sf, bounds=None, source=None):
     # The last event day is treated as the incomplete "today" and dropped.
     b = bounds if bounds is not None else T.event_bounds(spark, sf)
-    return TT.panel_from_long_daily(T.long_daily(spark, sf, "B"), _frame(spark, sf, b), "Date_reported", drop_date=b.select("__hi"))
+    return TT.panel_from_long_daily(T.long_daily(spark, sf, source), _frame(spark, sf, b), "Date_reported", drop_date=b.select("__hi"))
 
 
 @register
 def country_totals_long(spark: SparkSession, sf: str) -> DataFrame:
-    """A4 (S5, G3, G2, P15, J5, J3, P19, P17) on source B's long daily file."""
+    """A4 (S5, G3, G2, P15, J5, J3, P19, P17) on the long daily file of all events."""
     return _long_daily_panel(spark, sf)
 
 
@@ -219,9 +219,9 @@ def country_totals_long(spark: SparkSession, sf: str) -> DataFrame:
 def stack_sources_panel(spark: SparkSession, sf: str) -> DataFrame:
     """A5 (U1, P6, P7) after the O7 clip: source A limited to source B's last date."""
     bounds = T.event_bounds(spark, sf)
-    cases, deaths = T.wide_cumulative(spark, sf, "A", bounds)
+    cases, deaths = T.wide_arrays(spark, sf, "A", bounds)
     a = TT.panel_from_wide_cumulative(cases, deaths, _frame(spark, sf, bounds), T.nation_aliases(spark, sf))
-    b = cut_lineage(_long_daily_panel(spark, sf, bounds))
+    b = cut_lineage(_long_daily_panel(spark, sf, bounds, "B"))
     b_max = b.agg(F.max("date").alias("__bmax"))
     a = J.attach_row(a, b_max).filter(F.col("date") <= F.col("__bmax")).drop("__bmax")
     return TT.stack_two_sources(a, b)
@@ -405,7 +405,8 @@ def ragged_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _calendar_counts(spark, sf):
-    return R.complete_calendar(_daily_by_type(spark, sf), ["user_id", "event_type"], "date", ["n"])
+    # the bounds come from the raw scan, so the daily aggregation runs once
+    return R.complete_calendar(_daily_by_type(spark, sf), ["user_id", "event_type"], "date", ["n"], bounds=T.event_bounds(spark, sf))
 
 
 @register
@@ -462,7 +463,7 @@ def _balance(spark, sf):
     ev = T.read_table(spark, sf, "events")
     delta = F.when(F.col("event_type").isin("signup", "purchase"), 1).when(F.col("event_type") == "error", -1).otherwise(0)
     daily = ev.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.sum(delta).cast("long").alias("delta"))
-    dense = R.complete_calendar(daily, ["user_id"], "date", ["delta"]).fillna(0, subset=["delta"])
+    dense = R.complete_calendar(daily, ["user_id"], "date", ["delta"], bounds=T.event_bounds(spark, sf)).fillna(0, subset=["delta"])
     return S.running_sum(dense, ["user_id"], "date", {"delta": "cum"})
 
 

@@ -14,8 +14,9 @@ from ..functions.dates import US_SHORT, daily_sequence, parse_date
 from ..functions.nulls import in_never_null, not_in_keep_null, paste_na, strict_sum
 from ..operators.aggregate import group_by_types, numeric_null_to_zero
 from ..operators.joins import alias_join, attach_row, join_null_safe
-from ..operators.series import increments, restore_first
+from ..operators.series import restore_first
 from ..operators.setops import stack_sources
+from ..operators.wide import WideTable, pack_columns, paired_days
 from ..session import cut_lineage
 
 TOTALS_COLS = [
@@ -48,33 +49,9 @@ def _clip_frame(frame: DataFrame, df: DataFrame, date_col: str, key_frame: str,
     return join_null_safe(clipped.drop("__lo", "__hi"), keys, [key_frame], "left_semi")
 
 
-def _paired_days(cases: DataFrame, deaths: DataFrame, n_ids: int) -> DataFrame:
-    """(ids, date_orig, cum_cases, cum_deaths): the full outer join of two wide files on their
-    ids (J2), unpivoted by one generator of value pairs (R1).  A day that only one file has is
-    null in the other."""
-    ids, c_days, d_days = cases.columns[:n_ids], cases.columns[n_ids:], deaths.columns[n_ids:]
-    renamed = deaths.toDF(*ids, *(f"__d{i}" for i in range(len(d_days))))
-    joined = join_null_safe(cases.toDF(*ids, *(f"__c{i}" for i in range(len(c_days)))), renamed, ids, "full")
-    at_c, at_d = {h: i for i, h in enumerate(c_days)}, {h: i for i, h in enumerate(d_days)}
-
-    def value(prefix: str, at: dict, kind, day: str):
-        return F.col(f"{prefix}{at[day]}") if day in at else F.lit(None).cast(kind)
-
-    c_kind, d_kind = (df.schema[days[0]].dataType for df, days in ((cases, c_days), (deaths, d_days)))
-    pairs = [
-        F.struct(
-            F.lit(day).alias("date_orig"),
-            value("__c", at_c, c_kind, day).alias("cum_cases"),
-            value("__d", at_d, d_kind, day).alias("cum_deaths"),
-        )
-        for day in dict.fromkeys([*c_days, *d_days])
-    ]
-    return joined.select(*ids, F.inline(F.array(*pairs)))
-
-
 def panel_from_wide_cumulative(
-    cases_wide: DataFrame,
-    deaths_wide: DataFrame,
+    cases_wide: DataFrame | WideTable,
+    deaths_wide: DataFrame | WideTable,
     frame: DataFrame,
     aliases: DataFrame,
     alias_col: str = "alias",
@@ -87,10 +64,10 @@ def panel_from_wide_cumulative(
 ) -> DataFrame:
     """A3: wide cumulative files -> cleaned daily panel on the entity x date frame.
 
-    The first ``n_ids`` columns (province, country, lat, long) identify a series; every
-    other header is a date.  Steps: full outer join of the two files on the ids (J2) ->
-    unpivot of value pairs (R1) -> parse header dates -> per-series increments with negatives clamped
-    (W1, W2) -> strict sum per (country, date) (G1) -> names to codes through an alias
+    The ``n_ids`` id columns (province, country, lat, long) identify a series; every
+    other header is a date, however many there are (``operators/wide.py``).  Steps: full outer
+    join of the two files on the ids (J2) -> header dates parsed, values aligned and per-series
+    increments with negatives clamped, as arrays (W1, W2) -> one row per day (R1) -> strict sum per (country, date) (G1) -> names to codes through an alias
     table (J8), unmatched dropped (P13); provinces in ``promote`` count as countries of their
     own, and ``rename`` maps countries to one entity before the codes are looked up (P8)
     -> first-day restore (W3) -> strict sum per
@@ -100,15 +77,13 @@ def panel_from_wide_cumulative(
     The per-(code, date) table is read three times (range, codes, join); with
     ``materialize`` it is checkpointed once so the feed is not re-read and re-aggregated.
     """
-    ids = cases_wide.columns[:n_ids]
-    prov, ctry, lat, lon = ids
-
-    # The files meet on their id columns, one row per series, before the days become rows.
-    merged = _paired_days(cases_wide, deaths_wide, n_ids).withColumn("Date", parse_date("date_orig", date_format)).drop("date_orig")
-    series_key = [ctry, prov]
-    # merge() sorts by its keys, so the per-series order is (lat, long, date), nulls last.
-    inc = increments(merged, series_key, "Date", {"cum_cases": "new_cases", "cum_deaths": "new_deaths"}, clamp=True,
-                     order=[lat, lon, "Date"])
+    cases, deaths = (x if isinstance(x, WideTable) else pack_columns(x, n_ids) for x in (cases_wide, deaths_wide))
+    prov, ctry, lat, lon = cases.ids
+
+    # The files meet on their id columns, one row per series; merge() sorts by its keys, so the
+    # order within a (country, province) is (lat, long, date), nulls last.
+    inc = paired_days(cases, deaths, ("cum_cases", "cum_deaths"), ("new_cases", "new_deaths"), [ctry, prov], [lat, lon],
+                      date_format=date_format)
     country = F.when(in_never_null(prov, promote), F.col(prov)).otherwise(F.col(ctry)) if promote else F.col(ctry)
     inc = inc.withColumn("Country", F.translate(country, "*", ""))
     # base aggregate() drops rows whose grouping variables are NA

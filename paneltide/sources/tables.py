@@ -24,8 +24,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import daily_sequence
 from ..operators.reshape import complete_calendar
 from ..operators.series import running_sum
+from ..operators.wide import WideTable, pack_arrays
 from ..session import cut_lineage
 
 # Fixed values of the binding (event types per indicator, source tags).
@@ -278,20 +280,12 @@ def _user_cumulative(spark: SparkSession, sf_dir: str, source: str | None, bound
     return running_sum(dense, ["user_id"], "date", {"cases_new": "cases_cum", "deaths_new": "deaths_cum"})
 
 
-def wide_cumulative(
-    spark: SparkSession, sf_dir: str, source: str | None = "A", bounds: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Two wide files (cases, deaths): 4 id columns, then one column per day ``M/d/yy``.
+WIDE_IDS = ["Province/State", "Country/Region", "Lat", "Long"]
 
-    Series = user (``Province/State``) within its nation (``Country/Region``); ``Lat`` /
-    ``Long`` are the region / nation keys.  The date headers come from the 1-row calendar
-    bounds (one small driver read, bounded by the number of days), as a pivot needs them.
-    """
-    from ..operators.reshape import long_to_wide
 
-    bounds = bounds if bounds is not None else event_bounds(spark, sf_dir)
-    # Both files are pivots of the same per-user cumulative table: build it once.
-    cum = cut_lineage(_user_cumulative(spark, sf_dir, source, bounds))
+def _located(spark: SparkSession, sf_dir: str, users: DataFrame) -> DataFrame:
+    """Rows of users with the id columns of the wide files: series = user (``Province/State``)
+    within its nation (``Country/Region``); ``Lat`` / ``Long`` are the region / nation keys."""
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     geo = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
@@ -300,20 +294,44 @@ def wide_cumulative(
         F.col("n_regionkey").cast("double").alias("Lat"),
         F.col("n_nationkey").cast("double").alias("Long"),
     )
-    b = bounds.first()
+    return users.join(geo, "user_id", "left").withColumn("Province/State", F.col("user_id").cast("string"))
+
+
+def wide_cumulative(
+    spark: SparkSession, sf_dir: str, source: str | None = None, bounds: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Two wide files (cases, deaths) as columns: 4 id columns, then one column per day
+    ``M/d/yy``.  A pivot needs the date headers, one small driver read bounded by the days."""
     import datetime as _dt
 
+    from ..operators.reshape import long_to_wide
+
+    bounds = bounds if bounds is not None else event_bounds(spark, sf_dir)
+    # Both files are pivots of the same per-user cumulative table: build it once.
+    cum = cut_lineage(_located(spark, sf_dir, _user_cumulative(spark, sf_dir, source, bounds)))
+    cum = cum.withColumn("hdr", F.date_format("date", "M/d/yy"))
+    b = bounds.first()
     days = [b["__lo"] + _dt.timedelta(days=i) for i in range((b["__hi"] - b["__lo"]).days + 1)]
     labels = [f"{d.month}/{d.day}/{d.strftime('%y')}" for d in days]
-    cum = cum.join(geo, "user_id", "left").withColumn("Province/State", F.col("user_id").cast("string"))
-    cum = cum.withColumn("hdr", F.date_format("date", "M/d/yy"))
-    ids = ["Province/State", "Country/Region", "Lat", "Long"]
-    cases = long_to_wide(cum, ids, "hdr", "cases_cum", labels)
-    deaths = long_to_wide(cum, ids, "hdr", "deaths_cum", labels)
+    return long_to_wide(cum, WIDE_IDS, "hdr", "cases_cum", labels), long_to_wide(cum, WIDE_IDS, "hdr", "deaths_cum", labels)
+
+
+def wide_arrays(
+    spark: SparkSession, sf_dir: str, source: str | None = None, bounds: DataFrame | None = None
+) -> tuple[WideTable, WideTable]:
+    """The same two wide files as arrays of values under one row of headers (S4, R5).  A user's
+    days meet in one array where the running sums left them, so nothing is shuffled for it; the
+    place is joined to one row per user."""
+    bounds = bounds if bounds is not None else event_bounds(spark, sf_dir)
+    header = bounds.select(F.transform(daily_sequence("__lo", "__hi"), lambda d: F.date_format(d, "M/d/yy")).alias("labels"))
+    cum = _user_cumulative(spark, sf_dir, source, bounds)
+    files = ["cases_cum", "deaths_cum"]
+    rows = cut_lineage(_located(spark, sf_dir, pack_arrays(cum, ["user_id"], "date", files, header)))
+    cases, deaths = (WideTable(rows.select(*WIDE_IDS, F.col(f).alias("values")), header) for f in files)
     return cases, deaths
 
 
-def long_daily(spark: SparkSession, sf_dir: str, source: str | None = "B") -> DataFrame:
+def long_daily(spark: SparkSession, sf_dir: str, source: str | None = None) -> DataFrame:
     """Long daily file: ``Date_reported`` text first, then names, then daily and cumulative
     counts per nation on the days it reported (sparse)."""
     from pyspark.sql import Window

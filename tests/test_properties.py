@@ -1,6 +1,7 @@
 """Properties of the operators, checked against plain-Python brute force on generated data."""
 
 import datetime as dt
+import re
 
 import numpy as np
 from hypothesis import HealthCheck, given, settings
@@ -201,3 +202,32 @@ def test_sorted_quantiles_equal_percentile_exactly(spark, groups):
     b = {r["g"]: tuple(r[f"q{i}"] for i in range(1, 6)) for r in AG.quantile_cuts_sorted(df, ["g"], "v").collect()}
     # groups without a positive value have no histogram rows: they are absent (null cuts)
     assert {g: q for g, q in a.items() if q[0] is not None} == b
+
+
+def test_ranked_quantiles_equal_percentile_over_many_partitions(spark):
+    """Groups cut over several range partitions, hot values, nulls, NaN and empty groups."""
+    rnd = np.random.default_rng(11)
+    rows = [("big", float(v)) for v in rnd.normal(5, 40, 6000)] + [("big", 7.25)] * 3000
+    rows += [("few", float(v)) for v in (1, 2, 2, 9)] + [("one", 4.0), (None, 3.0), (None, 8.0), ("none", None), ("none", -1.0), ("nan", float("nan")), ("nan", 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    probs = [0.0, 1 / 6, 0.5, 0.999, 1.0]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cuts = AG.quantile_cuts(df, ["g"], "v", probs)
+        got = {r[0]: tuple(r[1:]) for r in cuts.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    v = F.when(F.col("v") > 0, F.col("v"))
+    want = df.groupBy("g").agg(F.percentile(v, F.array(*map(F.lit, probs))).alias("q"))
+    as_text = lambda q: str([None] * len(probs) if q is None else list(q))
+    assert {g: as_text(q) for g, q in got.items()} == {r["g"]: as_text(r["q"]) for r in want.collect()}
+
+
+def test_ranked_quantiles_work_no_group_in_one_task(spark):
+    """The only window on the group keys sees partition counts; values are windowed by group and
+    partition, and no object aggregate holds a group."""
+    df = spark.createDataFrame([("a", float(i)) for i in range(500)], "grp string, v double")
+    plan = AG.quantile_cuts(df, ["grp"], "v")._jdf.queryExecution().executedPlan().toString()
+    windows = re.findall(r"Window \[(.*)\], \[(grp#\d+[^\]]*)\]", plan)
+    assert windows and all("__part" in keys for calc, keys in windows if "__c" in calc), plan
+    assert "ObjectHashAggregate" not in plan and "percentile" not in plan
