@@ -961,3 +961,80 @@ ORACLES["country_totals_long_remapped"] = _swap(
     ),
     ("SELECT * FROM a4", "SELECT * FROM a4 WHERE iso3code IS DISTINCT FROM '3'"),
 )
+
+
+ORACLES["full_outer_hot_key"] = """WITH e AS (SELECT event_id, CASE WHEN event_type <> 'view' THEN user_id END AS user_id FROM events),
+b AS (SELECT CASE WHEN user_id % 50 <> 0 THEN user_id END AS user_id, count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+  round(sum(value), 2) AS amount FROM events GROUP BY 1)
+SELECT coalesce(e.user_id, b.user_id) AS user_id, event_id, purchases, amount FROM e FULL OUTER JOIN b ON e.user_id IS NOT DISTINCT FROM b.user_id"""
+
+ORACLES["contained_alias"] = """WITH place AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
+t AS (
+  SELECT c_custkey, CASE c_custkey % 3
+    WHEN 0 THEN 'The Former Nation-' || n_nationkey || ' (' || r_name || '), ' || c_mktsegment
+    WHEN 1 THEN c_mktsegment || ' of ' || r_name || '; rep. of*Nation-' || n_nationkey
+    ELSE r_name || ' & ' || c_mktsegment END AS description
+  FROM customer LEFT JOIN place ON c_nationkey = n_nationkey),
+x AS (SELECT *, ' ' || trim(regexp_replace(lower(description), '[^a-z0-9]+', ' ', 'g')) || ' ' AS plain FROM t),
+a AS (
+  SELECT DISTINCT trim(regexp_replace(lower(alias), '[^a-z0-9]+', ' ', 'g')) AS run, code FROM (
+    SELECT n_name AS alias, CAST(n_nationkey AS VARCHAR) AS code FROM nation
+    UNION ALL SELECT r_name, 'R' || r_regionkey FROM region
+    UNION ALL SELECT n_name || ' ' || r_name, n_nationkey || '-R' || n_regionkey FROM place))
+SELECT x.c_custkey, x.description, a.code AS place, a.run AS matched
+FROM x LEFT JOIN a ON contains(x.plain, ' ' || a.run || ' ')
+QUALIFY row_number() OVER (PARTITION BY c_custkey
+  ORDER BY len(string_split(a.run, ' ')) DESC NULLS LAST, length(a.run) DESC, instr(x.plain, ' ' || a.run || ' ')) = 1"""
+
+_ORDER_DAYS = """cal AS (SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS TIMESTAMP), CAST(max(o_orderdate) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS "Date" FROM orders),
+od AS (
+  SELECT CAST(c_nationkey AS BIGINT) AS country_code, CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS data_source,
+    CAST(o_orderdate AS DATE) AS "Date", count(*) AS n
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+pdense AS (
+  SELECT k.country_code, k.data_source, cal."Date", od.n FROM (SELECT DISTINCT country_code, data_source FROM od) k CROSS JOIN cal
+  LEFT JOIN od ON od.country_code IS NOT DISTINCT FROM k.country_code AND od.data_source = k.data_source AND od."Date" = cal."Date")"""
+_BY = "PARTITION BY country_code, data_source"
+ORACLES["fill_down_segmented"] = f"""WITH {_ORDER_DAYS}
+SELECT country_code, data_source, "Date", n, last_value(n IGNORE NULLS) OVER ({_BY} ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled
+FROM pdense"""
+ORACLES["increments_segmented"] = f"""WITH {_ORDER_DAYS},
+c AS (SELECT *, CAST(sum(n) OVER ({_BY} ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum FROM pdense)
+SELECT *, cum - lag(cum) OVER w AS new, CASE WHEN row_number() OVER w = 1 THEN cum ELSE cum - lag(cum) OVER w END AS cum_back
+FROM c WINDOW w AS ({_BY} ORDER BY "Date")"""
+ORACLES["locf_maxgap_segmented"] = f"""WITH {_ORDER_DAYS},
+rn AS (SELECT *, row_number() OVER ({_BY} ORDER BY "Date") AS k, count(*) OVER ({_BY}) AS nrows FROM pdense),
+nb AS (SELECT *,
+  max(CASE WHEN n IS NOT NULL THEN k END) OVER ({_BY} ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_k,
+  min(CASE WHEN n IS NOT NULL THEN k END) OVER ({_BY} ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_k
+  FROM rn)
+SELECT n1.country_code, n1.data_source, n1."Date", n1.n,
+  CASE WHEN n1.n IS NOT NULL THEN n1.n
+       WHEN n1.prev_k IS NOT NULL AND coalesce(n1.next_k, n1.nrows + 1) - n1.prev_k - 1 <= 2 THEN n2.n END AS carry_fwd_value
+FROM nb n1 LEFT JOIN rn n2 ON n2.country_code IS NOT DISTINCT FROM n1.country_code AND n2.data_source = n1.data_source AND n2.k = n1.prev_k"""
+
+ORACLES["complete_grid_large"] = """WITH d AS (
+  SELECT c_nationkey, CAST(o_orderdate AS DATE) AS date, o_orderstatus, count(*) AS n FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3)
+SELECT a.c_nationkey, b.date, c.o_orderstatus, d.n
+FROM (SELECT DISTINCT c_nationkey FROM d) a CROSS JOIN (SELECT DISTINCT date FROM d) b CROSS JOIN (SELECT DISTINCT o_orderstatus FROM d) c
+LEFT JOIN d ON d.c_nationkey IS NOT DISTINCT FROM a.c_nationkey AND d.date = b.date AND d.o_orderstatus = c.o_orderstatus"""
+
+ORACLES["number_text"] = """WITH v AS (
+  SELECT o_orderkey, p, CAST(CASE WHEN o_orderkey % 2 = 0 THEN round(o_totalprice, -3) ELSE o_totalprice END AS DOUBLE) * p AS x
+  FROM orders, (SELECT unnest([1e-8, 1e-6, 1e-4, 1e-2, 1e0, 1e2, 1e4, 1e6, 1e8]) AS p)),
+f AS (SELECT *, printf('%.14e', abs(x)) AS full_text FROM v),
+g AS (SELECT *, CAST(regexp_extract(full_text, 'e([+-][0-9]+)$', 1) AS INTEGER) AS e,
+  rtrim(replace(regexp_extract(full_text, '^([0-9.]+)e', 1), '.', ''), '0') AS d FROM f),
+h AS (SELECT *, length(d) AS n, greatest(length(d) - e - 1, 0) AS r FROM g),
+t AS (SELECT *,
+  CASE WHEN x = 0 THEN '0'
+    WHEN greatest(e, 0) + 1 + CASE WHEN r > 0 THEN r + 1 ELSE 0 END <= CASE WHEN n > 1 THEN n + 1 ELSE 1 END + 4
+    THEN CASE WHEN e < 0 THEN '0.' || repeat('0', -e - 1) || d
+              WHEN r > 0 THEN substr(d, 1, e + 1) || '.' || substr(d, e + 2) ELSE rpad(d, e + 1, '0') END
+    ELSE substr(d, 1, 1) || CASE WHEN n > 1 THEN '.' || substr(d, 2) ELSE '' END || CASE WHEN e < 0 THEN 'e-' ELSE 'e+' END || lpad(CAST(abs(e) AS VARCHAR), 2, '0')
+  END AS text, floor(x * 10) AS lo, ceil(x * 10) AS hi FROM h)
+SELECT o_orderkey, p, CASE WHEN x < 0 THEN '-' ELSE '' END || text AS text,
+  CASE WHEN abs(x * 10) >= 4503599627370496 THEN x
+       WHEN x - lo / 10 < hi / 10 - x THEN lo / 10 WHEN x - lo / 10 > hi / 10 - x THEN hi / 10
+       WHEN lo % 2 = 0 THEN lo / 10 ELSE hi / 10 END AS rounded
+FROM t"""

@@ -49,6 +49,52 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.select(*out)
 
 
+def full_outer_split(left: DataFrame, right: DataFrame, keys: Sequence[str], share: float = 1.0, least: int = 1024) -> DataFrame:
+    """Null-safe full outer join whose heavy keys are split over many tasks.
+
+    Spark cannot split a skewed partition of a full outer join, as rows of either side may be
+    the unmatched ones.  Here both sides' keys are counted first (map-side combined).  A key is
+    heavy if one side has more than ``share`` of a task's even share of all rows (``least`` rows at
+    the least), so there are at most about 2 / ``share`` heavy keys for each shuffle partition, and their table is
+    broadcast.  Whether a heavy key has a match is known from the counts: on one side only, its
+    rows just get nulls; on both, they meet in an inner join in which each side is dealt to as
+    many parts as its own share asks for and repeated for the other side's parts.  All other keys
+    meet in an ordinary full outer join.  No row is dropped or sampled, and null keys (which match
+    each other) are keys like any other.
+
+    Both sides are stored first: they are read more than once, and the dealing of rows must not
+    change when a task is run again.  Result as :func:`join_null_safe` with ``how="full"``.
+    """
+    keys = list(keys)
+    left, right = cut_lineage(left), cut_lineage(right)
+    n_left, n_right = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for d, n in ((left, "__nl"), (right, "__nr")))
+    counted = cut_lineage(join_null_safe(n_left, n_right, keys, "full").fillna(0, subset=["__nl", "__nr"]))
+    rows = counted.agg(F.sum(F.col("__nl") + F.col("__nr"))).first()[0] or 0
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(least, int(share * rows / parts))
+    heavy = counted.where((F.col("__nl") > most) | (F.col("__nr") > most))
+    if not heavy.limit(1).count():
+        return join_null_safe(left, right, keys, "full")
+    # parts of an eighth of the bound: parts are dealt by hash, and many small ones fall evenly
+    parts_of = lambda n: F.when(F.col(n) > most, F.ceil(8 * F.col(n) / most)).otherwise(F.signum(n)).cast("int")
+    heavy = F.broadcast(heavy.select(*keys, parts_of("__nl").alias("__pl"), parts_of("__nr").alias("__pr")))
+    light = join_null_safe(*(join_null_safe(d, heavy, keys, "left_anti") for d in (left, right)), keys, "full")
+    of_left, of_right = (join_null_safe(d, heavy, keys, "inner") for d in (left, right))
+    # on one side only: nothing to meet
+    lone = of_left.where("__pr = 0").select(*left.columns).unionByName(
+        of_right.where("__pl = 0").select(*right.columns), allowMissingColumns=True
+    )
+
+    def dealt(df: DataFrame, own: str, other: str, own_part: str, other_part: str) -> DataFrame:
+        part = F.pmod(F.monotonically_increasing_id(), F.col(own)).cast("int").alias(own_part)
+        placed = df.where((F.col(own) > 0) & (F.col(other) > 0)).select("*", part)
+        return placed.withColumn(other_part, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop(own, other)
+
+    a, b = dealt(of_left, "__pl", "__pr", "__i", "__j"), dealt(of_right, "__pr", "__pl", "__j", "__i")
+    met = join_null_safe(a, b, [*keys, "__i", "__j"], "inner").select(*light.columns)
+    return light.unionByName(lone.select(*light.columns)).unionByName(met)
+
+
 def checked_broadcast(df: DataFrame, most: int = 10_000) -> DataFrame:
     """A small table (one row per group, say) stored and marked for broadcast if it has at most
     ``most`` rows; otherwise stored and left to a shuffled join.  The large side then never

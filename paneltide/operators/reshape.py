@@ -169,34 +169,70 @@ def complete_calendar(
     return out.drop("__lo", "__hi")
 
 
+#: Values of an axis that one row may hold.
+AXIS_ROWS = 50_000
+
+
 def _small_axes(df: DataFrame, axes: Sequence[Sequence[str]]) -> DataFrame:
     """1-row table: for each axis (a tuple of columns) the array of its observed values.
 
     ``collect_set`` over a struct keeps nulls as values (R ``complete`` treats NA as a
     value) and is a partial aggregation, so each map task ships only its distinct values.
-    Only small domains (sources, indicators, days, observed tuples) are passed here.
     """
     aggs = [F.collect_set(F.struct(*[F.col(c) for c in cols])).alias(f"__ax{i}") for i, cols in enumerate(axes)]
     return df.agg(*aggs)
 
 
-def _expand(entities: DataFrame, small: DataFrame, axes: Sequence[Sequence[str]]) -> DataFrame:
-    """Every entity row x every combination of the small axes, by generators (no join)."""
-    out = attach_row(entities, small)  # provably one row
-    for i, cols in enumerate(axes):
-        out = out.select("*", F.explode(f"__ax{i}").alias(f"__e{i}")).drop(f"__ax{i}")
-        out = out.select(*[c for c in out.columns if c != f"__e{i}"], *[F.col(f"__e{i}")[c].alias(c) for c in cols])
+def _explode_axis(df: DataFrame, array: str, cols: Sequence[str]) -> DataFrame:
+    out = df.select("*", F.explode(array).alias("__e")).drop(array)
+    return out.select(*[c for c in out.columns if c != "__e"], *[F.col("__e")[c].alias(c) for c in cols])
+
+
+def _expand_large(entities: DataFrame, df: DataFrame, cols: Sequence[str], n: int, most: int) -> DataFrame:
+    """Every entity row x every observed tuple of a large axis.  The axis is cut by hash into
+    chunks that one row holds; entities ask for every chunk and meet it in an equi-join on the
+    chunk, in as many parts as there are shuffle partitions, so that no task holds a chunk's
+    entities alone.  No row ever holds the axis, and nothing is broadcast."""
+    spark = df.sparkSession
+    chunks = -(-2 * n // most)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tuples = df.select(*cols).distinct().withColumn("__chunk", F.pmod(F.xxhash64(*cols), F.lit(chunks)).cast("int"))
+    held = tuples.groupBy("__chunk").agg(F.collect_list(F.struct(*cols)).alias("__axis"))
+    held = held.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    asked = entities.withColumn("__part", F.pmod(F.xxhash64(*entities.columns), F.lit(parts)).cast("int")).withColumn(
+        "__chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    )
+    return _explode_axis(asked.join(held.hint("merge"), ["__chunk", "__part"]).drop("__chunk", "__part"), "__axis", cols)
+
+
+def _expand(entities: DataFrame, df: DataFrame, axes: Sequence[Sequence[str]], most: int) -> DataFrame:
+    """Every entity row x every combination of the axes' observed values, by generators.
+
+    The axes' sizes are estimated in one small job.  Axes of up to ``most`` values are
+    gathered into one broadcast row; larger ones are expanded by :func:`_expand_large`.
+    """
+    names = [f"__n{i}" for i in range(len(axes))]
+    counts = df.agg(*[F.approx_count_distinct(F.struct(*cols)).alias(n) for n, cols in zip(names, axes, strict=True)]).first()
+    small = [cols for n, cols in zip(names, axes, strict=True) if counts[n] <= most]
+    out = entities
+    if small:
+        out = attach_row(out, _small_axes(df, small))  # provably one row
+    for i, cols in enumerate(small):
+        out = _explode_axis(out, f"__ax{i}", cols)
+    for n, cols in zip(names, axes, strict=True):
+        if counts[n] > most:
+            out = _expand_large(out, df, cols, counts[n], most)
     return out
 
 
-def complete_grid(df: DataFrame, axes: Sequence[str], materialize: bool = False) -> DataFrame:
+def complete_grid(df: DataFrame, axes: Sequence[str], materialize: bool = False, axis_rows: int = AXIS_ROWS) -> DataFrame:
     """Full cross product of the observed values of every axis, data left-joined.
 
     ``tidyr::complete(a, b, c, d)``.  The first axis is the large one (entities) and stays
-    distributed; the other axes are small domains gathered into one broadcast row and
-    expanded per entity with ``explode``.  The data are matched null-safely (R matches NA
-    to NA).  The input is read three times (entities, small axes, data); ``materialize``
-    checkpoints it first when it is expensive to recompute.
+    distributed; other axes of up to ``axis_rows`` values are gathered into one broadcast row and
+    expanded per entity with ``explode``, larger ones meet the entities in chunks.  The data are
+    matched null-safely (R matches NA to NA).  The input is read several times (sizes, entities,
+    axes, data); ``materialize`` checkpoints it first when it is expensive to recompute.
     """
     axes = list(axes)
     if materialize:
@@ -204,23 +240,23 @@ def complete_grid(df: DataFrame, axes: Sequence[str], materialize: bool = False)
     entities = df.select(axes[0]).distinct()
     if len(axes) == 1:
         return join_null_safe(entities, df, axes, "left")
-    small = [[a] for a in axes[1:]]
-    grid = _expand(entities, _small_axes(df, small), small)
+    grid = _expand(entities, df, [[a] for a in axes[1:]], axis_rows)
     return join_null_safe(grid, df, axes, "left")
 
 
-def nested_grid(df: DataFrame, entity: str, nested: Sequence[str]) -> DataFrame:
+def nested_grid(df: DataFrame, entity: str, nested: Sequence[str], axis_rows: int = AXIS_ROWS) -> DataFrame:
     """Every entity x every observed tuple of ``nested`` (the grid of ``complete_nested``)."""
-    nested = list(nested)
-    return _expand(df.select(entity).distinct(), _small_axes(df, [nested]), [nested])
+    return _expand(df.select(entity).distinct(), df, [list(nested)], axis_rows)
 
 
-def complete_nested(df: DataFrame, entity: str, nested: Sequence[str], materialize: bool = False) -> DataFrame:
+def complete_nested(
+    df: DataFrame, entity: str, nested: Sequence[str], materialize: bool = False, axis_rows: int = AXIS_ROWS
+) -> DataFrame:
     """``complete(entity, nesting(cols...))``: every entity x every observed tuple."""
     nested = list(nested)
     if materialize:
         df = _checkpoint(df)
-    return join_null_safe(nested_grid(df, entity, nested), df, [entity] + nested, "left")
+    return join_null_safe(nested_grid(df, entity, nested, axis_rows), df, [entity] + nested, "left")
 
 
 def frame_from_dimension(dim: DataFrame, start, end, date_col: str = "date") -> DataFrame:

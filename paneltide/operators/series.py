@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import clamp_negative
+from . import segments
 
 
 def series_window(keys: Sequence[str], date_col: str, desc: bool = False):
@@ -28,12 +29,19 @@ def _running(w):
 # ------------------------------------------------------------------ differences
 
 
-def increments(df: DataFrame, keys, date_col: str, cols: dict, clamp: bool = False, order: Sequence[str] | None = None) -> DataFrame:
+def increments(
+    df: DataFrame, keys, date_col: str, cols: dict, clamp: bool = False, order: Sequence[str] | None = None, segment_days: int | None = None
+) -> DataFrame:
     """``new = cum - lag(cum)``; first row null (W1); ``clamp`` turns negatives to 0.
 
     ``cols`` maps cumulative column -> output column.  ``order`` replaces the date as the
     row order (nulls last), e.g. the full sort key a preceding ``merge`` left behind.
+    ``segment_days`` cuts long series into segments (``segments.py``), here and below.
     """
+    if segment_days:
+        if order:
+            raise ValueError("segments are cut by date: give no other order")
+        return segments.increments(df, keys, date_col, cols, segment_days, clamp)
     w = (
         Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
         if order
@@ -59,11 +67,17 @@ def restore_first(df: DataFrame, keys, date_col: str, cols: dict) -> DataFrame:
     return out
 
 
-def inc_from_cum(df: DataFrame, keys, date_col: str, cols: Sequence[str], n: int = 1, suffix: str = "") -> DataFrame:
+def inc_from_cum(
+    df: DataFrame, keys, date_col: str, cols: Sequence[str], n: int = 1, suffix: str = "", segment_days: int | None = None
+) -> DataFrame:
     """``c(x[1], (x - lag(x, n))[-1])``: first value kept, no clamp.
 
     For ``n > 1`` rows 2..n are null, as the shifted vector is.
     """
+    if segment_days:
+        if n != 1:
+            raise ValueError("segments hand on one row: n must be 1")
+        return segments.inc_from_cum(df, keys, date_col, cols, segment_days, suffix)
     w = series_window(keys, date_col)
     rn = F.row_number().over(w)
     out = df
@@ -79,8 +93,10 @@ def rollout_diff(df: DataFrame, keys, date_col: str, col: str, out: str) -> Data
     return df.withColumn(out, F.when(prev.isNull(), F.col(col)).otherwise(F.col(col) - prev))
 
 
-def running_sum(df: DataFrame, keys, date_col: str, cols: dict) -> DataFrame:
+def running_sum(df: DataFrame, keys, date_col: str, cols: dict, segment_days: int | None = None) -> DataFrame:
     """Cumulative series from daily counts (``cumsum``); nulls add nothing."""
+    if segment_days:
+        return segments.running_sum(df, keys, date_col, cols, segment_days)
     w = _running(series_window(keys, date_col))
     out = df
     for src, dst in cols.items():
@@ -106,8 +122,14 @@ def rolling_mean(df: DataFrame, keys, date_col: str, cols: dict, n: int = 7) ->
     return out
 
 
-def fill_down(df: DataFrame, keys, date_col: str, cols: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def fill_down(
+    df: DataFrame, keys, date_col: str, cols: Sequence[str], order: Sequence[str] | None = None, segment_days: int | None = None
+) -> DataFrame:
     """Last observation carried forward, unbounded."""
+    if segment_days:
+        if order:
+            raise ValueError("segments are cut by date: give no other order")
+        return segments.fill_down(df, keys, date_col, cols, segment_days)
     w = _running(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in (order or [date_col])]))
     out = df
     for c in cols:
@@ -126,7 +148,9 @@ def fill_downup(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str])
     return out
 
 
-def locf_maxgap(df: DataFrame, keys, date_col: str, col: str, out: str, maxgap: int) -> DataFrame:
+def locf_maxgap(
+    df: DataFrame, keys, date_col: str, col: str, out: str, maxgap: int, segment_days: int | None = None
+) -> DataFrame:
     """``zoo::na.locf(x, na.rm = FALSE, maxgap = k)``.
 
     A run of nulls is filled with the last value only when the run has at most ``maxgap``
@@ -134,6 +158,8 @@ def locf_maxgap(df: DataFrame, keys, date_col: str, col: str, out: str, maxgap:
     count of non-nulls numbers the runs, and a second window over (keys, run) - same
     exchange, one extra sort - measures each run.
     """
+    if segment_days:
+        return segments.locf_maxgap(df, keys, date_col, col, out, maxgap, segment_days)
     keys = list(keys)
     w = _running(series_window(keys, date_col))
     run_id = "__run"

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as CL
 from ..functions import nulls as N
+from ..functions import numbers as number
 from ..operators import aggregate as AG
 from ..operators import joins as J
+from ..operators import names as NM
 from ..operators import reshape as R
 from ..operators import series as S
 from ..operators import setops as U
@@ -246,6 +248,15 @@ def complete_grid(spark: SparkSession, sf: str) -> DataFrame:
     return R.complete_grid(data, ["user_id", "event_type", "source", "date"], materialize=True)
 
 
+@register
+def complete_grid_large(spark: SparkSession, sf: str) -> DataFrame:
+    """R6 beyond one row: nations x order days (2,399, in chunks of 500 at most) x order status."""
+    o = T.read_table(spark, sf, "orders").select("o_custkey", F.to_date("o_orderdate").alias("date"), "o_orderstatus")
+    cust = T.read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    data = o.join(cust, o.o_custkey == cust.c_custkey, "left").groupBy("c_nationkey", "date", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return R.complete_grid(data, ["c_nationkey", "date", "o_orderstatus"], materialize=True, axis_rows=500)
+
+
 @register
 def complete_calendar(spark: SparkSession, sf: str) -> DataFrame:
     """Every (user, type) series over the global event calendar."""
@@ -311,7 +322,7 @@ def _daily_source(spark, sf, src):
 @register
 def full_outer_sources(spark: SparkSession, sf: str) -> DataFrame:
     """J2 + G1: null-safe full outer join of the two sources' daily counts."""
-    j = J.join_null_safe(_daily_source(spark, sf, "A"), _daily_source(spark, sf, "B"), ["entity", "date"], "full")
+    j = J.full_outer_split(_daily_source(spark, sf, "A"), _daily_source(spark, sf, "B"), ["entity", "date"])
     return j.withColumns(
         {
             "total_strict": F.col("cases_a") + F.col("cases_b"),
@@ -320,6 +331,19 @@ def full_outer_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register
+def full_outer_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 + N3: every event meets the purchases of its user, both ways; views carry no user, so
+    the null key holds a third or more of all rows, and is split."""
+    ev = T.read_table(spark, sf, "events")
+    user = F.when(F.col("event_type") != "view", F.col("user_id")).alias("user_id")
+    events = ev.select("event_id", user)
+    buyers = ev.select(F.when(F.col("user_id") % 50 != 0, F.col("user_id")).alias("user_id"), "event_type", "value").groupBy("user_id").agg(
+        F.count(F.when(F.col("event_type") == "purchase", 1)).alias("purchases"), F.round(F.sum("value"), 2).alias("amount")
+    )
+    return J.full_outer_split(events, buyers, ["user_id"])
+
+
 def _nation_daily(spark, sf):
     """Daily counts of both sources together."""
     d = T.daily_counts(spark, sf, "nation").groupBy("entity", "date").agg(
@@ -380,6 +404,30 @@ def alias_join(spark: SparkSession, sf: str) -> DataFrame:
     return J.alias_join(d, "event_type", aliases, "alias", "code", "type_code")
 
 
+@register
+def contained_alias(spark: SparkSession, sf: str) -> DataFrame:
+    """J8 on free text: places inside customers' descriptions; nations, regions and, where they
+    stand together, nation and region are aliases, and the longest one wins."""
+    cust = T.read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    nation = T.read_table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = T.read_table(spark, sf, "region").select("r_regionkey", "r_name")
+    place = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    name, odd = F.initcap(F.translate("n_name", "_", "-")), F.col("c_custkey") % 3
+    text = (
+        F.when(odd == 0, F.concat(F.lit("The Former "), name, F.lit(" ("), F.col("r_name"), F.lit("), "), F.col("c_mktsegment")))
+        .when(odd == 1, F.concat(F.col("c_mktsegment"), F.lit(" of "), F.col("r_name"), F.lit("; rep. of*"), name))
+        .otherwise(F.concat(F.col("r_name"), F.lit(" & "), F.col("c_mktsegment")))
+    )
+    described = cust.join(place, cust.c_nationkey == place.n_nationkey, "left").select("c_custkey", text.alias("description"))
+    code = F.col("n_nationkey").cast("string")
+    aliases = (
+        place.select(F.col("n_name").alias("alias"), code.alias("code"))
+        .unionByName(region.select(F.col("r_name").alias("alias"), F.concat(F.lit("R"), "r_regionkey").alias("code")))
+        .unionByName(place.select(F.concat_ws(" ", "n_name", "r_name").alias("alias"), F.concat_ws("-", code, F.concat(F.lit("R"), "n_regionkey")).alias("code")))
+    )
+    return NM.contained_alias_join(described, "description", aliases, "alias", "code", "place", "matched")
+
+
 @register
 def stack_sources(spark: SparkSession, sf: str) -> DataFrame:
     """U1 + P6: per-source tables tagged and unioned by name, with a match key."""
@@ -563,9 +611,51 @@ def locf_maxgap(spark: SparkSession, sf: str) -> DataFrame:
     return S.locf_maxgap(_sparse_counts(spark, sf), ["user_id", "event_type"], "date", "n", "carry_fwd_value", 2)
 
 
+_ORDER_SERIES = ["country_code", "data_source"]
+
+
+def _order_days(spark, sf):
+    """Orders per nation, source and day on the whole order calendar of 2,399 days, null where none."""
+    daily = T.order_daily(spark, sf).select(*_ORDER_SERIES, "Date", F.col("cases_new").alias("n"))
+    return R.complete_calendar(daily, _ORDER_SERIES, "Date", ["n"], bounds=T.order_bounds(spark, sf))
+
+
+@register
+def fill_down_segmented(spark: SparkSession, sf: str) -> DataFrame:
+    """W13 as a segmented scan: each series of 2,399 days in segments of 30."""
+    d = _order_days(spark, sf).withColumn("filled", F.col("n"))
+    return S.fill_down(d, _ORDER_SERIES, "Date", ["filled"], segment_days=30)
+
+
+@register
+def increments_segmented(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 and W4 on running sums (W13's carry-in is a sum), in segments of 30 days."""
+    cum = S.running_sum(_order_days(spark, sf), _ORDER_SERIES, "Date", {"n": "cum"}, segment_days=30)
+    both = S.increments(cum, _ORDER_SERIES, "Date", {"cum": "new"}, segment_days=30)
+    return S.inc_from_cum(both, _ORDER_SERIES, "Date", ["cum"], suffix="_back", segment_days=30)
+
+
+@register
+def locf_maxgap_segmented(spark: SparkSession, sf: str) -> DataFrame:
+    """W15 in segments of 30 days: runs of nulls that span segments keep their length."""
+    return S.locf_maxgap(_order_days(spark, sf), _ORDER_SERIES, "Date", "n", "carry_fwd_value", 2, segment_days=30)
+
+
 # ------------------------------------------------------------------ classification
 
 
+@register
+def number_text(spark: SparkSession, sf: str) -> DataFrame:
+    """N8 + N7: order prices over nine powers of ten as R writes them, and rounded half to even."""
+    o = T.read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    # every second price is a round number, so that short scientific forms occur
+    base = F.when(F.col("o_orderkey") % 2 == 0, F.round(F.col("o_totalprice"), -3)).otherwise(F.col("o_totalprice"))
+    x = base.cast("double") * F.col("p")
+    powers = F.array(*[F.lit(float(f"1e{k}")) for k in range(-8, 9, 2)])
+    out = o.select("*", F.explode(powers).alias("p")).withColumn("x", x)
+    return out.select("o_orderkey", "p", number.number_text("x").alias("text"), number.round_even("x", 1).alias("rounded"))
+
+
 @register
 def fixed_break_bins(spark: SparkSession, sf: str) -> DataFrame:
     """Right-closed fixed-break bins of every family applied to order prices."""
