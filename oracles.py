@@ -795,12 +795,15 @@ FROM d WHERE data_value IS NOT NULL
 WINDOW w AS (PARTITION BY user_id, raw_field ORDER BY date DESC)"""
 
 ORACLES["rollout"] = """WITH d AS (
-  SELECT CAST(user_id AS VARCHAR) AS location, event_type AS vaccine, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2, 3),
+  SELECT CASE user_id % 40 WHEN 0 THEN NULL WHEN 1 THEN 'Wales' WHEN 2 THEN 'European Union' WHEN 3 THEN '' ELSE CAST(user_id AS VARCHAR) END AS location,
+    event_type AS vaccine, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2, 3),
 m AS (SELECT location, vaccine, date,
-  CAST(sum(n) OVER (PARTITION BY location, vaccine ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_vaccinations FROM d)
-SELECT *, CASE WHEN lag(total_vaccinations) OVER w IS NULL THEN total_vaccinations
+  CAST(sum(n) OVER (PARTITION BY location, vaccine ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_vaccinations
+  FROM d WHERE location IS NOT NULL AND location NOT IN ('European Union', 'Wales', 'Scotland', '')),
+r AS (SELECT *, CASE WHEN lag(total_vaccinations) OVER w IS NULL THEN total_vaccinations
                ELSE total_vaccinations - lag(total_vaccinations) OVER w END AS daily_vaccinations
-FROM m WINDOW w AS (PARTITION BY location, vaccine ORDER BY date)"""
+  FROM m WINDOW w AS (PARTITION BY location, vaccine ORDER BY date))
+SELECT r.*, CAST(c_nationkey AS VARCHAR) AS iso_code FROM r LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = location"""
 
 HOSP = f"""hl AS (
   SELECT user_id AS iso_code, event_type AS indicator, {SOURCE_TAG} AS src, CAST(ts AS DATE) AS date, round(sum(value), 2) AS value

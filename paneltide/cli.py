@@ -36,6 +36,13 @@ def run_dashboard(spark: SparkSession, data: str, out: str, fmt: str = "csv") ->
     tables = DB.dashboard_tables(
         T.nation_dim(spark, data), cases, C._amounts_wide(spark, data), "user_id", C.TYPES, C.TYPE_META, C.TYPE_FAMILIES,
         first, second, T.policy_feed(spark, data),
+        prepared={
+            "cases_deaths": C.cases_deaths(spark, data),
+            "vaccinations_ages": C.ages_long(spark, data),
+            "vaccinations_manufacturers": C.manufacturers(spark, data),
+            "vaccinations_rollout": C.rollout(spark, data),
+            "vaccinations_wide": C.vax_wide(spark, data),
+        },
     )
     return TJ.write_tracker_outputs(tables, out, fmt=fmt)
 

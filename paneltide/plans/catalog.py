@@ -801,18 +801,21 @@ def indicator_long(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def rollout(spark: SparkSession, sf: str) -> DataFrame:
-    """A9 ``rollout`` (W5): per (location, product) daily from running totals."""
+    """A9 ``rollout`` (P13, P14, W5, J4): per (location, product) daily from running totals; some
+    events name no place or an aggregate one, and those go.  A place has its customer's code."""
     from pyspark.sql import Window
 
     from . import indicators as IND
 
+    u = F.col("user_id") % 40
+    place = F.when(u == 0, F.lit(None)).when(u == 1, "Wales").when(u == 2, "European Union").when(u == 3, "").otherwise(F.col("user_id").cast("string"))
     ev = T.read_table(spark, sf, "events")
-    d = ev.groupBy(F.col("user_id").cast("string").alias("location"), F.col("event_type").alias("vaccine"), F.to_date("ts").alias("date")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    d = ev.groupBy(place.alias("location"), F.col("event_type").alias("vaccine"), F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("location", "vaccine").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     man = d.select("location", "vaccine", "date", F.sum("n").over(w).alias("total_vaccinations"))
-    return IND.rollout(man)
+    cust = T.read_table(spark, sf, "customer")
+    codes = cust.select(F.col("c_custkey").cast("string").alias("location"), F.col("c_nationkey").cast("string").alias("iso_code"))
+    return IND.rollout(man, codes=codes)
 
 
 @register

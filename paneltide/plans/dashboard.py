@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,9 +100,13 @@ def dashboard_tables(
     hosp_first: DataFrame,
     hosp_second: DataFrame,
     policy_raw: DataFrame,
+    prepared: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The dashboard's tables from its inputs, as DataFrames (nothing written).
 
+    ``prepared`` are tables built from feeds of their own (cases and deaths, ages,
+    manufacturers, rollout, the wide indicators); a name of the job's own is refused.
+
     * ``onetable``: second entity dimension with order codes and the "Other" row
     * ``overlay_cases_deaths`` / ``overlay_stringency``: A8 overlays
     * ``vaccinations_all_counts`` / ``..._rates``: the A9 long table split by Count / Rate (K3)
@@ -115,7 +121,7 @@ def dashboard_tables(
 
     long = IND.indicator_long(indicator_wide, indicator_id, "date", list(indicator_measures), indicator_meta, indicator_families)
     hosp = H.combine(hosp_first, hosp_second)
-    return {
+    own = {
         "onetable": entity_dimension(dim),
         "overlay_cases_deaths": OV.overlay_rates(cases_panel),
         "overlay_stringency": OV.overlay_policy(policy_raw),
@@ -125,3 +131,6 @@ def dashboard_tables(
         "hosp_data_latest": H.latest(hosp),
         "hosp_data_long": H.fill(hosp),
     }
+    if taken := own.keys() & (prepared or {}).keys():
+        raise ValueError(f"tables of the job itself: {sorted(taken)}")
+    return own | dict(prepared or {})

@@ -154,6 +154,8 @@ def manufacturers(locations: DataFrame, list_col: str = "vaccine_manufacturer_li
 
 
 def rollout(man: DataFrame, keys: Sequence[str] = ("location", "vaccine"), date_col: str = "date",
-            total: str = "total_vaccinations", out: str = "daily_vaccinations") -> DataFrame:
-    """A9 ``rollout``: per-series daily doses, the first row keeping its total."""
-    return rollout_diff(man, list(keys), date_col, total, out)
+            total: str = "total_vaccinations", out: str = "daily_vaccinations", codes: DataFrame | None = None) -> DataFrame:
+    """A9 ``rollout``: rows of real places (P13, P14), per-series daily doses, the first row
+    keeping its total (W5), and with ``codes`` (location, iso_code) the place's code (J4)."""
+    daily = rollout_diff(rollout_places(man), list(keys), date_col, total, out)
+    return lookup_join(daily, "location", codes, "location", ["iso_code"]) if codes is not None else daily

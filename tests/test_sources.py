@@ -120,6 +120,9 @@ def test_cli_jobs_write_csv(spark):
     assert "traj_cat_simple" in schema and "changecat_order" in schema
     paths = cli.run_dashboard(spark, SF, os.path.join(out, "dashboard"), fmt="parquet")
     assert spark.read.parquet(paths["onetable"]).filter("id = 'OTH'").count() == 1
+    assert len(paths) == 13
+    places = spark.read.parquet(paths["vaccinations_rollout"])
+    assert places.count() > 0 and places.filter("location is null or location in ('Wales', '') or iso_code is null").count() == 0
 
 
 def test_values_that_do_not_fit_fail_and_whole_fractions_are_whole(spark):
