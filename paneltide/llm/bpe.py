@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneltide.llm.shared import spans_of
+from paneltide.llm.shared import freeing, spans_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _LONG_SPACE = 50_000
 #: No pre-token that ends this close to the end of a cut text is relied on: a contraction has
 #: three characters, and white space looks one character ahead.
 _LOOKAHEAD = 4
-_BLOCK = 1 << 21
+_BLOCK = 1 << 19
 
 
 def read_ranks(path: str) -> bytes:
@@ -79,7 +79,7 @@ def _with_ids(df: DataFrame, text: str, ranks, pattern: str) -> DataFrame:
                 )
 
     assert df.columns[-1] == text
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(freeing(run), schema)
 
 
 def _with_starts(chunks: DataFrame, chunk: int, overlap: int, ranks, pattern: str) -> DataFrame:
@@ -103,7 +103,7 @@ def _with_starts(chunks: DataFrame, chunk: int, overlap: int, ranks, pattern: st
             lists = [pa.array([p[i] for p in pairs], type=pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*b.columns, *lists], names=[*b.schema.names, "head", "tail"])
 
-    return chunks.mapInArrow(run, schema)
+    return chunks.mapInArrow(freeing(run), schema)
 
 
 def encode(
@@ -199,14 +199,14 @@ def decode(
             ends = ids.offsets.to_numpy()
             flat = ids.values.to_numpy(zero_copy_only=False)
             rest = b.select(keep)
-            for lo, hi in spans_of(np.diff(ends).tolist(), _BLOCK // 4):
+            for lo, hi in spans_of(np.diff(ends).tolist(), _BLOCK):
                 # one text's ids are Python objects at a time
                 out = [own.decode_bytes(flat[ends[i] : ends[i + 1]].tolist()) for i in range(lo, hi)]
                 yield pa.RecordBatch.from_arrays(
                     [*rest.slice(lo, hi - lo).columns, pa.array(out, pa.binary())], names=[*keep, "decoded"]
                 )
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(freeing(run), schema)
 
 
 def digests(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:

@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneltide.llm.shared import spans_of
+from paneltide.llm.shared import freeing, spans_of
 from paneltide.llm.words import hash_words, mix, shingles
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 19
 BITS = 128
 #: Shingle sets of similarity 0.8 differ in 19 of 128 bits on average, standard deviation 4.
 RADIUS = 40
@@ -222,5 +222,5 @@ def find_leaks(
                     part = b.slice(lo, hi - lo)
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, _LEAK_ARROW)], names=b.schema.names)
 
-        out = out.mapInArrow(run, T.StructType([*fields, T.StructField(into, T.ArrayType(LEAK))]))
+        out = out.mapInArrow(freeing(run), T.StructType([*fields, T.StructField(into, T.ArrayType(LEAK))]))
     return out.drop("__searched")

@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneltide.llm import words
-from paneltide.llm.shared import spans_of
+from paneltide.llm.shared import freeing, spans_of
 
 UNKNOWN = "und"
 ORDERS = (3, 4)
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _SPACE = 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -119,7 +119,7 @@ def fit(
 
     from pyspark.sql import Window
 
-    counts = sample.mapInArrow(count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(freeing(count), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: float(r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not totals:
         return Filters([], np.zeros((1, 1 << cell_bits), np.uint64), probes, np.zeros(0), 0)
@@ -201,4 +201,4 @@ def identify(
                     [*part.columns[:-1], *map(pa.array, judged)], names=[*names, *into]
                 )
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(freeing(run), schema)

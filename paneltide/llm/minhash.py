@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.llm.components import components
-from paneltide.llm.shared import Stored, spans_of
+from paneltide.llm.shared import Stored, freeing, spans_of
 from paneltide.llm.words import hash_words, mix, shingles
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-64
 #: Best linked texts that those members of a bucket meet which are unlike its smallest text.
@@ -169,7 +169,7 @@ def _sketch(docs: DataFrame, size: int, weighted: bool, bands: int, rows: int, s
                     names=["id", "d1", "d2", "bands", "n", "marks"],
                 )
 
-    return docs.mapInArrow(run, "id long, d1 long, d2 long, bands array<long>, n double, marks array<tinyint>")
+    return docs.mapInArrow(freeing(run), "id long, d1 long, d2 long, bands array<long>, n double, marks array<tinyint>")
 
 
 def _elements(docs: DataFrame, size: int, weighted: bool) -> DataFrame:
@@ -191,7 +191,7 @@ def _elements(docs: DataFrame, size: int, weighted: bool) -> DataFrame:
                     names=["node", "set"],
                 )
 
-    return docs.mapInArrow(run, "node long, set array<long>")
+    return docs.mapInArrow(freeing(run), "node long, set array<long>")
 
 
 def near_duplicates(
@@ -202,15 +202,15 @@ def near_duplicates(
     size: int = 5,
     similarity: float = 0.8,
     weighted: bool = False,
-    bands: int = 32,
-    rows: int = 5,
+    bands: int = 48,
+    rows: int = 7,
     seed: int = 1,
 ) -> DataFrame:
     """(id, class_id) of every row: classes of documents connected by links of ``similarity``
     (Jaccard on shingles of ``size`` words) or more; class_id is the class's smallest id.
 
     A pair at the threshold shares a band with probability 1 - (1 - similarity**rows)**bands,
-    0.999997 as set.  Defined results: a text without words (null, empty) is in a class of its
+    0.99998 as set.  Defined results: a text without words (null, empty) is in a class of its
     own; a row without an id has a null class and takes no part; rows that share an id are one
     document, and fall in one class; other columns are not read.
     """

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,22 @@ class Stored:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def freeing(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``, handing its memory back to the system when a task ends.
+    Workers are used again by later tasks and stages, and would keep what each once needed."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, where it has one
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
