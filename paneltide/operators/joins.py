@@ -119,15 +119,13 @@ def semi_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame
 def clip_to_range(df: DataFrame, date_col: str, other: DataFrame, other_date: str | None = None) -> DataFrame:
     """Keep rows inside ``other``'s observed min..max date.
 
-    The bounds are a 1-row aggregate, broadcast; no value reaches the driver.
+    The bounds are scalar subqueries, known before ``df`` is scanned: of a table that is
+    partitioned by the date only the partitions inside them are read.  No value reaches the
+    driver's code; without any date in ``other`` no row is kept.
     """
     od = other_date or date_col
-    b = other.agg(F.min(od).alias("__lo"), F.max(od).alias("__hi"))
-    return (
-        attach_row(df, b)
-        .filter((F.col(date_col) >= F.col("__lo")) & (F.col(date_col) <= F.col("__hi")))
-        .drop("__lo", "__hi")
-    )
+    lo, hi = other.agg(F.min(od)).scalar(), other.agg(F.max(od)).scalar()
+    return df.filter((F.col(date_col) >= lo) & (F.col(date_col) <= hi))
 
 
 def at_global_max(df: DataFrame, date_col: str, source: DataFrame | None = None, source_date: str | None = None) -> DataFrame:

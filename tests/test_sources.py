@@ -156,3 +156,47 @@ def test_a_session_without_a_shared_folder_is_refused(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         SE.ensure_checkpoint_dir(Session())
+
+
+def test_days_are_replaced_one_by_one_and_survive_a_failed_write(spark):
+    import datetime as dt
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    path = os.path.join(scratch(), "days")
+    day = lambda i: dt.date(2020, 1, 1) + dt.timedelta(days=i)
+    first = spark.createDataFrame([(day(i % 4), -i, f"v{i}") for i in range(400)], "date date, k long, v string").repartition(5)
+    SK.write_days(first, path, "date", ["k"])
+    read = lambda: sorted(map(str, spark.read.parquet(path).select("date", "k", "v").collect()))
+    want = sorted(map(str, first.collect()))
+    assert read() == want
+    # every file is in order
+    for f in spark.read.parquet(path).inputFiles():
+        ks = [r["k"] for r in spark.read.parquet(f).collect()]
+        assert ks == sorted(ks)
+    again = first.where(F.col("date") == F.lit(day(2))).withColumn("v", F.lit("new"))
+    broken = again.withColumn("v", F.when(F.col("k") == -202, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        SK.write_days(broken, path, "date", ["k"])
+    assert read() == want
+    for _ in range(2):
+        SK.write_days(again, path, "date", ["k"])
+        assert read() == sorted(map(str, first.where(F.col("date") != F.lit(day(2))).union(again).collect()))
+
+
+def test_a_clip_prunes_the_days_of_a_partitioned_table(spark):
+    import datetime as dt
+
+    from paneltide.operators import joins as J
+
+    path = os.path.join(scratch(), "clip")
+    rows_ = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), i) for i in range(20)]
+    SK.write_days(spark.createDataFrame(rows_, "date date, k long"), path, "date")
+    seen = spark.createDataFrame([(rows_[5][0], "a"), (rows_[9][0], "b"), (None, "c")], "day date, x string")
+    got = J.clip_to_range(spark.read.parquet(path), "date", seen, "day")
+    assert sorted(r["k"] for r in got.collect()) == [5, 6, 7, 8, 9]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("\n")[0].split("PushedFilters")[0]
+    assert "(date" in filters and ">= " in filters and "subquery" in filters.lower(), plan
+    assert J.clip_to_range(spark.read.parquet(path), "date", seen.limit(0), "day").count() == 0
