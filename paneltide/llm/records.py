@@ -16,8 +16,9 @@ checks both checksums of every record.
 
 The library's cost lies in handling whole strings, so a text is cut where a pre-token must end
 (before a single blank or line feed between two characters that are no white space), and only
-pieces that the task has not met lately are given to the library; they are laid end to end,
-since these cuts are pre-token borders there too.
+words that the task has not met lately are given to the library; they are laid end to end,
+since these cuts are pre-token borders there too.  A text with white space beside other white
+space is cut by a pattern that leaves such runs whole.
 
 Defined results: a null text counts as empty, and is its end id alone; rows without an id come
 first; rows that share an id are ordered by their text; repeated rows each have their own
@@ -56,9 +57,11 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _TAIL = r"(?:(?:\s{2,}|[^\S \n])\S*)*"
 _PIECES = re.compile(rf"[ \n]?\S+{_TAIL}|\s+(?:\S+{_TAIL})?")
 _JOINABLE = re.compile(r"[ \n]\S")
+#: A word that is empty, or has white space at an end beside the line feed that it starts with.
+_AT_END = re.compile(r"\A\n?+(?:\s|\Z)|\s\Z")
 _WINDOW = 1 << 18  # code points encoded at once
 _FRAMED = 1 << 22  # bytes framed at once
-_KNOWN = 1 << 19  # pieces a task remembers
+_KNOWN = 1 << 19  # words a task remembers
 _LONG_PIECE = 32
 
 # ------------------------------------------------------------------ checksums
@@ -165,8 +168,8 @@ class Encoder:
         for token, i in self.library.get_vocab().items():
             self.n_bytes[i] = len(token)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()  # known pieces that were met again
+        self.known: dict[str, bytes | None] = {}  # ids of a word after a blank or from its line feed on
+        self.again: set[str] = set()  # known words that were met again
 
     def _packed(self, ids) -> bytes:
         return np.asarray(ids, dtype=f"<u{self.width}").tobytes()
@@ -174,7 +177,7 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [self._packed(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> Iterator[bytes]:
         """Ids of pieces that start with a blank or line feed and another character."""
         for lo, hi in spans_of([len(p) for p in pieces], 1 << 12):
             part = pieces[lo:hi]
@@ -182,26 +185,48 @@ class Encoder:
             ends = np.concatenate(([0], np.cumsum(self.n_bytes[ids])))
             cuts = np.searchsorted(ends, np.cumsum([0, *(len(p.encode()) for p in part)])) * self.width
             packed = self._packed(ids)
-            self.known.update(zip(part, map(packed.__getitem__, map(slice, cuts[:-1].tolist(), cuts[1:].tolist())), strict=True))
+            yield from map(packed.__getitem__, map(slice, cuts[:-1].tolist(), cuts[1:].tolist()))
+
+    def _meet(self, words: set[str]) -> set[str]:
+        """Make all words known; those to forget again at once."""
+        new = words.difference(self.known)
+        self.again |= words - new
+        # a word with white space at an end is no whole piece: its neighbours belong to it
+        good = [w for w in new if not _AT_END.search(w)]
+        self.known.update(dict.fromkeys(new))
+        self.known.update(zip(good, self._learn([w if w[0] == "\n" else " " + w for w in good]), strict=True))
+        return {w for w in new if len(w) > _LONG_PIECE}
+
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        """As ``encode``, for texts with white space beside other white space."""
+        split = [_PIECES.findall(t) for t in texts]
+        used = list(set().union(*split))
+        joined = [p for p in used if _JOINABLE.match(p)]
+        ids = dict(zip(joined, self._learn(joined), strict=True))
+        alone = [p for p in used if p not in ids]
+        ids.update(zip(alone, self._whole(alone), strict=True))
+        return [b"".join(map(ids.__getitem__, s)) for s in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # an added token may hold any characters and is matched before the text is cut
         plain = [self.apart and not any(a in t for a in self.added) for t in texts]
-        split = [_PIECES.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
-        used = set().union(*split)
-        new = used.difference(self.known)
-        self.again |= used - new
-        alone = [p for p in new if not _JOINABLE.match(p)]
-        joined = list(new.difference(alone))
-        self._learn(joined)
-        self.known.update(zip(alone, self._whole(alone), strict=True))
-        rest = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if not p]))
-        out = [b"".join(map(self.known.__getitem__, s)) if p else next(rest) for p, s in zip(plain, split, strict=True)]
-        for p in new:
-            if len(p) > _LONG_PIECE:
-                del self.known[p]
+        # cut at every blank and before every line feed; a word keeps its line feed, not its blank
+        words = [t.replace("\n", " \n").split(" ") if p else [""] for t, p in zip(texts, plain, strict=True)]
+        first = [w.pop(0) for w in words]
+        forget = self._meet(set().union(*words))
+        out: list[bytes | None] = []
+        for f, start, w in zip(first, self._whole(first), words, strict=True):
+            ids = [start, *map(self.known.__getitem__, w)]
+            out.append(None if None in ids or f[-1:].isspace() else b"".join(ids))
+        cut = [i for i, x in enumerate(out) if plain[i] and x is None]
+        uncut = [i for i, p in enumerate(plain) if not p]
+        for which, run in ((cut, self._pieces), (uncut, self._whole)):
+            for i, x in zip(which, run([texts[i] for i in which]), strict=True):
+                out[i] = x
+        for w in forget:
+            del self.known[w]
         if len(self.known) > _KNOWN:  # what was met only once is forgotten, then everything
-            self.known = {p: self.known[p] for p in self.again} if len(self.again) < _KNOWN // 2 else {}
+            self.known = {w: self.known[w] for w in self.again if w in self.known} if len(self.again) < _KNOWN // 2 else {}
             self.again = set()
         return out
 
