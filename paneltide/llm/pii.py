@@ -1,10 +1,13 @@
 """Personal data: fixed formats, and identifiers found by bootstrapped contextual extraction.
 
 The spans of four fixed formats are the seeds.  The word before a seed, and that
-word together with the one after, are lexical patterns, as are those of every other token that
-holds a digit.  Patterns and the values they surround form a graph.  Each round scores a pattern, for each kind, by the
-confidence of its distinct values, and a value by the patterns that are sure enough; after the
-last round, tokens that stand in a sure pattern and whose value is sure enough are spans too.
+word together with the one after, are lexical patterns, as are those of every other candidate: a
+token that holds a digit, or a mark other than an apostrophe or hyphen between two letters, and
+a run of two to eight groups of digits of ten digits or more.  Patterns and the values they
+surround form a graph.  Each round scores a pattern, for each kind, by the confidence of its
+distinct values, and a value by the patterns that are sure enough; values that become sure are
+known from the next round on.  When a round finds no more, candidates that stand in a sure
+pattern and whose value is known are spans too.
 
 DataFrame and SQL functions only.  All spans of a text come from one regular expression pass for
 each kind: matches are set between marks, and the lengths between marks give their places.
@@ -18,6 +21,10 @@ from pyspark.sql import functions as F
 from paneltide.llm.shared import Stored
 
 KINDS = ("email", "ip", "card", "phone")
+#: Letters with a mark between them, as in ``name(at)host``.
+_JOINED = r"\p{L}[^\s\p{L}'’-]++\p{L}"
+#: Groups of digits with blanks between them, as in ``(555) 010 99 99``.
+_SPACED = r"(?=\+?(?:[\x20().-]{0,2}[0-9]){10})[+(]?[0-9][0-9().-]*+(?:\x20\(?[0-9][0-9().-]*+){1,7}+(?=[\s,;:!?]|\z)"
 #: Fixed formats.  A repetition that cannot give characters back is possessive, and a start
 #: inside a run that was tried as a whole is not tried again, so matching stays linear.
 FORMATS = {
@@ -25,10 +32,11 @@ FORMATS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "token": r"(?<!\S)(?=[^\s0-9]*+[0-9])\S++",
+    "token": rf"(?<!\S)(?:{_SPACED}|(?=[^\s0-9]*+[0-9]|\S*?{_JOINED})\S++)",
 }
 #: A character that a text must have for a format to occur.
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
+_CANDIDATE = f"[0-9]|{_JOINED}"
 _MARK, _OTHER = "", ""
 _OCTET = "^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 _NEAR = 80
@@ -65,10 +73,11 @@ def matches(rows: DataFrame) -> DataFrame:
 
     def pieces(kind: str) -> Column:
         may = F.contains("text", F.lit(_NEEDS[kind])) if kind in _NEEDS else F.lit(True)
-        may = may & F.col("text").rlike("[0-9]") if kind != "email" else may
+        if kind != "email":
+            may = may & F.col("text").rlike(_CANDIDATE if kind == "token" else "[0-9]")
         return F.when(may, F.split(F.regexp_replace(clean, FORMATS[kind], f"{_MARK}$0{_MARK}"), _MARK))
 
-    some = F.col("text").rlike("[0-9@]")
+    some = F.col("text").rlike(f"@|{_CANDIDATE}")
     cut = (
         rows.where(some)
         .select("id", "t", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), pieces(k).alias("pieces")) for k in FORMATS))).alias("x"))
@@ -124,19 +133,18 @@ def _open_tokens(found: DataFrame) -> DataFrame:
     )
 
 
-def _learn(found: DataFrame, store: Stored, rounds: int, support: int, sure: float) -> DataFrame:
+def _learn(found: DataFrame, store: Stored, support: int, sure: float) -> DataFrame:
     """(pattern, value, kind) of the sure patterns and the new values that they bring."""
     seed = F.when(F.col("kind") != "token", F.col("kind"))
     edges = store.put(
         found.select("value", seed.alias("kind"), F.explode(_patterns()).alias("pattern")).where("pattern is not null").distinct(), "edges"
     )
-    seeds = store.put(edges.where("kind is not null").select("value", "kind").distinct().withColumn("c", F.lit(1.0)), "seeds")
+    known = store.put(edges.where("kind is not null").select("value", "kind").distinct().withColumns({"c": F.lit(1.0), "seed": F.lit(True)}), "known-0")
     degree = store.put(edges.groupBy("pattern").agg(F.countDistinct("value").alias("n")), "degree")
     links = store.put(edges.select("pattern", "value").distinct(), "links")
-    known, before = seeds, -1
-    patterns = None
-    for r in range(rounds):
-        held = store.put(links.join(known, "value").groupBy("pattern", "kind").agg(F.sum("c").alias("s")).where(F.col("s") >= support), f"held-{r}")
+    r = 0
+    while True:  # a round adds a value or is the last one
+        held = links.join(known, "value").groupBy("pattern", "kind").agg(F.sum("c").alias("s")).where(F.col("s") >= support)
         patterns = store.put(
             held.join(degree, "pattern").withColumn("sure", F.col("s") / F.col("n")).where(F.col("sure") >= sure).select("pattern", "kind", "sure"),
             f"patterns-{r}",
@@ -147,15 +155,16 @@ def _learn(found: DataFrame, store: Stored, rounds: int, support: int, sure: flo
             .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("sure"), F.lit(1e-12)))))).alias("c"))
             .where(F.col("c") >= sure)
         )
-        # a value of two kinds goes to the surer one, then to the one listed first
+        # a value of two kinds goes to the surer one, then to the one listed first, and stays there
         best = fresh.groupBy("value").agg(F.max(F.struct("c", (-_rank()).alias("o"), "kind")).alias("x")).select("value", "x.kind", "x.c")
-        new = store.put(best.join(seeds.select("value"), "value", "left_anti"), f"new-{r}")
-        count = new.count()
-        if count == before:
+        new = store.put(best.join(known.select("value"), "value", "left_anti").withColumn("seed", F.lit(False)), f"new-{r}")
+        if new.isEmpty():
             break
-        before = count
-        known = seeds.unionByName(new)
-    return patterns.join(new.select("value", "kind"), "kind").join(links, ["pattern", "value"], "left_semi")
+        known = store.put(known.unionByName(new), f"known-{r + 1}")
+        for name in ("patterns", "new", "known"):
+            store.drop(f"{name}-{r}")
+        r += 1
+    return links.join(patterns.select("pattern", "kind"), "pattern").join(known.where("not seed").select("value", "kind"), ["value", "kind"])
 
 
 def _patterns() -> Column:
@@ -170,11 +179,11 @@ def _rank() -> Column:
 
 
 def find(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, support: int = 3, sure: float = 0.8
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = 3, sure: float = 0.8
 ) -> DataFrame:
-    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row; the counts and the
-    digest are of the fixed formats, ``spans`` (kind:start:end by start, then kind, in code
-    points) has the found ones as well.
+    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans) of every row; the first
+    counts and the digest are of the fixed formats, ``spans`` (kind:start:end by start, then
+    kind, in code points) and their number have the found ones as well.
 
     A pattern is sure if its values' confidences sum to ``support`` or more and to a share
     ``sure`` of its distinct values; a value is sure from ``sure`` on.  Defined results: a null
@@ -185,7 +194,7 @@ def find(
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("t"), text.alias("text"))
     found = store.put(_open_tokens(_core(matches(rows))), "found")
-    learned = store.put(_learn(found, store, rounds, support, sure), "learned")
+    learned = store.put(_learn(found, store, support, sure), "learned")
     tokens = found.where("kind = 'token'").drop("kind")
     added = (
         tokens.withColumn("pattern", F.explode(_patterns())).join(learned, ["pattern", "value"])
@@ -210,5 +219,6 @@ def find(
             *(F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS),
             F.sha2(text_of(F.filter(x, lambda s: s["base"])), 256).alias("base_sha256"),
             text_of(x).alias("spans"),
+            F.size(x).cast("long").alias("n_spans"),
         )
     )

@@ -80,3 +80,55 @@ def test_patterns_find_unseen_identifiers(spark):
     assert got[50] == "email:10:28"
     assert got[None] == "email:6:21"
     assert got[51] == got[52] == got[62] == got[64] == ""
+
+
+def _plain_bootstrap(rows, support=3, sure=0.8):
+    """(id, kind, value) found beyond the seeds, from (id, left, value, right, kind or None)."""
+    links, known = {}, {}
+    for _, left, value, right, kind in rows:
+        for p in (left, (left, right)) if left else ():
+            links.setdefault(p, set()).add(value)
+        if kind and left:
+            known[value] = (kind, 1.0)
+    seeds = set(known)
+    while True:
+        patterns = {}
+        for p, values in links.items():
+            for kind in pii.KINDS:
+                s = sum(known[v][1] for v in values if v in known and known[v][0] == kind)
+                if s >= support and s / len(values) >= sure:
+                    patterns[p, kind] = s / len(values)
+        fresh = {}
+        for (p, kind), c in patterns.items():
+            for v in links[p] - set(known):
+                fresh[v, kind] = fresh.get((v, kind), 1.0) * max(1 - c, 1e-12)
+        fresh = {v: (kind, 1 - miss) for (v, kind), miss in fresh.items() if 1 - miss >= sure}
+        if not fresh:
+            break
+        known |= fresh
+    return {(i, known[v][0], v) for i, left, v, right, _ in rows if v in known and v not in seeds
+            for p in (left, (left, right)) if (p, known[v][0]) in patterns}
+
+
+def test_rounds_go_on_until_nothing_changes(spark):
+    rows = [(i, "mail", f"user{i}@site{i}.org", "end", "email") for i in range(9)]
+    rows += [(20, "mail", "jane.doe(at)site.org", "end", None)]
+    # each found value makes the next context sure: a chain of four rounds
+    for k in range(4):
+        rows += [(100 + 10 * k + j, f"ctx{chr(97 + k)}", f"v{k}x{j}", "end", None) for j in range(4)]
+        before = f"ctx{chr(96 + k)}" if k else "mail"
+        rows += [(500 + 10 * k + j, before, f"v{k}x{j}", "end", None) for j in range(4)]
+        rows += [(800 + 10 * k + j, before, f"seed{k}u{j}@s.org", "end", "email") for j in range(40)]
+    want = _plain_bootstrap(rows)
+    assert (20, "email", "jane.doe(at)site.org") in want and (133, "email", "v3x3") in want
+    docs = [(i, f"{left} {value} {right}") for i, left, value, right, _ in rows]
+    got = pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got if r["n_spans"] > r["n_email"]} == {i for i, _, _ in want}
+    assert all(r["n_spans"] == 1 for r in got)
+
+
+def test_spaced_digits_are_one_candidate(spark):
+    docs = [(i, f"phone +1 (555) 010-99{i:02d} or write") for i in range(12)]
+    docs += [(50, "phone 555 010 9999, or write"), (51, "phone (555) 010 99 99"), (52, "scores 10 20 30 of 555 010 9999x"), (53, "phone " + "12 " * 20_000)]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert (got[50], got[51], got[52]) == ("phone:6:18", "phone:7:21", "")
