@@ -61,7 +61,7 @@ _JOINABLE = re.compile(r"[ \n]\S")
 _AT_END = re.compile(r"\A\n?+(?:\s|\Z)|\s\Z")
 _WINDOW = 1 << 18  # code points encoded at once
 _FRAMED = 1 << 22  # bytes framed at once
-_KNOWN = 1 << 19  # words a task remembers
+_KNOWN = 1 << 20  # words a task remembers
 _LONG_PIECE = 32
 
 # ------------------------------------------------------------------ checksums
@@ -183,7 +183,8 @@ class Encoder:
             part = pieces[lo:hi]
             ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype=np.int64)
             ends = np.concatenate(([0], np.cumsum(self.n_bytes[ids])))
-            cuts = np.searchsorted(ends, np.cumsum([0, *(len(p.encode()) for p in part)])) * self.width
+            borders = np.frombuffer(pa.array(part, pa.string()).buffers()[1], np.int32, len(part) + 1)
+            cuts = np.searchsorted(ends, borders) * self.width
             packed = self._packed(ids)
             yield from map(packed.__getitem__, map(slice, cuts[:-1].tolist(), cuts[1:].tolist()))
 
