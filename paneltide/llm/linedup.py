@@ -8,9 +8,11 @@ suffix is told apart.  Sorted by their names of all rounds, positions are in suf
 the classes of a round are the intervals whose longest common prefix is 2**k lines or more.
 
 Every later member of an interval of ``min_lines`` or more is a copy: its lines are deleted.
-Adjoining and overlapping copies make up the maximal repeated runs.  Only DataFrame operations
-are used, a document's lines are the largest unit that one task needs together, and classes
-are counted before rows meet them, so a line that a third of all documents has is no hot group.
+So is a later copy of one line of ``min_words`` words or more, whatever stands around it; the
+classes of the first round hold these.  Adjoining and overlapping copies make up the maximal
+repeated runs.  Only DataFrame operations are used, a document's lines are the largest unit that
+one task needs together, and classes are counted before rows meet them, so a line that a third of
+all documents has is no hot group.
 """
 
 from __future__ import annotations
@@ -33,6 +35,14 @@ def _filled(text: Column) -> Column:
     return F.filter(numbered, lambda x: F.length(F.translate(x["line"], " \t\r", "")) > 0)
 
 
+def _long(line: Column, min_words: int | None) -> Column:
+    """Has ``min_words`` runs of characters other than spaces, tabs and carriage returns."""
+    if min_words is None:
+        return F.lit(False)
+    # so many words need so many characters; only lines that have them are counted
+    return F.when(F.length(line) >= 2 * min_words - 1, F.regexp_count(line, F.lit("[^ \\t\\r]+")) >= min_words).otherwise(False)
+
+
 def _position() -> Column:
     return F.struct(*_NAME)
 
@@ -41,8 +51,8 @@ def _classes(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(_position()).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
 
 
-def _named(df: DataFrame, classes: DataFrame, *keys: str) -> DataFrame:
-    return df.join(classes, list(keys)).select(*_NAME, F.col("first").alias("name"))
+def _named(df: DataFrame, classes: DataFrame, *keys: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.join(classes, list(keys)).select(*_NAME, F.col("first").alias("name"), *keep)
 
 
 def _pairs(state: DataFrame, ahead: int) -> DataFrame:
@@ -56,19 +66,25 @@ def _copies(df: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     return _named(df, classes, "name", "next").where(F.col("name") != _position()).select(*_NAME, (F.col("p") + length).alias("end"))
 
 
-def suffix_intervals(docs: DataFrame, store: Stored, *, id_col: str, text_col: str, min_lines: int) -> list[tuple[int, DataFrame, DataFrame]]:
-    """(length, members, classes) of every round from ``min_lines`` on: members (d, t, p, name,
-    next) with the names of their two halves, classes (name, next) with the first position."""
+def suffix_intervals(
+    docs: DataFrame, store: Stored, *, id_col: str, text_col: str, min_lines: int, min_words: int | None
+) -> tuple[DataFrame, list[tuple[int, DataFrame, DataFrame]]]:
+    """The lines that occur more than once, (d, t, p, name, long), and (length, members, classes)
+    of every round from ``min_lines`` on: members (d, t, p, name, next) with the names of their
+    two halves, classes (name, next) with the first position."""
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     filled = rows.select(
         F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("t"), F.posexplode(_filled(F.col(text_col))).alias("p", "x")
     )
     lines = store.put(
-        filled.select("d", "t", "p", F.xxhash64("x.line").alias("a"), F.xxhash64(F.lit(1), "x.line").alias("b"))
+        filled.select("d", "t", "p", F.xxhash64("x.line").alias("a"), F.xxhash64(F.lit(1), "x.line").alias("b"),
+                      _long(F.col("x.line"), min_words).alias("long"))
         .dropDuplicates(["d", "t", "p"]),
         "lines",
     )
-    state = _named(lines, store.put(_classes(lines, "a", "b"), "classes-1"), "a", "b")
+    classes = store.put(_classes(lines, "a", "b"), "classes-1")
+    single = store.put(_named(lines, classes, "a", "b", keep=("long",)), "members-1")
+    state = single.drop("long")
     length, found, last = 1, [], None
     while True:
         if length < min_lines < 2 * length:  # two runs of ``length`` lines overlap to min_lines
@@ -81,36 +97,41 @@ def suffix_intervals(docs: DataFrame, store: Stored, *, id_col: str, text_col: s
             store.drop(f"members-{last}")
         length, last = 2 * length, 2 * length
         if classes.isEmpty():
-            return found
+            return single, found
         if length >= min_lines:
             found.append((length, members, classes))
         state = _named(members, classes, "name", "next")
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_lines: int = 2,
+    min_words: int | None = 40,
+    into: tuple[str, str] = ("n_lines", "n_removed"),
+) -> DataFrame:
     """All rows and columns of ``docs`` without the later copies of repeated runs of
-    ``min_lines`` (2 or more) lines; ``n_lines`` and ``n_removed`` count the text's lines that
-    are not blank, and how many of them were copies.
+    ``min_lines`` (2 or more) lines and of single lines of ``min_words`` words (None: of no
+    single line); the columns ``into`` count the text's lines that are not blank, and how many
+    of them were copies.
 
-    Blank lines do not count, match or go.  The first occurrence, by id and line, stays, so
+    Words are parted by spaces, tabs and carriage returns.  Blank lines do not count, match or go.  The first occurrence, by id and line, stays, so
     every distinct line does.  Defined results: a null text stays null; a row without an id
     stays as it is; rows that are equal in id and text are one document and come out alike;
-    rows that share an id only are ordered by a hash of the text; columns named n_lines and
-    n_removed are replaced.
+    rows that share an id only are ordered by a hash of the text; columns of ``docs`` that
+    have the names of ``into`` are replaced; an empty table gives an empty one.
     """
     if min_lines < 2:
         raise ValueError("a run has two lines or more")
     store = Stored(docs.sparkSession, "linedup")
-    base = docs.drop("n_lines", "n_removed")
-    rounds = suffix_intervals(base, store, id_col=id_col, text_col=text_col, min_lines=min_lines)
+    base = docs.drop(*into)
+    single, rounds = suffix_intervals(base, store, id_col=id_col, text_col=text_col, min_lines=min_lines, min_words=min_words)
     d, t = F.col(id_col).cast("long"), F.xxhash64(text_col)
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(_filled(F.col(text_col)))).cast("long")
-    if not rounds:
-        return base.withColumns({"n_lines": n_lines, "n_removed": F.lit(0).cast("long")})
-    copies = None
+    copies = single.where(F.col("long") & (F.col("name") != _position())).select(*_NAME, (F.col("p") + 1).alias("end"))
     for length, members, classes in rounds:
-        found = _copies(members, classes, length)
-        copies = found if copies is None else copies.unionByName(found)
+        copies = copies.unionByName(_copies(members, classes, length))
     before = Window.partitionBy("d", "t").orderBy("p", "end").rowsBetween(Window.unboundedPreceding, -1)
     so_far = Window.partitionBy("d", "t").orderBy("p", "end")
     runs = (
@@ -135,12 +156,12 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     cleaned = F.array_join(F.transform(kept, lambda i: F.element_at(F.col("__lines"), i + 1)), "\n")
     return joined.select(
         *(F.when(F.col("__gone").isNull(), F.col(c)).otherwise(cleaned).alias(c) if c == text_col else F.col(c) for c in base.columns),
-        F.when(F.col("__filled").isNull(), 0).otherwise(F.size("__filled")).cast("long").alias("n_lines"),
-        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("n_removed"),
+        F.when(F.col("__filled").isNull(), 0).otherwise(F.size("__filled")).cast("long").alias(into[0]),
+        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias(into[1]),
     )
 
 
-#: The same result for ``min_lines`` of 2 over ``documents``.
+#: The same result for ``min_lines`` of 2 and ``min_words`` of 40 over ``documents``.
 DEDUP_SQL = """
 with cut as (
   select doc_id, generate_subscripts(string_split(text, chr(10)), 1) as i, unnest(string_split(text, chr(10))) as line
@@ -153,8 +174,11 @@ with cut as (
 ), later as (
   select doc_id, p from runs where line2 is not null
   qualify row_number() over (partition by line, line2 order by doc_id, p) > 1
+), later_single as (
+  select doc_id, p from filled where len(regexp_extract_all(line, '[^ \\t\\r]+')) >= 40
+  qualify row_number() over (partition by line order by doc_id, p) > 1
 ), gone as (
-  select doc_id, p from later union select doc_id, p + 1 from later
+  select doc_id, p from later union select doc_id, p + 1 from later union select doc_id, p from later_single
 ), marked as (
   select f.doc_id, f.i, g.p is not null as removed from filled f left join gone g on f.doc_id = g.doc_id and f.p = g.p
 ), counted as (

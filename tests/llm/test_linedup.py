@@ -1,4 +1,5 @@
 import random
+import re
 
 import duckdb
 import pytest
@@ -9,8 +10,8 @@ from paneltide.llm.queries import ORACLES, QUERIES
 SF = "/root/testdata/sf0.01"
 
 
-def _brute(docs, least):
-    """Lines covered by a run of ``least`` lines that occurred before."""
+def _brute(docs, least, words=None):
+    """Lines covered by a run of ``least`` lines that occurred before, or of ``words`` words."""
     seen, out = set(), {}
     for i, text in sorted(docs):
         lines = text.split("\n")
@@ -21,6 +22,11 @@ def _brute(docs, least):
             if run in seen:
                 gone.update(at[p : p + least])
             seen.add(run)
+        for j in at:
+            if words and len(re.findall(r"[^ \t\r]+", lines[j])) >= words:
+                if (lines[j],) in seen:
+                    gone.add(j)
+                seen.add((lines[j],))
         out[i] = (len(at), len(gone), "\n".join(x for j, x in enumerate(lines) if j not in gone))
     return out
 
@@ -34,6 +40,24 @@ def test_against_brute_force(spark, least):
     assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in got} == _brute(docs, least)
 
 
+@pytest.mark.parametrize("words", [None, 1, 2, 4])
+def test_single_lines_against_brute_force(spark, words):
+    rnd = random.Random(words or 9)
+    pool = ["a", "b  ", "c\td", "e f g", "h i\r", " j  k l m ", "n\u00a0o p\u3000q", "", " \t"] + [f"{i} x y z" for i in range(30)]
+    docs = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randint(1, 12)))) for i in range(60)]
+    docs += [(100, "only one line here"), (101, "only one line here")]
+    got = linedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), min_words=words).collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in got} == _brute(docs, 2, words)
+
+
+def test_a_long_line_goes_without_its_neighbours(spark):
+    passage = " ".join(f"w{i}" for i in range(51))
+    docs = [(1, f"a\n{passage}\nb"), (2, f"c\n{passage}\nd"), (3, passage), (4, f"{passage}\n{passage}\ne"), (5, "short one\nf"), (6, "short one\ng")]
+    got = linedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), into=("lines", "copies")).collect()
+    want = {1: docs[0][1], 2: "c\nd", 3: "", 4: "e", 5: "short one\nf", 6: "short one\ng"}
+    assert {r["doc_id"]: r["text"] for r in got} == want and {r["doc_id"]: r["copies"] for r in got}[4] == 2
+
+
 def test_query_equals_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")

@@ -33,6 +33,10 @@ def _line_dedup(docs):
             if (lines[a], lines[b]) in seen:
                 gone |= {a, b}
             seen.add((lines[a], lines[b]))
+        for j in at:
+            if len(re.findall(r"[^ \t\r]+", lines[j])) >= 40:
+                gone |= {j} if lines[j] in seen else set()
+                seen.add(lines[j])
         if not gone or len(gone) < len(at):
             out.append((i, "\n".join(x for j, x in enumerate(lines) if j not in gone)))
     return out
