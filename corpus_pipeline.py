@@ -30,10 +30,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of line runs; a document that was all copies goes."""
-    cleaned = linedup.dedup_lines(docs.withColumnRenamed("n_chars", "__n")).where("n_removed = 0 or n_removed < n_lines")
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("__n"))
-    return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
+    """Texts without later copies of line runs and long lines; a document that was all copies
+    goes.  ``n_chars``, where there is one, follows a text that was cut."""
+    cleaned = linedup.dedup_lines(docs, into=("__lines_seen", "__lines_cut")).where("__lines_cut = 0 or __lines_cut < __lines_seen")
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("__lines_cut") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        cleaned = cleaned.withColumn("n_chars", n_chars)
+    return cleaned.select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
