@@ -115,6 +115,14 @@ def test_edge_rows(spark, rows):
     assert docs.where("doc_id = 3").count() == (2 if want else 0)
 
 
+def test_line_stage_leaves_columns_of_its_counts_names(spark):
+    rows = [(1, "a\nb", 77, "x"), (2, "a\nb\nc", 78, "y"), (3, "a\nb", 79, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_removed string")  # and no n_chars
+    got = corpus_pipeline.drop_repeated_lines(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a\nb", 77, "x"), (2, "c", 78, "y")]
+
+
 def test_gibberish_and_untaught_languages_go(spark):
     rnd = random.Random(1)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
