@@ -7,6 +7,8 @@ neighbouring decimals, measured in doubles, and the one with an even last digit
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,14 +18,29 @@ from ._util import col_of
 SIGNIFICANT = 15
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once for a row, however often ``then`` names it."""
+    return F.transform(F.array(value), then).getItem(0)
+
+
 def number_text(c) -> Column:
     """Text of a number: ``100000`` -> ``1e+05``, ``123456`` -> ``123456``, ``0.0001`` -> ``1e-04``;
     null -> null, and ``NaN``, ``Inf``, ``-Inf`` for what is no finite number."""
     x = col_of(c).cast("double")
+    # one digit, the point, the other digits, "e", the exponent with its sign
     full = F.format_string(f"%.{SIGNIFICANT - 1}e", F.abs(x))
-    exponent = F.regexp_extract(full, r"e([+-]\d+)$", 1).try_cast("int")
-    digits = F.regexp_replace(F.regexp_replace(F.regexp_extract(full, r"^([\d.]+)e", 1), r"\.", ""), "0+$", "")
-    n = F.length(digits)
+    return _once(full, lambda f: _once(_parts(f), lambda p: _finite_or_named(x, p)))
+
+
+def _parts(full: Column) -> Column:
+    """(digits without the zeros at the end, exponent) of a number in scientific notation."""
+    digits = F.rtrim(F.concat(F.substring(full, 1, 1), F.substring(full, 3, SIGNIFICANT - 1)), F.lit("0"))
+    exponent = F.substring(full, SIGNIFICANT + 3, 5).try_cast("int")
+    return F.struct(digits.alias("digits"), exponent.alias("exponent"), F.length(digits).alias("n"))
+
+
+def _finite_or_named(x: Column, parts: Column) -> Column:
+    digits, exponent, n = parts["digits"], parts["exponent"], parts["n"]
     right = F.greatest(n - exponent - 1, F.lit(0))  # digits after the point in fixed notation
     fixed_width = F.greatest(exponent, F.lit(0)) + 1 + F.when(right > 0, right + 1).otherwise(0)
     scientific_width = F.when(n > 1, n + 1).otherwise(1) + F.when(F.abs(exponent) >= 100, 5).otherwise(4)

@@ -176,6 +176,9 @@ def test_number_text_and_rounding_of_ties(spark):
     assert {r[0]: r[1] for r in df.select("x", number_text("x")).collect()} == texts
     odd = spark.createDataFrame([(None,), (float("nan"),)], "x double").select(number_text("x")).collect()
     assert {r[0] for r in odd} == {None, "NaN"}
+    # the text in 15 digits, which costs most, is made once for a row
+    plan = df.select(number_text("x").alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_string(%.14e") == 1
     ties = [(0.15, 1, 0.1), (2.5, 0, 2.0), (3.5, 0, 4.0), (0.25, 1, 0.2), (0.35, 1, 0.3), (1e15 + 0.5, 0, 1e15), (-2.5, 0, -2.0), (-0.15, 1, -0.1),
             (2.675, 2, 2.67), (1.005, 2, 1.0), (1e300, 1, 1e300), (0.0, 1, 0.0), (7.0, 2, 7.0)]
     for x, digits, want in ties:
