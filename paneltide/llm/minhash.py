@@ -10,8 +10,10 @@ its coordinates, not ``k`` for each element.
 Identical shingle sets are collapsed first.  Texts that share a band are compared, exactly, with
 the bucket's smallest text; those that are unlike it meet the bucket's best linked texts.
 Members that are still in different components are compared across these, unless their sizes or
-their signatures, by five standard deviations, rule the similarity out.  So no bucket is
-expanded into all pairs, and no link that banding proposes goes missing between components.
+their signatures, by five standard deviations, rule the similarity out: by a join in small
+buckets, and in large ones a pair of bounded blocks at a time, of which only those links come
+back that connect components.  So no bucket is expanded into all pairs of rows, and no link
+that banding proposes goes missing between components.
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-64
 #: Best linked texts that those members of a bucket meet which are unlike its smallest text.
 _HUBS = 3
+#: Members of a bucket that a join compares; those of larger buckets are compared in blocks of at
+#: most about so many members and shingles.
+_FEW = 32
+_MEMBERS, _SHINGLES = 1 << 10, 1 << 21
 #: Rank intervals: doubling up to a width of 8, then of that width.
 _FIRST = 2.0**-6
 _WIDEST = 8.0
@@ -194,6 +200,46 @@ def _elements(docs: DataFrame, size: int, weighted: bool) -> DataFrame:
     return docs.mapInArrow(freeing(run), "node long, set array<long>")
 
 
+def _link_blocks(side: DataFrame, sizes: DataFrame, similarity: float, least: float) -> DataFrame:
+    """(u, v): similar members of a bucket that connect its components.  ``side`` has (band, node,
+    c, n, marks, set), ``sizes`` (band, members, shingles).  A bucket is cut into blocks; each
+    of them meets itself and every other one in a group of their own."""
+    blocks = F.ceil(F.greatest(F.col("members") / _MEMBERS, F.col("shingles") / _SHINGLES)).cast("int")
+    cut = side.join(sizes.select("band", blocks.alias("blocks")), "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = cut.select("band", "node", "c", "n", "marks", "set", "block", other)
+    lo, hi = F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        node, comp, n, block = (group.column(c).to_numpy() for c in ("node", "c", "n", "block"))
+        sets = group.column("set").combine_chunks()
+        first = np.concatenate(([0], np.cumsum(sets.value_lengths().to_numpy())))
+        names, element = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        marks = group.column("marks").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        comp, inside, links = np.unique(comp, return_inverse=True)[1], np.zeros(len(names), bool), []
+        within = (block == block[0]).all()
+        for x in range(len(node) - 1):
+            y = np.arange(x + 1, len(node))
+            y = y[(comp[y] != comp[x]) & (n[y] >= similarity * n[x]) & (n[x] >= similarity * n[y])]
+            if not within:
+                y = y[block[y] != block[x]]
+            y = y[np.count_nonzero(marks[y] == marks[x], axis=1) >= least]
+            mine = element[first[x] : first[x + 1]]
+            inside[mine] = True
+            for z in y.tolist():
+                if comp[z] != comp[x]:
+                    both = np.count_nonzero(inside[element[first[z] : first[z + 1]]])
+                    if both >= similarity * (len(mine) + first[z + 1] - first[z] - both) - 1e-9:
+                        links.append((node[x], node[z]))
+                        comp[comp == comp[z]] = comp[x]
+            inside[mine] = False
+        u, v = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return dealt.select("*", lo, hi).groupBy("band", "lo", "hi").applyInArrow(run, "u long, v long")
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -273,19 +319,22 @@ def near_duplicates(
     # buckets that are still in several components
     unlike = shared.join(missed, (F.col("node") == F.col("a")) & (F.col("head") == F.col("b")), "left_semi").select("band").distinct()
     labelled = part(shared.join(unlike, "band").select("band", "node"), "node", "c")
-    several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-    left = store.put(labelled.join(several, "band"), "left")
+    several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")).where("lo < hi")
+    left = store.put(labelled.join(several.select("band", "members"), "band"), "left")
     if not left.isEmpty():
-        side = left.join(sets.select("node", "n", "marks"), "node")
-        x, y = (side.select(*(F.col(c).alias(c + i) for c in ("band", "node", "c", "n", "marks"))) for i in "xy")
-        equal = F.zip_with("marksx", "marksy", lambda a, b: (a == b).cast("int"))
-        agree = F.aggregate(equal, F.lit(0), lambda total, one: total + one)
         # coordinates agree with the probability of the similarity; five standard deviations
         k = bands * rows
         least = similarity * k - 5 * math.sqrt(k * similarity * (1 - similarity))
+        side = left.join(sets.select("node", "n", "marks"), "node")
+        x, y = (side.where(F.col("members") <= _FEW).select(*(F.col(c).alias(c + i) for c in ("band", "node", "c", "n", "marks"))) for i in "xy")
+        equal = F.zip_with("marksx", "marksy", lambda a, b: (a == b).cast("int"))
+        agree = F.aggregate(equal, F.lit(0), lambda total, one: total + one)
         alike = (F.col("nx") >= similarity * F.col("ny")) & (F.col("ny") >= similarity * F.col("nx")) & (agree >= least)
         across = x.join(y, (F.col("bandx") == F.col("bandy")) & (F.col("cx") > F.col("cy")) & alike)
         more = store.put(similar(across.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()), "across")
+        many = side.where(F.col("members") > _FEW)
+        sizes = many.groupBy("band").agg(F.first("members").alias("members"), F.sum("n").alias("shingles"))
+        more = more.unionByName(store.put(_link_blocks(many.join(found, "node"), sizes, similarity, least), "blocks"))
         if not more.isEmpty():
             stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
             parts = components(stars.unionByName(more), store, "joined")

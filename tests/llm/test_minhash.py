@@ -99,6 +99,44 @@ def test_copies_that_are_like_their_origin_only(spark, monkeypatch, hubs):
     assert len(set(got.values())) == 1
 
 
+def _join_rows(plan) -> int:
+    """The most rows that a join of an executed plan made."""
+    inner = {"AdaptiveSparkPlan": "executedPlan", "ShuffleQueryStage": "plan", "BroadcastQueryStage": "plan", "ResultQueryStage": "plan"}
+    if plan.getClass().getSimpleName().replace("Exec", "") in inner:
+        return _join_rows(getattr(plan, inner[plan.getClass().getSimpleName().replace("Exec", "")])())
+    below = [_join_rows(plan.children().apply(i)) for i in range(plan.children().size())]
+    made = plan.metrics().apply("numOutputRows").value() if "Join" in plan.nodeName() else 0
+    return max([made, *below])
+
+
+@pytest.mark.parametrize("members", [16, 1024])
+def test_large_bucket_of_unlike_texts_makes_no_pairs_of_rows(spark, monkeypatch, members):
+    """Edits of one text, most of them too unlike for a link: every bucket holds many components."""
+    monkeypatch.setattr(minhash, "_MEMBERS", members, raising=False)
+    monkeypatch.setattr(minhash, "_HUBS", 0)
+    made, put = [], Stored.put
+
+    def watched(store, df, name):
+        if name == "across":
+            df.collect()
+            made.append(_join_rows(df._jdf.queryExecution().executedPlan()))
+        return put(store, df, name)
+
+    monkeypatch.setattr(Stored, "put", watched)
+    rnd = random.Random(8)
+    rows = []
+    for i in range(160):
+        w = [f"w{j}" for j in range(120)]
+        for at in rnd.sample(range(5, 113, 3), 3):
+            w[at] = f"x{at}" if i % 2 else f"x{at}y{i}"
+        rows.append((i, " ".join(w)))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=24, rows=2).collect()}
+    want = _classes(rows)
+    assert got == want
+    assert 20 < len(set(want.values())) < 140  # links across components, and many components
+    assert made and max(made) < 160 * 159 // 2
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "one two", "c"), (4, "One  two!", "c"), (4, "One  two!", "c"), (None, "one two", "d"),
             (5, "x y " * 60_000, "e"), (6, "x y " * 60_000 + "x", "e"), (7, "alpha", None), (4, "beta gamma", None), (9, "gamma! BETA? beta gamma", None), (10, "beta gamma", None)]
