@@ -17,7 +17,8 @@ checks both checksums of every record.
 The library's cost lies in handling whole strings, so a text is cut where a pre-token must end
 (before a single blank or line feed between two characters that are no white space), and only
 words that the task has not met lately are given to the library; they are laid end to end,
-since these cuts are pre-token borders there too.  A text with white space beside other white
+since these cuts are pre-token borders there too.  Marks such as a full stop that end a word
+after a letter are a pre-token of their own, so the word is learnt without them.  A text with white space beside other white
 space is cut by a pattern that leaves such runs whole.
 
 Defined results: a null text counts as empty, and is its end id alone; rows without an id come
@@ -37,6 +38,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -57,12 +59,15 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _TAIL = r"(?:(?:\s{2,}|[^\S \n])\S*)*"
 _PIECES = re.compile(rf"[ \n]?\S+{_TAIL}|\s+(?:\S+{_TAIL})?")
 _JOINABLE = re.compile(r"[ \n]\S")
-#: A word that is empty, or has white space at an end beside the line feed that it starts with.
-_AT_END = re.compile(r"\A\n?+(?:\s|\Z)|\s\Z")
-_WINDOW = 1 << 18  # code points encoded at once
+_WINDOW = 1 << 18  # code points of one text encoded at once
+_SPAN = 1 << 21  # code points of several texts encoded at once
 _FRAMED = 1 << 22  # bytes framed at once
 _KNOWN = 1 << 20  # words a task remembers
 _LONG_PIECE = 32
+#: Marks that, at the end of a word and after one of the letters below this, are a pre-token of their own.
+_MARKS = ".,!?;:#$%&"
+_LETTERS_BELOW = "\u0250"
+_LEARNT = 1 << 17  # code points of words given to the library at once
 
 # ------------------------------------------------------------------ checksums
 
@@ -152,6 +157,12 @@ def unframe(data: bytes) -> Iterator[list[bytes]]:
 # ------------------------------------------------------------------ encoding
 
 
+def _strings(words: pa.StringArray) -> list[str]:
+    """The words, none of which holds a blank."""
+    ends = pa.array([0, len(words)], pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(ends, words), " ")[0].as_py().split(" ") if len(words) else []
+
+
 class Encoder:
     """Ids of texts by the ``tokenizers`` library, as bytes of ``width`` bytes an id."""
 
@@ -179,7 +190,7 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> Iterator[bytes]:
         """Ids of pieces that start with a blank or line feed and another character."""
-        for lo, hi in spans_of([len(p) for p in pieces], 1 << 12):
+        for lo, hi in spans_of([len(p) for p in pieces], _LEARNT):
             part = pieces[lo:hi]
             ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype=np.int64)
             ends = np.concatenate(([0], np.cumsum(self.n_bytes[ids])))
@@ -192,11 +203,27 @@ class Encoder:
         """Make all words known; those to forget again at once."""
         new = words.difference(self.known)
         self.again |= words - new
-        # a word with white space at an end is no whole piece: its neighbours belong to it
-        good = [w for w in new if not _AT_END.search(w)]
+        learn, marked, bodies = set(), [], []
+        for w in new:
+            # a word with white space at an end, beside the line feed that it starts with, is no
+            # whole piece: its neighbours belong to it
+            bare = len(w.strip())
+            if bare and bare >= len(w) - (w[0] == "\n"):
+                # the marks that a word ends with are learnt once, not with every word
+                b = w.rstrip(_MARKS)
+                if len(b) < len(w) and b[-1:].isalpha() and b[-1] < _LETTERS_BELOW:
+                    marked.append(w)
+                    bodies.append(b)
+                else:
+                    learn.add(w)
+        learn = list(learn.union(set(bodies).difference(self.known)))
+        marks = [w[len(b) :] for w, b in zip(marked, bodies, strict=True)]
+        kinds = list(set(marks))
+        tail = dict(zip(kinds, self._whole(kinds), strict=True))
         self.known.update(dict.fromkeys(new))
-        self.known.update(zip(good, self._learn([w if w[0] == "\n" else " " + w for w in good]), strict=True))
-        return {w for w in new if len(w) > _LONG_PIECE}
+        self.known.update(zip(learn, self._learn([w if w[0] == "\n" else " " + w for w in learn]), strict=True))
+        self.known.update(zip(marked, map(add, map(self.known.__getitem__, bodies), map(tail.__getitem__, marks)), strict=True))
+        return {w for w in chain(new, learn) if len(w) > _LONG_PIECE}
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
         """As ``encode``, for texts with white space beside other white space."""
@@ -212,13 +239,29 @@ class Encoder:
         # an added token may hold any characters and is matched before the text is cut
         plain = [self.apart and not any(a in t for a in self.added) for t in texts]
         # cut at every blank and before every line feed; a word keeps its line feed, not its blank
-        words = [t.replace("\n", " \n").split(" ") if p else [""] for t, p in zip(texts, plain, strict=True)]
-        first = [w.pop(0) for w in words]
-        forget = self._meet(set().union(*words))
+        cuttable = pa.array([t if p else "" for t, p in zip(texts, plain, strict=True)], pa.string())
+        split = pc.split_pattern(pc.replace_substring(cuttable, "\n", " \n"), " ")
+        starts = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        of, firsts = coded.indices.to_numpy(), _strings(coded.dictionary.take(coded.indices.take(pa.array(starts[:-1]))))
+        later = np.ones(len(of), bool)
+        later[starts[:-1]] = False
+        used = np.zeros(len(coded.dictionary), bool)
+        used[of[later]] = True
+        words = _strings(coded.dictionary.filter(pa.array(used)))
+        forget = self._meet(set(words))
+        ids = list(map(self.known.__getitem__, words))
+        bad = np.array([i is None for i in ids], bool)
+        # the words' ids laid end to end, and where each text's begin and end in them
+        place = np.cumsum(used) - 1
+        flat = pa.array([i or b"" for i in ids], pa.binary()).take(pa.array(place[of[later]]))
+        laid = memoryview(flat.buffers()[2] or b"")
+        counts = np.concatenate(([0], np.cumsum(later)))[starts]
+        ends = np.frombuffer(flat.buffers()[1], np.int32, len(flat) + 1)[counts].tolist() if len(flat) else [0] * len(starts)
+        whole = np.diff(np.concatenate(([0], np.cumsum(bad[place[of[later]]])))[counts]) == 0
         out: list[bytes | None] = []
-        for f, start, w in zip(first, self._whole(first), words, strict=True):
-            ids = [start, *map(self.known.__getitem__, w)]
-            out.append(None if None in ids or f[-1:].isspace() else b"".join(ids))
+        for f, start, lo, hi, good in zip(firsts, self._whole(firsts), ends[:-1], ends[1:], whole.tolist(), strict=True):
+            out.append(b"".join((start, laid[lo:hi])) if good and not f[-1:].isspace() else None)
         cut = [i for i, x in enumerate(out) if plain[i] and x is None]
         uncut = [i for i, p in enumerate(plain) if not p]
         for which, run in ((cut, self._pieces), (uncut, self._whole)):
@@ -316,7 +359,7 @@ def write_records(
             ids, coded, size = [], [], 0
             for b in batches:
                 lengths = pc.utf8_length(b.column(1)).to_pylist()
-                for lo, hi in spans_of(lengths, _WINDOW):
+                for lo, hi in spans_of(lengths, max(_SPAN, _WINDOW)):
                     texts = b.column(1).slice(lo, hi - lo).to_pylist()
                     if hi - lo == 1 and lengths[lo] > _WINDOW:
                         found = [b"".join(enc.encode([w])[0] for w in enc.windows(texts[0]))]

@@ -69,6 +69,15 @@ def _texts():
     return [*texts, None, "", " ", "\n", " " * 500, "x" * 3000, "word " * 4000, "no<|endoftext|>gap"]
 
 
+def test_a_word_is_learnt_once_with_all_the_marks_that_end_it(library, monkeypatch):
+    enc, given, learn = records.Encoder(library.to_str()), [], records.Encoder._learn
+    monkeypatch.setattr(records.Encoder, "_learn", lambda self, pieces: (given.extend(pieces), learn(self, pieces))[1])
+    texts = ["a zweiß. zweiß, zweiß!? zweiß;", "b zweiß... don't. it's, 3. 3, ...\nzweiß. x", "c zweiß. ʰ! ª, 漢. zweiß'. a.b. ɐ?\n. x"]
+    got = [np.frombuffer(b, f"<u{enc.width}").tolist() for t in texts for b in enc.encode([t])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert given.count(" zweiß") == 1 and not {" zweiß.", " zweiß,", "\nzweiß."} & set(given)
+
+
 def test_cut_texts_have_the_librarys_ids(library, monkeypatch):
     monkeypatch.setattr(records, "_KNOWN", 50)  # pieces are forgotten all the time
     enc = records.Encoder(records.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
