@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneltide.llm.shared import freeing, spans_of
+from paneltide.llm.shared import freeing, spans_of, text_blocks
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _LONG_SPACE = 50_000
@@ -67,16 +67,12 @@ def _id_lists(ids: list[np.ndarray]) -> pa.ListArray:
 def _with_ids(df: DataFrame, text: str, ranks, pattern: str) -> DataFrame:
     """Replace column ``text`` (last) by ``ids``."""
     schema = T.StructType([*df.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    last = len(df.columns) - 1
 
     def run(batches):
-        for b in batches:
-            texts = b.column(b.num_columns - 1).to_pylist()
-            for lo, hi in spans_of([len(t) for t in texts], _BLOCK):
-                part = b.slice(lo, hi - lo)
-                ids = _id_lists([encode_text(t, ranks.value, pattern) for t in texts[lo:hi]])
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], ids], names=[*part.schema.names[:-1], "ids"]
-                )
+        for part, texts in text_blocks(batches, last, _BLOCK):
+            ids = _id_lists([encode_text(t, ranks.value, pattern) for t in texts])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=[*part.schema.names[:-1], "ids"])
 
     assert df.columns[-1] == text
     return df.mapInArrow(freeing(run), schema)

@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneltide.llm.shared import freeing, spans_of
+from paneltide.llm.shared import freeing, spans_of, text_blocks
 from paneltide.llm.words import hash_words, mix, shingles
 
-_BLOCK = 1 << 19
+_BLOCK = 1 << 17
+#: Places where shingles meet items that are looked at together.
+_PLACES = 1 << 19
 BITS = 128
 #: Shingle sets of similarity 0.8 differ in 19 of 128 bits on average, standard deviation 4.
 RADIUS = 40
@@ -137,6 +139,22 @@ def similarity(bag: tuple[np.ndarray, np.ndarray], grams: np.ndarray) -> float:
     return float(both / (times.sum() + n.sum() - both))
 
 
+def _windows(index: Index, size: int, first: np.ndarray, hit: np.ndarray, at: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The distinct (text, begin, end) that line the shingles at ``hit``, the known ones ``at``,
+    up with their places in the items.  A frequent shingle has many, so they are laid in parts."""
+    parts = [np.zeros((3, 0), np.int64)]
+    times = index.place[at + 1] - index.place[at]
+    for lo, hi in spans_of(times.tolist(), _PLACES):
+        many = times[lo:hi]
+        row = np.repeat(index.place[at[lo:hi]], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        fits = index.gram_size[index.item[row]] == size
+        row, place, of = row[fits], np.repeat(hit[lo:hi], many)[fits], np.repeat(text[lo:hi], many)[fits]
+        begin = np.maximum(place - index.offset[row], first[of])
+        end = np.minimum(place - index.offset[row] + index.n_words[index.item[row]], first[of + 1])
+        parts.append(np.unique(np.stack((of, begin, end)), axis=1))
+    return np.unique(np.concatenate(parts, axis=1), axis=1).T
+
+
 def leaks_of(texts, index: Index, least: float) -> list[list[dict]]:
     """For each text its leaks: of every item the most similar window (the first, in a tie)."""
     w = hash_words(texts)
@@ -151,16 +169,9 @@ def leaks_of(texts, index: Index, least: float) -> list[list[dict]]:
         text = np.searchsorted(w.first, hit, side="right") - 1
         inside = hit + size <= w.first[text + 1]
         hit, at, text = hit[inside], at[inside], text[inside]
-        many = index.place[at + 1] - index.place[at]
-        row = np.repeat(index.place[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        fits = index.gram_size[index.item[row]] == size
-        row, hit, text = row[fits], np.repeat(hit, many)[fits], np.repeat(text, many)[fits]
-        if not len(row):
+        windows = _windows(index, size, w.first, hit, at, text)
+        if not len(windows):
             continue
-        length = index.n_words[index.item[row]]
-        begin = np.maximum(hit - index.offset[row], w.first[text])
-        end = np.minimum(hit - index.offset[row] + length, w.first[text + 1])
-        windows = np.unique(np.stack((text, begin, end)), axis=1).T
         prints = np.stack([2 * _bits(grams[b : e - size + 1]).sum(axis=0) > e - size + 1 - b for _, b, e in windows])
         for (i, b, e), items in zip(windows.tolist(), within_radius(prints, index), strict=True):
             for item in items.tolist():
@@ -204,7 +215,9 @@ def find_leaks(
     n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     slices = max(1, -(-n // (items_per_slice // 2)), -(-chars // (chars_per_slice // 2)))
     names = [c for c in (docs.columns if keep is None else keep) if c != into]
-    base = docs.select(*names, F.col(text_col).alias("__searched"))
+    # a text that is kept goes to the workers once
+    base = docs.select(*names) if text_col in names else docs.select(*names, F.col(text_col).alias("__searched"))
+    at = names.index(text_col) if text_col in names else len(names)
     fields = base.schema.fields
     out = base.withColumn(into, F.array().cast(T.ArrayType(LEAK)))
     for s in range(slices):
@@ -213,14 +226,11 @@ def find_leaks(
         index = spark.sparkContext.broadcast(build([r["id"] for r in own], [r["text"] for r in own], size))
 
         def run(batches, index=index):
-            for b in batches:
-                texts, before = b.column(len(names)).to_pylist(), b.column(len(names) + 1)
-                for lo, hi in spans_of([len(t or "") for t in texts], _BLOCK):
-                    found = leaks_of(texts[lo:hi], index.value, least)
-                    if slices > 1:
-                        found = [x + y for x, y in zip(before.slice(lo, hi - lo).to_pylist(), found, strict=True)]
-                    part = b.slice(lo, hi - lo)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, _LEAK_ARROW)], names=b.schema.names)
+            for part, texts in text_blocks(batches, at, _BLOCK):
+                found = leaks_of(texts, index.value, least)
+                if slices > 1:
+                    found = [x + y for x, y in zip(part.columns[-1].to_pylist(), found, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, _LEAK_ARROW)], names=part.schema.names)
 
         out = out.mapInArrow(freeing(run), T.StructType([*fields, T.StructField(into, T.ArrayType(LEAK))]))
-    return out.drop("__searched")
+    return out if text_col in names else out.drop("__searched")

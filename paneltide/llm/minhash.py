@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.llm.components import components
-from paneltide.llm.shared import Stored, freeing, spans_of
+from paneltide.llm.shared import Stored, freeing, text_blocks
 from paneltide.llm.words import hash_words, mix, shingles
 
-_BLOCK = 1 << 19
+_BLOCK = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-64
 #: Best linked texts that those members of a bucket meet which are unlike its smallest text.
@@ -143,37 +143,36 @@ def _sketch(docs: DataFrame, size: int, weighted: bool, bands: int, rows: int, s
     set, n is its weight, marks has a byte of each coordinate of its signature."""
 
     def run(batches):
-        for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            for lo, hi in spans_of([len(t or "") for t in texts], _BLOCK):
-                n = hi - lo
-                e, w, o = shingle_sets(texts[lo:hi], size, weighted)
-                sig = signatures(e, w, o, n, bands * rows, seed)
-                with np.errstate(over="ignore"):
-                    key = _hash(np.arange(bands, dtype=np.uint64), seed + 5)[None, :].repeat(n, 0)
-                    for j in range(rows):
-                        key = mix(key * _STEP + sig.reshape(n, bands, rows)[:, :, j])
-                    names = []
-                    for salt in (21, 22):
-                        part = _hash(e + (w * 4096).astype(np.uint64) * _STEP, salt)
-                        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part, dtype=np.uint64)))
-                        at = np.searchsorted(o, np.arange(n + 1))
-                        names.append(mix(sums[at[1:]] - sums[at[:-1]]))
-                size_of = np.bincount(o, weights=w, minlength=n)
-                has = np.flatnonzero(size_of)
-                marks = (mix(sig) & np.uint64(255)).astype(np.uint8).view(np.int8)
-                marks_end = pa.array(np.arange(len(has) + 1, dtype=np.int32) * sig.shape[1])
-                ends = pa.array(np.arange(len(has) + 1, dtype=np.int32) * bands)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(lo, n).take(pa.array(has)),
-                        *(pa.array(x[has].view(np.int64)) for x in names),
-                        pa.ListArray.from_arrays(ends, pa.array(key[has].reshape(-1).view(np.int64))),
-                        pa.array(size_of[has]),
-                        pa.ListArray.from_arrays(marks_end, pa.array(marks[has].reshape(-1))),
-                    ],
-                    names=["id", "d1", "d2", "bands", "n", "marks"],
-                )
+        # a text throws a few darts for each coordinate, however short it is
+        for block, texts in text_blocks(batches, 1, _BLOCK, 4 * bands * rows):
+            n = len(texts)
+            e, w, o = shingle_sets(texts, size, weighted)
+            sig = signatures(e, w, o, n, bands * rows, seed)
+            with np.errstate(over="ignore"):
+                key = _hash(np.arange(bands, dtype=np.uint64), seed + 5)[None, :].repeat(n, 0)
+                for j in range(rows):
+                    key = mix(key * _STEP + sig.reshape(n, bands, rows)[:, :, j])
+                names = []
+                for salt in (21, 22):
+                    part = _hash(e + (w * 4096).astype(np.uint64) * _STEP, salt)
+                    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part, dtype=np.uint64)))
+                    at = np.searchsorted(o, np.arange(n + 1))
+                    names.append(mix(sums[at[1:]] - sums[at[:-1]]))
+            size_of = np.bincount(o, weights=w, minlength=n)
+            has = np.flatnonzero(size_of)
+            marks = (mix(sig) & np.uint64(255)).astype(np.uint8).view(np.int8)
+            marks_end = pa.array(np.arange(len(has) + 1, dtype=np.int32) * sig.shape[1])
+            ends = pa.array(np.arange(len(has) + 1, dtype=np.int32) * bands)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.column(0).take(pa.array(has)),
+                    *(pa.array(x[has].view(np.int64)) for x in names),
+                    pa.ListArray.from_arrays(ends, pa.array(key[has].reshape(-1).view(np.int64))),
+                    pa.array(size_of[has]),
+                    pa.ListArray.from_arrays(marks_end, pa.array(marks[has].reshape(-1))),
+                ],
+                names=["id", "d1", "d2", "bands", "n", "marks"],
+            )
 
     return docs.mapInArrow(freeing(run), "id long, d1 long, d2 long, bands array<long>, n double, marks array<tinyint>")
 
@@ -183,19 +182,17 @@ def _elements(docs: DataFrame, size: int, weighted: bool) -> DataFrame:
     of its own where counts are weights."""
 
     def run(batches):
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in spans_of([len(t or "") for t in texts], _BLOCK):
-                e, w, o = shingle_sets(texts[lo:hi], size, weighted)
-                times = w.astype(np.int64)
-                nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                with np.errstate(over="ignore"):
-                    e, o = np.repeat(e, times) + nth.astype(np.uint64) * _STEP, np.repeat(o, times)
-                ends = pa.array(np.searchsorted(o, np.arange(hi - lo + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(ends, pa.array(e.view(np.int64)))],
-                    names=["node", "set"],
-                )
+        for block, texts in text_blocks(batches, 1, _BLOCK):
+            e, w, o = shingle_sets(texts, size, weighted)
+            times = w.astype(np.int64)
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            with np.errstate(over="ignore"):
+                e, o = np.repeat(e, times) + nth.astype(np.uint64) * _STEP, np.repeat(o, times)
+            ends = pa.array(np.searchsorted(o, np.arange(len(texts) + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [block.column(0), pa.ListArray.from_arrays(ends, pa.array(e.view(np.int64)))],
+                names=["node", "set"],
+            )
 
     return docs.mapInArrow(freeing(run), "node long, set array<long>")
 

@@ -6,7 +6,9 @@ import ctypes
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +70,17 @@ def spans_of(lengths: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
         yield lo, len(lengths)
 
 
+def text_blocks(batches, at: int, most: int, each: int = 0) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of the batches with the texts of column ``at``, at most ``most`` code points each
+    (or one row); a row counts as ``each`` at least.  Only one slice's texts are Python objects
+    at a time, however large its batch."""
+    for b in batches:
+        lengths = pc.fill_null(pc.utf8_length(b.column(at).cast(pa.string())), 0).to_numpy()
+        for lo, hi in spans_of(np.maximum(lengths, each).tolist(), most):
+            yield b.slice(lo, hi - lo), b.column(at).slice(lo, hi - lo).to_pylist()
+        del b  # before the next one is read
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
