@@ -15,6 +15,8 @@ each kind: matches are set between marks, and the lengths between marks give the
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ _CANDIDATE = f"[0-9]|{_JOINED}"
 _MARK, _OTHER = "", ""
 _OCTET = "^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 _NEAR = 80
+#: Code points of text to a file of an intermediate table, and to a partition of the result, at least.
+_PER_FILE = 1 << 23
 
 
 def _valid(kind: Column, m: Column) -> Column:
@@ -190,8 +194,9 @@ def find(
     or empty text has no spans; rows equal in id and text come out alike, and count once in the
     graph; rows with a null id are handled as any other; an empty table gives an empty one.
     """
-    store = Stored(docs.sparkSession, "pii")
     text = F.coalesce(F.col(text_col), F.lit(""))
+    files = max(1, math.ceil((docs.agg(F.sum(F.length(text))).first()[0] or 0) / _PER_FILE))
+    store = Stored(docs.sparkSession, "pii", files)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("t"), text.alias("text"))
     found = store.put(_open_tokens(_core(matches(rows))), "found")
     learned = store.put(_learn(found, store, support, sure), "learned")
@@ -221,4 +226,5 @@ def find(
             text_of(x).alias("spans"),
             F.size(x).cast("long").alias("n_spans"),
         )
+        .coalesce(files)
     )

@@ -20,15 +20,18 @@ class Stored:
 
     Written tables cut lineage as a checkpoint does, survive lost executors and keep columns
     compressed.  ``drop`` deletes a table that nothing reads any more (the last iteration's).
+    ``files`` bounds the files of a table that would be dealt over many more tasks than its rows
+    are worth: each file costs a folder, a rename and, on some file systems, a process.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, files: int | None = None):
         self.spark = spark
+        self.files = files
         self.base = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"
-        df.write.parquet(path)
+        (df.coalesce(self.files) if self.files else df).write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 from paneltide.llm import pii
 from paneltide.llm.queries import QUERIES
@@ -132,3 +133,23 @@ def test_spaced_digits_are_one_candidate(spark):
     docs += [(50, "phone 555 010 9999, or write"), (51, "phone (555) 010 99 99"), (52, "scores 10 20 30 of 555 010 9999x"), (53, "phone " + "12 " * 20_000)]
     got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert (got[50], got[51], got[52]) == ("phone:6:18", "phone:7:21", "")
+
+
+def test_small_tables_are_few_files_however_many_the_shuffle_partitions(spark):
+    kept = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(kept.glob("pii-*"))
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    docs = spark.createDataFrame([(i, f"mail: user{i}@site{i % 7}.org or call{i} ext{i}x") for i in range(400)], "doc_id long, text string")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = pii.find(docs)
+        assert found.rdd.getNumPartitions() == 1
+        assert len(found.collect()) == 400
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    (made,) = set(kept.glob("pii-*")) - before
+    tables = {t.name: len(list(t.glob("*.parquet"))) for t in made.iterdir()}
+    assert {"found", "edges", "links", "degree", "known-0"} <= set(tables) and set(tables.values()) == {1}, tables
