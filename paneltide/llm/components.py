@@ -23,15 +23,20 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def components(links: DataFrame, store: Stored, name: str) -> DataFrame:
+def components(links: DataFrame, store: Stored, name: str, files: int | None = None) -> DataFrame:
     """(node, component) of every node in ``links`` (u, v) that is not its component's smallest;
-    a component is named by its smallest node.  Links of a node to itself are left out."""
+    a component is named by its smallest node.  Links of a node to itself are left out.  Each
+    step is stored as ``files`` files, or as many as tasks made it."""
+
+    def put(df: DataFrame, step: int) -> DataFrame:
+        return store.put(df.repartition(files) if files else df, f"{name}-{step}")
+
     step, last = 0, None
-    e = store.put(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-0")
+    e = put(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), 0)
     while True:
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == last or not state[0]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
         last, step = tuple(state), step + 1
-        e = store.put(_small_star(_large_star(e)).distinct(), f"{name}-{step}")
+        e = put(_small_star(_large_star(e)).distinct(), step)
         store.drop(f"{name}-{step - 1}")

@@ -39,6 +39,9 @@ _HUBS = 3
 #: most about so many members and shingles.
 _FEW = 32
 _MEMBERS, _SHINGLES = 1 << 10, 1 << 21
+#: Tables of shingle sets or signatures have at most a file for every so many values of 8 bytes,
+#: tables of links and buckets one for every so many documents.
+_VALUES_PER_FILE, _DOCS_PER_FILE = 1 << 21, 1 << 17
 #: Rank intervals: doubling up to a width of 8, then of that width.
 _FIRST = 2.0**-6
 _WIDEST = 8.0
@@ -261,18 +264,28 @@ def near_duplicates(
     rows_ = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     named = rows_.where(F.col("id").isNotNull())
     sketch = store.put(_sketch(named, size, weighted, bands, rows, seed), "sketch")
+    # files by the corpus, not by the tasks: each new one may cost its executor a process
+    held = F.greatest("n", F.lit(bands + bands * rows / 8))
+    documents, values = sketch.agg(F.count("*"), F.sum(held)).first()
+    store.files = max(1, math.ceil((values or 0) / _VALUES_PER_FILE))
+    few = max(1, math.ceil(documents / _DOCS_PER_FILE))
+
+    def put_few(df: DataFrame, name: str) -> DataFrame:
+        """Dealt anew, since the tasks that make a small table may have much to do."""
+        return store.put(df.repartition(few), name)
+
     sets = store.put(
         sketch.groupBy("d1", "d2").agg(F.min("id").alias("node"), *(F.any_value(c).alias(c) for c in ("bands", "n", "marks"))), "sets"
     )
     member = sketch.select("id", "d1", "d2").join(sets.select("d1", "d2", "node"), ["d1", "d2"]).select("id", "node")
 
     banded = sets.select("node", F.explode("bands").alias("band"))
-    heads = store.put(
+    heads = put_few(
         banded.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("most")).where("head < most").drop("most"),
         "heads",
     )
-    shared = store.put(banded.join(heads, "band"), "shared")  # (band, node, head) of buckets with two texts or more
-    pairs = store.put(shared.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
+    shared = put_few(banded.join(heads, "band"), "shared")  # (band, node, head) of buckets with two texts or more
+    pairs = put_few(shared.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     # a merge join at every size: a broadcast of the candidates would grow with the corpus
     texts = named.join(wanted.hint("merge"), F.col("id") == F.col("node"), "left_semi").select("id", "text")
@@ -292,11 +305,11 @@ def near_duplicates(
 
     # rows that share an id are one document
     copies = member.where("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))
-    near = store.put(similar(pairs), "near")
+    near = put_few(similar(pairs), "near")
     links = near.unionByName(copies)
 
     # members unlike their bucket's head meet the best linked texts among the head's members
-    missed = store.put(pairs.join(near, (F.col("a") == F.col("u")) & (F.col("b") == F.col("v")), "left_anti"), "missed")
+    missed = put_few(pairs.join(near, (F.col("a") == F.col("u")) & (F.col("b") == F.col("v")), "left_anti"), "missed")
     if not missed.isEmpty():
         degree = near.select("u").union(near.select("v")).groupBy(F.col("u").alias("node")).agg(F.count("*").alias("degree"))
         order = Window.partitionBy("head").orderBy(F.desc(F.coalesce("degree", F.lit(0))), F.xxhash64("hub"))
@@ -306,8 +319,8 @@ def near_duplicates(
             .withColumn("place", F.row_number().over(order)).where(F.col("place") <= _HUBS).select("head", "hub")
         )
         met = missed.join(hubs, F.col("b") == F.col("head")).where("a <> hub").select("a", F.col("hub").alias("b")).distinct()
-        links = links.unionByName(store.put(similar(met), "hub-links"))
-    parts = components(links, store, "parts")
+        links = links.unionByName(put_few(similar(met), "hub-links"))
+    parts = components(links, store, "parts", few)
 
     def part(df: DataFrame, node: str, into: str) -> DataFrame:
         p = parts.select(F.col("node").alias("pn"), F.col("component").alias("pc"))
@@ -317,7 +330,7 @@ def near_duplicates(
     unlike = shared.join(missed, (F.col("node") == F.col("a")) & (F.col("head") == F.col("b")), "left_semi").select("band").distinct()
     labelled = part(shared.join(unlike, "band").select("band", "node"), "node", "c")
     several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("members")).where("lo < hi")
-    left = store.put(labelled.join(several.select("band", "members"), "band"), "left")
+    left = put_few(labelled.join(several.select("band", "members"), "band"), "left")
     if not left.isEmpty():
         # coordinates agree with the probability of the similarity; five standard deviations
         k = bands * rows
@@ -328,13 +341,13 @@ def near_duplicates(
         agree = F.aggregate(equal, F.lit(0), lambda total, one: total + one)
         alike = (F.col("nx") >= similarity * F.col("ny")) & (F.col("ny") >= similarity * F.col("nx")) & (agree >= least)
         across = x.join(y, (F.col("bandx") == F.col("bandy")) & (F.col("cx") > F.col("cy")) & alike)
-        more = store.put(similar(across.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()), "across")
+        more = put_few(similar(across.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()), "across")
         many = side.where(F.col("members") > _FEW)
         sizes = many.groupBy("band").agg(F.first("members").alias("members"), F.sum("n").alias("shingles"))
-        more = more.unionByName(store.put(_link_blocks(many.join(found, "node"), sizes, similarity, least), "blocks"))
+        more = more.unionByName(put_few(_link_blocks(many.join(found, "node"), sizes, similarity, least), "blocks"))
         if not more.isEmpty():
             stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
-            parts = components(stars.unionByName(more), store, "joined")
+            parts = components(stars.unionByName(more), store, "joined", few)
     of = parts.select(F.col("node").alias("pn"), F.col("component").alias("pc"))
     return (
         rows_.select("id")

@@ -1,6 +1,7 @@
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -137,6 +138,33 @@ def test_large_bucket_of_unlike_texts_makes_no_pairs_of_rows(spark, monkeypatch,
     assert made and max(made) < 160 * 159 // 2
 
 
+def test_small_tables_are_few_files_however_many_the_shuffle_partitions(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "_HUBS", 1)
+    rnd = random.Random(9)
+    rows = []
+    for i in range(120):
+        w = [f"w{j}" for j in range(120)]
+        for at in rnd.sample(range(5, 113, 3), 3):
+            w[at] = f"x{at}" if i % 2 else f"x{at}y{i}"
+        rows.append((i, " ".join(w)))
+    kept = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(kept.glob("minhash-*"))
+    held = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=24, rows=2).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == _classes(rows)
+    (made,) = set(kept.glob("minhash-*")) - before
+    tables = {t.name: len(list(t.glob("*.parquet"))) for t in made.iterdir() if t.name != "sketch"}
+    assert {"sets", "heads", "shared", "pairs", "elements", "near", "missed", "hub-links", "left", "across", "blocks"} <= set(tables), tables
+    assert set(tables.values()) == {1}, tables
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "one two", "c"), (4, "One  two!", "c"), (4, "One  two!", "c"), (None, "one two", "d"),
             (5, "x y " * 60_000, "e"), (6, "x y " * 60_000 + "x", "e"), (7, "alpha", None), (4, "beta gamma", None), (9, "gamma! BETA? beta gamma", None), (10, "beta gamma", None)]
